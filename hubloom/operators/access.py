@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from hubloom.operators.skew import list_parts, salted_join
+from hubloom.operators.skew import hot_keys, key_counts, list_parts, salted_join
 
 EXECUTE = "x"
 REF = ["user_id", "kind", "id"]
 
 
+def grants(permissions: DataFrame, right: str = EXECUTE) -> DataFrame:
+    """What users hold a right on, one row per reference."""
+    return permissions.where((F.col("right") == right) & F.col("allowed")).select(*REF).distinct()
+
+
 def check_access(refs: DataFrame, permissions: DataFrame, right: str = EXECUTE) -> DataFrame:
     """Whether each user may use each thing they refer to.
 
@@ -17,11 +22,9 @@ def check_access(refs: DataFrame, permissions: DataFrame, right: str = EXECUTE)
     permission row is refused. Both sides come down to one row per reference
     before they meet, so a reference that very many rows share costs one row.
     """
-    granted = (permissions.where(F.col("right") == right)
-               .groupBy(*REF).agg(F.bool_or("allowed").alias("granted")))
-    asked = refs.select(*REF).distinct()
-    return (asked.join(granted, REF, "left")
-            .select(*REF, F.coalesce("granted", F.lit(False)).alias("allowed")))
+    held = grants(permissions, right).withColumn("allowed", F.lit(True))
+    return (refs.select(*REF).distinct().join(held, REF, "left")
+            .select(*REF, F.coalesce("allowed", F.lit(False)).alias("allowed")))
 
 
 def access_map(answers: DataFrame, part_size: int = 1000) -> DataFrame:
@@ -35,7 +38,7 @@ def access_map(answers: DataFrame, part_size: int = 1000) -> DataFrame:
 def refused_requests(refs: DataFrame, permissions: DataFrame, request: str = "request_id",
                      right: str = EXECUTE) -> DataFrame:
     """Requests that refer to anything their user may not use, once each."""
-    answers = check_access(refs, permissions, right)
-    refused = answers.where(~F.col("allowed")).select(*REF)
-    return (salted_join(refs.select(request, *REF), refused, REF, "left_semi")
-            .select(request).distinct())
+    asked = refs.select(request, *REF)
+    hot = hot_keys(key_counts(asked, REF), REF)
+    refused = salted_join(asked, grants(permissions, right), REF, "left_anti", hot=hot)
+    return refused.select(request).distinct()

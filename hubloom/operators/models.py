@@ -38,18 +38,22 @@ def _all_tasks(scopes, depth: int):
     return F.concat(tasks, _all_tasks(inner, depth - 1))
 
 
-def resolve_model(requests: DataFrame, models: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Attach XML and SVG to prepare requests by model id.
-
-    Returns `(resolved, rejects)`; a request for an unknown model is rejected.
-    """
+def model_lookup(requests: DataFrame, models: DataFrame) -> DataFrame:
+    """Attach XML and SVG to prepare requests by model id; `status` is 404 for
+    an unknown model."""
     joined = requests.join(
         models.select("model_id", "bpmn_xml", "svg_xml", F.lit(True).alias("__found")),
         "model_id", "left")
     found = F.col("__found").isNotNull()
-    rejects = (joined.where(~found).drop("__found", "bpmn_xml", "svg_xml")
-               .withColumn("status", F.lit(404)))
-    return joined.where(found).drop("__found"), rejects
+    return joined.withColumn("status", F.when(found, F.lit(200)).otherwise(F.lit(404))
+                             ).drop("__found")
+
+
+def resolve_model(requests: DataFrame, models: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`model_lookup` split into `(resolved, rejects)`."""
+    both = model_lookup(requests, models)
+    return (both.where(F.col("status") == 200).drop("status"),
+            both.where(F.col("status") != 200).drop("bpmn_xml", "svg_xml"))
 
 
 def model_elements(models: DataFrame) -> DataFrame:

@@ -13,27 +13,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from hubloom.operators.skew import list_parts, salted_join
+from hubloom.operators.skew import hot_keys, key_counts, list_parts, salted_join
 
 CRITERIA = ["hub_id", "function_id", "device_class_id", "aspect_id"]
 PART_SIZE = 1000
 
 
-def attach_local_devices(requests: DataFrame, hubs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def local_devices(requests: DataFrame, hubs: DataFrame) -> DataFrame:
     """Give every element of a request the local ids of its hub, in hub order,
     in place of any it carried.
 
-    Returns `(attached, rejects)`; an unknown hub rejects the whole request.
+    `status` is 200, or 500 for the requests of an unknown hub. This is the
+    form for hub records; for hubs too large to be one record, keep members as
+    rows and join them by hub.
     """
     listed = hubs.select(F.col("id").alias("hub_id"), F.lit(True).alias("__known"),
                          F.col("device_local_ids").alias("local_devices"))
     joined = requests.drop("local_devices").join(listed, "hub_id", "left")
     known = F.col("__known").isNotNull()
-    attached = joined.where(known).drop("__known").withColumn(
-        "local_devices", F.coalesce("local_devices", F.array().cast("array<string>")))
-    rejects = joined.where(~known).drop("__known", "local_devices").withColumn(
-        "status", F.lit(500))
-    return attached, rejects
+    none = F.array().cast("array<string>")
+    return (joined
+            .withColumn("local_devices", F.when(known, F.coalesce("local_devices", none)))
+            .withColumn("status", F.when(known, F.lit(200)).otherwise(F.lit(500)))
+            .drop("__known"))
+
+
+def attach_local_devices(requests: DataFrame, hubs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`local_devices` split into `(attached, rejects)`."""
+    both = local_devices(requests, hubs)
+    return (both.where(F.col("status") == 200).drop("status"),
+            both.where(F.col("status") != 200).drop("local_devices"))
 
 
 def hub_members(hubs: DataFrame) -> DataFrame:
@@ -90,8 +99,13 @@ def with_criteria(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in CRITERIA[1:]})
 
 
-def distinct_criteria(requests: DataFrame) -> DataFrame:
-    return with_criteria(requests).select(*CRITERIA).distinct()
+def criteria_counts(requests: DataFrame) -> DataFrame:
+    """Distinct criteria rows and how many requests share each, as `n_rows`.
+
+    Matching reads this several times and it is far smaller than the requests,
+    so `keep` it before a large run.
+    """
+    return key_counts(with_criteria(requests), CRITERIA)
 
 
 def _shape():
@@ -127,28 +141,25 @@ def service_offers(services: DataFrame, criteria: DataFrame) -> DataFrame:
             .select(*kept, *CRITERIA[1:]))
 
 
-def match_types(requests: DataFrame, fleet: DataFrame, services: DataFrame) -> DataFrame:
+def match_types(criteria: DataFrame, fleet: DataFrame, services: DataFrame) -> DataFrame:
     """Device type and service pairs that meet each distinct criteria row, with
     the number of devices of that type on the hub and the first of them."""
-    criteria = distinct_criteria(requests)
     types = fleet.groupBy("hub_id", "device_type_id").agg(
         F.count(F.lit(1)).alias("n_devices"), F.min("device_id").alias("first_device_id"))
     return (types.join(service_offers(services, criteria), "device_type_id")
-            .join(criteria, CRITERIA)
+            .join(criteria.select(*CRITERIA), CRITERIA)
             .select(*CRITERIA, "device_type_id", "service_id", "service_name",
                     "n_devices", "first_device_id"))
 
 
-def match_candidates(requests: DataFrame, members: DataFrame, devices: DataFrame,
-                     services: DataFrame) -> DataFrame:
+def match_candidates(matched: DataFrame, fleet: DataFrame) -> DataFrame:
     """Device and service pairs of a hub that meet each distinct criteria row.
 
-    `members` and `devices` have unique rows per hub and local id, so pairs
-    come out once without a further distinct.
+    A device is on a hub once and a service in a type once, so pairs come out
+    once without a further distinct.
     """
-    fleet = hub_devices(members, devices)
-    matched = match_types(requests, fleet, services).drop("n_devices", "first_device_id")
-    return (fleet.join(matched, ["hub_id", "device_type_id"])
+    pairs = matched.drop("n_devices", "first_device_id")
+    return (fleet.join(pairs, ["hub_id", "device_type_id"])
             .select(*CRITERIA, "device_id", "device_name", "service_id", "service_name"))
 
 
@@ -171,12 +182,14 @@ def option_summary(matched: DataFrame) -> DataFrame:
 
 
 def assemble_selectables(candidates: DataFrame, keys: list[str] | None = None,
-                         part_size: int = PART_SIZE) -> DataFrame:
+                         part_size: int = PART_SIZE,
+                         summary: DataFrame | None = None) -> DataFrame:
     """Candidates as `selectables`, a list of `{device, services[]}` per key.
 
     The services of one device are few. The devices of one key need not be, so
     a key with more than `part_size` devices gets several rows, numbered
-    `part` of `n_parts`, that together hold the whole list.
+    `part` of `n_parts`, that together hold the whole list. `summary`, the
+    result of `option_summary`, saves counting devices.
     """
     keys = keys or CRITERIA
     per_device = candidates.groupBy(*keys, "device_id").agg(
@@ -187,16 +200,21 @@ def assemble_selectables(candidates: DataFrame, keys: list[str] | None = None,
     item = F.struct(
         F.struct(F.col("device_id").alias("id"), F.col("device_name").alias("name"))
         .alias("device"), "services")
-    return list_parts(per_device, keys, F.col("device_id"), item, "selectables", part_size)
+    sizes = None if summary is None else summary.withColumnRenamed("n_options", "n_rows")
+    return list_parts(per_device, keys, F.col("device_id"), item, "selectables", part_size,
+                      sizes)
 
 
 def attach_options(elements: DataFrame, options: DataFrame, on: list[str],
-                   spread_by: list[str] | None = None) -> DataFrame:
+                   spread_by: list[str] | None = None,
+                   counts: DataFrame | None = None) -> DataFrame:
     """Attach options to elements by request key.
 
-    An element nobody answered keeps its row with null options.
+    An element nobody answered keeps its row with null options. `counts`, the
+    elements per key, tells which keys are hot; without it they are counted.
     """
-    return salted_join(elements, options, on, "left", spread_by=spread_by)
+    counts = key_counts(elements, on) if counts is None else counts
+    return salted_join(elements, options, on, "left", spread_by, hot_keys(counts, on))
 
 
 def default_option(options: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -2,15 +2,33 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Tasks a hot key of the left side is spread over before adaptive skew
-# splitting divides it further.
+# splitting divides it further: for every key, and for known hot keys.
 SALTS = 8
+HOT_SALTS = 64
+
+# A key is hot when it holds more than one row in this many. There can only be
+# fewer hot keys than this number, so a list of them is safe to broadcast.
+HOT_SHARE = 1000
+
+
+def key_counts(rows: DataFrame, on: list[str]) -> DataFrame:
+    """Rows per key as `n_rows`."""
+    return rows.groupBy(*on).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def hot_keys(counts: DataFrame, on: list[str]) -> DataFrame:
+    """The hot ones among counted keys: fewer than `HOT_SHARE` rows."""
+    total = counts.agg(F.sum("n_rows")).scalar()
+    return counts.where(F.col("n_rows") * HOT_SHARE > total).select(*on)
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-                spread_by: list[str] | None = None, salts: int = SALTS) -> DataFrame:
+                spread_by: list[str] | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Join rows that may crowd on few keys to a narrow per-key summary.
 
     Left rows get a salt from their own values, so a retried task gives the
@@ -18,27 +36,44 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "in
     `on` would reuse the partitioning of an aggregated right side, and then
     adaptive execution cannot split the hot partition; the salt in the key
     makes both sides plain shuffles, which it can.
+
+    With `hot`, the keys found by `hot_keys`, only those are salted and
+    repeated. Give it where the right side is not much smaller than the left.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a repeated right side cannot serve a {how} join")
-    salt = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(salts)).cast("int")
-    spread = left.withColumn("__salt", salt)
-    repeated = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(repeated, [*on, "__salt"], how).drop("__salt")
+    value = F.xxhash64(*(spread_by or left.columns))
+    if hot is None:
+        left = left.withColumn("__salt", F.pmod(value, F.lit(SALTS)).cast("int"))
+        salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    else:
+        marks = F.broadcast(hot.select(*on, F.lit(True).alias("__hot")))
+        no_key = reduce(Column.__or__, (F.col(c).isNull() for c in on))
+        left = left.join(marks, on, "left").withColumn("__salt", F.when(
+            F.col("__hot").isNotNull() | no_key, F.pmod(value, F.lit(HOT_SALTS)).cast("int"),
+        ).otherwise(F.lit(0))).drop("__hot")
+        right = right.join(marks, on, "left")
+        salts = F.when(F.col("__hot").isNotNull(), F.sequence(
+            F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = right.withColumn("__salt", F.explode(salts)).drop("__hot")
+    return left.join(repeated, [*on, "__salt"], how).drop("__salt")
 
 
-def list_parts(rows: DataFrame, keys: list[str], member: Column, item: Column,
-               name: str, part_size: int) -> DataFrame:
+def list_parts(rows: DataFrame, keys: list[str], member: Column, item: Column, name: str,
+               part_size: int, sizes: DataFrame | None = None) -> DataFrame:
     """Collect the items of each key into sorted lists of about `part_size`.
 
     A key with at most `part_size` rows gives one row (`part` 0 of `n_parts`
     1). A larger one is divided by the hash of `member`, a value that is unique
     within the key, so no list and no task has to hold a whole hot key.
+    `sizes`, rows per key as `n_rows`, saves counting them.
     """
-    sizes = rows.groupBy(*keys).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(part_size)).cast("int").alias("n_parts"))
-    sized = salted_join(rows, sizes, keys, spread_by=None)
-    part = F.pmod(F.xxhash64(member), F.col("n_parts")).cast("int")
-    return (sized.withColumn("part", part)
+    counts = key_counts(rows, keys) if sizes is None else sizes
+    large = counts.where(F.col("n_rows") > part_size).select(
+        *keys, F.ceil(F.col("n_rows") / part_size).cast("int").alias("n_parts"))
+    n_parts = F.coalesce(F.col("n_parts"), F.lit(1))
+    return (salted_join(rows, large, keys, "left")
+            .withColumn("n_parts", n_parts)
+            .withColumn("part", F.pmod(F.xxhash64(member), F.col("n_parts")).cast("int"))
             .groupBy(*keys, "part", "n_parts")
             .agg(F.sort_array(F.collect_list(item)).alias(name)))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hubloom.operators import models as model_ops
 from hubloom.operators import selection
 from hubloom.operators.validation import finalize_prepared
-from hubloom.session import shared_dir
+from hubloom.session import keep
 
 REQUEST = ["hub_id", "model_id"]
 
@@ -19,9 +19,7 @@ def element_table(spark: SparkSession, models: DataFrame) -> DataFrame:
     reading XML is the costliest step, so it is done once and kept in the
     shared folder, where it also survives lost executors.
     """
-    path = shared_dir(spark, "model-elements")
-    model_ops.model_elements(models).drop("parameter").write.parquet(path)
-    return spark.read.parquet(path)
+    return keep(spark, model_ops.model_elements(models).drop("parameter"), "model-elements")
 
 
 def request_elements(requests: DataFrame, elements: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -41,14 +39,15 @@ def request_elements(requests: DataFrame, elements: DataFrame, hubs: DataFrame)
             .drop("readable", "__hub"))
 
 
-def prepared_elements(rows: DataFrame, members: DataFrame, devices: DataFrame,
-                      services: DataFrame) -> DataFrame:
+def prepared_elements(spark: SparkSession, rows: DataFrame, members: DataFrame,
+                      devices: DataFrame, services: DataFrame) -> DataFrame:
     """Elements with the number of options and the default option."""
     fleet = selection.hub_devices(members, devices)
-    matched = selection.match_types(rows.where("is_task"), fleet, services)
+    criteria = keep(spark, selection.criteria_counts(rows.where("is_task")), "criteria")
+    matched = selection.match_types(criteria, fleet, services)
     return selection.attach_options(
         selection.with_criteria(rows), selection.option_summary(matched),
-        selection.CRITERIA, spread_by=[*REQUEST, "position"])
+        selection.CRITERIA, [*REQUEST, "position"], criteria)
 
 
 def prepared_headers(elements: DataFrame) -> DataFrame:

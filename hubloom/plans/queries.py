@@ -10,7 +10,7 @@ from hubloom import functions as fn
 from hubloom import schemas
 from hubloom.operators import access, commands, logs, models, selection, sync, validation
 from hubloom.plans import create, lifecycle, prepare
-from hubloom.session import shared_dir, tune
+from hubloom.session import keep, shared_dir, tune
 from hubloom.sources import driver_tables as dt
 from hubloom.sources import json_docs
 from hubloom.sources.commands import read_commands, write_commands
@@ -35,25 +35,32 @@ def query(function: Query) -> Query:
 
 # --- the flagship -----------------------------------------------------------
 
-def _options(spark: SparkSession, d: str, tasks: DataFrame) -> DataFrame:
-    fleet = selection.hub_devices(dt.hub_members(spark, d), dt.devices(spark, d))
-    return selection.option_summary(
-        selection.match_types(tasks, fleet, dt.services(spark, d)))
+def _fleet(spark: SparkSession, d: str) -> DataFrame:
+    return selection.hub_devices(dt.hub_members(spark, d), dt.devices(spark, d))
+
+
+def _criteria(spark: SparkSession, d: str) -> DataFrame:
+    return keep(spark, selection.criteria_counts(dt.tasks(spark, d)), "criteria")
 
 
-def _elements_with_options(spark: SparkSession, d: str, elements: DataFrame) -> DataFrame:
-    tasks = elements.where("is_task")
+def _tasks_with_options(spark: SparkSession, d: str) -> DataFrame:
+    criteria = _criteria(spark, d)
+    matched = selection.match_types(criteria, _fleet(spark, d), dt.services(spark, d))
     return selection.attach_options(
-        selection.with_criteria(elements), _options(spark, d, tasks), selection.CRITERIA,
-        spread_by=["deployment_id", *dt.LINE_ORDER])
+        selection.with_criteria(dt.tasks(spark, d)), selection.option_summary(matched),
+        selection.CRITERIA, ["deployment_id", *dt.LINE_ORDER], criteria)
 
 
 @query
 def executable_deployments(spark: SparkSession, d: str) -> DataFrame:
-    """Which deployments have an option for each of their tasks."""
-    tasks = dt.elements(spark, d)
-    return selection.executable_flag(
-        _elements_with_options(spark, d, tasks), ["deployment_id"])
+    """Which deployments have an option for each of their tasks.
+
+    Only tasks look for options; the other elements just name deployments.
+    """
+    tasks = _tasks_with_options(spark, d).select("deployment_id", "is_task", "n_options")
+    others = dt.non_tasks(spark, d).select(
+        "deployment_id", "is_task", F.lit(None).cast("bigint").alias("n_options"))
+    return selection.executable_flag(tasks.unionByName(others), ["deployment_id"])
 
 
 # --- sources and sinks ------------------------------------------------------
@@ -176,10 +183,8 @@ def unreadable_models(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def resolved_models(spark: SparkSession, d: str) -> DataFrame:
-    resolved, rejects = models.resolve_model(
-        dt.prepare_requests(spark, d), dt.process_models(spark, d))
-    return resolved.select("hub_id", "model_id", F.lit(200).alias("status"), "svg_xml").unionByName(
-        rejects.withColumn("svg_xml", F.lit(None).cast("string")))
+    return models.model_lookup(
+        dt.prepare_requests(spark, d), dt.process_models(spark, d)).drop("bpmn_xml")
 
 
 # --- selection --------------------------------------------------------------
@@ -189,17 +194,14 @@ def attached_local_devices(spark: SparkSession, d: str) -> DataFrame:
     requests = (dt.load(spark, d, "lineitem").where(F.col("l_returnflag") == "A")
                 .select("l_orderkey", *dt.LINE_ORDER[:3],
                         F.col("l_suppkey").cast("string").alias("hub_id")))
-    attached, rejects = selection.attach_local_devices(requests, dt.hub_records(spark, d))
-    kept = ["l_orderkey", "l_linenumber", "l_partkey", "hub_id"]
-    return attached.select(
-        *kept, F.lit(200).alias("status"),
-        F.array_join("local_devices", ",").alias("local_devices")).unionByName(
-        rejects.select(*kept, "status", F.lit(None).cast("string").alias("local_devices")))
+    return selection.local_devices(requests, dt.hub_records(spark, d)).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "hub_id", "status",
+        F.array_join("local_devices", ",").alias("local_devices"))
 
 
 @query
 def devices_of_hubs(spark: SparkSession, d: str) -> DataFrame:
-    return selection.hub_devices(dt.hub_members(spark, d), dt.devices(spark, d))
+    return _fleet(spark, d)
 
 
 @query
@@ -221,22 +223,24 @@ def selection_request_rows(spark: SparkSession, d: str) -> DataFrame:
         "include_imports", "include_devices", "include_id_modified_devices")
 
 
-def _candidates(spark: SparkSession, d: str) -> DataFrame:
-    return selection.match_candidates(
-        dt.tasks(spark, d), dt.hub_members(spark, d), dt.devices(spark, d),
-        dt.services(spark, d))
+def _matched(spark: SparkSession, d: str, fleet: DataFrame) -> DataFrame:
+    return selection.match_types(_criteria(spark, d), fleet, dt.services(spark, d))
 
 
 @query
 def matched_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Device and service pairs for each distinct criteria row."""
-    return _candidates(spark, d)
+    fleet = _fleet(spark, d)
+    return selection.match_candidates(_matched(spark, d, fleet), fleet)
 
 
 @query
 def assembled_selectables(spark: SparkSession, d: str) -> DataFrame:
     """The lists of options, unpacked again into one row per device."""
-    lists = selection.assemble_selectables(_candidates(spark, d))
+    fleet = _fleet(spark, d)
+    matched = keep(spark, _matched(spark, d, fleet), "matched")
+    lists = selection.assemble_selectables(
+        selection.match_candidates(matched, fleet), summary=selection.option_summary(matched))
     return (lists.select(*selection.CRITERIA, F.inline("selectables"))
             .select(*selection.CRITERIA, F.col("device.id").alias("device_id"),
                     F.col("device.name").alias("device_name"),
@@ -246,17 +250,18 @@ def assembled_selectables(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def elements_with_options(spark: SparkSession, d: str) -> DataFrame:
-    """Every element with the number of its options and the default one."""
-    rows = _elements_with_options(spark, d, dt.tasks(spark, d))
-    return rows.select("deployment_id", *dt.LINE_ORDER, "n_options",
+    """Every task with the number of its options and the default one."""
+    return _tasks_with_options(spark, d).select("deployment_id", *dt.LINE_ORDER, "n_options",
                        "default_device_id", "default_service_id")
 
 
 @query
 def default_options(spark: SparkSession, d: str) -> DataFrame:
-    """First device and first service of each distinct criteria row."""
-    return selection.default_option(
-        _candidates(spark, d), selection.CRITERIA, ["device_id", "service_id"])
+    """First device and first service of each distinct criteria row. The first
+    devices of each type are enough to choose from."""
+    firsts = _matched(spark, d, _fleet(spark, d)).withColumnRenamed(
+        "first_device_id", "device_id")
+    return selection.default_option(firsts, selection.CRITERIA, ["device_id", "service_id"])
 
 
 # --- access -----------------------------------------------------------------
@@ -380,7 +385,7 @@ def _prepared_elements(spark: SparkSession, d: str) -> DataFrame:
     rows = prepare.request_elements(
         dt.prepare_requests(spark, d), elements, dt.known_hubs(spark, d))
     return prepare.prepared_elements(
-        rows, dt.hub_members(spark, d), dt.devices(spark, d), dt.services(spark, d))
+        spark, rows, dt.hub_members(spark, d), dt.devices(spark, d), dt.services(spark, d))
 
 
 @query

@@ -6,9 +6,11 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
+    # Times are UTC; windows are cut on UTC hours.
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -35,7 +37,6 @@ def build_session(app_name: str = "hubloom", master: str | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.sql.session.timeZone", "UTC")
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
     return tune(builder.getOrCreate())
@@ -54,3 +55,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="hubloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, "hubloom", f"{name}-{uuid.uuid4().hex}")
+
+
+def keep(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to the shared folder and read them back.
+
+    For a result that several parts of a job need: it is computed once, lost
+    executors do not bring it back, and readers still prune its columns.
+    """
+    path = shared_dir(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

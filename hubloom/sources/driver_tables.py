@@ -123,6 +123,12 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return elements(spark, sf_dir).where("is_task")
 
 
+def non_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other elements, which need no criteria and so no part."""
+    return (load(spark, sf_dir, "lineitem").where(F.col("l_returnflag") != "A")
+            .select(F.col("l_orderkey").alias("deployment_id"), F.lit(False).alias("is_task")))
+
+
 # --- deployments as records -------------------------------------------------
 
 def _null(kind) -> Column:
