@@ -116,12 +116,12 @@ def _shape():
 
 
 def service_offers(services: DataFrame, criteria: DataFrame) -> DataFrame:
-    """Every criteria triple a service of a device type meets.
+    """Every criteria triple a device type meets, with the `services` that do.
 
-    `services` has one row per device type and service.
-    A blank criterion is no constraint, so each service also answers to "" in
-    each place. Only combinations of given and blank that some request uses are
-    kept; there are at most eight, so that side is safe to broadcast.
+    `services` has one row per device type and service. A blank criterion is no
+    constraint, so each service also answers to "" in each place. Only
+    combinations of given and blank that some request uses are kept; there are
+    at most eight, so that side is safe to broadcast.
     """
     shapes = F.broadcast(criteria.select(_shape().alias("shape")).distinct())
     nothing = F.array().cast("array<string>")
@@ -130,7 +130,7 @@ def service_offers(services: DataFrame, criteria: DataFrame) -> DataFrame:
     def answers(name: str):
         return F.explode(F.array_union(blank, F.coalesce(F.col(name), nothing)))
 
-    kept = ["device_type_id", "service_id", "service_name"]
+    service = F.struct(F.col("service_id").alias("id"), F.col("service_name").alias("name"))
     return (services
             .withColumn("function_id", answers("function_ids"))
             .withColumn("aspect_id", answers("aspect_ids"))
@@ -138,71 +138,80 @@ def service_offers(services: DataFrame, criteria: DataFrame) -> DataFrame:
                 F.lit(""), F.coalesce(F.col("device_class_id"), F.lit(""))))))
             .withColumn("shape", _shape())
             .join(shapes, "shape", "left_semi")
-            .select(*kept, *CRITERIA[1:]))
+            .groupBy("device_type_id", *CRITERIA[1:])
+            .agg(F.sort_array(F.collect_set(service)).alias("services")))
 
 
 def match_types(criteria: DataFrame, fleet: DataFrame, services: DataFrame) -> DataFrame:
-    """Device type and service pairs that meet each distinct criteria row, with
-    the number of devices of that type on the hub and the first of them."""
+    """Device types that meet each distinct criteria row, with the services that
+    do, the number of devices of the type on the hub and the first of them."""
     types = fleet.groupBy("hub_id", "device_type_id").agg(
         F.count(F.lit(1)).alias("n_devices"), F.min("device_id").alias("first_device_id"))
     return (types.join(service_offers(services, criteria), "device_type_id")
             .join(criteria.select(*CRITERIA), CRITERIA)
-            .select(*CRITERIA, "device_type_id", "service_id", "service_name",
-                    "n_devices", "first_device_id"))
+            .select(*CRITERIA, "device_type_id", "services", "n_devices", "first_device_id"))
 
 
-def match_candidates(matched: DataFrame, fleet: DataFrame) -> DataFrame:
-    """Device and service pairs of a hub that meet each distinct criteria row.
+def device_options(matched: DataFrame, fleet: DataFrame) -> DataFrame:
+    """Devices of a hub that meet each distinct criteria row, with `services`.
 
-    A device is on a hub once and a service in a type once, so pairs come out
-    once without a further distinct.
+    A device is on a hub once, so rows come out once without a distinct.
     """
-    pairs = matched.drop("n_devices", "first_device_id")
-    return (fleet.join(pairs, ["hub_id", "device_type_id"])
-            .select(*CRITERIA, "device_id", "device_name", "service_id", "service_name"))
+    types = matched.select(*CRITERIA, "device_type_id", "services")
+    return (fleet.join(types, ["hub_id", "device_type_id"])
+            .select(*CRITERIA, "device_id", "device_name", "services"))
 
 
-def option_summary(matched: DataFrame) -> DataFrame:
-    """Per criteria row: number of devices to choose from, and the default.
+def match_candidates(matched: DataFrame, fleet: DataFrame) -> DataFrame:
+    """The same as device and service pairs."""
+    return (device_options(matched, fleet)
+            .withColumn("service", F.explode("services"))
+            .select(*CRITERIA, "device_id", "device_name",
+                    F.col("service.id").alias("service_id"),
+                    F.col("service.name").alias("service_name")))
 
-    Devices of a type share their services, so the first device of the first
-    type and its first service are found without listing devices.
-    """
-    per_type = matched.groupBy(*CRITERIA, "device_type_id").agg(
-        F.first("n_devices").alias("n_devices"),
-        F.first("first_device_id").alias("first_device_id"),
-        F.min("service_id").alias("first_service_id"))
-    return per_type.groupBy(*CRITERIA).agg(
+
+def first_options(matched: DataFrame) -> DataFrame:
+    """The first device and service of each matched type. Devices of a type
+    share their services, so the first option of a criteria row is among them."""
+    return matched.select(
+        *CRITERIA, "n_devices", F.col("first_device_id").alias("device_id"),
+        F.get("services", F.lit(0))["id"].alias("service_id"))
+
+
+def option_summary(matched: DataFrame) -> DataFrame:
+    """Per criteria row: number of devices to choose from, and the default."""
+    return first_options(matched).groupBy(*CRITERIA).agg(
         F.sum("n_devices").alias("n_options"),
-        F.min(F.struct("first_device_id", "first_service_id")).alias("default"),
+        F.min(F.struct("device_id", "service_id")).alias("default"),
     ).select(*CRITERIA, "n_options",
-             F.col("default.first_device_id").alias("default_device_id"),
-             F.col("default.first_service_id").alias("default_service_id"))
+             F.col("default.device_id").alias("default_device_id"),
+             F.col("default.service_id").alias("default_service_id"))
+
+
+def group_services(candidates: DataFrame, keys: list[str]) -> DataFrame:
+    """Candidate rows of any origin as one row per key and device."""
+    return candidates.groupBy(*keys, "device_id").agg(
+        F.min("device_name").alias("device_name"),
+        F.sort_array(F.collect_set(F.struct(
+            F.col("service_id").alias("id"), F.col("service_name").alias("name"))),
+        ).alias("services"))
 
 
-def assemble_selectables(candidates: DataFrame, keys: list[str] | None = None,
+def assemble_selectables(options: DataFrame, keys: list[str] | None = None,
                          part_size: int = PART_SIZE,
-                         summary: DataFrame | None = None) -> DataFrame:
-    """Candidates as `selectables`, a list of `{device, services[]}` per key.
+                         sizes: DataFrame | None = None) -> DataFrame:
+    """Device options as `selectables`, a list of `{device, services[]}` per key.
 
     The services of one device are few. The devices of one key need not be, so
     a key with more than `part_size` devices gets several rows, numbered
-    `part` of `n_parts`, that together hold the whole list. `summary`, the
-    result of `option_summary`, saves counting devices.
+    `part` of `n_parts`, that together hold the whole list.
     """
-    keys = keys or CRITERIA
-    per_device = candidates.groupBy(*keys, "device_id").agg(
-        F.min("device_name").alias("device_name"),
-        F.sort_array(F.collect_set(F.struct(
-            F.col("service_id").alias("id"), F.col("service_name").alias("name"))),
-        ).alias("services"))
     item = F.struct(
         F.struct(F.col("device_id").alias("id"), F.col("device_name").alias("name"))
         .alias("device"), "services")
-    sizes = None if summary is None else summary.withColumnRenamed("n_options", "n_rows")
-    return list_parts(per_device, keys, F.col("device_id"), item, "selectables", part_size,
-                      sizes)
+    return list_parts(options, keys or CRITERIA, F.col("device_id"), item, "selectables",
+                      part_size, sizes)
 
 
 def attach_options(elements: DataFrame, options: DataFrame, on: list[str],

@@ -2,53 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hubloom import schemas
 from hubloom.functions import flag_status, strict_bool
 from hubloom.operators import access, validation
+from hubloom.session import keep
 from hubloom.sources.json_docs import decode
 
 BODY = schemas.StructType([
     schemas.DEPLOYMENT_COMMAND["version"], schemas.DEPLOYMENT_COMMAND["deployment"]])
 
 
+def records(raw: DataFrame) -> DataFrame:
+    """Decode bodies and flags; `version` and `deployment` are null where the
+    body cannot be read."""
+    decoded = decode(raw, BODY).withColumnRenamed("status", "__read")
+    read = F.col("__read") == 200
+    return decoded.select(
+        "request_id", "user_id", "network_id",
+        strict_bool(F.col("flag")).alias("optional_service"),
+        F.when(read, flag_status(F.col("flag"))).otherwise(F.col("__read")).alias("status"),
+        F.when(read, F.col("decoded.version")).alias("version"),
+        F.when(read, F.col("decoded.deployment")).alias("deployment"))
+
+
 def device_references(decoded: DataFrame) -> DataFrame:
     """Devices the elements of each decoded request select."""
     chosen = F.transform("deployment.elements", lambda e: F.coalesce(
         e["task"]["selection"]["selected_device_id"],
         e["conditional_event"]["selection"]["selected_device_id"]))
-    ids = F.array_distinct(F.filter(chosen, lambda i: i.isNotNull()))
-    return decoded.select("request_id", "user_id", F.lit("devices").alias("kind"),
-                          F.explode(ids).alias("id"))
+    rows = decoded.select(
+        "request_id", "user_id", F.lit("devices").alias("kind"),
+        F.explode_outer(F.when(F.col("status") == 200, chosen)).alias("id"))
+    return rows.where(F.col("id").isNotNull())
 
 
-def create(raw: DataFrame, permissions: DataFrame) -> DataFrame:
+def create(spark: SparkSession, raw: DataFrame, permissions: DataFrame) -> DataFrame:
     """Every request with its `status` and `reason`; 200 rows are commands.
 
     `raw` holds `request_id, user_id, network_id, flag, body`. The checks run in
     this order: body, flag, rights on the selected devices, deployment rules.
-    Bodies are read twice, once for the few ids the rights check needs, so that
-    only the narrow list of refused requests meets the wide records.
+    Bodies are decoded twice: once for the ids the rights check needs, which are
+    kept as a narrow table, and once for the answer, so that the wide records
+    meet nothing but the list of refused requests.
     """
-    decoded = decode(raw, BODY).withColumn(
-        "status", F.when(F.col("status") == 200, flag_status(F.col("flag")))
-        .otherwise(F.col("status")))
-    records = decoded.select(
-        "request_id", "user_id", "network_id",
-        strict_bool(F.col("flag")).alias("optional_service"),
-        F.col("status").alias("__status"), "decoded.version", "decoded.deployment")
-    refs = device_references(records.where(F.col("__status") == 200))
+    decoded = records(raw)
+    refs = keep(spark, device_references(decoded), "device-references")
     refused = access.refused_requests(refs, permissions).withColumn("__refused", F.lit(True))
-    checked = validation.validate_deployments(records.join(refused, "request_id", "left"))
-    is_refused = F.col("__refused").isNotNull()
-    return (checked
-            .withColumn("status", F.when(F.col("__status") != 200, F.col("__status"))
-                        .when(is_refused, 403)
-                        .when(F.col("reason").isNotNull(), 500).otherwise(200))
-            .withColumn("reason", F.when(F.col("__status") != 200, "request")
-                        .when(is_refused, "access").otherwise(F.col("reason")))
-            .drop("__status", "__refused"))
+    checked = validation.validate_deployments(decoded.join(refused, "request_id", "left"))
+    unread, is_refused = F.col("status") != 200, F.col("__refused").isNotNull()
+    status = (F.when(unread, F.col("status")).when(is_refused, 403)
+              .when(F.col("reason").isNotNull(), 500).otherwise(200))
+    reason = (F.when(unread, "request").when(is_refused, "access")
+              .otherwise(F.col("reason")))
+    return checked.withColumns({"status": status, "reason": reason}).drop("__refused")
 
 
 def deploy_commands(created: DataFrame, run_id: str) -> DataFrame:

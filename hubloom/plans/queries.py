@@ -239,8 +239,9 @@ def assembled_selectables(spark: SparkSession, d: str) -> DataFrame:
     """The lists of options, unpacked again into one row per device."""
     fleet = _fleet(spark, d)
     matched = keep(spark, _matched(spark, d, fleet), "matched")
+    sizes = selection.option_summary(matched).withColumnRenamed("n_options", "n_rows")
     lists = selection.assemble_selectables(
-        selection.match_candidates(matched, fleet), summary=selection.option_summary(matched))
+        selection.device_options(matched, fleet), sizes=sizes)
     return (lists.select(*selection.CRITERIA, F.inline("selectables"))
             .select(*selection.CRITERIA, F.col("device.id").alias("device_id"),
                     F.col("device.name").alias("device_name"),
@@ -257,10 +258,8 @@ def elements_with_options(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def default_options(spark: SparkSession, d: str) -> DataFrame:
-    """First device and first service of each distinct criteria row. The first
-    devices of each type are enough to choose from."""
-    firsts = _matched(spark, d, _fleet(spark, d)).withColumnRenamed(
-        "first_device_id", "device_id")
+    """First device and first service of each distinct criteria row."""
+    firsts = selection.first_options(_matched(spark, d, _fleet(spark, d)))
     return selection.default_option(firsts, selection.CRITERIA, ["device_id", "service_id"])
 
 
@@ -273,7 +272,8 @@ def access_answers(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def refused_deployments(spark: SparkSession, d: str) -> DataFrame:
-    return access.refused_requests(dt.device_refs(spark, d), dt.permissions(spark, d))
+    refs = keep(spark, dt.device_refs(spark, d), "device-refs")
+    return access.refused_requests(refs, dt.permissions(spark, d))
 
 
 # --- commands ---------------------------------------------------------------
@@ -427,14 +427,14 @@ def _own_devices(spark: SparkSession, d: str) -> DataFrame:
 @query
 def created_deployments(spark: SparkSession, d: str) -> DataFrame:
     """Raw bodies through all checks of a create request."""
-    created = create.create(_create_requests(spark, d), _own_devices(spark, d))
+    created = create.create(spark, _create_requests(spark, d), _own_devices(spark, d))
     return created.select("request_id", "optional_service", "status", "reason",
                           F.size("deployment.elements").alias("n_elements"))
 
 
 @query
 def deploy_command_rows(spark: SparkSession, d: str) -> DataFrame:
-    created = create.create(_create_requests(spark, d), _own_devices(spark, d))
+    created = create.create(spark, _create_requests(spark, d), _own_devices(spark, d))
     rows = create.deploy_commands(created, "run-1")
     return rows.select("run_id", "action", "network_id", "deployment_id",
                        F.get_json_object("body", "$.name").alias("name"),

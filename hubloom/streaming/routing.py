@@ -18,7 +18,8 @@ def route(messages: DataFrame) -> DataFrame:
     came on plays no part. `route` tells the sink."""
     records = decode(messages, BODY).select(
         "request_id", "network_id", F.col("status").alias("__status"),
-        "decoded.version", "decoded.deployment")
+        F.when(F.col("status") == 200, F.col("decoded.version")).alias("version"),
+        F.when(F.col("status") == 200, F.col("decoded.deployment")).alias("deployment"))
     checked = validate_deployments(records)
     unreadable = F.col("__status") != 200
     reason = F.when(unreadable, F.lit("unreadable")).otherwise(F.col("reason"))
