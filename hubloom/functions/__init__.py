@@ -5,12 +5,13 @@ from hubloom.functions.json_values import json_value, query_value
 from hubloom.functions.outcomes import is_failure, outcome
 from hubloom.functions.text import trim_space
 from hubloom.functions.urls import (
-    command_key, encode_values, first_values, parse_query, path_escape,
-    query_escape, query_of, query_pairs,
+    canonical_query, command_key, encode_values, first_values, parse_query,
+    path_escape, query_escape, query_of, query_pairs, query_values,
 )
 
 __all__ = [
-    "command_key", "encode_values", "first_values", "flag_status", "is_failure",
-    "json_value", "outcome", "parse_query", "path_escape", "query_escape",
-    "query_of", "query_pairs", "query_value", "strict_bool", "trim_space",
+    "canonical_query", "command_key", "encode_values", "first_values",
+    "flag_status", "is_failure", "json_value", "outcome", "parse_query",
+    "path_escape", "query_escape", "query_of", "query_pairs", "query_value",
+    "query_values", "strict_bool", "trim_space",
 ]

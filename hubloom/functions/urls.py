@@ -90,3 +90,18 @@ def parse_query(query: Column) -> Column:
     return F.map_from_entries(F.transform(
         first_values(query_pairs(query)),
         lambda p: F.struct(p["name"], query_value(p["value"]))))
+
+
+def query_values(query: Column) -> Column:
+    """Query string -> `map<string, array<string>>` with all values by name."""
+    pairs = query_pairs(query)
+    return F.map_from_entries(F.transform(
+        F.array_distinct(F.transform(pairs, lambda p: p["name"])),
+        lambda name: F.struct(name, F.transform(
+            F.filter(pairs, lambda p: p["name"] == name), lambda p: p["value"]))))
+
+
+def canonical_query(query: Column) -> Column:
+    """The same query string for all ways to write it: decoded, sorted by name,
+    escaped again."""
+    return encode_values(query_values(query))

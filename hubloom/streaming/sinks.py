@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -25,5 +26,10 @@ def write_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
 
 
 def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All batches written so far."""
-    return spark.read.schema(schema).parquet(f"{path}/batch_id=*")
+    """All batches written so far; none before the first."""
+    try:
+        return spark.read.schema(schema).parquet(path).drop("batch_id")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

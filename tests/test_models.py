@@ -1,0 +1,85 @@
+import json
+
+from conftest import rows
+from hubloom.operators import models
+
+PAYLOAD = json.dumps({
+    "function": {"id": "fn-set", "name": "setTemperature"},
+    "device_class": {"id": "class-thermostat"}, "aspect": None, "label": "set", "input": 0,
+    "characteristic_id": "celsius", "retries": 2})
+
+
+def task(bpmn_id, payload=PAYLOAD, extra='<camunda:inputParameter name="inputs">0'
+         "</camunda:inputParameter>"):
+    listed = "" if payload is None else (
+        f'<camunda:inputParameter name="payload">{payload}</camunda:inputParameter>')
+    return (f'<bpmn:serviceTask id="{bpmn_id}" name="set it" camunda:type="external" '
+            f'camunda:topic="pessimistic"><bpmn:extensionElements><camunda:inputOutput>'
+            f"{listed}{extra}</camunda:inputOutput></bpmn:extensionElements>"
+            f"<bpmn:incoming>f1</bpmn:incoming></bpmn:serviceTask>")
+
+
+def document(*inner, tail="</bpmn:process></bpmn:definitions>", head=""):
+    return (head + '<bpmn:definitions xmlns:bpmn="http://www.omg.org/spec/BPMN/20100524/MODEL" '
+            'xmlns:camunda="http://camunda.org/schema/1.0/bpmn" id="D">'
+            '<bpmn:process id="p" isExecutable="true"><bpmn:startEvent id="s"/>'
+            + "".join(inner) + tail)
+
+
+def sub(*inner):
+    return '<bpmn:subProcess id="u">' + "".join(inner) + "</bpmn:subProcess>"
+
+
+DOCUMENTS = {
+    "one": document(task("T1"), head='<?xml version="1.0" encoding="UTF-8"?>\n'),
+    "two": document(task("T1"), task("T2")),
+    "none": document(),
+    "no payload": document(task("T1", None)),
+    "nested": document(task("T1"), sub(task("T2"), sub(task("T3")))),
+    "bad payload": document(task("T1", "{bad")),
+    "broken": document(task("T1"), tail="</bpmn:process>"),
+    "empty": "",
+    "missing": None,
+    "doctype": document(task("T1"), head="<!DOCTYPE definitions>"),
+    "text behind": document(task("T1")) + "text",
+    "other root": "<other><process/></other>",
+}
+
+
+def extracted(spark):
+    frame = spark.createDataFrame(list(DOCUMENTS.items()), "model_id string, bpmn_xml string")
+    return models.extract_elements(frame)
+
+
+def test_task_fields(spark):
+    elements, _ = extracted(spark)
+    row = elements.where("model_id = 'one'").first().asDict()
+    assert row == {
+        "model_id": "one", "position": 0, "bpmn_id": "T1", "name": "set it",
+        "topic": "pessimistic", "function_id": "fn-set", "device_class_id": "class-thermostat",
+        "aspect_id": None, "characteristic_id": "celsius", "retries": 2,
+        "parameter": {"inputs": "0"}}
+
+
+def test_tasks_of_each_document(spark):
+    elements, _ = extracted(spark)
+    assert rows(elements.select("model_id", "position", "bpmn_id")) == [
+        ("bad payload", 0, "T1"), ("doctype", 0, "T1"), ("nested", 0, "T1"), ("nested", 1, "T2"),
+        ("nested", 2, "T3"), ("one", 0, "T1"), ("text behind", 0, "T1"), ("two", 0, "T1"),
+        ("two", 1, "T2")]
+
+
+def test_unreadable_documents_are_rejected(spark):
+    _, rejects = extracted(spark)
+    assert rows(rejects) == [(m, 500) for m in ("broken", "empty", "missing")]
+
+
+def test_resolve_model(spark):
+    known = spark.createDataFrame([("m1", "<x/>", "<s/>")], "model_id string, bpmn_xml string, "
+                                  "svg_xml string")
+    requests = spark.createDataFrame([("h", "m1"), ("h", "m2"), ("g", None)],
+                                     "hub_id string, model_id string")
+    resolved, rejects = models.resolve_model(requests, known)
+    assert rows(resolved) == [("m1", "h", "<x/>", "<s/>")]
+    assert rows(rejects.select("model_id", "hub_id", "status")) == [
+        ("m2", "h", 404), (None, "g", 404)]
