@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from hubloom.session import keep
+
 # Tasks a hot key of the left side is spread over before adaptive skew
 # splitting divides it further: for every key, and for known hot keys.
 SALTS = 8
@@ -22,9 +24,14 @@ def key_counts(rows: DataFrame, on: list[str]) -> DataFrame:
 
 
 def hot_keys(counts: DataFrame, on: list[str]) -> DataFrame:
-    """The hot ones among counted keys: fewer than `HOT_SHARE` rows."""
+    """The hot ones among counted keys: fewer than `HOT_SHARE` rows.
+
+    Both sides of a join look at them, so they are kept as a small table and
+    the counting is done once.
+    """
     total = counts.agg(F.sum("n_rows")).scalar()
-    return counts.where(F.col("n_rows") * HOT_SHARE > total).select(*on)
+    hot = counts.where(F.col("n_rows") * HOT_SHARE > total).select(*on)
+    return keep(counts.sparkSession, hot, "hot-keys")
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",

@@ -111,7 +111,9 @@ MODEL_TASKS = """mtasks AS (
          band, 'c', CAST(0 AS BIGINT), CAST(p_size AS VARCHAR)
   FROM models WHERE readable AND p_type = 'SMALL')"""
 
-PREPARED = f"""{MODELS}, {MODEL_TASKS}, rows AS (
+
+def _prepared(models: str) -> str:
+    return f"""{models}, {MODEL_TASKS}, rows AS (
   SELECT r.hub_id, r.model_id, t.bpmn_id, s.s_suppkey IS NOT NULL AS known,
          CASE WHEN m.model_id IS NULL THEN 404
               WHEN NOT m.readable OR s.s_suppkey IS NULL THEN 500 ELSE 200 END AS status,
@@ -135,6 +137,13 @@ headers AS (
   FROM prepared GROUP BY ALL)"""
 
 
+PREPARED = _prepared(MODELS)
+
+POSTED = _prepared(MODELS[:MODELS.index("requests AS (")] + """requests AS (
+  SELECT model_id // 20 AS hub_id, model_id FROM models
+  WHERE NOT (p_type = 'LARGE' AND p_size = 45))""")
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -403,6 +412,23 @@ SELECT page_id, name, value,
        CASE WHEN regexp_full_match(value, '[1-9][0-9]*') THEN 'BIGINT' ELSE 'STRING' END AS kind
 FROM firsts""",
 
+    "canonical_queries": f"""
+WITH queries AS (
+  SELECT page_id, split_part(split_part(url, '#', 1), '?', 2) AS q FROM pages),
+pairs AS (
+  SELECT page_id, unnest(string_split(q, '&')) AS pair,
+         unnest(range(len(string_split(q, '&')))) AS pos
+  FROM queries WHERE q <> ''),
+named AS (
+  SELECT page_id, pos, url_decode(replace(split_part(pair, '=', 1), '+', ' ')) AS name,
+         url_decode(replace(split_part(pair, '=', 2), '+', ' ')) AS value
+  FROM pairs WHERE pair <> ''),
+joined AS (
+  SELECT page_id, string_agg({_part("name")} || '=' || {_part("value")}, '&'
+                             ORDER BY name, pos) AS query
+  FROM named GROUP BY page_id)
+SELECT page_id, coalesce(query, '') AS query FROM pages LEFT JOIN joined USING (page_id)""",
+
     "command_keys": f"""
 SELECT event_id,
        'start/' || {_path("'urn:hub:' || user_id")} || '/'
@@ -412,6 +438,14 @@ SELECT event_id,
        || '&at=' || {_part("props")} || '&at=' || {_part("event_type")} AS command_key
 FROM events""",
 
+    "posted_preparations": f"""WITH {POSTED}
+SELECT hub_id, model_id AS request_id, status, n_tasks, n_with_options,
+       CASE WHEN status = 200 THEN n_tasks = n_with_options END AS executable
+FROM headers
+UNION ALL
+SELECT model_id // 20, model_id, 400, 0, 0, NULL FROM models
+WHERE p_type = 'LARGE' AND p_size = 45""",
+
     "prepared_elements": f"""WITH {PREPARED} SELECT * FROM prepared""",
 
     "prepared_requests": f"""WITH {PREPARED}

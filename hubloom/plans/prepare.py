@@ -4,14 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hubloom import schemas
 from hubloom.operators import models as model_ops
 from hubloom.operators import selection
 from hubloom.operators.validation import finalize_prepared
 from hubloom.session import keep
+from hubloom.sources.json_docs import decode_json
 
 REQUEST = ["hub_id", "model_id"]
 
 
+def posted_requests(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Requests that bring their model along, as `(requests, models, rejects)`.
+
+    `raw` holds `request_id, hub_id, body` with XML and SVG in the body; the
+    request id serves as model id. Bodies that cannot be read are rejected.
+    """
+    good, rejects = decode_json(raw, schemas.PREPARE_REQUEST)
+    requests = good.select("hub_id", F.col("request_id").alias("model_id"))
+    models = good.select(F.col("request_id").alias("model_id"), F.col("xml").alias("bpmn_xml"),
+                         F.col("svg").alias("svg_xml"))
+    return requests, models, rejects
+
+
 def element_table(spark: SparkSession, models: DataFrame) -> DataFrame:
     """Model elements as a written table.
 

@@ -366,6 +366,12 @@ def query_parameters(spark: SparkSession, d: str) -> DataFrame:
                     F.schema_of_variant("value").alias("kind")))
 
 
+@query
+def canonical_queries(spark: SparkSession, d: str) -> DataFrame:
+    return dt.load(spark, d, "pages").select(
+        "page_id", fn.canonical_query(fn.query_of(F.col("url"))).alias("query"))
+
+
 @query
 def command_keys(spark: SparkSession, d: str) -> DataFrame:
     """Start keys with inputs that need escaping."""
@@ -380,6 +386,20 @@ def command_keys(spark: SparkSession, d: str) -> DataFrame:
 
 # --- whole request paths ----------------------------------------------------
 
+@query
+def posted_preparations(spark: SparkSession, d: str) -> DataFrame:
+    """Prepare requests with the model in the body."""
+    requests, posted, rejects = prepare.posted_requests(dt.posted_bodies(spark, d))
+    rows = prepare.request_elements(
+        requests, prepare.element_table(spark, posted), dt.known_hubs(spark, d))
+    headers = prepare.prepared_headers(prepare.prepared_elements(
+        spark, rows, dt.hub_members(spark, d), dt.devices(spark, d), dt.services(spark, d)))
+    none = F.lit(None)
+    return headers.withColumnRenamed("model_id", "request_id").unionByName(rejects.select(
+        "hub_id", "request_id", "status", F.lit(0).cast("bigint").alias("n_tasks"),
+        F.lit(0).cast("bigint").alias("n_with_options"), none.cast("boolean").alias("executable")))
+
+
 def _prepared_elements(spark: SparkSession, d: str) -> DataFrame:
     elements = prepare.element_table(spark, dt.process_models(spark, d))
     rows = prepare.request_elements(

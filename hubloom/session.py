@@ -21,6 +21,8 @@ RUNTIME_SETTINGS = {
     # Keyed stream state lives on disk, not on the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A batch uploads what changed in the state, not the whole of it.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

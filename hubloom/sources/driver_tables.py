@@ -265,6 +265,19 @@ def process_models(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("<svg>"), "p_name", F.lit("</svg>")).alias("svg_xml")))
 
 
+def posted_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each model posted to the hub it is at home on; bodies of `LARGE` models of
+    the biggest size lack their closing brace."""
+    body = F.to_json(F.struct(F.col("bpmn_xml").alias("xml"), F.col("svg_xml").alias("svg")))
+    sizes = load(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("model_id"),
+        ((F.col("p_type") == "LARGE") & (F.col("p_size") == PUBLISHED_UP_TO_SIZE)).alias("cut"))
+    return process_models(spark, sf_dir).join(sizes, "model_id").select(
+        F.col("model_id").alias("request_id"),
+        F.expr(f"model_id div {HOME_PARTS}").alias("hub_id"),
+        F.when(F.col("cut"), F.rtrim(body, F.lit("}"))).otherwise(body).alias("body"))
+
+
 def prepare_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Models asked for on hubs: the parts a supplier shipped on `O` lines."""
     return (load(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "O")
