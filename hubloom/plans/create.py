@@ -13,6 +13,11 @@ from hubloom.sources.json_docs import decode
 BODY = schemas.StructType([
     schemas.DEPLOYMENT_COMMAND["version"], schemas.DEPLOYMENT_COMMAND["deployment"]])
 
+REFERENCES = (
+    "deployment struct<elements: array<struct<"
+    "task: struct<selection: struct<selected_device_id: string>>,"
+    "conditional_event: struct<selection: struct<selected_device_id: string>>>>>")
+
 
 def records(raw: DataFrame) -> DataFrame:
     """Decode bodies and flags; `version` and `deployment` are null where the
@@ -27,14 +32,18 @@ def records(raw: DataFrame) -> DataFrame:
         F.when(read, F.col("decoded.deployment")).alias("deployment"))
 
 
-def device_references(decoded: DataFrame) -> DataFrame:
-    """Devices the elements of each decoded request select."""
-    chosen = F.transform("deployment.elements", lambda e: F.coalesce(
+def device_references(raw: DataFrame) -> DataFrame:
+    """Devices the elements of each request select.
+
+    Only their ids are read from the bodies. What a faulty body yields does no
+    harm, since its fault is reported before its rights.
+    """
+    body = F.from_json("body", REFERENCES)
+    chosen = F.transform(body["deployment"]["elements"], lambda e: F.coalesce(
         e["task"]["selection"]["selected_device_id"],
         e["conditional_event"]["selection"]["selected_device_id"]))
-    rows = decoded.select(
-        "request_id", "user_id", F.lit("devices").alias("kind"),
-        F.explode_outer(F.when(F.col("status") == 200, chosen)).alias("id"))
+    rows = raw.select("request_id", "user_id", F.lit("devices").alias("kind"),
+                      F.explode_outer(chosen).alias("id"))
     return rows.where(F.col("id").isNotNull())
 
 
@@ -43,12 +52,12 @@ def create(spark: SparkSession, raw: DataFrame, permissions: DataFrame) -> DataF
 
     `raw` holds `request_id, user_id, network_id, flag, body`. The checks run in
     this order: body, flag, rights on the selected devices, deployment rules.
-    Bodies are decoded twice: once for the ids the rights check needs, which are
+    Bodies are read twice: once for the ids the rights check needs, which are
     kept as a narrow table, and once for the answer, so that the wide records
     meet nothing but the list of refused requests.
     """
     decoded = records(raw)
-    refs = keep(spark, device_references(decoded), "device-references")
+    refs = keep(spark, device_references(raw), "device-references")
     refused = access.refused_requests(refs, permissions).withColumn("__refused", F.lit(True))
     checked = validation.validate_deployments(decoded.join(refused, "request_id", "left"))
     unread, is_refused = F.col("status") != 200, F.col("__refused").isNotNull()
