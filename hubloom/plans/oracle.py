@@ -409,7 +409,8 @@ named AS (
 firsts AS (
   SELECT page_id, name, arg_min(value, pos) AS value FROM named GROUP BY page_id, name)
 SELECT page_id, name, value,
-       CASE WHEN regexp_full_match(value, '[1-9][0-9]*') THEN 'BIGINT' ELSE 'STRING' END AS kind
+       CASE WHEN json_valid(value) AND json_type(CAST(value AS JSON)) IN ('UBIGINT', 'BIGINT')
+            THEN 'BIGINT' ELSE 'STRING' END AS kind
 FROM firsts""",
 
     "canonical_queries": f"""

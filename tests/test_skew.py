@@ -1,0 +1,123 @@
+"""One hub, user, order, device, host or copied row holds a third of all rows."""
+
+import os
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from hubloom.operators import commands, selection
+from oracle_check import TABLES, differences, oracle_connection
+
+CROWDED = {
+    "lineitem": """SELECT CASE WHEN rn % 9 = 0 THEN 5 ELSE l_orderkey END AS l_orderkey,
+      CASE WHEN rn % 6 = 1 THEN 11 ELSE l_partkey END AS l_partkey,
+      CASE WHEN rn % 3 = 0 THEN 7 ELSE l_suppkey END AS l_suppkey,
+      * EXCLUDE (l_orderkey, l_partkey, l_suppkey, rn)
+      FROM (SELECT *, row_number() OVER () AS rn FROM lineitem)""",
+    "events": """SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 3 ELSE user_id END AS user_id)
+      FROM events""",
+    "orders": """SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END
+      AS o_custkey) FROM orders""",
+    "pages": """SELECT * REPLACE (CASE WHEN page_id % 3 = 0
+      THEN 'http://one.example/p?a=' || page_id ELSE url END AS url) FROM pages""",
+}
+COPIED = {
+    "lineitem": """SELECT * FROM lineitem UNION ALL SELECT l.* FROM (
+      SELECT * FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'F'
+      ORDER BY ALL LIMIT 1) l, range(3000)""",
+}
+JOBS = [
+    "executable_deployments", "matched_candidates", "assembled_selectables",
+    "elements_with_options", "default_options", "devices_of_hubs", "access_answers",
+    "refused_deployments", "validated_element_rows", "attempted_commands", "command_results",
+    "reconciled_deployments", "newest_sync_rows", "requests_per_path", "prepare_latency",
+    "query_parameters", "prepared_requests", "created_deployments", "removed_deployments",
+]
+
+
+@pytest.fixture(scope="module", params=["crowded", "copied"])
+def skewed(request, sf_dir, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp(request.param))
+    changed = CROWDED if request.param == "crowded" else COPIED
+    source = oracle_connection(sf_dir)
+    for table in TABLES:
+        path = f"{out}/{table}.parquet"
+        if table in changed:
+            source.execute(f"COPY ({changed[table]}) TO '{path}' (FORMAT parquet)")
+        else:
+            shutil.copyfile(os.path.join(sf_dir, f"{table}.parquet"), path)
+    return out, oracle_connection(out)
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Settings of a run too large to broadcast, with tiny partitions."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("name", JOBS)
+def test_query_equals_sql_on_skewed_tables(shuffled, skewed, name):
+    sf_dir, connection = skewed
+    frame = entry.queries()[name](shuffled, sf_dir)
+    assert differences(frame, connection, entry.oracle_sql()[name]) == []
+
+
+def final_plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_hub_is_split(shuffled):
+    """Half of all devices sit on one hub and have one type."""
+    fleet = shuffled.range(0, 20000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 100).alias("hub_id"),
+        F.col("id").alias("device_id"), F.lit("d").alias("device_name"),
+        F.lit("type").alias("device_type_id"))
+    services = F.array(F.struct(F.lit("s").alias("id"), F.lit("s").alias("name")))
+    matched = shuffled.range(0, 100, 1, 4).select(
+        F.col("id").alias("hub_id"), F.lit("f").alias("function_id"),
+        F.lit("").alias("device_class_id"), F.lit("").alias("aspect_id"),
+        F.lit("type").alias("device_type_id"), services.alias("services"))
+    options = selection.device_options(matched, fleet)
+    assert "skew=true" in final_plan(options)
+    assert options.count() == 20000
+
+
+def test_hot_criteria_are_salted_and_split(shuffled):
+    """Half of all tasks ask the same; the answer is looked up in many tasks."""
+    tasks = shuffled.range(0, 20000, 1, 8).select(
+        "id", F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 3000).alias("k"))
+    options = shuffled.range(0, 3000, 1, 4).groupBy(F.col("id").alias("k")).agg(
+        F.count(F.lit(1)).alias("n_options"))
+    joined = selection.attach_options(tasks, options, ["k"], ["id"])
+    per_task = [r.n for r in joined.groupBy(F.spark_partition_id()).agg(
+        F.count_if(F.col("k") == 0).alias("n")).collect()]
+    assert sum(per_task) == 10000 and max(per_task) < 4000
+    assert joined.where("n_options is null").count() == 0
+
+
+def test_a_hot_action_is_not_sorted_in_one_task(shuffled):
+    outcomes = shuffled.range(0, 20000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 50).alias("action_id"),
+        F.col("id").alias("seq"), F.when(F.col("id") == 9000, 500).otherwise(200).alias("status"),
+        F.lit("b").alias("body"))
+    tried = commands.fail_fast_prefix(outcomes, ["action_id"])
+    assert "Window" not in final_plan(tried)
+    assert tried.where("action_id = 0 and attempted").count() == 4501
+
+
