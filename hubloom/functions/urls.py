@@ -17,6 +17,8 @@ PATH_FIXES = QUERY_FIXES + (
     ("%3D", "="), ("%40", "@"),
 )
 
+BAD_ESCAPE = "%(?![0-9A-Fa-f]{2})"
+
 
 def _fixed(text: Column, fixes) -> Column:
     for old, new in fixes:
@@ -62,10 +64,12 @@ def query_of(url: Column) -> Column:
 def query_pairs(query: Column) -> Column:
     """Readable `{name, value}` pairs of a query string, in its order.
 
-    Empty parts, parts with a `;` and parts with a bad escape are skipped.
+    Empty parts, parts with a `;` and parts with a bad escape are skipped. The
+    escapes are checked first: decoding alone would read `%+1`.
     """
-    parts = F.filter(F.split(F.coalesce(query, F.lit("")), "&"),
-                     lambda part: (part != "") & ~F.contains(part, F.lit(";")))
+    parts = F.filter(
+        F.split(F.coalesce(query, F.lit("")), "&"),
+        lambda part: (part != "") & ~F.contains(part, F.lit(";")) & ~part.rlike(BAD_ESCAPE))
 
     def pair(part: Column) -> Column:
         cut = F.instr(part, "=")

@@ -33,10 +33,10 @@ def _table(spark: SparkSession, args, name: str) -> DataFrame:
 
 def run_prepare(spark: SparkSession, args, requests: DataFrame) -> None:
     """Write `elements` with options and `deployments` with their flags."""
-    hubs, models = _table(spark, args, "hubs"), records.models(
-        _table(spark, args, "process_models"))
+    hubs = selection.requested_hubs(_table(spark, args, "hubs"), requests)
+    models = records.models(_table(spark, args, "process_models"))
     rows = prepare.request_elements(
-        requests, prepare.element_table(spark, models), records.known_hubs(hubs))
+        requests, prepare.element_table(spark, models, requests), records.known_hubs(hubs))
     elements = keep(spark, prepare.prepared_elements(
         spark, rows, selection.hub_members(hubs), records.devices(_table(spark, args, "devices")),
         selection.type_services(_table(spark, args, "device_types"))), "prepared")

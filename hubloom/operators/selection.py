@@ -51,6 +51,16 @@ def hub_members(hubs: DataFrame) -> DataFrame:
                        F.explode("device_local_ids").alias("local_id"))
 
 
+def requested_hubs(hubs: DataFrame, requests: DataFrame) -> DataFrame:
+    """Hub records that some request names.
+
+    Worth its join when few hubs are asked for; a run over the whole fleet
+    needs all of them anyway.
+    """
+    asked = requests.select(F.col("hub_id").alias("id")).distinct()
+    return hubs.join(asked, "id", "left_semi")
+
+
 def type_services(device_types: DataFrame) -> DataFrame:
     """Device type records as one row per service."""
     return device_types.select(

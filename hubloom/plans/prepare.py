@@ -27,13 +27,16 @@ def posted_requests(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return requests, models, rejects
 
 
-def element_table(spark: SparkSession, models: DataFrame) -> DataFrame:
-    """Model elements as a written table.
+def element_table(spark: SparkSession, models: DataFrame,
+                  requests: DataFrame | None = None) -> DataFrame:
+    """Model elements as a written table, those of `requests` or of all models.
 
     A prepare run reads them twice, for the criteria and for the answer, and
     reading XML is the costliest step, so it is done once and kept in the
     shared folder, where it also survives lost executors.
     """
+    if requests is not None:
+        models = models.join(requests.select("model_id").distinct(), "model_id", "left_semi")
     return keep(spark, model_ops.model_elements(models).drop("parameter"), "model-elements")
 
 

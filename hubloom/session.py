@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,9 +54,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="hubloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return os.path.join(base, "hubloom", f"{name}-{uuid.uuid4().hex}")
+        base = _local_dir()
+    return f"{base.rstrip('/')}/hubloom/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="hubloom-")
 
 
 def keep(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
