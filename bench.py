@@ -28,6 +28,14 @@ HEADLINE = [
 ]
 
 
+def scale(sf_dir: str) -> float | str:
+    name = os.path.basename(sf_dir.rstrip("/"))
+    try:
+        return float(name.removeprefix("sf"))
+    except ValueError:
+        return name
+
+
 def main(names: list[str]) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -46,7 +54,7 @@ def main(names: list[str]) -> None:
     spark.stop()
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3),
-        "unit": "sec", "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/"))[2:]}))
+        "unit": "sec", "queries": seconds, "sf": scale(sf_dir)}))
 
 
 if __name__ == "__main__":

@@ -81,7 +81,7 @@ def flatten_elements(deployments: DataFrame) -> DataFrame:
 
 def import_policy(rows: DataFrame, ids: str = "import_ids") -> DataFrame:
     """Imports do not run on a gateway: any id refuses, none passes."""
-    allowed = F.coalesce(F.size(F.col(ids)), F.lit(0)) == 0
+    allowed = F.coalesce(F.array_size(F.col(ids)), F.lit(0)) == 0
     return (rows.withColumn("imports_allowed", allowed)
             .withColumn("imports_reason", F.when(~allowed, F.lit(REASONS["imports"]))))
 

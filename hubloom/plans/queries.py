@@ -333,7 +333,7 @@ def process_parameters(spark: SparkSession, d: str) -> DataFrame:
 @query
 def requests_per_path(spark: SparkSession, d: str) -> DataFrame:
     rows = logs.requests_by_path(dt.request_log(spark, d))
-    return rows.select("path", "chunk", F.size("bodies").alias("n_bodies"),
+    return rows.select("path", "chunk", F.array_size("bodies").alias("n_bodies"),
                        F.md5(F.array_join("bodies", "\n").cast("binary")).alias("bodies_md5"))
 
 
@@ -430,7 +430,7 @@ def prepared_deployments(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _create_requests(spark: SparkSession, d: str) -> DataFrame:
-    return dt.command_bodies(dt.load(spark, d, "orders")).select(
+    return dt.command_bodies(dt.load_spread(spark, d, "orders")).select(
         "request_id", F.col("user_id").cast("string").alias("user_id"),
         F.col("user_id").alias("network_id"), "body",
         F.when(F.col("request_id") == F.col("user_id"), "maybe").otherwise("true").alias("flag"))
@@ -449,7 +449,7 @@ def created_deployments(spark: SparkSession, d: str) -> DataFrame:
     """Raw bodies through all checks of a create request."""
     created = create.create(spark, _create_requests(spark, d), _own_devices(spark, d))
     return created.select("request_id", "optional_service", "status", "reason",
-                          F.size("deployment.elements").alias("n_elements"))
+                          F.array_size("deployment.elements").alias("n_elements"))
 
 
 @query

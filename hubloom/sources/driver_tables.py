@@ -33,6 +33,18 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schemas.DRIVER_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def load_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows become far wider documents.
+
+    A file too small for as many splits as there are cores would leave the
+    reading of all its documents to a few tasks, so its narrow rows are spread
+    first. A table with enough splits is not shuffled.
+    """
+    rows = load(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def size_band() -> Column:
     return F.expr("cast((p_size - 1) div 10 as string)")
 
@@ -201,7 +213,7 @@ def _orders_as_deployments(orders: DataFrame) -> DataFrame:
 
 def deployment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create commands `request_id, user_id, version, deployment`."""
-    return _orders_as_deployments(load(spark, sf_dir, "orders"))
+    return _orders_as_deployments(load_spread(spark, sf_dir, "orders"))
 
 
 def command_bodies(orders: DataFrame) -> DataFrame:
@@ -260,7 +272,7 @@ def process_models(spark: SparkSession, sf_dir: str) -> DataFrame:
         _task_xml(0, F.col("p_name"), first), extra,
         F.when(broken, F.lit("")).otherwise(F.lit("</bpmn:process>")),
         F.lit("</bpmn:definitions>"))
-    return (load(spark, sf_dir, "part").where(F.col("p_size") <= PUBLISHED_UP_TO_SIZE)
+    return (load_spread(spark, sf_dir, "part").where(F.col("p_size") <= PUBLISHED_UP_TO_SIZE)
             .select(F.col("p_partkey").alias("model_id"), xml.alias("bpmn_xml"),
                     F.concat(F.lit("<svg>"), "p_name", F.lit("</svg>")).alias("svg_xml")))
 
