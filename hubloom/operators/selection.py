@@ -118,36 +118,28 @@ def criteria_counts(requests: DataFrame) -> DataFrame:
     return key_counts(with_criteria(requests), CRITERIA)
 
 
-def _shape():
-    """Which criteria are given: a number from 0 to 7."""
-    return ((F.col("function_id") != "").cast("int")
-            + (F.col("device_class_id") != "").cast("int") * 2
-            + (F.col("aspect_id") != "").cast("int") * 4)
-
-
 def service_offers(services: DataFrame, criteria: DataFrame) -> DataFrame:
     """Every criteria triple a device type meets, with the `services` that do.
 
     `services` has one row per device type and service. A blank criterion is no
-    constraint, so each service also answers to "" in each place. Only
-    combinations of given and blank that some request uses are kept; there are
-    at most eight, so that side is safe to broadcast.
+    constraint, so each service also answers to "" in each place. Only triples
+    that some request uses are kept. All of this is catalogue-sized; the fleet
+    has not come in yet.
     """
-    shapes = F.broadcast(criteria.select(_shape().alias("shape")).distinct())
     nothing = F.array().cast("array<string>")
     blank = F.array(F.lit(""))
 
     def answers(name: str):
         return F.explode(F.array_union(blank, F.coalesce(F.col(name), nothing)))
 
+    used = criteria.select(*CRITERIA[1:]).distinct()
     service = F.struct(F.col("service_id").alias("id"), F.col("service_name").alias("name"))
     return (services
             .withColumn("function_id", answers("function_ids"))
             .withColumn("aspect_id", answers("aspect_ids"))
             .withColumn("device_class_id", F.explode(F.array_distinct(F.array(
                 F.lit(""), F.coalesce(F.col("device_class_id"), F.lit(""))))))
-            .withColumn("shape", _shape())
-            .join(shapes, "shape", "left_semi")
+            .join(used, CRITERIA[1:], "left_semi")
             .groupBy("device_type_id", *CRITERIA[1:])
             .agg(F.sort_array(F.collect_set(service)).alias("services")))
 

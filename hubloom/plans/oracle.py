@@ -15,7 +15,7 @@ ELEMENTS = f"""{PARTS}, elements AS (
          l_linestatus, l_suppkey AS hub_id,
          l_returnflag = 'A' AS is_task, l_returnflag = 'N' AS is_event,
          CASE WHEN l_tax > 0 THEN p_brand ELSE '' END AS function_id,
-         CASE WHEN l_linestatus = 'F' THEN p_type ELSE '' END AS device_class_id,
+         CASE WHEN l_discount > 0 THEN p_type ELSE '' END AS device_class_id,
          CASE WHEN l_linestatus = 'O' THEN band ELSE '' END AS aspect_id
   FROM lineitem JOIN parts ON l_partkey = p_partkey)"""
 

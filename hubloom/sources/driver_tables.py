@@ -114,9 +114,9 @@ def element_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elements with their hub and criteria.
 
-    The criteria come from the part: brand as function; type as class on `F`
-    lines and size band as aspect on `O` lines; untaxed lines leave the
-    function open.
+    The criteria come from the part: brand as function, type as class, and on
+    `O` lines the size band as aspect. Untaxed lines leave the function open and
+    undiscounted ones the class.
     """
     parts = load(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", size_band().alias("band"))
@@ -126,7 +126,7 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("hub_id"),
         (kind == "A").alias("is_task"), (kind == "N").alias("is_event"),
         F.when(F.col("l_tax") > 0, F.col("p_brand")).alias("function_id"),
-        F.when(status == "F", F.col("p_type")).alias("device_class_id"),
+        F.when(F.col("l_discount") > 0, F.col("p_type")).alias("device_class_id"),
         F.when(status == "O", F.col("band")).alias("aspect_id"),
         F.concat(F.lit("characteristic-"), "band").alias("characteristic_id"))
 
