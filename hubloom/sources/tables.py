@@ -26,3 +26,14 @@ def read_stream(spark: SparkSession, name: str, path: str, file_format: str = "p
     for key, value in options.items():
         reader = reader.option(key, value)
     return reader.format(file_format).load(path)
+
+
+def save_bucketed(rows: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Save a table in buckets of one key.
+
+    For tables that are joined run after run: hub members and devices in the
+    same number of buckets of `local_id` are made distinct and joined without
+    a shuffle. Choose the number so that a bucket fits one task.
+    """
+    (rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .format("parquet").saveAsTable(table))

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,7 +14,8 @@ from hubloom.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
-        spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
+        spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="hubloom-warehouse-"))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

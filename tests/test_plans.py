@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import rows
+from hubloom.operators import selection
 from hubloom.plans import create, prepare
+from hubloom.sources import driver_tables as dt
+from hubloom.sources.tables import save_bucketed
 from test_models import DOCUMENTS
 
 EAGER_SINKS = {"written_commands", "routed_commands_stream", "latest_sync_stream",
@@ -91,6 +94,23 @@ def test_create(spark):
     assert rows(sent) == [("no device", "b"), ("ok", "a")]
 
 
+def test_bucketed_fleet_is_joined_without_shuffle(spark, sf_dir):
+    names = ("hubloom_members", "hubloom_devices")
+    plain = selection.hub_devices(dt.hub_members(spark, sf_dir), dt.devices(spark, sf_dir))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        save_bucketed(dt.hub_members(spark, sf_dir), names[0], "local_id", 4)
+        save_bucketed(dt.devices(spark, sf_dir), names[1], "local_id", 4)
+        joined = selection.hub_devices(spark.table(names[0]), spark.table(names[1]))
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert rows(joined) == rows(plain)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 @pytest.fixture(scope="module")
 def plans(spark, sf_dir):
     """Physical plans as they are without the small tables being broadcast."""
