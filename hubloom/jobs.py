@@ -32,19 +32,21 @@ def _table(spark: SparkSession, args, name: str) -> DataFrame:
 
 
 def run_prepare(spark: SparkSession, args, requests: DataFrame) -> None:
-    """Write `elements` with options and `deployments` with their flags."""
+    """Write the answer to every request, `elements`, `deployments` and `options`."""
     hubs = selection.requested_hubs(_table(spark, args, "hubs"), requests)
     models = records.models(_table(spark, args, "process_models"))
     rows = prepare.request_elements(
         requests, prepare.element_table(spark, models, requests), records.known_hubs(hubs))
-    elements = keep(spark, prepare.prepared_elements(
+    criteria, fleet, matched = prepare.match(
         spark, rows, selection.hub_members(hubs), records.devices(_table(spark, args, "devices")),
-        selection.type_services(_table(spark, args, "device_types"))), "prepared")
-    headers = prepare.prepared_headers(elements)
-    elements.write.mode("overwrite").parquet(f"{args.out}/elements")
-    headers.write.mode("overwrite").parquet(f"{args.out}/requests")
-    prepare.prepared_deployments(headers, models).write.mode("overwrite").parquet(
-        f"{args.out}/deployments")
+        selection.type_services(_table(spark, args, "device_types")))
+    matched = keep(spark, matched, "matched")
+    elements = keep(spark, prepare.prepared_elements(rows, criteria, matched), "prepared")
+    for name, frame in (
+            ("elements", elements), ("answers", prepare.prepared_headers(elements)),
+            ("deployments", prepare.prepared_deployments(elements, models)),
+            ("options", prepare.option_lists(matched, fleet))):
+        frame.write.mode("overwrite").parquet(f"{args.out}/{name}")
 
 
 def run_create(spark: SparkSession, args, requests: DataFrame) -> None:

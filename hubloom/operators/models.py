@@ -16,10 +16,10 @@ _TASK = (
 
 
 def _scope(depth: int) -> str:
-    """Schema of a process: its service tasks and, to a fixed depth, those of
-    the sub-processes in it."""
+    """Schema of a process: its id, its service tasks and, to a fixed depth, those
+    of the sub-processes in it."""
     inner = f",subProcess:array<{_scope(depth - 1)}>" if depth else ""
-    return f"struct<serviceTask:{_TASK}{inner}>"
+    return f"struct<_id:string,serviceTask:{_TASK}{inner}>"
 
 
 def _definitions_schema() -> str:
@@ -80,8 +80,10 @@ def model_elements(models: DataFrame) -> DataFrame:
     rows = (models.select("model_id", parsed.alias("parsed"))
             .select("model_id",
                     (F.col("parsed").isNotNull() & F.col(f"parsed.{CORRUPT}").isNull())
-                    .alias("readable"), with_payload.alias("tasks"))
-            .select("model_id", "readable",
+                    .alias("readable"),
+                    F.get("parsed.process", F.lit(0))["_id"].alias("process_id"),
+                    with_payload.alias("tasks"))
+            .select("model_id", "readable", "process_id",
                     F.posexplode_outer(F.when(F.col("readable"), F.col("tasks")))
                     .alias("position", "task"))
             .withColumn("inputs", params(F.col("task")))
@@ -93,7 +95,7 @@ def model_elements(models: DataFrame) -> DataFrame:
 
     others = F.filter("inputs", lambda p: p["_name"].isNotNull() & (p["_name"] != PAYLOAD))
     return rows.select(
-        "model_id", "readable", "position",
+        "model_id", "readable", "process_id", "position",
         F.col("task._id").alias("bpmn_id"),
         F.col("task._name").alias("name"),
         F.col("task._topic").alias("topic"),
@@ -115,6 +117,6 @@ def extract_elements(models: DataFrame) -> tuple[DataFrame, DataFrame]:
     rejects. Tasks in sub-processes are found down to `SUB_PROCESS_DEPTH`.
     """
     rows = model_elements(models)
-    elements = rows.where(F.col("position").isNotNull()).drop("readable")
+    elements = rows.where(F.col("position").isNotNull()).drop("readable", "process_id")
     rejects = rows.where(~F.col("readable")).select("model_id", F.lit(500).alias("status"))
     return elements, rejects

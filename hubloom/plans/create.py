@@ -74,4 +74,4 @@ def deploy_commands(created: DataFrame, run_id: str) -> DataFrame:
         F.lit(run_id).alias("run_id"), F.lit("deploy").alias("action"),
         F.col("network_id").cast("string").alias("network_id"),
         F.col("request_id").cast("string").alias("deployment_id"),
-        F.to_json("deployment").alias("body"))
+        F.to_json("deployment", {"ignoreNullFields": "false"}).alias("body"))

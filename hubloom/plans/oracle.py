@@ -455,9 +455,14 @@ SELECT hub_id, model_id, status, n_tasks, n_with_options,
 FROM headers""",
 
     "prepared_deployments": f"""WITH {PREPARED}
-SELECT hub_id, h.model_id, 3 AS version, n_tasks = n_with_options AS executable,
+SELECT hub_id, h.model_id, 3 AS version, 'process' AS name,
+       n_tasks = n_with_options AS executable, elements,
        '<svg>' || p_name || '</svg>' AS svg, false AS restart, true AS notify
-FROM headers h JOIN models m ON m.model_id = h.model_id WHERE status = 200""",
+FROM headers h JOIN models m ON m.model_id = h.model_id
+JOIN (SELECT model_id, string_agg(concat_ws('/', bpmn_id, function_id, device_class_id,
+                                            aspect_id), ',' ORDER BY position) AS elements
+      FROM mtasks GROUP BY model_id) t ON t.model_id = h.model_id
+WHERE status = 200""",
 
     "created_deployments": f"""WITH {CREATED}
 SELECT request_id, optional_service, status,

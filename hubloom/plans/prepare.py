@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hubloom import schemas
 from hubloom.operators import models as model_ops
 from hubloom.operators import selection
-from hubloom.operators.validation import finalize_prepared
+from hubloom.operators.validation import CURRENT_VERSION, finalize_prepared
 from hubloom.session import keep
 from hubloom.sources.json_docs import decode_json
 
@@ -37,7 +37,7 @@ def element_table(spark: SparkSession, models: DataFrame,
     """
     if requests is not None:
         models = models.join(requests.select("model_id").distinct(), "model_id", "left_semi")
-    return keep(spark, model_ops.model_elements(models).drop("parameter"), "model-elements")
+    return keep(spark, model_ops.model_elements(models), "model-elements")
 
 
 def request_elements(requests: DataFrame, elements: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -57,29 +57,72 @@ def request_elements(requests: DataFrame, elements: DataFrame, hubs: DataFrame)
             .drop("readable", "__hub"))
 
 
-def prepared_elements(spark: SparkSession, rows: DataFrame, members: DataFrame,
-                      devices: DataFrame, services: DataFrame) -> DataFrame:
-    """Elements with the number of options and the default option."""
+def match(spark: SparkSession, rows: DataFrame, members: DataFrame, devices: DataFrame,
+          services: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Criteria of the tasks among `rows`, the devices on hubs, and the device
+    types that meet each criteria row: `(criteria, fleet, matched)`."""
     fleet = selection.hub_devices(members, devices)
     criteria = keep(spark, selection.criteria_counts(rows.where("is_task")), "criteria")
-    matched = selection.match_types(criteria, fleet, services)
+    return criteria, fleet, selection.match_types(criteria, fleet, services)
+
+
+def prepared_elements(rows: DataFrame, criteria: DataFrame, matched: DataFrame) -> DataFrame:
+    """Elements with the number of options and the default option."""
     return selection.attach_options(
         selection.with_criteria(rows), selection.option_summary(matched),
         selection.CRITERIA, [*REQUEST, "position"], criteria)
 
 
+def option_lists(matched: DataFrame, fleet: DataFrame) -> DataFrame:
+    """The options of every criteria row as lists."""
+    sizes = selection.option_summary(matched).withColumnRenamed("n_options", "n_rows")
+    return selection.assemble_selectables(
+        selection.device_options(matched, fleet), sizes=sizes)
+
+
 def prepared_headers(elements: DataFrame) -> DataFrame:
     """One row per request: status, and whether every task has an option."""
-    flags = selection.executable_flag(
-        elements, [*REQUEST, "status"])
+    flags = selection.executable_flag(elements, [*REQUEST, "status"])
     return flags.withColumn("executable", F.when(F.col("status") == 200, F.col("executable")))
 
 
-def prepared_deployments(headers: DataFrame, models: DataFrame) -> DataFrame:
-    """Successful headers as deployment records with diagram, version and
-    incident handling."""
-    ready, _ = model_ops.resolve_model(headers.where(F.col("status") == 200), models)
-    shaped = ready.withColumn("version", F.lit(3)).withColumn("diagram", F.struct(
+def _element():
+    """Element record of a task row; what the request left blank is null."""
+    def null(kind):
+        return F.lit(None).cast(kind)
+
+    def record(schema, **given):
+        return F.struct(*(given.get(f.name, null(f.dataType)).cast(f.dataType).alias(f.name)
+                          for f in schema.fields))
+
+    criteria = record(
+        schemas.FILTER_CRITERIA, characteristic_id=F.col("characteristic_id"),
+        **{c: F.nullif(F.col(c), F.lit("")) for c in selection.CRITERIA[1:]})
+    task = record(schemas.TASK, retries=F.col("retries"), parameter=F.col("parameter"),
+                  selection=record(schemas.SELECTION, filter_criteria=criteria))
+    return record(schemas.ELEMENT, bpmn_id=F.col("bpmn_id"), name=F.col("name"),
+                  order=F.lit(0), task=task)
+
+
+def prepared_deployments(elements: DataFrame, models: DataFrame) -> DataFrame:
+    """Deployment records of the successful requests, with `hub_id, model_id`.
+
+    A record lists the tasks of one model, so its size is that of the model.
+    Options are not repeated in every record: they are the lists of
+    `option_lists` under the hub and criteria of the element.
+    """
+    listed = F.collect_list(F.when(F.col("is_task"), F.struct(
+        "position", _element().alias("element"))))
+    in_order = F.array_sort(listed, lambda a, b: a["position"] - b["position"])
+    has_option = F.coalesce(F.col("n_options"), F.lit(0)) > 0
+    records = elements.where(F.col("status") == 200).groupBy(*REQUEST, "process_id").agg(
+        F.transform(in_order, lambda e: e["element"]).alias("elements"),
+        F.bool_and(~F.col("is_task") | has_option).alias("executable"))
+    ready, _ = model_ops.resolve_model(records, models)
+    shaped = finalize_prepared(ready.withColumn("diagram", F.struct(
         F.col("bpmn_xml").alias("xml_raw"), F.lit("").alias("xml_deployed"),
-        F.lit("").alias("svg")))
-    return finalize_prepared(shaped, "svg_xml").drop("bpmn_xml", "svg_xml")
+        F.lit("").alias("svg"))), "svg_xml")
+    return shaped.select(
+        *REQUEST, F.lit(CURRENT_VERSION).alias("version"), F.lit("").alias("id"),
+        F.col("process_id").alias("name"), F.lit("").alias("description"), "diagram",
+        "elements", "executable", "incident_handling")

@@ -239,9 +239,7 @@ def assembled_selectables(spark: SparkSession, d: str) -> DataFrame:
     """The lists of options, unpacked again into one row per device."""
     fleet = _fleet(spark, d)
     matched = keep(spark, _matched(spark, d, fleet), "matched")
-    sizes = selection.option_summary(matched).withColumnRenamed("n_options", "n_rows")
-    lists = selection.assemble_selectables(
-        selection.device_options(matched, fleet), sizes=sizes)
+    lists = prepare.option_lists(matched, fleet)
     return (lists.select(*selection.CRITERIA, F.inline("selectables"))
             .select(*selection.CRITERIA, F.col("device.id").alias("device_id"),
                     F.col("device.name").alias("device_name"),
@@ -386,14 +384,19 @@ def command_keys(spark: SparkSession, d: str) -> DataFrame:
 
 # --- whole request paths ----------------------------------------------------
 
+def _with_options(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    criteria, _, matched = prepare.match(
+        spark, rows, dt.hub_members(spark, d), dt.devices(spark, d), dt.services(spark, d))
+    return prepare.prepared_elements(rows, criteria, matched)
+
+
 @query
 def posted_preparations(spark: SparkSession, d: str) -> DataFrame:
     """Prepare requests with the model in the body."""
     requests, posted, rejects = prepare.posted_requests(dt.posted_bodies(spark, d))
     rows = prepare.request_elements(
         requests, prepare.element_table(spark, posted), dt.known_hubs(spark, d))
-    headers = prepare.prepared_headers(prepare.prepared_elements(
-        spark, rows, dt.hub_members(spark, d), dt.devices(spark, d), dt.services(spark, d)))
+    headers = prepare.prepared_headers(_with_options(spark, d, rows))
     none = F.lit(None)
     return headers.withColumnRenamed("model_id", "request_id").unionByName(rejects.select(
         "hub_id", "request_id", "status", F.lit(0).cast("bigint").alias("n_tasks"),
@@ -404,8 +407,7 @@ def _prepared_elements(spark: SparkSession, d: str) -> DataFrame:
     elements = prepare.element_table(spark, dt.process_models(spark, d))
     rows = prepare.request_elements(
         dt.prepare_requests(spark, d), elements, dt.known_hubs(spark, d))
-    return prepare.prepared_elements(
-        spark, rows, dt.hub_members(spark, d), dt.devices(spark, d), dt.services(spark, d))
+    return _with_options(spark, d, rows)
 
 
 @query
@@ -422,9 +424,13 @@ def prepared_requests(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def prepared_deployments(spark: SparkSession, d: str) -> DataFrame:
-    headers = prepare.prepared_headers(_prepared_elements(spark, d))
-    rows = prepare.prepared_deployments(headers, dt.process_models(spark, d))
-    return rows.select("hub_id", "model_id", "version", "executable",
+    rows = prepare.prepared_deployments(
+        _prepared_elements(spark, d), dt.process_models(spark, d))
+    criteria = F.transform("elements", lambda e: F.concat_ws(
+        "/", e["bpmn_id"], *(e["task"]["selection"]["filter_criteria"][c]
+                             for c in selection.CRITERIA[1:])))
+    return rows.select("hub_id", "model_id", "version", "name", "executable",
+                       F.array_join(criteria, ",").alias("elements"),
                        F.col("diagram.svg").alias("svg"), "incident_handling.restart",
                        "incident_handling.notify")
 

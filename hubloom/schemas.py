@@ -50,6 +50,7 @@ SELECTION = _fields(
     filter_criteria=FILTER_CRITERIA, selection_options=ArrayType(SELECTABLE),
     selected_device_id=_S, selected_service_id=_S, selected_device_group_id=_S,
     selected_import_id=_S, selected_generic_event_source=_S,
+    selected_path=VariantType(),
 )
 
 TASK = _fields(retries=_L, parameter=MapType(_S, _S), selection=SELECTION)

@@ -25,7 +25,8 @@ def route(messages: DataFrame) -> DataFrame:
     reason = F.when(unreadable, F.lit("unreadable")).otherwise(F.col("reason"))
     return checked.select(
         "request_id", "network_id", reason.alias("reason"),
-        F.when(reason.isNull(), F.to_json("deployment")).alias("deployment"),
+        F.when(reason.isNull(), F.to_json("deployment", {"ignoreNullFields": "false"})
+               ).alias("deployment"),
         F.when(reason.isNull(), ACCEPTED).otherwise(REJECTED).alias("route"))
 
 

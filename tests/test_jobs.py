@@ -62,7 +62,7 @@ def run(spark):
 def test_prepare(spark, run):
     out = run("prepare", [{"hub_id": HUB, "model_id": "model"},
                           {"hub_id": "urn:test:hub:none", "model_id": "model"}])
-    requests = spark.read.parquet(f"{out}/requests")
+    requests = spark.read.parquet(f"{out}/answers")
     assert rows(requests.select("hub_id", "status", "executable")) == [
         (HUB, 200, True), ("urn:test:hub:none", 500, None)]
     element = spark.read.parquet(f"{out}/elements").where("is_task").first()
@@ -71,6 +71,9 @@ def test_prepare(spark, run):
         "Task_1", 2, "urn:test:device:0060", "urn:test:service")
     deployment = spark.read.parquet(f"{out}/deployments").first()
     assert (deployment.diagram.svg, deployment.executable) == ("<svg/>", True)
+    assert deployment.elements[0].bpmn_id == "Task_1"
+    options = spark.read.parquet(f"{out}/options").first().selectables
+    assert [o.device.name for o in options] == ["option 1", "option 2"]
 
 
 def test_create(spark, run):

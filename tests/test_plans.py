@@ -17,6 +17,22 @@ EAGER_SINKS = {"written_commands", "routed_commands_stream", "latest_sync_stream
                "topic_activity_stream", "load_hubs"}
 
 
+GOLDEN = {
+    "version": 3, "id": "", "name": "p", "description": "",
+    "diagram": {"xml_raw": DOCUMENTS["one"], "xml_deployed": "", "svg": "<svg>one</svg>"},
+    "elements": [{
+        "bpmn_id": "T1", "group": None, "name": "set it", "order": 0, "time_event": None,
+        "notification": None, "message_event": None, "conditional_event": None,
+        "task": {"retries": 2, "parameter": {"inputs": "0"}, "selection": {
+            "filter_criteria": {
+                "characteristic_id": "celsius", "function_id": "fn-set",
+                "device_class_id": "class-thermostat", "aspect_id": None},
+            "selection_options": None, "selected_device_id": None, "selected_service_id": None,
+            "selected_device_group_id": None, "selected_import_id": None,
+            "selected_generic_event_source": None, "selected_path": None}}}],
+    "executable": True, "incident_handling": {"restart": False, "notify": True}}
+
+
 def test_prepare(spark):
     models = spark.createDataFrame(
         [(k, v, f"<svg>{k}</svg>") for k, v in DOCUMENTS.items()],
@@ -37,9 +53,9 @@ def test_prepare(spark):
         [("h1", "one"), ("h2", "one"), ("h1", "none"), ("h1", "broken"), ("h1", "unknown"),
          ("h9", "one"), ("h9", "unknown"), ("h1", "nested")], "hub_id string, model_id string")
 
-    elements = prepare.prepared_elements(
-        spark, prepare.request_elements(requests, prepare.element_table(spark, models), hubs),
-        members, devices, services)
+    found = prepare.request_elements(requests, prepare.element_table(spark, models), hubs)
+    criteria, fleet, matched = prepare.match(spark, found, members, devices, services)
+    elements = prepare.prepared_elements(found, criteria, matched)
     headers = prepare.prepared_headers(elements)
     assert rows(headers.select("hub_id", "model_id", "status", "n_tasks", "executable")) == [
         ("h1", "broken", 500, 0, None), ("h1", "nested", 200, 3, True),
@@ -48,10 +64,19 @@ def test_prepare(spark):
         ("h9", "one", 500, 0, None), ("h9", "unknown", 404, 0, None)]
     task = elements.where("hub_id = 'h1' and model_id = 'one'").first()
     assert (task.n_options, task.default_device_id, task.default_service_id) == (2, "d1", "s1")
-    done = prepare.prepared_deployments(headers, models).where("model_id = 'none'").first()
-    assert done.diagram.svg == "<svg>none</svg>" and done.diagram.xml_raw == DOCUMENTS["none"]
-    assert (done.version, done.incident_handling.restart, done.incident_handling.notify) == (
-        3, False, True)
+    listed = prepare.option_lists(matched, fleet).where("hub_id = 'h1'").first()
+    assert [(o.device.id, [s.id for s in o.services]) for o in listed.selectables] == [
+        ("d1", ["s1", "s2"]), ("d2", ["s1", "s2"])]
+
+    done = prepare.prepared_deployments(elements, models)
+    assert done.select("hub_id", "model_id", "executable").where("not executable").collect() == [
+        ("h2", "one", False)]
+    nested = done.where("model_id = 'nested'").first()
+    assert [e.bpmn_id for e in nested.elements] == ["T1", "T2", "T3"]
+    assert done.where("model_id = 'none'").first().elements == []
+    record = done.where("hub_id = 'h1' and model_id = 'one'").select(F.to_json(
+        F.struct(*done.columns[2:]), {"ignoreNullFields": "false"})).first()[0]
+    assert json.loads(record) == GOLDEN
 
 
 def body(**deployment):
@@ -111,6 +136,24 @@ def test_bucketed_fleet_is_joined_without_shuffle(spark, sf_dir):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def test_what_was_prepared_is_sent_unchanged(spark):
+    """A deployment goes out as it came in, executable or not."""
+    sent = json.loads(json.dumps(GOLDEN)) | {"executable": False}
+    chosen = {"selected_device_id": "d1", "selected_service_id": "s1",
+              "selected_path": {"path": "temperature.level", "is_void": False}}
+    sent["elements"][0]["task"]["selection"] |= chosen
+    raw = spark.createDataFrame(
+        [("r", "u", "n", "true", json.dumps({"version": 3, "deployment": sent}))],
+        "request_id string, user_id string, network_id string, flag string, body string")
+    permissions = spark.createDataFrame(
+        [("u", "devices", "d1", "x", True)],
+        "user_id string, kind string, id string, right string, allowed boolean")
+    created = create.create(spark, raw, permissions)
+    assert (created.first().status, created.first().optional_service) == (200, True)
+    command = create.deploy_commands(created, "run").first()
+    assert (command.network_id, json.loads(command.body)) == ("n", sent)
+
+
 @pytest.fixture(scope="module")
 def plans(spark, sf_dir):
     """Physical plans as they are without the small tables being broadcast."""
