@@ -1,4 +1,5 @@
-"""Jobs for `spark-submit`: prepare, create, start, remove and reconcile.
+"""Jobs for `spark-submit`: prepare, create, start, remove, reconcile, and the
+streams route, sync and topics, which read the files at hand and stop.
 
 Every argument that names a table is the path of a parquet folder (`--format`
 for others) with the schema of the same name in `hubloom.schemas`.
@@ -10,6 +11,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hubloom import schemas
 from hubloom.functions import query_values
 from hubloom.operators import commands, selection
 from hubloom.plans import create, lifecycle, prepare
@@ -17,6 +19,8 @@ from hubloom.session import build_session, keep
 from hubloom.sources import records
 from hubloom.sources.commands import write_commands
 from hubloom.sources.tables import read_table
+from hubloom.streaming import routing, topics
+from hubloom.streaming import sync as sync_streams
 
 REQUESTS = {
     "prepare": "hub_id string, model_id string",
@@ -24,7 +28,11 @@ REQUESTS = {
     "start": "action_id string, network_id string, deployment_id string, query string",
     "remove": "action_id string, network_id string, deployment_id string",
     "reconcile": "network_id string, deployment_id string",
+    "route": "request_id string, network_id string, body string",
+    "sync": schemas.SYNC_METADATA,
+    "topics": schemas.TOPIC_MESSAGE,
 }
+STREAMS = ("route", "sync", "topics")
 
 
 def _table(spark: SparkSession, args, name: str) -> DataFrame:
@@ -76,12 +84,21 @@ def run_reconcile(spark: SparkSession, args, requests: DataFrame) -> None:
     commands.reconcile(requests, synced).write.mode("overwrite").parquet(f"{args.out}/states")
 
 
+def run_stream(spark: SparkSession, args, messages: DataFrame) -> None:
+    """Write new files' results to `batches`; `checkpoint` remembers what was read."""
+    start = {"route": routing.route_commands_stream, "topics": topics.topic_activity_stream,
+             "sync": sync_streams.latest_sync_stream}[args.job]
+    rows = records.sync_rows(messages) if args.job == "sync" else messages
+    start(rows, f"{args.out}/batches", f"{args.out}/checkpoint").awaitTermination()
+
+
 JOBS = {
     "prepare": (run_prepare, ("hubs", "devices", "device_types", "process_models")),
     "create": (run_create, ("permissions",)),
     "start": (run_action, ("sync_metadata",)),
     "remove": (run_action, ("sync_metadata",)),
     "reconcile": (run_reconcile, ("sync_metadata",)),
+    **{name: (run_stream, ()) for name in STREAMS},
 }
 
 
@@ -90,7 +107,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     jobs = parser.add_subparsers(dest="job", required=True)
     for name, (run, tables) in JOBS.items():
         job = jobs.add_parser(name, help=run.__doc__)
-        job.add_argument("--requests", required=True, help=REQUESTS[name])
+        job.add_argument("--requests", required=True, help=(
+            REQUESTS[name] if isinstance(REQUESTS[name], str) else REQUESTS[name].simpleString()))
         for table in tables:
             job.add_argument(f"--{table}", required=True)
         job.add_argument("--out", required=True)
@@ -102,7 +120,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parse(argv)
     spark = spark or build_session(f"hubloom-{args.job}")
-    requests = spark.read.schema(REQUESTS[args.job]).format(args.format).load(args.requests)
+    reader = spark.readStream if args.job in STREAMS else spark.read
+    requests = reader.schema(REQUESTS[args.job]).format(args.format).load(args.requests)
     JOBS[args.job][0](spark, args, requests)
 
 

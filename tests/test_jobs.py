@@ -7,6 +7,9 @@ import pytest
 from conftest import rows
 from hubloom import jobs
 from hubloom.session import shared_dir
+from hubloom.sources import records
+from hubloom.streaming import routing, sinks
+from hubloom.streaming import sync as sync_streams
 from test_models import document, task
 
 HUB = "urn:test:hub:9995"
@@ -112,3 +115,29 @@ def test_reconcile(spark, run):
                             {"network_id": HUB, "deployment_id": "lost"}])
     assert rows(spark.read.parquet(f"{out}/states").select("deployment_id", "state")) == [
         ("deployment", "in_sync"), ("lost", "missing")]
+
+
+def test_route(spark, run):
+    messages = [
+        {"request_id": "1", "network_id": HUB,
+         "body": json.dumps({"version": 3, "deployment": {"name": "d", "elements": []}})},
+        {"request_id": "2", "network_id": HUB, "body": json.dumps({"version": 3})},
+        {"request_id": "3", "network_id": HUB, "body": "{"}]
+    out = run("route", messages)
+    schema = routing.route(
+        spark.createDataFrame([], jobs.REQUESTS["route"])).schema
+    routed = sinks.read_batches(spark, f"{out}/batches", schema)
+    assert rows(routed.select("request_id", "reason", "route")) == [
+        ("1", None, "accepted"), ("2", "none", "rejected"), ("3", "unreadable", "rejected")]
+
+
+def test_sync(spark, run):
+    def report(date, deleting):
+        return TABLES["sync_metadata"][0] | {"sync_date": date, "marked_for_delete": deleting}
+
+    out = run("sync", [report("2024-01-02T00:00:00Z", True), report("2024-01-01T00:00:00Z", False),
+                       TABLES["sync_metadata"][1]])
+    schema = records.sync_rows(spark.createDataFrame([], jobs.REQUESTS["sync"])).schema
+    latest = sync_streams.read_latest(spark, f"{out}/batches", schema)
+    assert rows(latest.select("engine_id", "marked_for_delete")) == [
+        ("engine 1", True), ("engine 2", False)]
