@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from hubloom.functions import outcome
+from hubloom.functions import is_failure, outcome
 from hubloom.operators.skew import salted_join
 
 TARGET = ["network_id", "deployment_id"]
@@ -29,16 +29,6 @@ def classify_outcomes(outcomes: DataFrame) -> DataFrame:
             .select(*outcomes.columns, "__outcome.failed", "__outcome.message"))
 
 
-def first_failures(outcomes: DataFrame, action: list[str]) -> DataFrame:
-    """The earliest failed command of each action that has one."""
-    failed = classify_outcomes(outcomes).where("failed")
-    return (failed.groupBy(*action)
-            .agg(F.min(F.struct("seq", "status", "message")).alias("first"))
-            .select(*action, F.col("first.seq").alias("failed_seq"),
-                    F.col("first.status").alias("failed_status"),
-                    F.col("first.message").alias("failed_message")))
-
-
 def fail_fast_prefix(outcomes: DataFrame, action: list[str]) -> DataFrame:
     """Add `attempted`: the commands of an action run in `seq` order and stop
     behind the first failure.
@@ -46,7 +36,8 @@ def fail_fast_prefix(outcomes: DataFrame, action: list[str]) -> DataFrame:
     The first failure is an aggregate, not a window, so an action with very
     many commands is not sorted in one task.
     """
-    first = first_failures(outcomes, action).select(*action, "failed_seq")
+    first = (outcomes.where(is_failure(F.col("status")))
+             .groupBy(*action).agg(F.min("seq").alias("failed_seq")))
     joined = salted_join(outcomes, first, action, "left", spread_by=[*action, "seq"])
     attempted = F.col("failed_seq").isNull() | (F.col("seq") <= F.col("failed_seq"))
     return joined.withColumn("attempted", attempted).drop("failed_seq")

@@ -17,7 +17,7 @@ def requests_by_path(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
     bodies in order within them, are the whole list. A path that receives a
     third of all requests is spread over its chunks.
     """
-    return (log.select("path", F.floor(F.col("seq") / chunk).alias("chunk"),
+    return (log.select("path", F.expr(f"seq div {int(chunk)}").alias("chunk"),
                        F.struct("seq", trim_space(F.col("body")).alias("body")).alias("entry"))
             .groupBy("path", "chunk")
             .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
