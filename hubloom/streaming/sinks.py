@@ -14,11 +14,15 @@ def write_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
                   change: Callable[[DataFrame], DataFrame] | None = None,
                   partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Start a query that writes each micro-batch to its own `batch_id=` folder
-    and stops once the files at hand are read."""
+    and stops once the files at hand are read.
+
+    Batch numbers come from the checkpoint, so a checkpoint and a path belong
+    together: a new checkpoint needs a new path.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = change(batch) if change else batch
-        (rows.write.mode("overwrite").partitionBy(*partition_by)
-         .parquet(f"{path}/batch_id={batch_id}"))
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}"))
 
     return (stream.writeStream.outputMode(mode).foreachBatch(write)
             .option("checkpointLocation", checkpoint)
