@@ -19,15 +19,6 @@ def read_table(spark: SparkSession, name: str, path: str, file_format: str = "pa
     return reader.format(file_format).load(path)
 
 
-def read_stream(spark: SparkSession, name: str, path: str, file_format: str = "parquet",
-                **options: str) -> DataFrame:
-    """The same table as a stream of arriving files."""
-    reader = spark.readStream.schema(schemas.TABLES[name])
-    for key, value in options.items():
-        reader = reader.option(key, value)
-    return reader.format(file_format).load(path)
-
-
 def save_bucketed(rows: DataFrame, table: str, key: str, buckets: int) -> None:
     """Save a table in buckets of one key.
 

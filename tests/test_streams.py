@@ -25,8 +25,8 @@ def finish(query):
 
 
 def sync_batch(n, offset=0):
-    return [(f"n{i % 3}", f"e{i % 7}", START + timedelta(minutes=(i * 37 + offset) % 101), i + offset,
-             f"state {i + offset}") for i in range(n)]
+    return [(f"n{i % 3}", f"e{i % 7}", START + timedelta(minutes=(i * 37 + offset) % 101),
+             i + offset, f"state {i + offset}") for i in range(n)]
 
 
 def test_latest_sync_stream_over_two_runs(spark):
