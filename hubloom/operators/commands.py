@@ -44,13 +44,16 @@ def fail_fast_prefix(outcomes: DataFrame, action: list[str]) -> DataFrame:
 
 
 def action_results(outcomes: DataFrame, action: list[str]) -> DataFrame:
-    """Result of each action: its first failure, or 200."""
+    """Result of each action: its first failure, 200 once all its commands have
+    succeeded, or null while some have no status yet."""
     failed = classify_outcomes(outcomes)
     failure = F.when(F.col("failed"), F.struct("seq", "status", "message"))
     return (failed.groupBy(*action)
-            .agg(F.min(failure).alias("first"), F.count(F.lit(1)).alias("n_commands"))
+            .agg(F.min(failure).alias("first"), F.count(F.lit(1)).alias("n_commands"),
+                 F.count("status").alias("n_answered"))
             .select(*action, "n_commands",
-                    F.coalesce("first.status", F.lit(200)).alias("status"),
+                    F.coalesce("first.status", F.when(
+                        F.col("n_answered") == F.col("n_commands"), 200)).alias("status"),
                     F.col("first.message").alias("message")))
 
 

@@ -21,11 +21,11 @@ def action_commands(actions: DataFrame, metadata: DataFrame, action: str,
 
 
 def action_report(commands: DataFrame, no_ops: DataFrame, answers: DataFrame) -> DataFrame:
-    """Result of every action once the answers (`network_id, engine_id, status,
-    body`) are in; actions without commands succeed with none sent."""
+    """Result of every action from the answers (`network_id, engine_id, status,
+    body`) so far; actions without commands succeed with none sent."""
     outcomes = commands.join(
         answers.select("network_id", "engine_id", "status", "body"),
-        ["network_id", "engine_id"])
+        ["network_id", "engine_id"], "left")
     done = action_results(outcomes, ACTION)
     idle = no_ops.select(*ACTION, F.lit(0).cast("bigint").alias("n_commands"), "status",
                          F.lit(None).cast("string").alias("message"))

@@ -120,6 +120,8 @@ def test_lifecycle(spark):
         sent, idle = lifecycle.action_commands(act, live, action, inputs)
         assert [r.command_key for r in sent.collect()] == [key]
         assert rows(lifecycle.action_report(sent, idle, answers)) == [("a", 1, 200, None)]
+        assert rows(lifecycle.action_report(sent, idle, answers.limit(0))) == [
+            ("a", 1, None, None)]
     sent, idle = lifecycle.action_commands(act, nothing, "remove")
     assert rows(lifecycle.action_report(sent, idle, answers)) == [("a", 0, 200, None)]
     none = wanted.limit(0)
