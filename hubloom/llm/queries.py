@@ -5,18 +5,86 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import corpus_pipeline
+from hubloom.llm.decontaminate import matched
+from hubloom.llm.html_text import extracted
+from hubloom.llm.mixing import mixed
 from hubloom.llm.near_duplicates import near_duplicates
+from hubloom.llm.pii import personal_data
+from hubloom.llm.quality import scored
+from hubloom.llm.repeats import without_repeats
+from hubloom.llm.search import top_k
+from hubloom.llm.sharding import sharded
+from hubloom.llm.token_counts import section_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return section_tokens(_table(spark, sf_dir, "documents"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents a mixture with evened-out sources, languages, topics keeps."""
+    rows = mixed(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "source", "lang", "topic", "tokens", "chance", "weight", "kept")
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(_table(spark, sf_dir, "pages"))
+
+
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    rows = near_duplicates(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scored(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                  _table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", "held_out", "score", "predicted")
+
+
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharded(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard",
+                       "source")
+
+
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(_table(spark, sf_dir, "documents"), texts=False)
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = matched(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                   _table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+                       "longest_match", "match_word")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_mixing": op2_mixing,
+    "op3_html_text": op3_html_text,
+    "op4_top_k": op4_top_k,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_personal_data": op6_personal_data,
+    "op7_quality": op7_quality,
+    "op8_shards": op8_shards,
+    "op9_repeats": op9_repeats,
+    "op10_decontamination": op10_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
