@@ -10,13 +10,15 @@ Documents are linked when 100 * intersection >= 85 * union.
    0.85 and less above.
 3. The samples are folded into an odd sketch: every (place, value) flips one of
    SKETCH_BITS bits. The population count of two sketches' XOR estimates how many
-   samples differ. Candidates above MOST_FLIPPED bits are left; that count is
-   over eight deviations above what a similarity of 0.85 gives.
-4. First each bucket's members are compared with its least member. Buckets whose
-   members then still lie in more than one component are compared in full, in
-   cells of at most CELL x CELL rows, across components only. So every pair of a
-   bucket is either compared or already connected, and large groups of copies
-   cost a number of comparisons in proportion to their size.
+   samples differ. A candidate goes on if its sizes allow the similarity and it has
+   at most MOST_FLIPPED bits, over five deviations above what 0.85 gives.
+4. First each bucket's members are compared with the member whose buckets hold most
+   in all, which in a group of near copies is their common origin. Where members of
+   a bucket then still lie in several components, these classes get sketches of
+   FINE_SAMPLES samples in FINE_BITS bits, which tell similarities just below the
+   threshold apart, and the bucket is compared in full, in cells of at most CELL x
+   CELL rows, across components only, each pair in one bucket only. So every pair of
+   a bucket is either compared or already connected.
 5. Candidates are confirmed on their whole shingle sets.
 
 Sets are held as 64-bit hashes of shingles. No bucket, group or list of
@@ -41,13 +43,14 @@ from hubloom.session import keep
 SHINGLE = 5
 SAMPLES, BANDS, ROWS = 192, 32, 6
 SKETCH_BITS = 512
-MOST_FLIPPED = 125
+MOST_FLIPPED = 100
+FINE_SAMPLES, FINE_BITS, FINE_FLIPPED = 1024, 2048, 365
 LEAST_PERCENT = 85
 CELL = 1024
 
-_XOR = odd_constants(5, SAMPLES, np.uint32)[:, None]
-_FACTOR = odd_constants(6, SAMPLES, np.uint32)[:, None]
-_PLACE = odd_constants(7, SAMPLES, np.uint32)
+_XOR = odd_constants(5, FINE_SAMPLES, np.uint32)[:, None]
+_FACTOR = odd_constants(6, FINE_SAMPLES, np.uint32)[:, None]
+_PLACE = odd_constants(7, FINE_SAMPLES, np.uint32)
 _BAND = odd_constants(8, ROWS)
 _AT_ONCE = 2048
 
@@ -69,24 +72,25 @@ def shingle_sets(texts: list[bytes | None], codes: dict) -> list[np.ndarray]:
     return sets
 
 
-def minhash(shingles: np.ndarray) -> np.ndarray:
-    """SAMPLES minima over a set that is not empty."""
+def minhash(shingles: np.ndarray, n: int = SAMPLES) -> np.ndarray:
+    """n minima over a set that is not empty."""
     low = (shingles >> np.uint64(32)).astype(np.uint32)
-    least = np.full(SAMPLES, 0xFFFFFFFF, np.uint32)
-    for i in range(0, len(low), _AT_ONCE):
-        scrambled = low[i:i + _AT_ONCE] ^ _XOR
-        scrambled *= _FACTOR
+    least = np.full(n, 0xFFFFFFFF, np.uint32)
+    at_once = _AT_ONCE * SAMPLES // n
+    for i in range(0, len(low), at_once):
+        scrambled = low[i:i + at_once] ^ _XOR[:n]
+        scrambled *= _FACTOR[:n]
         np.minimum(least, scrambled.min(axis=1), out=least)
     return least
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Parity of the bits that (place, value) pairs fall on, as eight longs."""
-    x = (samples ^ _PLACE) * np.uint32(0x85EBCA6B)
+def odd_sketch(samples: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Parity of the bits that (place, value) pairs fall on, as longs."""
+    x = (samples ^ _PLACE[:len(samples)]) * np.uint32(0x85EBCA6B)
     x ^= x >> np.uint32(15)
     x *= np.uint32(0xC2B2AE35)
-    bits = x >> np.uint32(32 - 9)
-    return np.packbits(np.bincount(bits, minlength=SKETCH_BITS).astype(np.uint8) & 1).view(np.int64)
+    x >>= np.uint32(33 - bits.bit_length())
+    return np.packbits(np.bincount(x, minlength=bits).astype(np.uint8) & 1).view(np.int64)
 
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
@@ -134,9 +138,24 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["u", "v"])
 
 
-def _flipped(one: str, other: str) -> Column:
+def _finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    codes = WordCodes()
+    for batch in batches:
+        for part in chunks(batch):
+            sketches = [odd_sketch(minhash(x, FINE_SAMPLES), FINE_BITS)
+                        for x in shingle_sets(part.column("text").to_pylist(), codes)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("class"), pa.array(sketches, pa.list_(pa.int64()))],
+                ["class", "fine"])
+
+
+def _flipped(one: str, other: str, bits: int) -> Column:
     return sum((F.bit_count(F.col(one)[i].bitwiseXOR(F.col(other)[i]))
-                for i in range(SKETCH_BITS // 64)), F.lit(0))
+                for i in range(bits // 64)), F.lit(0))
+
+
+def _sizes_allow(one: str, other: str) -> Column:
+    return 100 * F.least(one, other) >= LEAST_PERCENT * F.greatest(one, other)
 
 
 def _class_texts(read: DataFrame, known: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -157,15 +176,25 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(_confirm, "u binary, v binary")
 
 
-def _star_pairs(members: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Each bucket's members with its least, where the sketches are close."""
-    least = members.groupBy("key").agg(F.min("class").alias("v"))
-    pairs = (members.join(least, "key").where("class != v")
+def _as(rows: DataFrame, side: str, columns: list[str]) -> DataFrame:
+    """A class's columns, named for one side of a pair."""
+    return rows.select(F.col("class").alias(side), *(F.col(c).alias(f"{side}_{c}")
+                                                     for c in columns))
+
+
+def _star_pairs(members: DataFrame, known: DataFrame) -> DataFrame:
+    """Each bucket's members with its centre, where sizes and sketches are close."""
+    scores = members.groupBy("class").agg(F.sum("n").alias("score"))
+    scored = members.select("key", "class").join(scores, "class")
+    centre = scored.groupBy("key").agg(F.max(F.struct("score", "class")).alias("top")).select(
+        "key", F.col("top.class").alias("v"))
+    pairs = (scored.join(centre, "key").where("class != v")
              .select(F.col("class").alias("u"), "v").distinct())
-    u = sketches.select(F.col("class").alias("u"), F.col("sketch").alias("u_sketch"))
-    v = sketches.select(F.col("class").alias("v"), F.col("sketch").alias("v_sketch"))
-    return (pairs.join(u, "u").join(v, "v")
-            .where(_flipped("u_sketch", "v_sketch") <= MOST_FLIPPED).select("u", "v"))
+    columns = ["sketch", "n_shingles"]
+    met = pairs.join(_as(known, "u", columns), "u").join(_as(known, "v", columns), "v")
+    return met.where(_sizes_allow("u_n_shingles", "v_n_shingles")
+                     & (_flipped("u_sketch", "v_sketch", SKETCH_BITS) <= MOST_FLIPPED)
+                     ).select("u", "v")
 
 
 def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -173,27 +202,31 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
             .withColumn("root", F.coalesce("root", "class")))
 
 
-def _cross_pairs(members: DataFrame, sketches: DataFrame, roots: DataFrame) -> DataFrame:
-    """Close pairs of a bucket that lie in different components so far."""
+def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, and into how many cells."""
     rooted = _rooted(members, roots)
-    split = (rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"),
-                                       F.count("*").alias("n"))
-             .where("a != b").select("key", F.ceil(F.col("n") / CELL).cast("int").alias("cells")))
-    rows = (rooted.join(split, "key").join(sketches, "class")
+    split = (rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+             .where("a != b").select("key"))
+    return rooted.join(split, "key").withColumn("cells", F.ceil(F.col("n") / CELL).cast("int"))
+
+
+def _cross_pairs(unsettled: DataFrame, known: DataFrame, fine: DataFrame) -> DataFrame:
+    """Close pairs of a bucket that lie in different components so far."""
+    rows = (unsettled.join(known.select("class", "n_shingles", "keys"), "class")
+            .join(fine, "class")
             .withColumn("cell", F.pmod(F.xxhash64("class"), F.col("cells")).cast("int")))
-    one = rows.select(
-        "key", F.col("class").alias("u"), F.col("root").alias("u_root"),
-        F.col("sketch").alias("u_sketch"), F.col("cell").alias("i"),
-        F.explode(F.sequence("cell", F.col("cells") - 1)).alias("j"))
-    other = rows.select(
-        "key", F.col("class").alias("v"), F.col("root").alias("v_root"),
-        F.col("sketch").alias("v_sketch"), F.col("cell").alias("j"),
-        F.explode(F.sequence(F.lit(0), F.col("cell"))).alias("i"))
-    met = one.join(other, ["key", "i", "j"]).where(
-        (F.col("u_root") != F.col("v_root"))
-        & ((F.col("i") < F.col("j")) | (F.col("u") > F.col("v")))
-        & (_flipped("u_sketch", "v_sketch") <= MOST_FLIPPED))
-    return met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    columns = ["root", "n_shingles", "keys", "fine", "key", "cell", "cells"]
+    one = (_as(rows, "u", columns).withColumn("i", F.col("u_cell"))
+           .withColumn("j", F.explode(F.sequence("u_cell", F.col("u_cells") - 1))))
+    other = (_as(rows, "v", columns).withColumn("j", F.col("v_cell"))
+             .withColumn("i", F.explode(F.sequence(F.lit(0), "v_cell"))))
+    met = one.join(other, (F.col("u_key") == F.col("v_key")) & (one.i == other.i)
+                   & (one.j == other.j) & (F.col("u_root") != F.col("v_root"))
+                   & ((one.i < one.j) | (F.col("u") > F.col("v")))
+                   & _sizes_allow("u_n_shingles", "v_n_shingles")
+                   & (_flipped("u_fine", "v_fine", FINE_BITS) <= FINE_FLIPPED)
+                   & (F.array_min(F.array_intersect("u_keys", "v_keys")) == F.col("u_key")))
+    return met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -211,21 +244,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                        F.xxhash64("text").alias("a"), F.xxhash64(F.lit(7), "text").alias("b"))
     features = keep(spark, read.mapInArrow(_features, FEATURES), "features")
     known = features.where("class is not null")
-    # One document stands for its class; its text, sketch and keys are the class's.
+    # What a class has follows from its set, so any of its rows will do.
     classes = known.groupBy("class").agg(
-        F.min("doc_id").alias("least"), F.first("sketch").alias("sketch"),
-        F.first("keys").alias("keys"))
+        F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"),
+        F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
     keyed = classes.select("class", F.explode("keys").alias("key"))
-    crowded = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    crowded = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = keep(spark, keyed.join(crowded, "key"), "members")
-    sketches = keep(spark, known.groupBy("class").agg(F.first("sketch").alias("sketch"))
-                    .join(members.select("class").distinct(), "class"), "sketches")
-
-    texts = keep(spark, _class_texts(read, known, sketches.select("class")), "texts")
-
-    links = keep(spark, _linked(_star_pairs(members, sketches), texts), "links")
-    roots = components(links)
-    more = keep(spark, _linked(_cross_pairs(members, sketches, roots), texts), "more-links")
+    met = members.select("class").distinct()
+    near = keep(spark, classes.drop("least").join(met, "class"), "classes")
+    texts = keep(spark, _class_texts(read, known, met), "texts")
+
+    links = keep(spark, _linked(_star_pairs(members, near), texts), "links")
+    unsettled = keep(spark, _unsettled(members, components(links)), "unsettled")
+    fine = keep(spark, texts.join(unsettled.select("class").distinct(), "class", "left_semi")
+                .mapInArrow(_finer, "class binary, fine array<long>"), "sketches")
+    more = keep(spark, _linked(_cross_pairs(unsettled, near, fine), texts), "more-links")
     roots = components(links.unionAll(more))
 
     found = _rooted(classes.select("class", "least"), roots)
