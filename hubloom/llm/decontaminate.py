@@ -96,7 +96,7 @@ class SuffixArray:
         if n not in self.ranks:
             half = 1 << ((n - 1).bit_length() - 1)
             left, right = self.rank(half), self.rank(n - half)
-            there = np.flatnonzero((left[:len(left) - half] > 0) & (right[half:] > 0))
+            there = np.flatnonzero((left[:max(0, len(left) - half)] > 0) & (right[half:] > 0))
             pairs = left[there] << 32 | right[there + half]
             keys, inverse = np.unique(pairs, return_inverse=True)
             ranks = np.zeros(len(left), np.int64)

@@ -33,7 +33,7 @@ SHARE = 0.2
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|(?P<text>[^<]+|<)", re.S)
+    r"|</?[A-Za-z][^>]*(?:>|\Z)|(?P<text>[^<]+|<)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _WORD = re.compile(r"[a-z]+|[0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -91,8 +91,6 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool]]:
 
     while at < size:
         token = _TOKEN.match(html, at)
-        if token is None:  # a tag that never ends: the rest is no text
-            break
         at = token.end()
         if (text := token["text"]) is not None:
             text = unescape(text)
