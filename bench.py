@@ -9,13 +9,15 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from hubloom.plans.queries import QUERIES  # noqa: E402
-from hubloom.session import build_session  # noqa: E402
+from hubloom.session import build_session, has_folder, use_folder  # noqa: E402
 
 HEADLINE = [
     "executable_deployments", "matched_candidates", "assembled_selectables",
@@ -43,6 +45,9 @@ def main(names: list[str]) -> None:
         "bench", f"local[{cpus}]", spark__driver__memory="16g", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions=cpus)
     spark.sparkContext.setLogLevel("ERROR")
+    folder = None if has_folder(spark) else tempfile.mkdtemp(prefix="hubloom-bench-")
+    if folder:
+        use_folder(folder)
 
     def run(name: str) -> float:
         start = time.perf_counter()
@@ -52,6 +57,8 @@ def main(names: list[str]) -> None:
     run(names[0])
     seconds = {name: run(name) for name in names}
     spark.stop()
+    if folder:
+        shutil.rmtree(folder, ignore_errors=True)
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3),
         "unit": "sec", "queries": seconds, "sf": scale(sf_dir)}))

@@ -15,7 +15,7 @@ from hubloom import schemas
 from hubloom.functions import query_values
 from hubloom.operators import commands, selection
 from hubloom.plans import create, lifecycle, prepare
-from hubloom.session import build_session, keep
+from hubloom.session import build_session, keep, scratch
 from hubloom.sources import records
 from hubloom.sources.commands import write_commands
 from hubloom.sources.tables import read_table
@@ -23,8 +23,9 @@ from hubloom.streaming import routing, topics
 from hubloom.streaming import sync as sync_streams
 
 REQUESTS = {
-    "prepare": "hub_id string, model_id string",
-    "create": "request_id string, user_id string, network_id string, flag string, body string",
+    "prepare": "request_id string, hub_id string, model_id string",
+    "create": "request_id string, user_id string, network_id string, source string, "
+              "flag string, body string",
     "start": "action_id string, network_id string, deployment_id string, query string",
     "remove": "action_id string, network_id string, deployment_id string",
     "reconcile": "network_id string, deployment_id string",
@@ -40,7 +41,10 @@ def _table(spark: SparkSession, args, name: str) -> DataFrame:
 
 
 def run_prepare(spark: SparkSession, args, requests: DataFrame) -> None:
-    """Write the answer to every request, `elements`, `deployments` and `options`."""
+    """Write the answer to every request and its `deployments`; for distinct pairs of
+    hub and model the `elements`; and the options of elements at the level they are
+    found on: `options` has, by options key, the device types with their services,
+    `devices` the devices of each type on a hub."""
     hubs = selection.requested_hubs(_table(spark, args, "hubs"), requests)
     models = records.models(_table(spark, args, "process_models"))
     rows = prepare.request_elements(
@@ -51,9 +55,13 @@ def run_prepare(spark: SparkSession, args, requests: DataFrame) -> None:
     matched = keep(spark, matched, "matched")
     elements = keep(spark, prepare.prepared_elements(rows, criteria, matched), "prepared")
     for name, frame in (
-            ("elements", elements), ("answers", prepare.prepared_headers(elements)),
-            ("deployments", prepare.prepared_deployments(elements, models)),
-            ("options", prepare.option_lists(matched, fleet))):
+            ("elements", elements),
+            ("answers", prepare.answered(requests, prepare.prepared_headers(elements))),
+            ("deployments", prepare.answered(
+                requests, prepare.prepared_deployments(elements, models))),
+            ("options", matched.withColumn("options_key", selection.options_key())),
+            ("devices", fleet.repartition("hub_id", "device_type_id").sortWithinPartitions(
+                "hub_id", "device_type_id"))):
         frame.write.mode("overwrite").parquet(f"{args.out}/{name}")
 
 
@@ -61,7 +69,8 @@ def run_create(spark: SparkSession, args, requests: DataFrame) -> None:
     """Write deploy `commands` and the answer to every request."""
     created = keep(spark, create.create(
         spark, requests, _table(spark, args, "permissions")), "created")
-    write_commands(create.deploy_commands(created, args.run_id), f"{args.out}/commands")
+    write_commands(create.deploy_commands(created, args.run_id), f"{args.out}/commands",
+                   args.run_id, "deploy")
     created.select("request_id", "status", "reason").write.mode("overwrite").parquet(
         f"{args.out}/answers/run_id={args.run_id}")
 
@@ -71,9 +80,7 @@ def run_action(spark: SparkSession, args, requests: DataFrame) -> None:
     inputs = query_values(F.col("query")) if args.job == "start" else None
     sent, idle = lifecycle.action_commands(
         requests, records.sync_rows(_table(spark, args, "sync_metadata")), args.job, inputs)
-    write_commands(sent.select(
-        F.lit(args.run_id).alias("run_id"), F.lit(args.job).alias("action"), "action_id",
-        "network_id", "deployment_id", "engine_id", "seq", "command_key"), f"{args.out}/commands")
+    write_commands(sent, f"{args.out}/commands", args.run_id, args.job)
     idle.select("action_id", "status").write.mode("overwrite").parquet(
         f"{args.out}/idle/run_id={args.run_id}")
 
@@ -85,11 +92,20 @@ def run_reconcile(spark: SparkSession, args, requests: DataFrame) -> None:
 
 
 def run_stream(spark: SparkSession, args, messages: DataFrame) -> None:
-    """Write new files' results to `batches`; `checkpoint` remembers what was read."""
-    start = {"route": routing.route_commands_stream, "topics": topics.topic_activity_stream,
-             "sync": sync_streams.latest_sync_stream}[args.job]
-    rows = records.sync_rows(messages) if args.job == "sync" else messages
-    start(rows, f"{args.out}/batches", f"{args.out}/checkpoint").awaitTermination()
+    """Write new files' results to `batches`; `checkpoint` remembers what was read.
+    Accepted messages are written to `commands` too; sync changes are compacted."""
+    trigger = {"processingTime": args.every} if args.every else {"availableNow": True}
+    path, checkpoint = f"{args.out}/batches", f"{args.out}/checkpoint"
+    if args.job == "route":
+        routing.route_commands_stream(messages, path, checkpoint, f"{args.out}/commands",
+                                      trigger).awaitTermination()
+    elif args.job == "topics":
+        topics.topic_activity_stream(messages, path, checkpoint,
+                                     trigger=trigger).awaitTermination()
+    else:
+        rows = records.sync_rows(messages)
+        sync_streams.latest_sync_stream(rows, path, checkpoint, trigger).awaitTermination()
+        sync_streams.compact(spark, path, rows.schema)
 
 
 JOBS = {
@@ -114,15 +130,24 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--out", required=True)
         job.add_argument("--run-id", default="run")
         job.add_argument("--format", default="parquet")
+        if name in STREAMS:
+            job.add_argument("--files-per-batch", default="1000")
+            job.add_argument("--bytes-per-batch", help="soft bound, in place of files")
+            job.add_argument("--every", help="run on, with a batch so often, like '1 minute'")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parse(argv)
     spark = spark or build_session(f"hubloom-{args.job}")
-    reader = spark.readStream if args.job in STREAMS else spark.read
+    reader = spark.read
+    if args.job in STREAMS:
+        bound = (("maxBytesPerTrigger", args.bytes_per_batch) if args.bytes_per_batch
+                 else ("maxFilesPerTrigger", args.files_per_batch))
+        reader = spark.readStream.option(*bound)
     requests = reader.schema(REQUESTS[args.job]).format(args.format).load(args.requests)
-    JOBS[args.job][0](spark, args, requests)
+    with scratch(spark):
+        JOBS[args.job][0](spark, args, requests)
 
 
 if __name__ == "__main__":

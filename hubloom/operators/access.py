@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from hubloom.operators.skew import hot_keys, key_counts, list_parts, salted_join
+from hubloom.operators.skew import hot_keys, key_counts, salted_join
 
 EXECUTE = "x"
 REF = ["user_id", "kind", "id"]
@@ -27,18 +27,13 @@ def check_access(refs: DataFrame, permissions: DataFrame, right: str = EXECUTE)
             .select(*REF, F.coalesce("allowed", F.lit(False)).alias("allowed")))
 
 
-def access_map(answers: DataFrame, part_size: int = 1000) -> DataFrame:
-    """Answers as `map<id, allowed>` per user and kind, in parts of bounded size."""
-    keys = ["user_id", "kind"]
-    listed = list_parts(answers, keys, F.col("id"), F.struct("id", "allowed"), "access",
-                        part_size)
-    return listed.withColumn("access", F.map_from_entries("access"))
-
-
 def refused_requests(refs: DataFrame, permissions: DataFrame, request: str = "request_id",
                      right: str = EXECUTE) -> DataFrame:
-    """Requests that refer to anything their user may not use, once each."""
+    """Requests that refer to anything their user may not use, once each.
+
+    References are nearly unique, so a crowd can only come from a user.
+    """
     asked = refs.select(request, *REF)
-    hot = hot_keys(key_counts(asked, REF), REF)
+    hot = hot_keys(key_counts(asked, ["user_id"]), ["user_id"])
     refused = salted_join(asked, grants(permissions, right), REF, "left_anti", hot=hot)
     return refused.select(request).distinct()

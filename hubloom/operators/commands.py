@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from hubloom.functions import is_failure, outcome
-from hubloom.operators.skew import salted_join
+from hubloom.operators.skew import hot_keys, key_counts, salted_join
+from hubloom.operators.sync import latest_sync
 
 TARGET = ["network_id", "deployment_id"]
 
 
 def fan_out_commands(actions: DataFrame, metadata: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One command per metadata row an action's deployment has on its network.
+    """One command per engine deployment an action's deployment has on its network.
 
-    Returns `(commands, no_ops)`. An action without metadata rows sends nothing
+    `metadata` may report an engine deployment more than once; its newest report
+    counts. Returns `(commands, no_ops)`. An action without metadata rows sends nothing
     and succeeds. Both inputs of the join are plain rows, so adaptive execution
     can split either side of a crowded deployment.
     """
-    known = metadata.select(*TARGET, "engine_id", "seq")
+    known = latest_sync(metadata).select(*TARGET, "engine_id", "seq")
     commands = actions.join(known, TARGET)
     no_ops = actions.join(known.select(*TARGET).distinct(), TARGET, "left_anti")
     return commands, no_ops.withColumn("status", F.lit(200))
@@ -38,7 +40,8 @@ def fail_fast_prefix(outcomes: DataFrame, action: list[str]) -> DataFrame:
     """
     first = (outcomes.where(is_failure(F.col("status")))
              .groupBy(*action).agg(F.min("seq").alias("failed_seq")))
-    joined = salted_join(outcomes, first, action, "left", spread_by=[*action, "seq"])
+    hot = hot_keys(key_counts(outcomes, action), action)
+    joined = salted_join(outcomes, first, action, "left", [*action, "seq"], hot)
     attempted = F.col("failed_seq").isNull() | (F.col("seq") <= F.col("failed_seq"))
     return joined.withColumn("attempted", attempted).drop("failed_seq")
 

@@ -7,21 +7,30 @@ from pyspark.sql import DataFrame, Window, functions as F
 from hubloom.functions import trim_space
 
 CHUNK = 1000
+CHUNK_BYTES = 64 << 20
 
 
-def requests_by_path(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Trimmed bodies of each path in arrival order, in chunks.
+def requests_by_path(log: DataFrame, chunk: int = CHUNK,
+                     chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Trimmed bodies of each path in arrival order, in chunks and parts.
 
     `seq` is the arrival number and unique, so the rows of one path whose
-    numbers share `seq div chunk` are at most `chunk`; chunks in order, and
-    bodies in order within them, are the whole list. A path that receives a
-    third of all requests is spread over its chunks.
+    numbers share `seq div chunk` are at most `chunk`. A chunk whose bodies exceed
+    `chunk_bytes` is cut into parts of at most that and one body. Chunks in order,
+    parts in order and bodies in order are the whole list. A path that
+    receives a third of all requests is spread over its chunks.
     """
-    return (log.select("path", F.expr(f"seq div {int(chunk)}").alias("chunk"),
-                       F.struct("seq", trim_space(F.col("body")).alias("body")).alias("entry"))
-            .groupBy("path", "chunk")
-            .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
-            .select("path", "chunk", F.transform("entries", lambda e: e["body"]).alias("bodies")))
+    rows = log.select("path", F.expr(f"seq div {int(chunk)}").alias("chunk"), "seq",
+                      trim_space(F.col("body")).alias("body"))
+    upto = Window.partitionBy("path", "chunk").orderBy("seq")
+    size = F.coalesce(F.octet_length("body"), F.lit(0))
+    part = F.expr(f"cast((upto - size) div {int(chunk_bytes)} as int)")
+    cut = (rows.withColumn("size", size).withColumn("upto", F.sum("size").over(upto))
+           .withColumn("part", part))
+    return (cut.groupBy("path", "chunk", "part")
+            .agg(F.sort_array(F.collect_list(F.struct("seq", "body"))).alias("entries"))
+            .select("path", "chunk", "part",
+                    F.transform("entries", lambda e: e["body"]).alias("bodies")))
 
 
 def prepare_latency(log: DataFrame) -> DataFrame:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 PAYLOAD = "payload"
-SUB_PROCESS_DEPTH = 3
 CORRUPT = "_corrupt"
 
 _TASK = (
@@ -13,29 +12,26 @@ _TASK = (
     "extensionElements:struct<inputOutput:struct<"
     "inputParameter:array<struct<_name:string,_VALUE:string>>>>>>"
 )
+_TASKS = f"struct<process:array<struct<_id:string,serviceTask:{_TASK}>>,{CORRUPT}:string>"
+_IDS = f"struct<process:array<struct<_id:string>>,{CORRUPT}:string>"
+_READING = {"mode": "PERMISSIVE", "ignoreNamespace": "true",
+            "columnNameOfCorruptRecord": CORRUPT, "rowTag": "definitions"}
 
+# Start and end tags of the elements that hold tasks of their own.
+_CONTAINER = (r"</?(?:[A-Za-z_][\w.-]*:)?(?:subProcess|transaction|adHocSubProcess)"
+              r"(?:\s(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)?/?>")
 
-def _scope(depth: int) -> str:
-    """Schema of a process: its id, its service tasks and, to a fixed depth, those
-    of the sub-processes in it."""
-    inner = f",subProcess:array<{_scope(depth - 1)}>" if depth else ""
-    return f"struct<_id:string,serviceTask:{_TASK}{inner}>"
 
+def _tasks_of_all_levels(xml: Column) -> Column:
+    """The document with the tags of its containers taken out, parsed.
 
-def _definitions_schema() -> str:
-    return f"struct<process:array<{_scope(SUB_PROCESS_DEPTH)}>,{CORRUPT}:string>"
-
-
-def _all_tasks(scopes, depth: int):
-    """Tasks of some scopes in one array, outer scopes first."""
-    tasks = F.flatten(F.transform(
-        scopes, lambda s: F.coalesce(s["serviceTask"], F.array().cast(_TASK))))
-    if not depth:
-        return tasks
-    inner_type = f"array<{_scope(depth - 1)}>"
-    inner = F.flatten(F.transform(
-        scopes, lambda s: F.coalesce(s["subProcess"], F.array().cast(inner_type))))
-    return F.concat(tasks, _all_tasks(inner, depth - 1))
+    What they hold then belongs to the process, so tasks are found at any depth,
+    in document order. Taking tags out could hide that they do not match, so a
+    document with containers is also parsed as it is.
+    """
+    flat = F.from_xml(F.regexp_replace(xml, _CONTAINER, ""), _TASKS, _READING)
+    as_it_is = F.from_xml(F.when(F.regexp_like(xml, F.lit(_CONTAINER)), xml), _IDS, _READING)
+    return F.when(as_it_is[CORRUPT].isNull(), flat)
 
 
 def model_lookup(requests: DataFrame, models: DataFrame) -> DataFrame:
@@ -59,36 +55,39 @@ def resolve_model(requests: DataFrame, models: DataFrame) -> tuple[DataFrame, Da
 def model_elements(models: DataFrame) -> DataFrame:
     """Tasks of `model_id, bpmn_xml` rows, read from the XML once.
 
-    One row per service task that carries a payload; a model without such a
-    task keeps one row with a null position. `readable` is false for a document
-    that cannot be read: `from_xml` puts it aside, where an `xpath` call on it
-    would end the job.
+    One row per service task that carries a payload, however deep it lies; a
+    model without such a task keeps one row with a null position. `readable` is
+    false for a document that cannot be read (`from_xml` puts it aside, where an
+    `xpath` call on it would end the job) and for one with a payload that is no
+    JSON, since what such a task asks for is not known.
     """
-    parsed = F.from_xml(F.col("bpmn_xml"), _definitions_schema(), {
-        "mode": "PERMISSIVE", "ignoreNamespace": "true",
-        "columnNameOfCorruptRecord": CORRUPT, "rowTag": "definitions",
-    })
-    none = F.array().cast(f"array<{_scope(SUB_PROCESS_DEPTH)}>")
-    tasks = _all_tasks(F.coalesce(F.col("parsed.process"), none), SUB_PROCESS_DEPTH)
+    none = F.array().cast(_TASK)
 
     def params(task):
         listed = task["extensionElements"]["inputOutput"]["inputParameter"]
         return F.coalesce(listed, F.array().cast("array<struct<_name:string,_VALUE:string>>"))
 
-    with_payload = F.filter(
-        tasks, lambda t: F.exists(params(t), lambda p: p["_name"] == PAYLOAD))
-    rows = (models.select("model_id", parsed.alias("parsed"))
-            .select("model_id",
-                    (F.col("parsed").isNotNull() & F.col(f"parsed.{CORRUPT}").isNull())
-                    .alias("readable"),
-                    F.get("parsed.process", F.lit(0))["_id"].alias("process_id"),
-                    with_payload.alias("tasks"))
+    def payload(task):
+        return F.get(F.filter(params(task), lambda p: p["_name"] == PAYLOAD), F.lit(0))["_VALUE"]
+
+    parsed = models.select("model_id", _tasks_of_all_levels(F.col("bpmn_xml")).alias("parsed"))
+    tasks = F.flatten(F.transform(F.coalesce(F.col("parsed.process"), F.array().cast(
+        f"array<struct<_id:string,serviceTask:{_TASK}>>")),
+        lambda p: F.coalesce(p["serviceTask"], none)))
+    listed = parsed.select(
+        "model_id", "parsed", F.filter(tasks, lambda t: F.exists(
+            params(t), lambda p: p["_name"] == PAYLOAD)).alias("tasks"))
+    understood = ~F.exists("tasks", lambda t: F.try_parse_json(
+        F.coalesce(payload(t), F.lit(""))).isNull())
+    rows = (listed.select(
+        "model_id", (F.col("parsed").isNotNull() & F.col(f"parsed.{CORRUPT}").isNull()
+                     & understood).alias("readable"),
+        F.get("parsed.process", F.lit(0))["_id"].alias("process_id"), "tasks")
             .select("model_id", "readable", "process_id",
                     F.posexplode_outer(F.when(F.col("readable"), F.col("tasks")))
                     .alias("position", "task"))
             .withColumn("inputs", params(F.col("task")))
-            .withColumn("payload", F.get(F.filter(
-                "inputs", lambda p: p["_name"] == PAYLOAD), F.lit(0))["_VALUE"]))
+            .withColumn("payload", payload(F.col("task"))))
 
     def field(path: str):
         return F.get_json_object("payload", path)
@@ -113,8 +112,7 @@ def model_elements(models: DataFrame) -> DataFrame:
 def extract_elements(models: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Service tasks of `model_id, bpmn_xml` rows.
 
-    Returns `(elements, rejects)`; models whose XML cannot be read go to the
-    rejects. Tasks in sub-processes are found down to `SUB_PROCESS_DEPTH`.
+    Returns `(elements, rejects)`; models that cannot be read go to the rejects.
     """
     rows = model_elements(models)
     elements = rows.where(F.col("position").isNotNull()).drop("readable", "process_id")

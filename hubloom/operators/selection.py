@@ -11,7 +11,7 @@ Whether a service fits depends on the device type alone, so the match runs on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hubloom.operators.skew import hot_keys, key_counts, list_parts, salted_join
 
@@ -74,9 +74,15 @@ def type_services(device_types: DataFrame) -> DataFrame:
 
 
 def hub_devices(members: DataFrame, devices: DataFrame) -> DataFrame:
-    """Devices whose local id a hub lists; a hub without local ids has none."""
-    listed = members.select("hub_id", "local_id").distinct()
-    return listed.join(devices, "local_id").select(
+    """Devices whose local id a hub lists; a hub without local ids has none.
+
+    Local ids are not unique across owners. Where both sides have an `owner_id`,
+    a hub only has the devices of its owner.
+    """
+    on = ["local_id"] + ["owner_id"] * (
+        "owner_id" in members.columns and "owner_id" in devices.columns)
+    listed = members.select("hub_id", *on).distinct()
+    return listed.join(devices, on).select(
         "hub_id", "device_id", "device_name", "device_type_id")
 
 
@@ -118,40 +124,74 @@ def criteria_counts(requests: DataFrame) -> DataFrame:
     return key_counts(with_criteria(requests), CRITERIA)
 
 
+def options_key() -> Column:
+    """Names the options of a criteria row, blanks filled in."""
+    return F.md5(F.to_json(F.struct(*CRITERIA)).cast("binary"))
+
+
+def _lead() -> Column:
+    """The criterion that a row is looked up by: the first that is given."""
+    kinds = dict(zip(CRITERIA[1:], ("function", "class", "aspect"), strict=True))
+    lead = F.struct(F.lit("any").alias("kind"), F.lit("").alias("value"))
+    for name, kind in reversed(kinds.items()):
+        lead = F.when(F.col(name) != "", F.struct(
+            F.lit(kind).alias("kind"), F.col(name).alias("value"))).otherwise(lead)
+    return lead
+
+
 def service_offers(services: DataFrame, criteria: DataFrame) -> DataFrame:
-    """Every criteria triple a device type meets, with the `services` that do.
+    """Device types under each lead they answer to, with all their services.
 
-    `services` has one row per device type and service. A blank criterion is no
-    constraint, so each service also answers to "" in each place. Only triples
-    that some request uses are kept. All of this is catalogue-sized; the fleet
-    has not come in yet.
+    `services` has one row per device type and service. A type answers to each of
+    its functions, classes and aspects and to no criterion at all, so its rows are
+    the sum of these, not their product. Only leads in use are kept. All of this is
+    catalogue-sized; the fleet has not come in yet.
     """
     nothing = F.array().cast("array<string>")
-    blank = F.array(F.lit(""))
 
-    def answers(name: str):
-        return F.explode(F.array_union(blank, F.coalesce(F.col(name), nothing)))
-
-    used = criteria.select(*CRITERIA[1:]).distinct()
-    service = F.struct(F.col("service_id").alias("id"), F.col("service_name").alias("name"))
-    return (services
-            .withColumn("function_id", answers("function_ids"))
-            .withColumn("aspect_id", answers("aspect_ids"))
-            .withColumn("device_class_id", F.explode(F.array_distinct(F.array(
-                F.lit(""), F.coalesce(F.col("device_class_id"), F.lit(""))))))
-            .join(used, CRITERIA[1:], "left_semi")
-            .groupBy("device_type_id", *CRITERIA[1:])
-            .agg(F.sort_array(F.collect_set(service)).alias("services")))
+    def leads(kind: str, values: Column) -> Column:
+        return F.transform(F.filter(values, lambda v: v.isNotNull() & (v != "")), lambda v: F.struct(
+            F.lit(kind).alias("kind"), v.alias("value")))
+
+    service = F.struct(
+        F.col("service_id").alias("id"), F.col("service_name").alias("name"),
+        F.coalesce("function_ids", nothing).alias("functions"),
+        F.coalesce("device_class_id", F.lit("")).alias("class"),
+        F.coalesce("aspect_ids", nothing).alias("aspects"))
+    types = services.groupBy("device_type_id").agg(F.collect_set(service).alias("offered"))
+    answers = F.array_distinct(F.concat(
+        F.array(F.struct(F.lit("any").alias("kind"), F.lit("").alias("value"))),
+        leads("function", F.flatten(F.transform("offered", lambda s: s["functions"]))),
+        leads("class", F.transform("offered", lambda s: s["class"])),
+        leads("aspect", F.flatten(F.transform("offered", lambda s: s["aspects"])))))
+    used = criteria.select(_lead().alias("lead")).select("lead.*").distinct()
+    return (types.withColumn("lead", F.explode(answers))
+            .select("device_type_id", "offered", "lead.*").join(used, ["kind", "value"], "left_semi"))
 
 
 def match_types(criteria: DataFrame, fleet: DataFrame, services: DataFrame) -> DataFrame:
     """Device types that meet each distinct criteria row, with the services that
-    do, the number of devices of the type on the hub and the first of them."""
+    do, the number of devices of the type on the hub and the first of them.
+
+    Types meet criteria on the hub and one criterion, the function if there is
+    one; the others are looked at in the pairs that gives.
+    """
+    def meets(service) -> Column:
+        return (((F.col("function_id") == "")
+                 | F.array_contains(service["functions"], F.col("function_id")))
+                & ((F.col("device_class_id") == "") | (service["class"] == F.col("device_class_id")))
+                & ((F.col("aspect_id") == "")
+                   | F.array_contains(service["aspects"], F.col("aspect_id"))))
+
     types = fleet.groupBy("hub_id", "device_type_id").agg(
         F.count(F.lit(1)).alias("n_devices"), F.min("device_id").alias("first_device_id"))
-    return (types.join(service_offers(services, criteria), "device_type_id")
-            .join(criteria.select(*CRITERIA), CRITERIA)
-            .select(*CRITERIA, "device_type_id", "services", "n_devices", "first_device_id"))
+    asked = criteria.select(*CRITERIA, _lead().alias("lead")).select(*CRITERIA, "lead.*")
+    met = (types.join(service_offers(services, criteria), "device_type_id")
+           .join(asked, ["hub_id", "kind", "value"])
+           .withColumn("services", F.sort_array(F.array_distinct(F.transform(
+               F.filter("offered", meets), lambda s: F.struct(s["id"], s["name"]))))))
+    return met.where(F.size("services") > 0).select(
+        *CRITERIA, "device_type_id", "services", "n_devices", "first_device_id")
 
 
 def device_options(matched: DataFrame, fleet: DataFrame) -> DataFrame:
@@ -191,15 +231,6 @@ def option_summary(matched: DataFrame) -> DataFrame:
              F.col("default.service_id").alias("default_service_id"))
 
 
-def group_services(candidates: DataFrame, keys: list[str]) -> DataFrame:
-    """Candidate rows of any origin as one row per key and device."""
-    return candidates.groupBy(*keys, "device_id").agg(
-        F.min("device_name").alias("device_name"),
-        F.sort_array(F.collect_set(F.struct(
-            F.col("service_id").alias("id"), F.col("service_name").alias("name"))),
-        ).alias("services"))
-
-
 def assemble_selectables(options: DataFrame, keys: list[str] | None = None,
                          part_size: int = PART_SIZE,
                          sizes: DataFrame | None = None) -> DataFrame:
@@ -207,12 +238,12 @@ def assemble_selectables(options: DataFrame, keys: list[str] | None = None,
 
     The services of one device are few. The devices of one key need not be, so
     a key with more than `part_size` devices gets several rows, numbered
-    `part` of `n_parts`, that together hold the whole list.
+    `part` of `n_parts`: the list in device order, cut.
     """
     item = F.struct(
         F.struct(F.col("device_id").alias("id"), F.col("device_name").alias("name"))
         .alias("device"), "services")
-    return list_parts(options, keys or CRITERIA, F.col("device_id"), item, "selectables",
+    return list_parts(options, keys or CRITERIA, "device_id", item, "selectables",
                       part_size, sizes)
 
 

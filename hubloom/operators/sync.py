@@ -10,34 +10,39 @@ VARIABLE_TYPES = {"Long": "bigint", "Double": "double", "Boolean": "boolean",
 
 
 def latest_sync(metadata: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """Newest row of each engine deployment by `sync_date`, then `seq`.
+    """Newest row of each engine deployment by `sync_date`, then `seq`, then
+    `report` where there is one, so that equal dates are decided the same each time.
 
     A maximum is combined before the shuffle; a ranking window would bring all
     rows of a busy deployment to one task.
     """
     key = key or ENGINE_KEY
-    rest = [c for c in metadata.columns if c not in (*key, "sync_date", "seq")]
-    newest = F.max_by(F.struct("sync_date", "seq", *rest), F.struct("sync_date", "seq"))
+    order = [c for c in ("sync_date", "seq", "report") if c in metadata.columns]
+    rest = [c for c in metadata.columns if c not in (*key, *order)]
+    newest = F.max_by(F.struct(*order, *rest), F.struct(*order))
     return (metadata.groupBy(*key).agg(newest.alias("newest"))
             .select(*key, "newest.*").select(*metadata.columns))
 
 
 def network_summary(metadata: DataFrame, instances: DataFrame | None = None) -> DataFrame:
-    """Deployments of each network by state, newest sync, running instances."""
+    """Deployments of each network by state, newest sync, running instances.
+
+    A network that only has instances is a row too. Both sides go through one
+    aggregation.
+    """
     live = ~F.col("is_placeholder") & ~F.col("marked_for_delete")
-    summary = metadata.groupBy("network_id").agg(
-        F.count(F.lit(1)).alias("n_deployments"),
-        F.count_if("is_placeholder").alias("n_placeholders"),
-        F.count_if("marked_for_delete").alias("n_deleting"),
-        F.count_if(live).alias("n_live"),
-        F.max("sync_date").alias("newest_sync"))
-    if instances is None:
-        return summary
-    running = instances.groupBy("network_id").agg(
-        F.count(F.lit(1)).alias("n_instances"),
-        F.count_if(~F.col("ended")).alias("n_running"))
-    return (summary.join(running, "network_id", "left")
-            .na.fill(0, ["n_instances", "n_running"]))
+    counts = {"n_deployments": F.lit(True), "n_placeholders": F.col("is_placeholder"),
+              "n_deleting": F.col("marked_for_delete"), "n_live": live}
+    rows = metadata.select("network_id", *(c.alias(n) for n, c in counts.items()), "sync_date")
+    names = list(counts)
+    if instances is not None:
+        rows = rows.unionByName(instances.select(
+            "network_id", F.lit(True).alias("n_instances"), (~F.col("ended")).alias("n_running")),
+            allowMissingColumns=True)
+        names += ["n_instances", "n_running"]
+    states = [F.count_if(F.col(n)).alias(n) for n in names]
+    return rows.groupBy("network_id").agg(
+        *states[:4], F.max("sync_date").alias("newest_sync"), *states[4:])
 
 
 def explode_parameters(metadata: DataFrame) -> DataFrame:

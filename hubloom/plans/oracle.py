@@ -69,23 +69,34 @@ checked AS (
                  ELSE coalesce(by_status, by_priority) END AS reason
   FROM docs)"""
 
-CREATED = f"""{DOCS}, created AS (
+# Bare bodies: one without a deployment is an empty one, with a version.
+CREATED = f"""{DOCS}, ruled AS (
+  SELECT *, CASE WHEN NOT missing AND NOT bare
+                   AND (pr = '2-HIGH' OR st = 'F' AND pr = '3-MEDIUM') THEN 'imports'
+                 WHEN missing THEN NULL ELSE reason END AS rule
+  FROM checked),
+created AS (
   SELECT request_id, o_custkey, cut, missing, bare, pr,
          CASE WHEN request_id = o_custkey THEN NULL ELSE true END AS optional_service,
          CASE WHEN cut OR request_id = o_custkey THEN 400
               WHEN NOT missing AND NOT bare AND coalesce(c_acctbal, -1) < 0 THEN 403
-              WHEN reason IS NOT NULL THEN 500 ELSE 200 END AS status,
-         reason
-  FROM checked LEFT JOIN customer ON c_custkey = o_custkey)"""
+              WHEN rule IS NOT NULL THEN 500 ELSE 200 END AS status,
+         rule AS reason
+  FROM ruled LEFT JOIN customer ON c_custkey = o_custkey),
+deployed AS (
+  SELECT *, md5('run-1:' || request_id) AS h,
+         substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-'
+           || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS new_id
+  FROM created WHERE status = 200)"""
 
 METADATA = """meta AS (
   SELECT user_id AS network_id, event_id % 20 AS deployment_id, event_id AS engine_id,
          ts, event_type, props FROM events)"""
 
 FANNED = f"""{METADATA}, fanned AS (
-  SELECT c_custkey AS action_id, c_custkey AS network_id, m.deployment_id, m.engine_id,
+  SELECT c_custkey AS action_id, m.network_id, m.deployment_id, m.engine_id,
          c_mktsegment AS segment, event_type, props
-  FROM customer JOIN meta m ON m.network_id = c_custkey AND m.deployment_id = c_nationkey)"""
+  FROM customer JOIN meta m ON m.network_id = c_custkey // 10 AND m.deployment_id = c_nationkey)"""
 
 OUTCOMES = """outcomes AS (
   SELECT user_id AS network_id, CAST(ts AS DATE) AS day, event_id AS seq,
@@ -93,21 +104,25 @@ OUTCOMES = """outcomes AS (
          CASE WHEN event_type = 'error' THEN props ELSE 'true' END AS body
   FROM events)"""
 
+LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+
 MODELS = f"""{PARTS}, models AS (
-  SELECT p_partkey AS model_id, *, NOT (p_type = 'PROMO' AND p_size > 40) AS readable
-  FROM parts WHERE p_size <= 45),
+  SELECT p_partkey AS model_id, *, NOT (p_type = 'PROMO' AND p_size > 40)
+           AND NOT (p_type = 'LARGE' AND p_size <= 5) AS readable
+  FROM parts),
 requests AS (
-  SELECT DISTINCT l_suppkey AS hub_id, l_partkey AS model_id
+  SELECT {LINE_ID} AS request_id, l_suppkey AS hub_id,
+         CASE WHEN l_tax = 0 THEN -1 - l_partkey ELSE l_partkey END AS model_id
   FROM lineitem WHERE l_linestatus = 'O')"""
 
 MODEL_TASKS = """mtasks AS (
   SELECT model_id, 0 AS position, 'Task_' || model_id || '_0' AS bpmn_id, p_name AS name,
-         'pessimistic' AS topic, p_brand AS function_id, p_type AS device_class_id,
+         'field-job' AS topic, p_brand AS function_id, p_type AS device_class_id,
          CAST(NULL AS VARCHAR) AS aspect_id, band AS characteristic_id,
          CAST(p_size AS BIGINT) AS retries, CAST(p_size AS VARCHAR) AS inputs
   FROM models WHERE readable
   UNION ALL
-  SELECT model_id, 1, 'Task_' || model_id || '_1', 'inner', 'pessimistic', p_brand, NULL,
+  SELECT model_id, 1, 'Task_' || model_id || '_1', 'inner', 'field-job', p_brand, NULL,
          band, 'c', CAST(0 AS BIGINT), CAST(p_size AS VARCHAR)
   FROM models WHERE readable AND p_type = 'SMALL')"""
 
@@ -120,7 +135,7 @@ def _prepared(models: str) -> str:
          coalesce(t.function_id, '') AS function_id,
          coalesce(t.device_class_id, '') AS device_class_id,
          coalesce(t.aspect_id, '') AS aspect_id
-  FROM requests r
+  FROM (SELECT DISTINCT hub_id, model_id FROM requests) r
   LEFT JOIN models m ON m.model_id = r.model_id
   LEFT JOIN mtasks t ON t.model_id = r.model_id
   LEFT JOIN supplier s ON s.s_suppkey = r.hub_id AND s.s_acctbal >= 0),
@@ -139,9 +154,11 @@ headers AS (
 
 PREPARED = _prepared(MODELS)
 
-POSTED = _prepared(MODELS[:MODELS.index("requests AS (")] + """requests AS (
-  SELECT model_id // 20 AS hub_id, model_id FROM models
-  WHERE NOT (p_type = 'LARGE' AND p_size = 45))""")
+POSTED = _prepared(MODELS[:MODELS.index("requests AS (")] + f"""posts AS (
+  SELECT {LINE_ID} AS request_id, l_suppkey AS hub_id, model_id,
+         p_type = 'LARGE' AND p_size = 50 AS cut
+  FROM lineitem JOIN models ON model_id = l_partkey WHERE l_tax = 0),
+requests AS (SELECT * FROM posts WHERE NOT cut)""")
 
 
 def _quoted(text: str) -> str:
@@ -169,19 +186,25 @@ FROM (SELECT *, row_number() OVER (
         PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 WHERE rn = 1"""
 
+HUBS = """
+SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, md5(s_name) AS hash,
+       coalesce(local_ids, '') AS device_local_ids
+FROM supplier LEFT JOIN (
+  SELECT l_suppkey, array_to_string(list(DISTINCT l_partkey ORDER BY l_partkey), ',') AS local_ids
+  FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_suppkey) ON l_suppkey = s_suppkey
+WHERE s_acctbal >= 0"""
+
 ORACLE_SQL: dict[str, str] = {
     "executable_deployments": f"""{CANDIDATES}
-SELECT deployment_id, count(*) FILTER (WHERE is_task) AS n_tasks,
+SELECT o_orderkey AS deployment_id, count(*) FILTER (WHERE is_task) AS n_tasks,
        count(*) FILTER (WHERE is_task AND n_options > 0) AS n_with_options,
        count(*) FILTER (WHERE is_task)
          = count(*) FILTER (WHERE is_task AND n_options > 0) AS executable
-FROM elements LEFT JOIN opts USING ({CRITERIA}) GROUP BY deployment_id""",
+FROM orders LEFT JOIN elements ON deployment_id = o_orderkey LEFT JOIN opts USING ({CRITERIA})
+GROUP BY o_orderkey""",
 
     "load_hubs": """
-SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, md5(s_name) AS hash,
-       array_to_string(CAST(range(s_suppkey * 20, s_suppkey * 20 + 20) AS VARCHAR[]), ',')
-         AS device_local_ids
-FROM supplier WHERE s_acctbal >= 0""",
+SELECT * FROM (""" + HUBS + """)""",
 
     "decoded_bodies": """
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k
@@ -191,11 +214,17 @@ FROM events WHERE event_type <> 'error'""",
 SELECT event_id, rtrim(props, '}') AS body, 400 AS status
 FROM events WHERE event_type = 'error'""",
 
-    "written_commands": f"""WITH {FANNED}
-SELECT 'run-1' AS run_id, 'remove' AS action, CAST(network_id AS VARCHAR) AS network_id,
-       CAST(engine_id AS VARCHAR) AS engine_id,
-       'remove/' || network_id || '/' || engine_id AS command_key
-FROM fanned""",
+    "written_commands": f"""WITH {FANNED}, acts AS (SELECT unnest(['remove', 'start']) AS action),
+d AS (WITH {CREATED} SELECT * FROM deployed)
+SELECT CAST(action_id AS VARCHAR) AS action_id, CAST(network_id AS VARCHAR) AS network_id,
+       CAST(deployment_id AS VARCHAR) AS deployment_id, CAST(engine_id AS VARCHAR) AS engine_id,
+       CAST(engine_id AS VARCHAR) AS seq,
+       action || '/' || network_id || '/' || engine_id AS command_key,
+       CAST(NULL AS VARCHAR) AS source, 'run-1' AS run_id, action
+FROM fanned, acts
+UNION ALL
+SELECT CAST(request_id AS VARCHAR), CAST(o_custkey AS VARCHAR), new_id, NULL, NULL, NULL,
+       'source-' || o_custkey, 'run-1', 'deploy' FROM d""",
 
     "validated_records": f"""WITH {DOCS}
 SELECT request_id, coalesce(reason, 'ok') AS result, {MESSAGE} AS message FROM checked""",
@@ -232,7 +261,8 @@ FROM orders LEFT JOIN firsts ON l_orderkey = o_orderkey""",
 SELECT * FROM rows""",
 
     "import_checks": f"""WITH {DOCS}, ids AS (
-  SELECT request_id, NOT missing AND NOT bare AND (st = 'O' OR pr = '2-HIGH') AS any_id
+  SELECT request_id, NOT missing AND NOT bare
+           AND (pr = '2-HIGH' OR st = 'F' AND pr = '3-MEDIUM') AS any_id
   FROM docs)
 SELECT request_id, NOT any_id AS imports_allowed,
        CASE WHEN any_id THEN {_quoted(REASONS["imports"])} END AS imports_reason
@@ -254,32 +284,29 @@ FROM outcomes""",
 SELECT model_id, 500 AS status FROM models WHERE NOT readable""",
 
     "resolved_models": f"""WITH {MODELS}
-SELECT hub_id, r.model_id, CASE WHEN m.model_id IS NULL THEN 404 ELSE 200 END AS status,
+SELECT request_id, hub_id, r.model_id, CASE WHEN m.model_id IS NULL THEN 404 ELSE 200 END AS status,
        CASE WHEN m.model_id IS NOT NULL THEN '<svg>' || p_name || '</svg>' END AS svg_xml
 FROM requests r LEFT JOIN models m ON m.model_id = r.model_id""",
 
     "attached_local_devices": """
 SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_suppkey AS VARCHAR) AS hub_id,
-       CASE WHEN s_suppkey IS NULL THEN 500 ELSE 200 END AS status,
-       CASE WHEN s_suppkey IS NOT NULL THEN
-         array_to_string(CAST(range(s_suppkey * 20, s_suppkey * 20 + 20) AS VARCHAR[]), ',')
-       END AS local_devices
-FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey AND s_acctbal >= 0
-WHERE l_returnflag = 'A'""",
-
-    "devices_of_hubs": f"""WITH {PARTS}, {FLEET}
-SELECT hub_id, device_id, device_name, dtype AS device_type_id FROM fleet""",
-
-    "devices_of_hub_records": f"""WITH {PARTS}
-SELECT CAST(s_suppkey AS VARCHAR) AS hub_id, p_partkey AS device_id, p_name AS device_name,
+       CASE WHEN id IS NULL THEN 500 ELSE 200 END AS status, device_local_ids AS local_devices
+FROM lineitem LEFT JOIN (""" + HUBS + """) ON id = CAST(l_suppkey AS VARCHAR)""",
+
+    "devices_of_hubs": f"""WITH {PARTS}
+SELECT DISTINCT l_suppkey AS hub_id, p_partkey AS device_id, p_name AS device_name,
        dtype AS device_type_id
-FROM supplier JOIN parts ON p_partkey // 20 = s_suppkey WHERE s_acctbal >= 0""",
+FROM lineitem JOIN parts ON l_partkey = p_partkey""",
+
+    "devices_of_hub_records": f"""WITH {PARTS}, {FLEET}
+SELECT CAST(hub_id AS VARCHAR) AS hub_id, device_id, device_name, dtype AS device_type_id
+FROM fleet JOIN supplier ON s_suppkey = hub_id WHERE s_acctbal >= 0""",
 
     "selection_request_rows": f"""WITH {ELEMENTS}
 SELECT deployment_id, 'Task_' || l_linenumber || '_' || l_partkey AS id, hub_id, function_id,
-       device_class_id, aspect_id, is_task AS include_groups, false AS include_imports,
+       device_class_id, aspect_id, NOT is_event AS include_groups, false AS include_imports,
        true AS include_devices, false AS include_id_modified_devices
-FROM elements WHERE is_task OR is_event""",
+FROM elements""",
 
     "matched_candidates": f"""{CANDIDATES} SELECT * FROM cand""",
 
@@ -321,7 +348,7 @@ SELECT action_id, network_id, deployment_id, engine_id FROM fanned""",
     "idle_actions": f"""WITH {METADATA}
 SELECT c_custkey AS action_id, 200 AS status FROM customer
 WHERE NOT EXISTS (SELECT 1 FROM meta
-                  WHERE network_id = c_custkey AND deployment_id = c_nationkey)""",
+                  WHERE network_id = c_custkey // 10 AND deployment_id = c_nationkey)""",
 
     "attempted_commands": f"""WITH {OUTCOMES}
 SELECT network_id, day, seq, status,
@@ -350,14 +377,22 @@ FROM wanted w FULL OUTER JOIN synced s
   ON s.network_id = w.network_id AND s.deployment_id = w.deployment_id""",
 
     "network_states": """
-SELECT user_id AS network_id, count(*) AS n_deployments,
-       count(*) FILTER (WHERE event_type = 'view') AS n_placeholders,
-       count(*) FILTER (WHERE event_type = 'signup') AS n_deleting,
-       count(*) FILTER (WHERE event_type NOT IN ('view', 'signup')) AS n_live,
-       max(ts) AS newest_sync,
-       count(*) FILTER (WHERE event_type = 'purchase') AS n_instances,
-       count(*) FILTER (WHERE event_type = 'purchase' AND value <= 10) AS n_running
-FROM events GROUP BY user_id""",
+WITH meta AS (
+  SELECT user_id AS network_id, count(*) AS n_deployments,
+         count(*) FILTER (WHERE event_type = 'view') AS n_placeholders,
+         count(*) FILTER (WHERE event_type = 'signup') AS n_deleting,
+         count(*) FILTER (WHERE event_type NOT IN ('view', 'signup')) AS n_live,
+         max(ts) AS newest_sync
+  FROM events GROUP BY user_id),
+running AS (
+  SELECT CASE WHEN event_id % 2 = 1 THEN -1 - user_id ELSE user_id END AS network_id,
+         count(*) AS n_instances, count(*) FILTER (WHERE value <= 10) AS n_running
+  FROM events WHERE event_type = 'purchase' GROUP BY 1)
+SELECT network_id, coalesce(n_deployments, 0) AS n_deployments,
+       coalesce(n_placeholders, 0) AS n_placeholders, coalesce(n_deleting, 0) AS n_deleting,
+       coalesce(n_live, 0) AS n_live, newest_sync, coalesce(n_instances, 0) AS n_instances,
+       coalesce(n_running, 0) AS n_running
+FROM meta FULL OUTER JOIN running USING (network_id)""",
 
     "newest_sync_rows": LATEST,
 
@@ -373,7 +408,7 @@ WITH log AS (
   SELECT regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS path, page_id,
          trim(html, {_quoted(WHITE_SPACE)}) AS body
   FROM pages)
-SELECT path, page_id // 1000 AS chunk, CAST(count(*) AS INTEGER) AS n_bodies,
+SELECT path, page_id // 1000 AS chunk, 0 AS part, CAST(count(*) AS INTEGER) AS n_bodies,
        md5(string_agg(body, chr(10) ORDER BY page_id)) AS bodies_md5
 FROM log GROUP BY path, page_id // 1000""",
 
@@ -440,25 +475,26 @@ SELECT event_id,
 FROM events""",
 
     "posted_preparations": f"""WITH {POSTED}
-SELECT hub_id, model_id AS request_id, status, n_tasks, n_with_options,
+SELECT r.hub_id, r.request_id, status, n_tasks, n_with_options,
        CASE WHEN status = 200 THEN n_tasks = n_with_options END AS executable
-FROM headers
+FROM requests r JOIN headers h ON h.hub_id = r.hub_id AND h.model_id = r.model_id
 UNION ALL
-SELECT model_id // 20, model_id, 400, 0, 0, NULL FROM models
-WHERE p_type = 'LARGE' AND p_size = 45""",
+SELECT hub_id, request_id, 400, 0, 0, NULL FROM posts WHERE cut""",
 
     "prepared_elements": f"""WITH {PREPARED} SELECT * FROM prepared""",
 
     "prepared_requests": f"""WITH {PREPARED}
-SELECT hub_id, model_id, status, n_tasks, n_with_options,
+SELECT r.request_id, r.hub_id, r.model_id, status, n_tasks, n_with_options,
        CASE WHEN status = 200 THEN n_tasks = n_with_options END AS executable
-FROM headers""",
+FROM requests r JOIN headers h ON h.hub_id = r.hub_id AND h.model_id = r.model_id""",
 
     "prepared_deployments": f"""WITH {PREPARED}
-SELECT hub_id, h.model_id, 3 AS version, 'process' AS name,
+SELECT r.request_id, r.hub_id, r.model_id, 3 AS version, 'process' AS name,
        n_tasks = n_with_options AS executable, elements,
+       CAST(n_tasks AS INTEGER) AS n_options_keys,
        '<svg>' || p_name || '</svg>' AS svg, false AS restart, true AS notify
-FROM headers h JOIN models m ON m.model_id = h.model_id
+FROM requests r JOIN headers h ON h.hub_id = r.hub_id AND h.model_id = r.model_id
+JOIN models m ON m.model_id = h.model_id
 JOIN (SELECT model_id, string_agg(concat_ws('/', bpmn_id, function_id, device_class_id,
                                             aspect_id), ',' ORDER BY position) AS elements
       FROM mtasks GROUP BY model_id) t ON t.model_id = h.model_id
@@ -472,10 +508,11 @@ SELECT request_id, optional_service, status,
 FROM created""",
 
     "deploy_command_rows": f"""WITH {CREATED}
-SELECT 'run-1' AS run_id, 'deploy' AS action, CAST(o_custkey AS VARCHAR) AS network_id,
-       CAST(request_id AS VARCHAR) AS deployment_id, 'deployment ' || request_id AS name,
-       CASE WHEN NOT bare THEN 'Task_' || request_id END AS first_element
-FROM created WHERE status = 200""",
+SELECT CAST(request_id AS VARCHAR) AS action_id, CAST(o_custkey AS VARCHAR) AS network_id,
+       new_id AS deployment_id, 'source-' || o_custkey AS source, new_id AS sent_id,
+       CASE WHEN NOT missing THEN 'deployment ' || request_id END AS name,
+       CASE WHEN NOT bare AND NOT missing THEN 'Task_' || request_id END AS first_element
+FROM deployed""",
 
     "removed_deployments": f"""WITH {FANNED}
 SELECT action_id, count(*) AS n_commands,

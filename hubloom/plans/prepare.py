@@ -11,7 +11,8 @@ from hubloom.operators.validation import CURRENT_VERSION, finalize_prepared
 from hubloom.session import keep
 from hubloom.sources.json_docs import decode_json
 
-REQUEST = ["hub_id", "model_id"]
+# What decides a request's answer. Requests that share it are answered once.
+PAIR = ["hub_id", "model_id"]
 
 
 def posted_requests(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -21,7 +22,7 @@ def posted_requests(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     request id serves as model id. Bodies that cannot be read are rejected.
     """
     good, rejects = decode_json(raw, schemas.PREPARE_REQUEST)
-    requests = good.select("hub_id", F.col("request_id").alias("model_id"))
+    requests = good.select("request_id", "hub_id", F.col("request_id").alias("model_id"))
     models = good.select(F.col("request_id").alias("model_id"), F.col("xml").alias("bpmn_xml"),
                          F.col("svg").alias("svg_xml"))
     return requests, models, rejects
@@ -41,14 +42,15 @@ def element_table(spark: SparkSession, models: DataFrame,
 
 
 def request_elements(requests: DataFrame, elements: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Requests with the elements of their model and a status.
+    """Distinct pairs of hub and model with the elements of the model and a status.
 
     404 for an unknown model; 500 for an unreadable one and for an unknown hub,
-    whose own error code is not passed on.
+    whose own error code is not passed on. The hub comes first, so that the
+    elements of a refused pair are not listed.
     """
     known = hubs.select("hub_id", F.lit(True).alias("__hub"))
-    joined = (requests.join(elements, "model_id", "left")
-              .join(known, "hub_id", "left"))
+    pairs = requests.select(*PAIR).distinct().join(known, "hub_id", "left")
+    joined = pairs.join(elements, "model_id", "left")
     status = (F.when(F.col("readable").isNull(), 404)
               .when(~F.col("readable") | F.col("__hub").isNull(), 500)
               .otherwise(200))
@@ -57,20 +59,29 @@ def request_elements(requests: DataFrame, elements: DataFrame, hubs: DataFrame)
             .drop("readable", "__hub"))
 
 
+def answered(requests: DataFrame, by_pair: DataFrame) -> DataFrame:
+    """Every request with what is known of its pair."""
+    asked = requests.select("request_id", *(F.col(c).alias(f"__{c}") for c in PAIR))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in PAIR]
+    return asked.join(by_pair, same[0] & same[1]).select("request_id", *by_pair.columns)
+
+
 def match(spark: SparkSession, rows: DataFrame, members: DataFrame, devices: DataFrame,
           services: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Criteria of the tasks among `rows`, the devices on hubs, and the device
     types that meet each criteria row: `(criteria, fleet, matched)`."""
-    fleet = selection.hub_devices(members, devices)
+    fleet = keep(spark, selection.hub_devices(members, devices), "fleet")
     criteria = keep(spark, selection.criteria_counts(rows.where("is_task")), "criteria")
     return criteria, fleet, selection.match_types(criteria, fleet, services)
 
 
 def prepared_elements(rows: DataFrame, criteria: DataFrame, matched: DataFrame) -> DataFrame:
-    """Elements with the number of options and the default option."""
+    """Elements with the number of options, the default option and the key
+    under which the options are listed."""
     return selection.attach_options(
         selection.with_criteria(rows), selection.option_summary(matched),
-        selection.CRITERIA, [*REQUEST, "position"], criteria)
+        selection.CRITERIA, [*PAIR, "position"], criteria).withColumn(
+        "options_key", F.when(F.col("is_task"), selection.options_key()))
 
 
 def option_lists(matched: DataFrame, fleet: DataFrame) -> DataFrame:
@@ -81,8 +92,8 @@ def option_lists(matched: DataFrame, fleet: DataFrame) -> DataFrame:
 
 
 def prepared_headers(elements: DataFrame) -> DataFrame:
-    """One row per request: status, and whether every task has an option."""
-    flags = selection.executable_flag(elements, [*REQUEST, "status"])
+    """One row per pair: status, and whether every task has an option."""
+    flags = selection.executable_flag(elements, [*PAIR, "status"])
     return flags.withColumn("executable", F.when(F.col("status") == 200, F.col("executable")))
 
 
@@ -105,24 +116,25 @@ def _element():
 
 
 def prepared_deployments(elements: DataFrame, models: DataFrame) -> DataFrame:
-    """Deployment records of the successful requests, with `hub_id, model_id`.
+    """Deployment records of the successful pairs, with `hub_id, model_id`.
 
     A record lists the tasks of one model, so its size is that of the model.
-    Options are not repeated in every record: they are the lists of
-    `option_lists` under the hub and criteria of the element.
+    Options are not repeated in every record: `options_keys` holds, for each
+    element in turn, the key of its options.
     """
     listed = F.collect_list(F.when(F.col("is_task"), F.struct(
-        "position", _element().alias("element"))))
+        "position", _element().alias("element"), "options_key")))
     in_order = F.array_sort(listed, lambda a, b: a["position"] - b["position"])
     has_option = F.coalesce(F.col("n_options"), F.lit(0)) > 0
-    records = elements.where(F.col("status") == 200).groupBy(*REQUEST, "process_id").agg(
+    records = elements.where(F.col("status") == 200).groupBy(*PAIR, "process_id").agg(
         F.transform(in_order, lambda e: e["element"]).alias("elements"),
+        F.transform(in_order, lambda e: e["options_key"]).alias("options_keys"),
         F.bool_and(~F.col("is_task") | has_option).alias("executable"))
     ready, _ = model_ops.resolve_model(records, models)
     shaped = finalize_prepared(ready.withColumn("diagram", F.struct(
         F.col("bpmn_xml").alias("xml_raw"), F.lit("").alias("xml_deployed"),
         F.lit("").alias("svg"))), "svg_xml")
     return shaped.select(
-        *REQUEST, F.lit(CURRENT_VERSION).alias("version"), F.lit("").alias("id"),
+        *PAIR, "options_keys", F.lit(CURRENT_VERSION).alias("version"), F.lit("").alias("id"),
         F.col("process_id").alias("name"), F.lit("").alias("description"), "diagram",
         "elements", "executable", "incident_handling")

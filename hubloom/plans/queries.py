@@ -36,7 +36,9 @@ def query(function: Query) -> Query:
 # --- the flagship -----------------------------------------------------------
 
 def _fleet(spark: SparkSession, d: str) -> DataFrame:
-    return selection.hub_devices(dt.hub_members(spark, d), dt.devices(spark, d))
+    """Devices on hubs; the widest step, so it is written once for all its readers."""
+    return keep(spark, selection.hub_devices(
+        dt.hub_members(spark, d), dt.devices(spark, d)), "fleet")
 
 
 def _criteria(spark: SparkSession, d: str) -> DataFrame:
@@ -55,12 +57,14 @@ def _tasks_with_options(spark: SparkSession, d: str) -> DataFrame:
 def executable_deployments(spark: SparkSession, d: str) -> DataFrame:
     """Which deployments have an option for each of their tasks.
 
-    Only tasks look for options; the other elements just name deployments.
+    Only tasks look for options; the commands just name deployments, those
+    without elements too.
     """
     tasks = _tasks_with_options(spark, d).select("deployment_id", "is_task", "n_options")
-    others = dt.non_tasks(spark, d).select(
-        "deployment_id", "is_task", F.lit(None).cast("bigint").alias("n_options"))
-    return selection.executable_flag(tasks.unionByName(others), ["deployment_id"])
+    named = dt.commands(spark, d).select(
+        "deployment_id", F.lit(False).alias("is_task"),
+        F.lit(None).cast("bigint").alias("n_options"))
+    return selection.executable_flag(tasks.unionByName(named), ["deployment_id"])
 
 
 # --- sources and sinks ------------------------------------------------------
@@ -95,23 +99,25 @@ def rejected_bodies(spark: SparkSession, d: str) -> DataFrame:
     return json_docs.decode_json(_props_bodies(spark, d), _PROPS)[1]
 
 
-def _keyed_commands(spark: SparkSession, d: str, action: str = "remove") -> DataFrame:
+def _action_commands(spark: SparkSession, d: str, action: str) -> DataFrame:
     return lifecycle.action_commands(
         dt.actions(spark, d), dt.sync_metadata(spark, d), action)[0]
 
 
 @query
 def written_commands(spark: SparkSession, d: str) -> DataFrame:
-    """Remove commands written twice under one run id and read back."""
+    """Commands of three actions in one table: the removals written twice, a run
+    of starts that a rerun without any empties, and the deployments."""
     path = shared_dir(spark, "commands")
-    rows = _keyed_commands(spark, d).select(
-        F.lit("run-1").alias("run_id"), F.lit("remove").alias("action"),
-        F.col("network_id").cast("string").alias("network_id"),
-        F.col("engine_id").cast("string").alias("engine_id"), "command_key")
-    write_commands(rows, path)
-    write_commands(rows, path)
-    return read_commands(spark, path).select(
-        "run_id", "action", "network_id", "engine_id", "command_key")
+    removals = _action_commands(spark, d, "remove")
+    starts = _action_commands(spark, d, "start")
+    write_commands(removals, path, "run-1", "remove")
+    write_commands(removals, path, "run-1", "remove")
+    write_commands(starts, path, "run-1", "start")
+    write_commands(starts, path, "run-2", "start")
+    write_commands(starts.limit(0), path, "run-2", "start")
+    write_commands(create.deploy_commands(_created(spark, d), "run-1"), path, "run-1", "deploy")
+    return read_commands(spark, path).drop("body")
 
 
 # --- validation -------------------------------------------------------------
@@ -144,11 +150,7 @@ def flattened_elements(spark: SparkSession, d: str) -> DataFrame:
 @query
 def import_checks(spark: SparkSession, d: str) -> DataFrame:
     records = dt.deployment_records(spark, d).select(
-        "request_id", F.transform(F.filter(
-            F.col("deployment.elements"),
-            lambda e: e["conditional_event"]["selection"]["selected_import_id"].isNotNull()),
-            lambda e: e["conditional_event"]["selection"]["selected_import_id"],
-        ).alias("import_ids"))
+        "request_id", create.selected_imports(F.col("deployment.elements")).alias("import_ids"))
     return validation.import_policy(records).drop("import_ids")
 
 
@@ -191,9 +193,8 @@ def resolved_models(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def attached_local_devices(spark: SparkSession, d: str) -> DataFrame:
-    requests = (dt.load(spark, d, "lineitem").where(F.col("l_returnflag") == "A")
-                .select("l_orderkey", *dt.LINE_ORDER[:3],
-                        F.col("l_suppkey").cast("string").alias("hub_id")))
+    requests = dt.load(spark, d, "lineitem").select(
+        "l_orderkey", *dt.LINE_ORDER[:3], F.col("l_suppkey").cast("string").alias("hub_id"))
     return selection.local_devices(requests, dt.hub_records(spark, d)).select(
         "l_orderkey", "l_linenumber", "l_partkey", "hub_id", "status",
         F.array_join("local_devices", ",").alias("local_devices"))
@@ -201,7 +202,10 @@ def attached_local_devices(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def devices_of_hubs(spark: SparkSession, d: str) -> DataFrame:
-    return _fleet(spark, d)
+    """Parts on each supplier's lines, shipped or not."""
+    members = dt.load(spark, d, "lineitem").select(
+        F.col("l_suppkey").alias("hub_id"), F.col("l_partkey").alias("local_id"))
+    return selection.hub_devices(members, dt.devices(spark, d))
 
 
 @query
@@ -214,7 +218,7 @@ def devices_of_hub_records(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def selection_request_rows(spark: SparkSession, d: str) -> DataFrame:
-    elements = (dt.elements(spark, d).where(F.col("is_task") | F.col("is_event"))
+    elements = (dt.elements(spark, d)
                 .withColumn("bpmn_id", F.concat_ws("_", F.lit("Task"), "l_linenumber", "l_partkey"))
                 .drop("is_task"))
     rows = selection.selection_requests(elements)
@@ -331,7 +335,7 @@ def process_parameters(spark: SparkSession, d: str) -> DataFrame:
 @query
 def requests_per_path(spark: SparkSession, d: str) -> DataFrame:
     rows = logs.requests_by_path(dt.request_log(spark, d))
-    return rows.select("path", "chunk", F.array_size("bodies").alias("n_bodies"),
+    return rows.select("path", "chunk", "part", F.array_size("bodies").alias("n_bodies"),
                        F.md5(F.array_join("bodies", "\n").cast("binary")).alias("bodies_md5"))
 
 
@@ -396,9 +400,10 @@ def posted_preparations(spark: SparkSession, d: str) -> DataFrame:
     requests, posted, rejects = prepare.posted_requests(dt.posted_bodies(spark, d))
     rows = prepare.request_elements(
         requests, prepare.element_table(spark, posted), dt.known_hubs(spark, d))
-    headers = prepare.prepared_headers(_with_options(spark, d, rows))
+    headers = prepare.answered(
+        requests, prepare.prepared_headers(_with_options(spark, d, rows))).drop("model_id")
     none = F.lit(None)
-    return headers.withColumnRenamed("model_id", "request_id").unionByName(rejects.select(
+    return headers.unionByName(rejects.select(
         "hub_id", "request_id", "status", F.lit(0).cast("bigint").alias("n_tasks"),
         F.lit(0).cast("bigint").alias("n_with_options"), none.cast("boolean").alias("executable")))
 
@@ -412,6 +417,7 @@ def _prepared_elements(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def prepared_elements(spark: SparkSession, d: str) -> DataFrame:
+    """Elements of each distinct pair of hub and model."""
     return _prepared_elements(spark, d).select(
         "hub_id", "model_id", "status", "bpmn_id", "is_task", "n_options",
         "default_device_id", "default_service_id")
@@ -419,26 +425,29 @@ def prepared_elements(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def prepared_requests(spark: SparkSession, d: str) -> DataFrame:
-    return prepare.prepared_headers(_prepared_elements(spark, d))
+    headers = prepare.prepared_headers(_prepared_elements(spark, d))
+    return prepare.answered(dt.prepare_requests(spark, d), headers)
 
 
 @query
 def prepared_deployments(spark: SparkSession, d: str) -> DataFrame:
-    rows = prepare.prepared_deployments(
-        _prepared_elements(spark, d), dt.process_models(spark, d))
+    rows = prepare.answered(dt.prepare_requests(spark, d), prepare.prepared_deployments(
+        _prepared_elements(spark, d), dt.process_models(spark, d)))
     criteria = F.transform("elements", lambda e: F.concat_ws(
         "/", e["bpmn_id"], *(e["task"]["selection"]["filter_criteria"][c]
                              for c in selection.CRITERIA[1:])))
-    return rows.select("hub_id", "model_id", "version", "name", "executable",
+    return rows.select("request_id", "hub_id", "model_id", "version", "name", "executable",
                        F.array_join(criteria, ",").alias("elements"),
+                       F.size("options_keys").alias("n_options_keys"),
                        F.col("diagram.svg").alias("svg"), "incident_handling.restart",
                        "incident_handling.notify")
 
 
 def _create_requests(spark: SparkSession, d: str) -> DataFrame:
-    return dt.command_bodies(dt.load_spread(spark, d, "orders")).select(
+    return dt.command_bodies(dt.load(spark, d, "orders"), bare=True).select(
         "request_id", F.col("user_id").cast("string").alias("user_id"),
         F.col("user_id").alias("network_id"), "body",
+        F.concat(F.lit("source-"), "user_id").alias("source"),
         F.when(F.col("request_id") == F.col("user_id"), "maybe").otherwise("true").alias("flag"))
 
 
@@ -450,19 +459,23 @@ def _own_devices(spark: SparkSession, d: str) -> DataFrame:
         F.lit(True).alias("allowed"))
 
 
+def _created(spark: SparkSession, d: str) -> DataFrame:
+    return create.create(spark, _create_requests(spark, d), _own_devices(spark, d))
+
+
 @query
 def created_deployments(spark: SparkSession, d: str) -> DataFrame:
     """Raw bodies through all checks of a create request."""
-    created = create.create(spark, _create_requests(spark, d), _own_devices(spark, d))
-    return created.select("request_id", "optional_service", "status", "reason",
-                          F.array_size("deployment.elements").alias("n_elements"))
+    return _created(spark, d).select(
+        "request_id", "optional_service", "status", "reason",
+        F.array_size("deployment.elements").alias("n_elements"))
 
 
 @query
 def deploy_command_rows(spark: SparkSession, d: str) -> DataFrame:
-    created = create.create(spark, _create_requests(spark, d), _own_devices(spark, d))
-    rows = create.deploy_commands(created, "run-1")
-    return rows.select("run_id", "action", "network_id", "deployment_id",
+    rows = create.deploy_commands(_created(spark, d), "run-1")
+    return rows.select("action_id", "network_id", "deployment_id", "source",
+                       F.get_json_object("body", "$.id").alias("sent_id"),
                        F.get_json_object("body", "$.name").alias("name"),
                        F.get_json_object("body", "$.elements[0].bpmn_id").alias("first_element"))
 
@@ -510,7 +523,7 @@ def routed_commands_stream(spark: SparkSession, d: str) -> DataFrame:
         "user_id", "network_id")
     _finish(routing.route_commands_stream(messages, f"{path}/out", f"{path}/checkpoint"))
     schema = routing.route(messages).schema
-    return sinks.read_batches(spark, f"{path}/out", schema).select(
+    return sinks.read_files(spark, f"{path}/out", schema).select(
         "request_id", "network_id", F.coalesce("reason", F.lit("ok")).alias("result"), "route")
 
 
@@ -519,6 +532,7 @@ def latest_sync_stream(spark: SparkSession, d: str) -> DataFrame:
     path = shared_dir(spark, "latest-sync")
     rows = dt.engine_sync_rows(_stream(spark, d, "events"))
     _finish(sync_streams.latest_sync_stream(rows, f"{path}/out", f"{path}/checkpoint"))
+    sync_streams.compact(spark, f"{path}/out", rows.schema)
     return sync_streams.read_latest(spark, f"{path}/out", rows.schema)
 
 
@@ -529,6 +543,6 @@ def topic_activity_stream(spark: SparkSession, d: str) -> DataFrame:
         F.col("event_type").alias("topic"), F.col("ts").cast("timestamp").alias("ts"))
     counted = topics.topic_activity(messages)
     _finish(topics.topic_activity_stream(messages, f"{path}/out", f"{path}/checkpoint"))
-    return sinks.read_batches(spark, f"{path}/out", counted.schema).select(
+    return sinks.read_files(spark, f"{path}/out", counted.schema).select(
         "topic", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "n_messages")

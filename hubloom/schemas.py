@@ -102,7 +102,12 @@ HISTORIC_PROCESS_INSTANCE = _fields(
 
 TOPIC_MESSAGE = _fields(topic=_S, payload=_S, ts=TimestampType())
 
+# What is sent to hubs; a row of any action leaves what it lacks null.
+COMMAND = _fields(action_id=_S, network_id=_S, deployment_id=_S, engine_id=_S, seq=_S,
+                  command_key=_S, source=_S, body=_S, run_id=_S, action=_S)
+
 TABLES = {
+    "commands": COMMAND,
     "hubs": HUB,
     "devices": DEVICE,
     "device_types": DEVICE_TYPE,

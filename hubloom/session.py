@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,23 +44,63 @@ def build_session(app_name: str = "hubloom", master: str | None = None,
     return tune(builder.getOrCreate())
 
 
+class _Folders:
+    """Where kept rows go: the folder to use where the session names none, the
+    folders made since a job began, and whether rows are kept at all."""
+
+    fallback: str | None = None
+    made: list[str] | None = None
+    inline = False
+
+
+def use_folder(path: str) -> None:
+    """Folder for sessions without `spark.checkpoint.dir`: tests and local runs."""
+    _Folders.fallback = path
+
+
+def has_folder(spark: SparkSession) -> bool:
+    return bool(spark.conf.get("spark.checkpoint.dir", None) or _Folders.fallback)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder that every executor can reach.
 
-    It lies in the folder the cluster names in `spark.checkpoint.dir`. Only a
-    local session without that setting gets a temporary folder.
+    It lies in the folder the cluster names in `spark.checkpoint.dir`.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _Folders.fallback
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_dir()
-    return f"{base.rstrip('/')}/hubloom/{name}-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    path = f"{base.rstrip('/')}/hubloom/{name}-{uuid.uuid4().hex}"
+    if _Folders.made is not None:
+        _Folders.made.append(path)
+    return path
 
 
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="hubloom-")
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the shared folders a job made once it has ended.
+
+    Not for code that returns a frame, which may still read them.
+    """
+    outer, _Folders.made = _Folders.made, []
+    try:
+        yield
+    finally:
+        made, _Folders.made = _Folders.made, outer
+        jvm = spark._jvm
+        for path in made:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def inline() -> Iterator[None]:
+    """Plan kept rows in place, so that a query's plan shows all of it."""
+    _Folders.inline = True
+    try:
+        yield
+    finally:
+        _Folders.inline = False
 
 
 def keep(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
@@ -69,6 +109,8 @@ def keep(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     For a result that several parts of a job need: it is computed once, lost
     executors do not bring it back, and readers still prune its columns.
     """
+    if _Folders.inline:
+        return rows
     path = shared_dir(spark, name)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

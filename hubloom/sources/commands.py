@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import quote
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-def write_commands(commands: DataFrame, path: str) -> None:
-    """Append commands, one folder per `run_id` and `action`.
+from hubloom.schemas import COMMAND
+from hubloom.sources.tables import read_table
 
-    A rerun with the same `run_id` replaces the folders it writes and leaves
-    other runs alone. Files are sorted by hub, so a reader that wants one hub
-    skips row groups. No shuffle: a crowded hub is written by many tasks.
+FOLDERS = ("run_id", "action")
+
+
+def write_commands(commands: DataFrame, path: str, run_id: str, action: str) -> None:
+    """Write the commands of one action of a run to a folder of their own.
+
+    A rerun replaces that folder, also with fewer commands or none, and leaves
+    others alone. Every row has all columns of the command table. Files are
+    sorted by hub, so a reader that wants one hub skips row groups. No shuffle: a
+    crowded hub is written by many tasks.
     """
-    (commands.sortWithinPartitions("action", "network_id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_id", "action").parquet(path))
+    columns = [
+        (F.col(f.name) if f.name in commands.columns else F.lit(None)).cast(f.dataType)
+        .alias(f.name) for f in COMMAND.fields if f.name not in FOLDERS]
+    folder = "/".join(f"{name}={quote(value, safe='')}" for name, value in
+                      zip(FOLDERS, (run_id, action), strict=True))
+    (commands.select(*columns).sortWithinPartitions("network_id")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .parquet(f"{path}/{folder}"))
 
 
 def read_commands(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return read_table(spark, "commands", path)

@@ -3,7 +3,7 @@
 | fleet table | built from |
 | --- | --- |
 | hub members | part numbers a supplier shipped on `F` lines |
-| hub records | suppliers, each with its twenty home parts as local ids |
+| hub records | suppliers, with the same parts as a list of local ids |
 | devices, types, services | parts; type = brand and type; a service per size band |
 | elements | line items: `A` task, `N` conditional event, `R` message event |
 | deployment records | orders, with three elements told by status and priority |
@@ -23,28 +23,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from hubloom import schemas
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
-HOME_PARTS = 20
 DEPLOYMENTS_PER_NETWORK = 20
-PUBLISHED_UP_TO_SIZE = 45
 BROKEN_ABOVE_SIZE = 40
+GARBLED_UP_TO_SIZE = 5
+LEVELS = 9
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schemas.DRIVER_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def load_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows become far wider documents.
-
-    A file too small for as many splits as there are cores would leave the
-    reading of all its documents to a few tasks, so its narrow rows are spread
-    first. A table with enough splits is not shuffled.
-    """
-    rows = load(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
-
-
 def size_band() -> Column:
     return F.expr("cast((p_size - 1) div 10 as string)")
 
@@ -61,14 +49,19 @@ def hub_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hub_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers in credit as hub records; the others are not registered."""
-    first = F.col("s_suppkey") * HOME_PARTS
-    local_ids = F.transform(F.sequence(first, first + (HOME_PARTS - 1)),
-                            lambda i: i.cast("string"))
-    return load(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0).select(
+    """Suppliers in credit as hub records; the others are not registered.
+
+    A hub lists the parts it shipped on `F` lines, so the lists are of all
+    sizes; a supplier without such lines has none.
+    """
+    listed = (hub_members(spark, sf_dir).distinct().groupBy("hub_id")
+              .agg(F.sort_array(F.collect_list("local_id")).alias("local_ids")))
+    none = F.array().cast("array<bigint>")
+    return (load(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0)
+            .join(listed, F.col("s_suppkey") == F.col("hub_id"), "left").select(
         F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"),
         F.md5(F.col("s_name").cast("binary")).alias("hash"),
-        local_ids.alias("device_local_ids"))
+        F.coalesce("local_ids", none).cast("array<string>").alias("device_local_ids")))
 
 
 def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,12 +128,6 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return elements(spark, sf_dir).where("is_task")
 
 
-def non_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The other elements, which need no criteria and so no part."""
-    return (load(spark, sf_dir, "lineitem").where(F.col("l_returnflag") != "A")
-            .select(F.col("l_orderkey").alias("deployment_id"), F.lit(False).alias("is_task")))
-
-
 # --- deployments as records -------------------------------------------------
 
 def _null(kind) -> Column:
@@ -175,6 +162,8 @@ def _orders_as_deployments(orders: DataFrame) -> DataFrame:
         F.lit(0).cast("bigint").alias("retries"),
         F.create_map(F.lit("inputs"), F.lit("0")).alias("parameter"),
         _selection(
+            selected_import_id=F.when((status == "F") & (priority == "3-MEDIUM"),
+                                      F.lit("import-0")),
             filter_criteria=F.struct(
                 _null("string").alias("characteristic_id"), priority.alias("function_id"),
                 status.alias("device_class_id"), _null("string").alias("aspect_id")),
@@ -213,14 +202,16 @@ def _orders_as_deployments(orders: DataFrame) -> DataFrame:
 
 def deployment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create commands `request_id, user_id, version, deployment`."""
-    return _orders_as_deployments(load_spread(spark, sf_dir, "orders"))
+    return _orders_as_deployments(load(spark, sf_dir, "orders"))
 
 
-def command_bodies(orders: DataFrame) -> DataFrame:
-    """The same commands as JSON text; those of partly filled urgent orders are
-    cut off before their closing braces."""
+def command_bodies(orders: DataFrame, bare: bool = False) -> DataFrame:
+    """The same commands as JSON text, or their bare deployments; those of partly
+    filled urgent orders are cut off before their closing braces."""
     records = _orders_as_deployments(orders)
-    body = F.to_json(F.struct("version", "deployment"))
+    none = F.struct(F.col("version").alias("version"))
+    body = F.to_json(F.struct("version", "deployment")) if not bare else F.coalesce(
+        F.to_json("deployment"), F.to_json(none))
     cut = F.get("deployment.elements", F.lit(0))["name"] == "1-URGENT"
     partly = F.exists("deployment.elements", lambda e: e["name"] == "P")
     text = F.when(cut & partly, F.rtrim(body, F.lit("}"))).otherwise(body)
@@ -237,7 +228,7 @@ def _task_xml(number: int, name: Column, payload: Column | None) -> Column:
                   F.lit("</camunda:inputParameter>"), *params]
     return F.concat(
         F.lit('<bpmn:serviceTask id="Task_'), "p_partkey", F.lit(f'_{number}" name="'), name,
-        F.lit('" camunda:type="external" camunda:topic="pessimistic">'
+        F.lit('" camunda:type="external" camunda:topic="field-job">'
               "<bpmn:extensionElements><camunda:inputOutput>"),
         *params,
         F.lit("</camunda:inputOutput></bpmn:extensionElements></bpmn:serviceTask>"))
@@ -247,54 +238,72 @@ def _quoted(text: Column) -> Column:
     return F.concat(F.lit('"'), text, F.lit('"'))
 
 
+def _at_depth(depth: Column, inner: Column) -> Column:
+    """`inner` within that many containers, of three kinds in turn."""
+    kinds = [("subProcess", "transaction", "adHocSubProcess")[k % 3] for k in range(LEVELS)]
+    opening = F.array(*(F.lit(f'<bpmn:{kind} id="Sub_{k}">') for k, kind in enumerate(kinds)))
+    closing = F.array(*(F.lit(f"</bpmn:{kind}>") for kind in kinds))
+    return F.concat(F.array_join(F.slice(opening, 1, depth), ""), inner,
+                    F.array_join(F.reverse(F.slice(closing, 1, depth)), ""))
+
+
 def process_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An XML text per part up to a size: a task, for `SMALL` a second one in a
-    sub-process, for `MEDIUM` one without payload. Large `PROMO` texts break off."""
+    """An XML text per part: a task, for `SMALL` a second one in up to eight
+    containers by size, for `MEDIUM` one without payload. Large `PROMO` texts
+    break off; the payloads of the smallest `LARGE` ones are no JSON."""
     first = F.concat(
         F.lit('{"function": {"id": '), _quoted(F.col("p_brand")),
         F.lit('}, "device_class": {"id": '), _quoted(F.col("p_type")),
         F.lit('}, "aspect": null, "characteristic_id": '), _quoted(size_band()),
-        F.lit(', "input": 0, "retries": '), F.col("p_size").cast("string"), F.lit("}"))
+        F.lit(', "input": 0, "retries": '), F.col("p_size").cast("string"),
+        F.when((F.col("p_type") == "LARGE") & (F.col("p_size") <= GARBLED_UP_TO_SIZE),
+               F.lit("")).otherwise(F.lit("}")))
     second = F.concat(
         F.lit('{"function": {"id": '), _quoted(F.col("p_brand")),
         F.lit('}, "device_class": null, "aspect": {"id": '), _quoted(size_band()),
         F.lit('}, "characteristic_id": "c", "retries": 0}'))
-    extra = F.when(F.col("p_type") == "SMALL", F.concat(
-        F.lit('<bpmn:subProcess id="Sub">'), _task_xml(1, F.lit("inner"), second),
-        F.lit("</bpmn:subProcess>"))).when(
+    extra = F.when(F.col("p_type") == "SMALL", _at_depth(
+        F.col("p_size") % LEVELS, _task_xml(1, F.lit("inner"), second))).when(
         F.col("p_type") == "MEDIUM", _task_xml(2, F.lit("plain"), None)).otherwise(F.lit(""))
     broken = (F.col("p_type") == "PROMO") & (F.col("p_size") > BROKEN_ABOVE_SIZE)
     xml = F.concat(
         F.lit('<?xml version="1.0" encoding="UTF-8"?>'
               '<bpmn:definitions xmlns:bpmn="http://www.omg.org/spec/BPMN/20100524/MODEL" '
-              'xmlns:camunda="http://camunda.org/schema/1.0/bpmn" id="Definitions_1">'
+              'xmlns:camunda="http://camunda.org/schema/1.0/bpmn" id="defs">'
               '<bpmn:process id="process" isExecutable="true"><bpmn:startEvent id="Start"/>'),
         _task_xml(0, F.col("p_name"), first), extra,
         F.when(broken, F.lit("")).otherwise(F.lit("</bpmn:process>")),
         F.lit("</bpmn:definitions>"))
-    return (load_spread(spark, sf_dir, "part").where(F.col("p_size") <= PUBLISHED_UP_TO_SIZE)
-            .select(F.col("p_partkey").alias("model_id"), xml.alias("bpmn_xml"),
-                    F.concat(F.lit("<svg>"), "p_name", F.lit("</svg>")).alias("svg_xml")))
+    return load(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("model_id"), xml.alias("bpmn_xml"),
+        F.concat(F.lit("<svg>"), "p_name", F.lit("</svg>")).alias("svg_xml"))
 
 
 def posted_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each model posted to the hub it is at home on; bodies of `LARGE` models of
-    the biggest size lack their closing brace."""
+    """Models posted to each hub that shipped them on untaxed lines; bodies of
+    `LARGE` models of the biggest size lack their closing brace."""
     body = F.to_json(F.struct(F.col("bpmn_xml").alias("xml"), F.col("svg_xml").alias("svg")))
     sizes = load(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("model_id"),
-        ((F.col("p_type") == "LARGE") & (F.col("p_size") == PUBLISHED_UP_TO_SIZE)).alias("cut"))
-    return process_models(spark, sf_dir).join(sizes, "model_id").select(
-        F.col("model_id").alias("request_id"),
-        F.expr(f"model_id div {HOME_PARTS}").alias("hub_id"),
-        F.when(F.col("cut"), F.rtrim(body, F.lit("}"))).otherwise(body).alias("body"))
+        ((F.col("p_type") == "LARGE") & (F.col("p_size") == 50)).alias("cut"))
+    models = process_models(spark, sf_dir).join(sizes, "model_id").select(
+        "model_id", F.when(F.col("cut"), F.rtrim(body, F.lit("}"))).otherwise(body).alias("body"))
+    posts = load(spark, sf_dir, "lineitem").where(F.col("l_tax") == 0).select(
+        _request_id(), F.col("l_suppkey").alias("hub_id"), F.col("l_partkey").alias("model_id"))
+    return posts.join(models, "model_id").select("request_id", "hub_id", "body")
+
+
+def _request_id() -> Column:
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias(
+        "request_id")
 
 
 def prepare_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Models asked for on hubs: the parts a supplier shipped on `O` lines."""
-    return (load(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "O")
-            .select(F.col("l_suppkey").alias("hub_id"), F.col("l_partkey").alias("model_id"))
-            .distinct())
+    """A model asked for on a hub by each `O` line; untaxed lines ask for one
+    that does not exist."""
+    asked = F.when(F.col("l_tax") == 0, -1 - F.col("l_partkey")).otherwise(F.col("l_partkey"))
+    return load(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "O").select(
+        _request_id(), F.col("l_suppkey").alias("hub_id"), asked.alias("model_id"))
 
 
 def known_hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,15 +364,18 @@ def engine_sync_rows(events: DataFrame) -> DataFrame:
 
 
 def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases as process instances; expensive ones have ended."""
+    """Purchases as process instances; expensive ones have ended. Those of odd
+    number run on networks that report nothing else."""
+    network = F.when(F.col("event_id") % 2 == 1, -1 - F.col("user_id")).otherwise(F.col("user_id"))
     return load(spark, sf_dir, "events").where(F.col("event_type") == "purchase").select(
-        F.col("user_id").alias("network_id"), (F.col("value") > 10).alias("ended"))
+        network.alias("network_id"), (F.col("value") > 10).alias("ended"))
 
 
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One action per customer; it may hit no, one or many metadata rows."""
+    """One action per customer, ten to a network; it may hit no, one or many
+    metadata rows."""
     return load(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("action_id"), F.col("c_custkey").alias("network_id"),
+        F.col("c_custkey").alias("action_id"), F.expr("c_custkey div 10").alias("network_id"),
         F.col("c_nationkey").cast("bigint").alias("deployment_id"),
         F.col("c_mktsegment").alias("segment"))
 

@@ -20,9 +20,18 @@ def models(records: DataFrame) -> DataFrame:
 
 
 def sync_rows(records: DataFrame) -> DataFrame:
-    """Sync metadata; commands to one deployment go out in engine id order."""
-    return records.select(
+    """Sync metadata; commands to one deployment go out in engine id order.
+
+    What was deployed is kept as text. `report` decides between reports of one
+    engine deployment with equal dates.
+    """
+    rows = records.select(
         "network_id", F.col("deployment_model.id").alias("deployment_id"),
         F.col("camunda_deployment_id").alias("engine_id"),
         F.col("camunda_deployment_id").alias("seq"),
-        "is_placeholder", "marked_for_delete", "sync_date")
+        "is_placeholder", "marked_for_delete", "sync_date",
+        F.to_json("deployment_model").alias("deployment_model"),
+        F.to_json("process_parameter").alias("process_parameter"))
+    return rows.withColumn("report", F.md5(F.to_json(F.struct(
+        "is_placeholder", "marked_for_delete", "deployment_model", "process_parameter"))
+        .cast("binary")))

@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from hubloom.operators.validation import validate_deployments
 from hubloom.plans.create import BODY
 from hubloom.sources.json_docs import decode
-from hubloom.streaming.sinks import write_batches
+from hubloom.sources.commands import write_commands
+from hubloom.streaming.sinks import Trigger, append_files, write_batches
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 
@@ -30,6 +31,27 @@ def route(messages: DataFrame) -> DataFrame:
         F.when(reason.isNull(), ACCEPTED).otherwise(REJECTED).alias("route"))
 
 
-def route_commands_stream(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """One write per batch; accepted and rejected rows are folders of it."""
-    return write_batches(messages, path, checkpoint, change=route, partition_by=("route",))
+def accepted_commands(routed: DataFrame) -> DataFrame:
+    """Accepted messages as rows of the command table."""
+    return routed.where(F.col("route") == ACCEPTED).select(
+        F.col("request_id").cast("string").alias("action_id"),
+        F.col("network_id").cast("string").alias("network_id"),
+        F.get_json_object("deployment", "$.id").alias("deployment_id"),
+        F.col("deployment").alias("body"))
+
+
+def route_commands_stream(messages: DataFrame, path: str, checkpoint: str,
+                          commands: str | None = None,
+                          trigger: Trigger | None = None) -> StreamingQuery:
+    """Accepted and rejected rows are folders of `path`.
+
+    With `commands`, the path of a command table, each batch's accepted rows are
+    its deploy commands under the run `route-<batch>` too.
+    """
+    if commands is None:
+        return append_files(route(messages), path, checkpoint, ("route",), trigger)
+
+    def deploy(batch: DataFrame, batch_id: int) -> None:
+        write_commands(accepted_commands(batch), commands, f"route-{batch_id}", "deploy")
+
+    return write_batches(route(messages), path, checkpoint, also=deploy, trigger=trigger)

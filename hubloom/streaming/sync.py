@@ -7,24 +7,49 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from hubloom.operators.sync import ENGINE_KEY, latest_sync
-from hubloom.streaming.sinks import read_batches, write_batches
+from hubloom.streaming.sinks import Trigger, read_batches, read_files, write_batches
 
 
-def latest_sync_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def latest_sync_stream(rows: DataFrame, path: str, checkpoint: str,
+                       trigger: Trigger | None = None) -> StreamingQuery:
     """Each batch writes the deployments whose newest row changed.
 
     State is one row per deployment and is never dropped: a deployment that has
     not reported for long is still the newest known state.
     """
-    return write_batches(latest_sync(rows, ENGINE_KEY), path, checkpoint, mode="update")
+    return write_batches(latest_sync(rows, ENGINE_KEY), path, checkpoint, "update",
+                         trigger=trigger)
 
 
-def read_latest(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The current state: the newest of all written changes."""
-    return latest_sync(read_batches(spark, path, schema), ENGINE_KEY)
+def _compacted(spark: SparkSession, path: str) -> tuple[str | None, int]:
+    """The newest whole compaction of `path` and the last batch in it."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(f"{path}-compacted")
+    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in files.listStatus(base)] if files.exists(base) else []
+    done = [(int(p.getName().partition("=")[2]), p.toString()) for p in found
+            if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    upto, newest = max(done, default=(-1, None))
+    return newest, upto
 
 
-def compact(spark: SparkSession, path: str, schema: StructType, target: str) -> None:
-    """Write the current state to a new folder, clustered by network."""
-    (read_latest(spark, path, schema).repartition("network_id", F.col("engine_id"))
-     .sortWithinPartitions("network_id").write.parquet(target))
+def read_latest(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The current state: the newest of the last compaction and all changes since."""
+    newest, upto = _compacted(spark, path)
+    rows = read_batches(spark, path, schema, upto).drop("batch_id")
+    if newest:
+        rows = rows.unionByName(read_files(spark, newest, schema))
+    return latest_sync(rows, ENGINE_KEY)
+
+
+def compact(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Write the current state beside the changes; readers then leave out the
+    batches in it. Changes of later batches are not lost: they are read as before."""
+    last = read_batches(spark, path, schema).agg(F.max("batch_id")).first()[0]
+    if last is None or last <= _compacted(spark, path)[1]:
+        return
+    newest, upto = _compacted(spark, path)
+    rows = read_batches(spark, path, schema, upto).where(F.col("batch_id") <= last).drop("batch_id")
+    if newest:
+        rows = rows.unionByName(read_files(spark, newest, schema))
+    (latest_sync(rows, ENGINE_KEY).sortWithinPartitions("network_id")
+     .write.mode("overwrite").parquet(f"{path}-compacted/upto={last}"))

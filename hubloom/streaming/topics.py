@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hubloom.streaming.sinks import write_batches
+from hubloom.streaming.sinks import Trigger, append_files
 
 WINDOW = "1 hour"
 DELAY = "10 minutes"
@@ -22,6 +22,8 @@ def topic_activity(messages: DataFrame, window: str = WINDOW, delay: str = DELAY
 
 
 def topic_activity_stream(messages: DataFrame, path: str, checkpoint: str,
-                          window: str = WINDOW, delay: str = DELAY) -> StreamingQuery:
+                          window: str = WINDOW, delay: str = DELAY,
+                          trigger: Trigger | None = None) -> StreamingQuery:
     """Windows are written once, when the watermark has passed their end."""
-    return write_batches(topic_activity(messages, window, delay), path, checkpoint)
+    return append_files(topic_activity(messages, window, delay), path, checkpoint,
+                        trigger=trigger)

@@ -7,11 +7,12 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from hubloom.session import build_session  # noqa: E402
+from hubloom.session import build_session, use_folder  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    use_folder(str(tmp_path_factory.mktemp("shared")))
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="8g",

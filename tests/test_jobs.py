@@ -4,37 +4,41 @@ import json
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from conftest import rows
 from hubloom import jobs
 from hubloom.session import shared_dir
 from hubloom.sources import records
+from hubloom.sources.commands import read_commands
 from hubloom.streaming import routing, sinks
 from hubloom.streaming import sync as sync_streams
 from test_models import document, task
 
-HUB = "urn:test:hub:9995"
+HUB = "urn:hub:mill-north"
+VALVES = ["urn:device:valve-a", "urn:device:valve-b"]
 TABLES = {
-    "hubs": [{"id": HUB, "name": "test-hub", "hash": "h",
-              "device_local_ids": ["e3a7-43", "2"]}],
+    "hubs": [{"id": HUB, "name": "north mill", "hash": "0a1b",
+              "device_local_ids": ["serial-77", "2"]},
+             {"id": "urn:hub:mill-south", "name": "south mill", "hash": "2c3d",
+              "device_local_ids": []}],
     "devices": [
-        {"id": "urn:test:device:0060", "local_id": "e3a7-43", "name": "option 1",
-         "device_type_id": "urn:test:type"},
-        {"id": "urn:test:device:0061", "local_id": "2", "name": "option 2",
-         "device_type_id": "urn:test:type"}],
+        {"id": VALVES[0], "local_id": "serial-77", "name": "inlet", "device_type_id": "valve"},
+        {"id": VALVES[1], "local_id": "2", "name": "outlet", "device_type_id": "valve"}],
     "device_types": [{
-        "id": "urn:test:type", "name": "thermostat", "device_class_id": "class-thermostat",
-        "services": [{"id": "urn:test:service", "name": "setTargetTemperatureService",
+        "id": "valve", "name": "valve", "device_class_id": "class-thermostat",
+        "services": [{"id": "urn:service:open", "name": "open by percent",
                       "interaction": "request", "function_ids": ["fn-set"],
-                      "aspect_ids": ["warmth"],
-                      "inputs": [{"id": "c", "content_variable": {"name": "t", "value": 0}}]}]}],
-    "process_models": [{"_id": "model", "name": "set_target_temp", "date": 1598876501020,
+                      "aspect_ids": ["flow"],
+                      "inputs": [{"id": "c", "content_variable": {"name": "p", "value": 0}}]}]}],
+    "process_models": [{"_id": "model", "name": "open_valve", "date": 1714550400000,
                         "bpmn_xml": document(task("Task_1")), "svgXML": "<svg/>",
                         "publish": False}],
-    "permissions": [{"user_id": "u", "kind": "devices", "id": "urn:test:device:0060",
+    "permissions": [{"user_id": "u", "kind": "devices", "id": VALVES[0],
                      "right": "x", "allowed": True}],
     "sync_metadata": [{
         "camunda_deployment_id": f"engine {i}", "network_id": HUB, "is_placeholder": False,
-        "marked_for_delete": False, "sync_date": "2024-01-01T00:00:00Z",
+        "marked_for_delete": False, "sync_date": "2024-05-01T08:00:00Z",
         "deployment_model": {"id": "deployment", "version": 3}} for i in (1, 2)],
 }
 
@@ -63,36 +67,43 @@ def run(spark):
 
 
 def test_prepare(spark, run):
-    out = run("prepare", [{"hub_id": HUB, "model_id": "model"},
-                          {"hub_id": "urn:test:hub:none", "model_id": "model"}])
+    out = run("prepare", [{"request_id": str(i), "hub_id": hub, "model_id": "model"}
+                          for i, hub in enumerate([HUB, "urn:hub:none", HUB])])
     requests = spark.read.parquet(f"{out}/answers")
-    assert rows(requests.select("hub_id", "status", "executable")) == [
-        (HUB, 200, True), ("urn:test:hub:none", 500, None)]
+    assert rows(requests.select("request_id", "status", "executable")) == [
+        ("0", 200, True), ("1", 500, None), ("2", 200, True)]
     element = spark.read.parquet(f"{out}/elements").where("is_task").first()
     assert (element.bpmn_id, element.n_options, element.default_device_id,
             element.default_service_id) == (
-        "Task_1", 2, "urn:test:device:0060", "urn:test:service")
+        "Task_1", 2, "urn:device:valve-a", "urn:service:open")
+    assert rows(spark.read.parquet(f"{out}/deployments").select("request_id")) == [("0",), ("2",)]
     deployment = spark.read.parquet(f"{out}/deployments").first()
     assert (deployment.diagram.svg, deployment.executable) == ("<svg/>", True)
     assert deployment.elements[0].bpmn_id == "Task_1"
-    options = spark.read.parquet(f"{out}/options").first().selectables
-    assert [o.device.name for o in options] == ["option 1", "option 2"]
+    option = spark.read.parquet(f"{out}/options").first()
+    assert [option.options_key] == deployment.options_keys == [element.options_key]
+    devices = spark.read.parquet(f"{out}/devices").where(
+        (F.col("hub_id") == option.hub_id) & (F.col("device_type_id") == option.device_type_id))
+    assert rows(devices.select("device_name")) == [("inlet",), ("outlet",)]
 
 
 def test_create(spark, run):
     def body(device):
-        return json.dumps({"version": 3, "deployment": {"version": 3, "name": "d", "elements": [
-            {"bpmn_id": "Task_1", "task": {"selection": {"selected_device_id": device}}}]}})
+        return json.dumps({"version": 3, "name": "d", "elements": [
+            {"bpmn_id": "Task_1", "task": {"selection": {"selected_device_id": device}}}]})
 
     def request(number, text, flag=""):
-        return {"request_id": number, "user_id": "u", "network_id": HUB, "flag": flag, "body": text}
+        return {"request_id": number, "user_id": "u", "network_id": HUB, "source": "app",
+                "flag": flag, "body": text}
 
-    out = run("create", [request("1", body("urn:test:device:0060")),
-                         request("2", body("urn:test:device:0061")), request("3", "{")])
+    out = run("create", [request("1", body("urn:device:valve-a")),
+                         request("2", body("urn:device:valve-b")), request("3", "{")])
     assert rows(spark.read.parquet(f"{out}/answers").select("request_id", "status")) == [
         ("1", 200), ("2", 403), ("3", 400)]
-    command = spark.read.parquet(f"{out}/commands").first()
-    assert (command.run_id, command.action, command.network_id) == ("r1", "deploy", HUB)
+    command = read_commands(spark, f"{out}/commands").first()
+    assert (command.run_id, command.action, command.network_id, command.source) == (
+        "r1", "deploy", HUB, "app")
+    assert json.loads(command.body)["id"] == command.deployment_id
     assert json.loads(command.body)["elements"][0]["bpmn_id"] == "Task_1"
 
 
@@ -104,9 +115,9 @@ def test_actions(spark, run, job, query, tail):
                 "query": query}
 
     out = run(job, [action("1", "deployment"), action("2", "unknown")])
-    got = spark.read.parquet(f"{out}/commands")
+    got = read_commands(spark, f"{out}/commands").where(F.col("action") == job)
     assert rows(got.select("action_id", "command_key")) == [
-        ("1", f"{job}/urn:test:hub:9995/engine%20{i}{tail}") for i in (1, 2)]
+        ("1", f"{job}/urn:hub:mill-north/engine%20{i}{tail}") for i in (1, 2)]
     assert rows(spark.read.parquet(f"{out}/idle").select("action_id", "status")) == [("2", 200)]
 
 
@@ -124,6 +135,7 @@ def test_route(spark, run):
         {"request_id": "2", "network_id": HUB, "body": json.dumps({"version": 3})},
         {"request_id": "3", "network_id": HUB, "body": "{"}]
     out = run("route", messages)
+    assert read_commands(spark, f"{out}/commands").count() == 1
     schema = routing.route(
         spark.createDataFrame([], jobs.REQUESTS["route"])).schema
     routed = sinks.read_batches(spark, f"{out}/batches", schema)
@@ -135,7 +147,7 @@ def test_sync(spark, run):
     def report(date, deleting):
         return TABLES["sync_metadata"][0] | {"sync_date": date, "marked_for_delete": deleting}
 
-    out = run("sync", [report("2024-01-02T00:00:00Z", True), report("2024-01-01T00:00:00Z", False),
+    out = run("sync", [report("2024-05-02T00:00:00Z", True), report("2024-05-01T00:00:00Z", False),
                        TABLES["sync_metadata"][1]])
     schema = records.sync_rows(spark.createDataFrame([], jobs.REQUESTS["sync"])).schema
     latest = sync_streams.read_latest(spark, f"{out}/batches", schema)

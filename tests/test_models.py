@@ -14,7 +14,7 @@ def task(bpmn_id, payload=PAYLOAD, extra='<camunda:inputParameter name="inputs">
     listed = "" if payload is None else (
         f'<camunda:inputParameter name="payload">{payload}</camunda:inputParameter>')
     return (f'<bpmn:serviceTask id="{bpmn_id}" name="set it" camunda:type="external" '
-            f'camunda:topic="pessimistic"><bpmn:extensionElements><camunda:inputOutput>'
+            f'camunda:topic="valve-job"><bpmn:extensionElements><camunda:inputOutput>'
             f"{listed}{extra}</camunda:inputOutput></bpmn:extensionElements>"
             f"<bpmn:incoming>f1</bpmn:incoming></bpmn:serviceTask>")
 
@@ -26,8 +26,14 @@ def document(*inner, tail="</bpmn:process></bpmn:definitions>", head=""):
             + "".join(inner) + tail)
 
 
-def sub(*inner):
-    return '<bpmn:subProcess id="u">' + "".join(inner) + "</bpmn:subProcess>"
+def sub(*inner, kind="subProcess"):
+    return f'<bpmn:{kind} id="u" name="a &gt; b">' + "".join(inner) + f"</bpmn:{kind}>"
+
+
+def deep(depth, inner):
+    for i in range(depth):
+        inner = sub(inner, kind=("transaction", "adHocSubProcess", "subProcess")[i % 3])
+    return inner
 
 
 DOCUMENTS = {
@@ -36,7 +42,11 @@ DOCUMENTS = {
     "none": document(),
     "no payload": document(task("T1", None)),
     "nested": document(task("T1"), sub(task("T2"), sub(task("T3")))),
-    "bad payload": document(task("T1", "{bad")),
+    "deep": document(deep(12, task("T1")), task("T2"), '<subProcess id="none"/>'),
+    "crossed": document("<bpmn:subProcess>", task("T1"), "<bpmn:transaction></bpmn:subProcess>"
+                        "</bpmn:transaction>"),
+    "bad payload": document(task("T1"), task("T2", "{bad")),
+    "blank payload": document(task("T1", "")),
     "broken": document(task("T1"), tail="</bpmn:process>"),
     "empty": "",
     "missing": None,
@@ -56,7 +66,7 @@ def test_task_fields(spark):
     row = elements.where("model_id = 'one'").first().asDict()
     assert row == {
         "model_id": "one", "position": 0, "bpmn_id": "T1", "name": "set it",
-        "topic": "pessimistic", "function_id": "fn-set", "device_class_id": "class-thermostat",
+        "topic": "valve-job", "function_id": "fn-set", "device_class_id": "class-thermostat",
         "aspect_id": None, "characteristic_id": "celsius", "retries": 2,
         "parameter": {"inputs": "0"}}
 
@@ -64,14 +74,15 @@ def test_task_fields(spark):
 def test_tasks_of_each_document(spark):
     elements, _ = extracted(spark)
     assert rows(elements.select("model_id", "position", "bpmn_id")) == [
-        ("bad payload", 0, "T1"), ("doctype", 0, "T1"), ("nested", 0, "T1"), ("nested", 1, "T2"),
+        ("deep", 0, "T1"), ("deep", 1, "T2"), ("doctype", 0, "T1"), ("nested", 0, "T1"), ("nested", 1, "T2"),
         ("nested", 2, "T3"), ("one", 0, "T1"), ("text behind", 0, "T1"), ("two", 0, "T1"),
         ("two", 1, "T2")]
 
 
 def test_unreadable_documents_are_rejected(spark):
     _, rejects = extracted(spark)
-    assert rows(rejects) == [(m, 500) for m in ("broken", "empty", "missing")]
+    assert rows(rejects) == [(m, 500) for m in (
+        "bad payload", "blank payload", "broken", "crossed", "empty", "missing")]
 
 
 def test_resolve_model(spark):

@@ -5,10 +5,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from conftest import rows
 from hubloom.operators import selection
 from hubloom.plans import create, prepare
+from hubloom.plans.queries import QUERIES
+from hubloom.session import inline
 from hubloom.sources import driver_tables as dt
 from hubloom.sources.tables import save_bucketed
 from test_models import DOCUMENTS
@@ -49,19 +50,22 @@ def test_prepare(spark):
     members = spark.createDataFrame(
         [("h1", "1"), ("h1", "2"), ("h1", "3"), ("h2", "3")], "hub_id string, local_id string")
     hubs = spark.createDataFrame([("h1",), ("h2",)], "hub_id string")
-    requests = spark.createDataFrame(
-        [("h1", "one"), ("h2", "one"), ("h1", "none"), ("h1", "broken"), ("h1", "unknown"),
-         ("h9", "one"), ("h9", "unknown"), ("h1", "nested")], "hub_id string, model_id string")
+    asked = [("h1", "one"), ("h2", "one"), ("h1", "none"), ("h1", "broken"), ("h1", "unknown"),
+             ("h9", "one"), ("h9", "unknown"), ("h1", "nested"), ("h1", "one"), ("h1", None),
+             ("h1", "bad payload"), ("h1", "deep")]
+    requests = spark.createDataFrame([(i, *pair) for i, pair in enumerate(asked)],
+                                     "request_id int, hub_id string, model_id string")
 
     found = prepare.request_elements(requests, prepare.element_table(spark, models), hubs)
     criteria, fleet, matched = prepare.match(spark, found, members, devices, services)
     elements = prepare.prepared_elements(found, criteria, matched)
     headers = prepare.prepared_headers(elements)
-    assert rows(headers.select("hub_id", "model_id", "status", "n_tasks", "executable")) == [
-        ("h1", "broken", 500, 0, None), ("h1", "nested", 200, 3, True),
-        ("h1", "none", 200, 0, True), ("h1", "one", 200, 1, True),
-        ("h1", "unknown", 404, 0, None), ("h2", "one", 200, 1, False),
-        ("h9", "one", 500, 0, None), ("h9", "unknown", 404, 0, None)]
+    answers = {r.request_id: (r.status, r.n_tasks, r.executable)
+               for r in prepare.answered(requests, headers).collect()}
+    assert answers == {
+        0: (200, 1, True), 1: (200, 1, False), 2: (200, 0, True), 3: (500, 0, None),
+        4: (404, 0, None), 5: (500, 0, None), 6: (404, 0, None), 7: (200, 3, True),
+        8: (200, 1, True), 9: (404, 0, None), 10: (500, 0, None), 11: (200, 2, True)}
     task = elements.where("hub_id = 'h1' and model_id = 'one'").first()
     assert (task.n_options, task.default_device_id, task.default_service_id) == (2, "d1", "s1")
     listed = prepare.option_lists(matched, fleet).where("hub_id = 'h1'").first()
@@ -69,18 +73,25 @@ def test_prepare(spark):
         ("d1", ["s1", "s2"]), ("d2", ["s1", "s2"])]
 
     done = prepare.prepared_deployments(elements, models)
+    repeated = prepare.answered(requests, done).where("hub_id = 'h1' and model_id = 'one'")
+    assert [(r.request_id, len(r.elements)) for r in repeated.orderBy("request_id").collect()] == [
+        (0, 1), (8, 1)]
+    keyed = done.where("hub_id = 'h1' and model_id = 'one'").first().options_keys
+    assert keyed == [task.options_key] == [
+        r[0] for r in matched.where("hub_id = 'h1' and device_class_id != ''")
+        .select(selection.options_key()).distinct().collect()]
     assert done.select("hub_id", "model_id", "executable").where("not executable").collect() == [
         ("h2", "one", False)]
     nested = done.where("model_id = 'nested'").first()
     assert [e.bpmn_id for e in nested.elements] == ["T1", "T2", "T3"]
     assert done.where("model_id = 'none'").first().elements == []
     record = done.where("hub_id = 'h1' and model_id = 'one'").select(F.to_json(
-        F.struct(*done.columns[2:]), {"ignoreNullFields": "false"})).first()[0]
+        F.struct(*done.columns[3:]), {"ignoreNullFields": "false"})).first()[0]
     assert json.loads(record) == GOLDEN
 
 
 def body(**deployment):
-    return json.dumps({"version": 3, "deployment": deployment})
+    return json.dumps({"version": 3, **deployment})
 
 
 def task(device):
@@ -99,11 +110,17 @@ def test_create(spark):
             {"conditional_event": {"selection": {"selected_device_id": "d9"}}}])),
         ("refused and invalid", "u", "", body(elements=[{"message_event": {}}, task("d9")])),
         ("message", "u", "f", body(elements=[{"message_event": {}}])),
-        ("null", "u", "", '{"version": 3, "deployment": null}'),
+        ("import", "u", "", body(elements=[
+            {"task": {"selection": {"selected_import_id": "i"}}}, {"message_event": {}}])),
+        ("blank import", "u", "", body(elements=[
+            {"conditional_event": {"selection": {"selected_import_id": ""}}}])),
+        ("refused import", "u", "", body(elements=[
+            {"task": {"selection": {"selected_import_id": "i"}}}, task("d9")])),
+        ("old", "u", "", '{"version": 2}'), ("null", "u", "", "null"),
     ]
     raw = spark.createDataFrame(
-        requests, "request_id string, user_id string, flag string, body string").withColumn(
-        "network_id", F.lit("n"))
+        requests, "request_id string, user_id string, flag string, body string").withColumns(
+        {"network_id": F.lit("n"), "source": F.lit("app")})
     permissions = spark.createDataFrame(
         [("u", "devices", "d1", "x", True)],
         "user_id string, kind string, id string, right string, allowed boolean")
@@ -113,10 +130,11 @@ def test_create(spark):
         "bad body and flag": (400, "request"), "bad flag": (400, "request"),
         "refused": (403, "access"), "refused event": (403, "access"),
         "refused and invalid": (403, "access"), "message": (500, "message"),
-        "null": (500, "none")}
+        "import": (500, "imports"), "blank import": (500, "import"),
+        "refused import": (403, "access"), "old": (500, "version"), "null": (400, "request")}
     sent = create.deploy_commands(created, "run").select(
-        "deployment_id", F.get_json_object("body", "$.name"))
-    assert rows(sent) == [("no device", "b"), ("ok", "a")]
+        "action_id", "source", F.get_json_object("body", "$.name"))
+    assert rows(sent) == [("no device", "app", "b"), ("ok", "app", "a")]
 
 
 def test_bucketed_fleet_is_joined_without_shuffle(spark, sf_dir):
@@ -136,31 +154,37 @@ def test_bucketed_fleet_is_joined_without_shuffle(spark, sf_dir):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def test_what_was_prepared_is_sent_unchanged(spark):
-    """A deployment goes out as it came in, executable or not."""
+def test_what_was_prepared_is_sent_under_a_new_id(spark):
+    """A deployment goes out as it came in, executable or not, but for its id."""
     sent = json.loads(json.dumps(GOLDEN)) | {"executable": False}
     chosen = {"selected_device_id": "d1", "selected_service_id": "s1",
               "selected_path": {"path": "temperature.level", "is_void": False}}
     sent["elements"][0]["task"]["selection"] |= chosen
     raw = spark.createDataFrame(
-        [("r", "u", "n", "true", json.dumps({"version": 3, "deployment": sent}))],
+        [("r", "u", "n", "true", json.dumps(sent))],
         "request_id string, user_id string, network_id string, flag string, body string")
     permissions = spark.createDataFrame(
         [("u", "devices", "d1", "x", True)],
         "user_id string, kind string, id string, right string, allowed boolean")
     created = create.create(spark, raw, permissions)
     assert (created.first().status, created.first().optional_service) == (200, True)
-    command = create.deploy_commands(created, "run").first()
-    assert (command.network_id, json.loads(command.body)) == ("n", sent)
+    command, again = (create.deploy_commands(created, "run").first() for _ in range(2))
+    assert command.deployment_id == again.deployment_id and len(command.deployment_id) == 36
+    assert (command.network_id, json.loads(command.body)) == (
+        "n", sent | {"id": command.deployment_id})
+    other = create.deploy_commands(created, "other run").first()
+    assert other.deployment_id != command.deployment_id
 
 
 @pytest.fixture(scope="module")
 def plans(spark, sf_dir):
-    """Physical plans as they are without the small tables being broadcast."""
+    """Whole physical plans: nothing is written on the way, and no small table is
+    broadcast."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        return {name: build(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-                for name, build in entry.queries().items() if name not in EAGER_SINKS}
+        with inline():
+            return {name: build(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+                    for name, build in QUERIES.items() if name not in EAGER_SINKS}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -49,6 +49,18 @@ def test_hub_devices(hubs, devices):
         ("hub-1", "device-60"), ("hub-1", "device-61"), ("hub-3", "device-61")]
 
 
+def test_local_ids_that_owners_share(spark):
+    members = spark.createDataFrame(
+        [(f"h{i}", "2", f"o{i % 2}") for i in range(4)],
+        "hub_id string, local_id string, owner_id string")
+    devices = spark.createDataFrame(
+        [(f"d{i}", "2", f"o{i}", "x", "t") for i in range(3)],
+        "device_id string, local_id string, owner_id string, device_name string, "
+        "device_type_id string")
+    assert rows(selection.hub_devices(members, devices).select("hub_id", "device_id")) == [
+        (f"h{i}", f"d{i % 2}") for i in range(4)]
+
+
 def test_selection_request_golden(spark):
     """The aspect becomes "", the characteristic goes, groups follow the kind."""
     elements = spark.createDataFrame(
@@ -165,21 +177,18 @@ def test_lists_are_whole_at_any_part_size(spark, part_size):
     services, devices, members, requests = frames(spark, *data)
     fleet = selection.hub_devices(members, devices)
     matched = selection.match_types(selection.criteria_counts(requests), fleet, services)
-    candidates = selection.match_candidates(matched, fleet)
-    direct = selection.assemble_selectables(
+    lists = selection.assemble_selectables(
         selection.device_options(matched, fleet), part_size=part_size).collect()
-    grouped = selection.assemble_selectables(
-        selection.group_services(candidates, selection.CRITERIA), part_size=part_size).collect()
-    for lists in (direct, grouped):
-        unpacked = [(*r[:4], o.device.id, o.device.name, s.id, s.name)
-                    for r in lists for o in r.selectables for s in o.services]
-        assert sorted(unpacked) == sorted(brute_force(*data))
-        parts = {}
-        for r in lists:
-            assert 0 <= r.part < r.n_parts
-            parts.setdefault(tuple(r[:4]), []).append(len(r.selectables))
-        for r in lists:
-            assert r.n_parts == -(-sum(parts[tuple(r[:4])]) // part_size)
+    unpacked = [(*r[:4], o.device.id, o.device.name, s.id, s.name)
+                for r in lists for o in r.selectables for s in o.services]
+    assert sorted(unpacked) == sorted(brute_force(*data))
+    parts = {}
+    for r in sorted(lists, key=lambda r: r.part):
+        assert 0 <= r.part < r.n_parts and len(r.selectables) <= part_size
+        parts.setdefault(tuple(r[:4]), []).extend(o.device.id for o in r.selectables)
+    assert all(listed == sorted(listed) for listed in parts.values())
+    for r in lists:
+        assert r.n_parts == -(-len(parts[tuple(r[:4])]) // part_size)
 
 
 def test_default_option_order(spark):

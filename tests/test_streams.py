@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from hubloom.operators.sync import latest_sync
 from hubloom.session import shared_dir
+from hubloom.sources.commands import read_commands
 from hubloom.streaming import routing, sinks, topics
 from hubloom.streaming import sync as sync_streams
 
@@ -46,8 +47,17 @@ def test_latest_sync_stream_over_two_runs(spark):
     table = spark.read.schema(SYNC).parquet(source)
     expected = rows(latest_sync(table))
     assert rows(sync_streams.read_latest(spark, f"{path}/out", table.schema)) == expected
-    sync_streams.compact(spark, f"{path}/out", table.schema, f"{path}/compact")
-    assert rows(spark.read.parquet(f"{path}/compact").select(*table.columns)) == expected
+    sync_streams.compact(spark, f"{path}/out", table.schema)
+    newest, upto = sync_streams._compacted(spark, f"{path}/out")
+    assert rows(spark.read.parquet(newest).select(*table.columns)) == expected
+    assert sinks.read_batches(spark, f"{path}/out", table.schema, upto).count() == 0
+    add_file(spark, source, sync_batch(20, 900), SYNC)
+    run()
+    expected = rows(latest_sync(spark.read.schema(SYNC).parquet(source)))
+    assert rows(sync_streams.read_latest(spark, f"{path}/out", table.schema)) == expected
+    sync_streams.compact(spark, f"{path}/out", table.schema)
+    sync_streams.compact(spark, f"{path}/out", table.schema)
+    assert rows(sync_streams.read_latest(spark, f"{path}/out", table.schema)) == expected
 
 
 def test_nothing_written_yet(spark):
@@ -76,12 +86,18 @@ def test_route_stream(spark):
         (5, "m", '{"version": 3, "deployment": {"elements": [{"message_event": {}}]}}')], schema)
     messages = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
     finish(routing.route_commands_stream(messages, f"{path}/out", f"{path}/checkpoint"))
-    routed = sinks.read_batches(spark, f"{path}/out", routing.route(messages).schema)
+    routed = sinks.read_files(spark, f"{path}/out", routing.route(messages).schema)
     assert rows(routed.select("request_id", "reason", "route")) == [
         (1, None, "accepted"), (2, "version", "rejected"), (3, "none", "rejected"),
         (4, "unreadable", "rejected"), (5, "message", "rejected")]
     sent = routed.where("route = 'accepted'").select(F.get_json_object("deployment", "$.name"))
     assert rows(sent) == [("d",)]
+    finish(routing.route_commands_stream(messages, f"{path}/both", f"{path}/other",
+                                         f"{path}/commands"))
+    again = sinks.read_batches(spark, f"{path}/both", routing.route(messages).schema)
+    assert rows(again.drop("batch_id")) == rows(routed)
+    commands = read_commands(spark, f"{path}/commands")
+    assert rows(commands.select("action", "action_id", "network_id")) == [("deploy", "1", "n")]
 
 
 TOPIC = "topic string, ts timestamp"
@@ -103,7 +119,7 @@ def test_topic_activity_closes_windows_and_drops_late_rows(spark, late_dropped):
         "latestFirst", "false").parquet(f"{path}/in")
     counted = topics.topic_activity(messages)
     finish(topics.topic_activity_stream(messages, f"{path}/out", f"{path}/checkpoint"))
-    got = sinks.read_batches(spark, f"{path}/out", counted.schema)
+    got = sinks.read_files(spark, f"{path}/out", counted.schema)
     first = got.where((F.col("topic") == "a") & (F.col("window_start") == F.lit(START))).first()
     assert first.n_messages == (2 if late_dropped else 3)
     assert got.where(F.col("window_end") > F.lit(at(390))).count() == 0

@@ -8,6 +8,7 @@ from conftest import rows
 from hubloom import schemas
 from hubloom.operators import logs, sync
 from hubloom.session import shared_dir
+from hubloom.sources import records
 from hubloom.sources.tables import read_table
 
 
@@ -25,10 +26,23 @@ def test_network_summary_counts_rows_that_are_both(spark):
         [("n", True, True, 1), ("n", False, False, 3), ("n", True, False, 2),
          ("m", False, True, 5)],
         "network_id string, is_placeholder boolean, marked_for_delete boolean, sync_date int")
-    instances = spark.createDataFrame([("n", True), ("n", False)],
+    instances = spark.createDataFrame([("n", True), ("n", False), ("only instances", False)],
                                       "network_id string, ended boolean")
     assert rows(sync.network_summary(frame, instances)) == [
-        ("m", 1, 0, 1, 0, 5, 0, 0), ("n", 3, 2, 1, 1, 3, 2, 1)]
+        ("m", 1, 0, 1, 0, 5, 0, 0), ("n", 3, 2, 1, 1, 3, 2, 1),
+        ("only instances", 0, 0, 0, 0, None, 1, 1)]
+
+
+def test_equal_dates_are_decided_by_the_report(spark):
+    record = '{"camunda_deployment_id": "e", "network_id": "n", "is_placeholder": %s, ' \
+             '"sync_date": "2024-01-01T00:00:00Z", "deployment_model": {"id": "d"}}'
+    got = set()
+    for order in (("true", "false"), ("false", "true")):
+        path = shared_dir(spark, "test-ties")
+        spark.createDataFrame([(record % o,) for o in order], "value string").write.text(path)
+        table = records.sync_rows(read_table(spark, "sync_metadata", path, "json"))
+        got.add(tuple(sync.latest_sync(table).first()))
+    assert len(got) == 1 and '"id":"d"' in next(iter(got))[7]
 
 
 def test_parameters_are_cast_by_declared_type(spark):
@@ -53,11 +67,12 @@ def test_requests_by_path_keeps_order_across_chunks(spark):
     log = [(rng.choice(["/hot", "/hot", "/cold"]), i, f" body {i}\n") for i in range(95)]
     shuffled = rng.sample(log, len(log))
     frame = spark.createDataFrame(shuffled, "path string, seq long, body string")
-    got = logs.requests_by_path(frame, chunk=10).orderBy("path", "chunk").collect()
-    assert max(len(r.bodies) for r in got) <= 10
-    for path in ("/hot", "/cold"):
-        assert [b for r in got if r.path == path for b in r.bodies] == [
-            f"body {i}" for p, i, _ in log if p == path]
+    for size in (1 << 20, 20, 1):
+        got = logs.requests_by_path(frame, 10, size).orderBy("path", "chunk", "part").collect()
+        assert max(len(r.bodies) for r in got) <= min(10, size // 6 + 1)
+        for path in ("/hot", "/cold"):
+            assert [b for r in got if r.path == path for b in r.bodies] == [
+                f"body {i}" for p, i, _ in log if p == path]
 
 
 def test_prepare_latency_is_exact(spark):
