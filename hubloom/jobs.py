@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hubloom import schemas
 from hubloom.functions import query_values
-from hubloom.operators import commands, selection
+from hubloom.operators import access, commands, selection
 from hubloom.plans import create, lifecycle, prepare
 from hubloom.session import build_session, keep, scratch
 from hubloom.sources import records
@@ -23,7 +23,7 @@ from hubloom.streaming import routing, topics
 from hubloom.streaming import sync as sync_streams
 
 REQUESTS = {
-    "prepare": "request_id string, hub_id string, model_id string",
+    "prepare": "request_id string, user_id string, hub_id string, model_id string",
     "create": "request_id string, user_id string, network_id string, source string, "
               "flag string, body string",
     "start": "action_id string, network_id string, deployment_id string, query string",
@@ -41,17 +41,23 @@ def _table(spark: SparkSession, args, name: str) -> DataFrame:
 
 
 def run_prepare(spark: SparkSession, args, requests: DataFrame) -> None:
-    """Write the answer to every request and its `deployments`; for distinct pairs of
-    hub and model the `elements`; and the options of elements at the level they are
-    found on: `options` has, by options key, the device types with their services,
-    `devices` the devices of each type on a hub."""
+    """Write the answer to every request and its `deployments`; for distinct hubs of
+    users and models the `elements`; and the options of elements at the level they
+    are found on: `options` has, by options key, the device types with their
+    services, `devices` the devices of each type on a hub that the user may use.
+    `hub_id` is a struct of hub and user in these."""
     hubs = selection.requested_hubs(_table(spark, args, "hubs"), requests)
     models = records.models(_table(spark, args, "process_models"))
+    users = requests.select("hub_id", "user_id").distinct()
+    requests = selection.for_users(requests)
     rows = prepare.request_elements(
-        requests, prepare.element_table(spark, models, requests), records.known_hubs(hubs))
+        requests, prepare.element_table(spark, models, requests),
+        selection.for_users(records.known_hubs(hubs).join(users, "hub_id")))
     criteria, fleet, matched = prepare.match(
-        spark, rows, selection.hub_members(hubs), records.devices(_table(spark, args, "devices")),
-        selection.type_services(_table(spark, args, "device_types")))
+        spark, rows, selection.for_users(selection.hub_members(hubs).join(users, "hub_id")),
+        records.devices(_table(spark, args, "devices")),
+        selection.type_services(_table(spark, args, "device_types")),
+        access.grants(_table(spark, args, "permissions")).where("kind = 'devices'"))
     matched = keep(spark, matched, "matched")
     elements = keep(spark, prepare.prepared_elements(rows, criteria, matched), "prepared")
     for name, frame in (
@@ -109,7 +115,8 @@ def run_stream(spark: SparkSession, args, messages: DataFrame) -> None:
 
 
 JOBS = {
-    "prepare": (run_prepare, ("hubs", "devices", "device_types", "process_models")),
+    "prepare": (run_prepare, ("hubs", "devices", "device_types", "process_models",
+                             "permissions")),
     "create": (run_create, ("permissions",)),
     "start": (run_action, ("sync_metadata",)),
     "remove": (run_action, ("sync_metadata",)),

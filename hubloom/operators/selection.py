@@ -86,6 +86,22 @@ def hub_devices(members: DataFrame, devices: DataFrame) -> DataFrame:
         "hub_id", "device_id", "device_name", "device_type_id")
 
 
+def for_users(rows: DataFrame) -> DataFrame:
+    """Rows of hubs with `hub_id` as the hub of one user, a struct of both.
+
+    What a user may choose from is theirs alone, so everything that is computed
+    per hub is then computed per hub and user.
+    """
+    return rows.withColumn("hub_id", F.struct("hub_id", "user_id")).drop("user_id")
+
+
+def permitted(fleet: DataFrame, grants: DataFrame) -> DataFrame:
+    """Devices on the hubs of users that `grants`, rows of `user_id, id`, allow them."""
+    held = grants.select(F.col("user_id").alias("__user"), F.col("id").alias("__device")).distinct()
+    return fleet.join(held, (F.col("hub_id.user_id") == F.col("__user"))
+                      & (F.col("device_id") == F.col("__device")), "left_semi")
+
+
 def selection_requests(elements: DataFrame, groups_for_tasks: bool = True,
                        groups_for_events: bool = False) -> DataFrame:
     """One selection request per element, in the shape the selection expects.

@@ -186,6 +186,9 @@ FROM (SELECT *, row_number() OVER (
         PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 WHERE rn = 1"""
 
+REPORTED = """CAST(user_id AS VARCHAR) AS network_id, event_type = 'view' AS is_placeholder,
+       event_type = 'signup' AS marked_for_delete, CAST(ts AS TIMESTAMP) AS sync_date"""
+
 HUBS = """
 SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, md5(s_name) AS hash,
        coalesce(local_ids, '') AS device_local_ids
@@ -206,6 +209,55 @@ GROUP BY o_orderkey""",
     "load_hubs": """
 SELECT * FROM (""" + HUBS + """)""",
 
+    "load_devices": f"""WITH {PARTS}
+SELECT CAST(p_partkey AS VARCHAR) AS id, 'local ' || p_partkey AS local_id, p_name AS name,
+       dtype AS device_type_id
+FROM parts""",
+
+    "load_device_types": f"""WITH {PARTS}
+SELECT DISTINCT dtype AS id, p_type AS device_class_id, 'service-' || band AS service_id,
+       p_brand AS function_id, band AS aspect_id
+FROM parts""",
+
+    "load_services": f"""WITH {PARTS}
+SELECT DISTINCT dtype || '/service-' || band AS id, p_brand || ' ' || band AS name,
+       p_brand AS function_ids, band AS aspect_ids, CAST(NULL AS VARCHAR) AS rdf_type
+FROM parts""",
+
+    "load_process_models": """
+SELECT CAST(p_partkey AS VARCHAR) AS _id, p_name AS name, CAST(p_size AS BIGINT) AS date,
+       p_brand AS owner, '<svg>' || p_name || '</svg>' AS svgXML, p_size > 25 AS publish
+FROM part""",
+
+    "load_permissions": """
+SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS user_id, 'devices' AS kind,
+       CAST(l_partkey AS VARCHAR) AS id, CASE l_linestatus WHEN 'F' THEN 'x' ELSE 'r' END AS right,
+       true AS allowed
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F'""",
+
+    "load_deployments": f"""WITH {DOCS}
+SELECT CAST(request_id AS VARCHAR) AS id,
+       CAST(CASE pr WHEN '5-LOW' THEN 2 ELSE 3 END AS INTEGER) AS version,
+       'deployment ' || request_id AS name,
+       CAST(CASE WHEN bare THEN 0 ELSE 3 END AS INTEGER) AS n_elements,
+       CASE WHEN NOT bare THEN CAST(o_custkey AS VARCHAR) END AS device_id, '<raw/>' AS xml_raw
+FROM docs WHERE NOT missing""",
+
+    "load_sync_metadata": f"""
+SELECT CAST(event_id AS VARCHAR) AS camunda_deployment_id,
+       'deployment ' || event_id % 20 AS deployment_id, {REPORTED} FROM events""",
+
+    "load_process_instances": f"""
+SELECT CAST(event_id AS VARCHAR) AS id, event_type AS businessKey, value > 10 AS ended, {REPORTED}
+FROM events""",
+
+    "load_historic_process_instances": f"""
+SELECT CAST(event_id AS VARCHAR) AS id, value AS durationInMillis, event_type AS state, {REPORTED}
+FROM events""",
+
+    "load_topic_messages": """
+SELECT event_type AS topic, props AS payload, CAST(ts AS TIMESTAMP) AS ts FROM events""",
+
     "decoded_bodies": """
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k
 FROM events WHERE event_type <> 'error'""",
@@ -488,6 +540,42 @@ SELECT r.request_id, r.hub_id, r.model_id, status, n_tasks, n_with_options,
        CASE WHEN status = 200 THEN n_tasks = n_with_options END AS executable
 FROM requests r JOIN headers h ON h.hub_id = r.hub_id AND h.model_id = r.model_id""",
 
+    "prepared_for_users": f"""WITH {MODELS.replace("FROM lineitem WHERE l_linestatus = 'O')",
+    "FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linestatus = 'O')").replace(
+    "l_suppkey AS hub_id,", "l_suppkey AS hub_id, o_custkey AS user_id,")}, {MODEL_TASKS},
+{FLEET}, granted AS (
+  SELECT DISTINCT o_custkey AS user_id, l_partkey AS device_id
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+  WHERE o_orderstatus = 'F' AND l_linestatus = 'F'),
+rows AS (
+  SELECT r.hub_id, r.user_id, r.model_id, t.bpmn_id,
+         CASE WHEN m.model_id IS NULL THEN 404
+              WHEN NOT m.readable OR s.s_suppkey IS NULL THEN 500 ELSE 200 END AS status,
+         coalesce(t.function_id, '') AS f, coalesce(t.device_class_id, '') AS c,
+         coalesce(t.aspect_id, '') AS a
+  FROM (SELECT DISTINCT hub_id, user_id, model_id FROM requests) r
+  LEFT JOIN models m ON m.model_id = r.model_id
+  LEFT JOIN mtasks t ON t.model_id = r.model_id
+  LEFT JOIN supplier s ON s.s_suppkey = r.hub_id AND s.s_acctbal >= 0),
+offered AS (
+  SELECT DISTINCT r.hub_id, r.user_id, r.model_id, r.bpmn_id
+  FROM rows r JOIN granted g ON g.user_id = r.user_id
+  JOIN fleet d ON d.hub_id = r.hub_id AND d.device_id = g.device_id
+  JOIN svc s ON s.dtype = d.dtype
+  WHERE status = 200 AND bpmn_id IS NOT NULL AND (f = '' OR f = s.p_brand)
+    AND (c = '' OR c = s.p_type) AND (a = '' OR a = s.band)),
+headers AS (
+  SELECT r.hub_id, r.user_id, r.model_id, status,
+         count(*) FILTER (WHERE status = 200 AND r.bpmn_id IS NOT NULL) AS n_tasks,
+         count(o.bpmn_id) AS n_with_options
+  FROM rows r LEFT JOIN offered o ON o.hub_id = r.hub_id AND o.user_id = r.user_id
+    AND o.model_id = r.model_id AND o.bpmn_id = r.bpmn_id AND status = 200
+  GROUP BY ALL)
+SELECT r.request_id, r.hub_id, r.user_id, r.model_id, status, n_tasks, n_with_options,
+       CASE WHEN status = 200 THEN n_tasks = n_with_options END AS executable
+FROM requests r JOIN headers h ON h.hub_id = r.hub_id AND h.user_id = r.user_id
+  AND h.model_id = r.model_id""",
+
     "prepared_deployments": f"""WITH {PREPARED}
 SELECT r.request_id, r.hub_id, r.model_id, 3 AS version, 'process' AS name,
        n_tasks = n_with_options AS executable, elements,

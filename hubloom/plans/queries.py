@@ -79,6 +79,35 @@ def load_hubs(spark: SparkSession, d: str) -> DataFrame:
                        F.array_join("device_local_ids", ",").alias("device_local_ids"))
 
 
+def _typed(name: str, *columns: str) -> None:
+    """Register a typed read of records of one table, written as JSON."""
+    def load(spark: SparkSession, d: str) -> DataFrame:
+        path = shared_dir(spark, name)
+        dt.stored_records(spark, d)[name].write.json(path)
+        return read_table(spark, name, path, "json").selectExpr(*columns)
+
+    load.__name__ = f"load_{name}"
+    load.__doc__ = f"Typed read of the table {name}, written as JSON."
+    query(load)
+
+
+_REPORTED = ("network_id", "is_placeholder", "marked_for_delete",
+             "cast(sync_date as timestamp_ntz) as sync_date")
+_typed("devices", "id", "local_id", "name", "device_type_id")
+_typed("device_types", "id", "device_class_id", "inline(transform(services, s -> struct("
+       "s.id as service_id, get(s.function_ids, 0) as function_id, get(s.aspect_ids, 0) as aspect_id)))")
+_typed("services", "id", "name", "array_join(function_ids, ',') as function_ids",
+       "array_join(aspect_ids, ',') as aspect_ids", "rdf_type")
+_typed("process_models", "_id", "name", "date", "owner", "svgXML", "publish")
+_typed("permissions", "user_id", "kind", "id", "right", "allowed")
+_typed("deployments", "id", "version", "name", "array_size(elements) as n_elements",
+       "get(elements, 0).task.selection.selected_device_id as device_id", "diagram.xml_raw")
+_typed("sync_metadata", "camunda_deployment_id", "deployment_model.id as deployment_id", *_REPORTED)
+_typed("process_instances", "id", "businessKey", "ended", *_REPORTED)
+_typed("historic_process_instances", "id", "durationInMillis", "state", *_REPORTED)
+_typed("topic_messages", "topic", "payload", "cast(ts as timestamp_ntz) as ts")
+
+
 def _props_bodies(spark: SparkSession, d: str) -> DataFrame:
     """Event properties as bodies; those of errors have lost their brace."""
     cut = F.when(F.col("event_type") == "error", F.rtrim("props", F.lit("}")))
@@ -429,6 +458,24 @@ def prepared_requests(spark: SparkSession, d: str) -> DataFrame:
     return prepare.answered(dt.prepare_requests(spark, d), headers)
 
 
+@query
+def prepared_for_users(spark: SparkSession, d: str) -> DataFrame:
+    """The same requests, each offered only what its user may use."""
+    asked = dt.user_requests(spark, d)
+    users = asked.select("hub_id", "user_id").distinct()
+    requests = selection.for_users(asked)
+    rows = prepare.request_elements(
+        requests, prepare.element_table(spark, dt.process_models(spark, d)),
+        selection.for_users(dt.known_hubs(spark, d).join(users, "hub_id")))
+    criteria, _, matched = prepare.match(
+        spark, rows, selection.for_users(dt.hub_members(spark, d).join(users, "hub_id")),
+        dt.devices(spark, d), dt.services(spark, d), access.grants(dt.permissions(spark, d)))
+    headers = prepare.prepared_headers(prepare.prepared_elements(rows, criteria, matched))
+    return prepare.answered(requests, headers).select(
+        "request_id", "hub_id.hub_id", "hub_id.user_id", "model_id", "status", "n_tasks",
+        "n_with_options", "executable")
+
+
 @query
 def prepared_deployments(spark: SparkSession, d: str) -> DataFrame:
     rows = prepare.answered(dt.prepare_requests(spark, d), prepare.prepared_deployments(

@@ -306,6 +306,15 @@ def prepare_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         _request_id(), F.col("l_suppkey").alias("hub_id"), asked.alias("model_id"))
 
 
+def user_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same requests by the customers whose orders they are on."""
+    customers = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("__order"), F.col("o_custkey").alias("user_id"))
+    requests = prepare_requests(spark, sf_dir).withColumn(
+        "__order", F.substring_index("request_id", "-", 1))
+    return requests.join(customers, "__order").drop("__order")
+
+
 def known_hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (load(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0)
             .select(F.col("s_suppkey").alias("hub_id")))
@@ -418,3 +427,52 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latency_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "events").select(
         F.col("user_id").alias("hub_id"), F.col("value").alias("ms"))
+
+
+# --- records as services store them -----------------------------------------
+
+def stored_records(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Rows of the record tables by name, as far as the tables at hand fill them."""
+    parts, events = load(spark, sf_dir, "part"), load(spark, sf_dir, "events")
+    part, event = F.col("p_partkey").cast("string"), F.col("event_id").cast("string")
+    at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    network = F.col("user_id").cast("string").alias("network_id")
+    reported = [network, (F.col("event_type") == "view").alias("is_placeholder"),
+                (F.col("event_type") == "signup").alias("marked_for_delete"),
+                at.alias("sync_date")]
+    service = F.struct(
+        F.col("service_id").alias("id"), F.col("service_name").alias("name"), "function_ids",
+        "aspect_ids")
+    return {
+        "devices": parts.select(
+            part.alias("id"), F.concat(F.lit("local "), part).alias("local_id"),
+            F.col("p_name").alias("name"), _device_type_id().alias("device_type_id")),
+        "device_types": services(spark, sf_dir).groupBy(
+            F.col("device_type_id").alias("id"), "device_class_id").agg(
+            F.sort_array(F.collect_list(service)).alias("services")),
+        "services": services(spark, sf_dir).select(
+            F.concat_ws("/", "device_type_id", "service_id").alias("id"),
+            F.col("service_name").alias("name"), "function_ids", "aspect_ids"),
+        "process_models": parts.select(
+            part.alias("_id"), F.col("p_name").alias("name"),
+            F.col("p_size").cast("bigint").alias("date"), F.col("p_brand").alias("owner"),
+            F.concat(F.lit("<svg>"), "p_name", F.lit("</svg>")).alias("svgXML"),
+            (F.col("p_size") > 25).alias("publish")),
+        "permissions": permissions(spark, sf_dir).select(
+            F.col("user_id").cast("string").alias("user_id"), "kind",
+            F.col("id").cast("string").alias("id"), "right", "allowed").distinct(),
+        "deployments": deployment_records(spark, sf_dir).where(
+            F.col("deployment").isNotNull()).select("deployment.*"),
+        "sync_metadata": events.select(
+            event.alias("camunda_deployment_id"), *reported, F.struct(F.concat(
+                F.lit("deployment "), F.col("event_id") % DEPLOYMENTS_PER_NETWORK).alias("id"))
+            .alias("deployment_model")),
+        "process_instances": events.select(
+            event.alias("id"), F.col("event_type").alias("businessKey"),
+            (F.col("value") > 10).alias("ended"), *reported),
+        "historic_process_instances": events.select(
+            event.alias("id"), F.col("value").alias("durationInMillis"),
+            F.col("event_type").alias("state"), *reported),
+        "topic_messages": events.select(
+            F.col("event_type").alias("topic"), F.col("props").alias("payload"), at.alias("ts")),
+    }

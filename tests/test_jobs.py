@@ -34,8 +34,9 @@ TABLES = {
     "process_models": [{"_id": "model", "name": "open_valve", "date": 1714550400000,
                         "bpmn_xml": document(task("Task_1")), "svgXML": "<svg/>",
                         "publish": False}],
-    "permissions": [{"user_id": "u", "kind": "devices", "id": VALVES[0],
-                     "right": "x", "allowed": True}],
+    "permissions": [{"user_id": user, "kind": "devices", "id": VALVES[i],
+                     "right": right, "allowed": True} for user, i, right in (
+        ("u", 0, "x"), ("v", 0, "x"), ("v", 1, "x"), ("w", 0, "r"))],
     "sync_metadata": [{
         "camunda_deployment_id": f"engine {i}", "network_id": HUB, "is_placeholder": False,
         "marked_for_delete": False, "sync_date": "2024-05-01T08:00:00Z",
@@ -67,23 +68,28 @@ def run(spark):
 
 
 def test_prepare(spark, run):
-    out = run("prepare", [{"request_id": str(i), "hub_id": hub, "model_id": "model"}
-                          for i, hub in enumerate([HUB, "urn:hub:none", HUB])])
+    out = run("prepare", [
+        {"request_id": str(i), "user_id": user, "hub_id": hub, "model_id": "model"}
+        for i, (user, hub) in enumerate([("u", HUB), ("u", "urn:hub:none"), ("v", HUB),
+                                         ("u", HUB), ("w", HUB)])])
     requests = spark.read.parquet(f"{out}/answers")
     assert rows(requests.select("request_id", "status", "executable")) == [
-        ("0", 200, True), ("1", 500, None), ("2", 200, True)]
-    element = spark.read.parquet(f"{out}/elements").where("is_task").first()
-    assert (element.bpmn_id, element.n_options, element.default_device_id,
-            element.default_service_id) == (
-        "Task_1", 2, "urn:device:valve-a", "urn:service:open")
-    assert rows(spark.read.parquet(f"{out}/deployments").select("request_id")) == [("0",), ("2",)]
-    deployment = spark.read.parquet(f"{out}/deployments").first()
+        ("0", 200, True), ("1", 500, None), ("2", 200, True), ("3", 200, True),
+        ("4", 200, False)]
+    elements = spark.read.parquet(f"{out}/elements").where("is_task")
+    assert rows(elements.select("hub_id.user_id", "n_options")) == [("u", 1), ("v", 2), ("w", None)]
+    element = elements.where("hub_id.user_id = 'v'").first()
+    assert (element.bpmn_id, element.default_device_id, element.default_service_id) == (
+        "Task_1", "urn:device:valve-a", "urn:service:open")
+    deployments = spark.read.parquet(f"{out}/deployments")
+    assert rows(deployments.select("request_id")) == [("0",), ("2",), ("3",), ("4",)]
+    deployment = deployments.where("request_id = '2'").first()
     assert (deployment.diagram.svg, deployment.executable) == ("<svg/>", True)
     assert deployment.elements[0].bpmn_id == "Task_1"
-    option = spark.read.parquet(f"{out}/options").first()
+    option = spark.read.parquet(f"{out}/options").where("hub_id.user_id = 'v'").first()
     assert [option.options_key] == deployment.options_keys == [element.options_key]
     devices = spark.read.parquet(f"{out}/devices").where(
-        (F.col("hub_id") == option.hub_id) & (F.col("device_type_id") == option.device_type_id))
+        (F.col("hub_id.user_id") == "v") & (F.col("device_type_id") == option.device_type_id))
     assert rows(devices.select("device_name")) == [("inlet",), ("outlet",)]
 
 
