@@ -122,7 +122,8 @@ class SuffixArray:
     def places(self, n: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place and index into `wanted` of every suffix that has such a rank."""
         ranks = self.rank(n)
-        known = np.zeros(int(ranks.max(initial=0)) + 1, np.int64)
+        highest = max(int(ranks.max(initial=0)), int(wanted.max(initial=0)))
+        known = np.zeros(highest + 1, np.int64)
         present = np.flatnonzero(wanted > 0)
         known[wanted[present]] = present + 1
         hits = known[ranks]

@@ -9,9 +9,10 @@ stays; the draw is a seeded hash of the document.
 Tokens are words between white space, or a column that the caller names. The topic
 is a column too, or else the register of the text, see `register`.
 
-A dimension has at most CATEGORIES categories: those with most tokens by name and
-one for all the rest. So there are at most (CATEGORIES + 1)^3 cells, and what the
-driver and the join hold is bounded by that, not by the documents.
+A dimension's categories are those with a target, the CATEGORIES with most tokens,
+and one for all the rest. So without targets there are at most (CATEGORIES + 1)^3
+cells, and what the driver and the join hold is bounded by that and by the targets,
+not by the documents.
 """
 
 from __future__ import annotations
@@ -76,11 +77,11 @@ def raked(tokens: np.ndarray, targets: list[np.ndarray], fraction: float = 1.0)
     return fitted
 
 
-def _categories(cells: DataFrame, dimension: str) -> list[str]:
-    """The CATEGORIES with most tokens; ties to the lesser name."""
+def _categories(cells: DataFrame, dimension: str, named: dict[str, float]) -> list[str]:
+    """Those with a target and the CATEGORIES with most tokens; ties to the lesser name."""
     top = (cells.groupBy(dimension).agg(F.sum("tokens").alias("tokens"))
            .orderBy(F.desc("tokens"), dimension).limit(CATEGORIES).collect())
-    return sorted(r[0] for r in top)
+    return sorted({r[0] for r in top} | set(named) - {REST})
 
 
 def calibrated(cells: DataFrame, targets: Targets, fraction: float,
@@ -91,7 +92,7 @@ def calibrated(cells: DataFrame, targets: Targets, fraction: float,
     targets gets present shares to the power EVENING. A category without a target
     in a dimension that has some keeps its present share.
     """
-    names = [[*_categories(cells, d), REST] for d in DIMENSIONS]
+    names = [[*_categories(cells, d, targets.get(d, {})), REST] for d in DIMENSIONS]
     folded = cells.select(
         *(F.when(F.col(d).isin(n[:-1]), F.col(d)).otherwise(REST).alias(d)
           for d, n in zip(DIMENSIONS, names, strict=True)), "tokens")
@@ -139,7 +140,7 @@ def mixed(docs: DataFrame, targets: Targets | None = None, fraction: float = FRA
     for n, place in zip(names, at, strict=True):
         index = index * len(n) + F.when(place == 0, len(n) - 1).otherwise(place - 1)
     spark = docs.sparkSession
-    table = F.broadcast(spark.createDataFrame(  # (CATEGORIES + 1)^3 rows at most
+    table = F.broadcast(spark.createDataFrame(  # as many rows as cells
         list(enumerate(chances.ravel().tolist())), "__cell int, chance double"))
     drawn = F.conv(F.substring(F.md5(F.concat_ws(
         ":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
