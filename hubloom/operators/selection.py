@@ -145,22 +145,31 @@ def options_key() -> Column:
     return F.md5(F.to_json(F.struct(*CRITERIA)).cast("binary"))
 
 
+def _pair(function: Column, device_class: Column) -> Column:
+    return F.concat(function, F.lit("\x1f"), device_class)
+
+
 def _lead() -> Column:
-    """The criterion that a row is looked up by: the first that is given."""
-    kinds = dict(zip(CRITERIA[1:], ("function", "class", "aspect"), strict=True))
-    lead = F.struct(F.lit("any").alias("kind"), F.lit("").alias("value"))
-    for name, kind in reversed(kinds.items()):
-        lead = F.when(F.col(name) != "", F.struct(
-            F.lit(kind).alias("kind"), F.col(name).alias("value"))).otherwise(lead)
-    return lead
+    """What a row is looked up by: function and class, or the first that is given."""
+    function, device_class, aspect = (F.col(c) for c in CRITERIA[1:])
+
+    def lead(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+
+    return (F.when((function != "") & (device_class != ""),
+                   lead("both", _pair(function, device_class)))
+            .when(function != "", lead("function", function))
+            .when(device_class != "", lead("class", device_class))
+            .when(aspect != "", lead("aspect", aspect))
+            .otherwise(lead("any", F.lit(""))))
 
 
 def service_offers(services: DataFrame, criteria: DataFrame) -> DataFrame:
     """Device types under each lead they answer to, with all their services.
 
     `services` has one row per device type and service. A type answers to each of
-    its functions, classes and aspects and to no criterion at all, so its rows are
-    the sum of these, not their product. Only leads in use are kept. All of this is
+    its functions, with and without its class, to its class, its aspects and to no
+    criterion at all, so its rows are the sum of these, not their product. Only leads in use are kept. All of this is
     catalogue-sized; the fleet has not come in yet.
     """
     nothing = F.array().cast("array<string>")
@@ -177,6 +186,8 @@ def service_offers(services: DataFrame, criteria: DataFrame) -> DataFrame:
     types = services.groupBy("device_type_id").agg(F.collect_set(service).alias("offered"))
     answers = F.array_distinct(F.concat(
         F.array(F.struct(F.lit("any").alias("kind"), F.lit("").alias("value"))),
+        leads("both", F.flatten(F.transform("offered", lambda s: F.transform(
+            s["functions"], lambda f: F.when(s["class"] != "", _pair(f, s["class"])))))),
         leads("function", F.flatten(F.transform("offered", lambda s: s["functions"]))),
         leads("class", F.transform("offered", lambda s: s["class"])),
         leads("aspect", F.flatten(F.transform("offered", lambda s: s["aspects"])))))
@@ -189,8 +200,8 @@ def match_types(criteria: DataFrame, fleet: DataFrame, services: DataFrame) -> D
     """Device types that meet each distinct criteria row, with the services that
     do, the number of devices of the type on the hub and the first of them.
 
-    Types meet criteria on the hub and one criterion, the function if there is
-    one; the others are looked at in the pairs that gives.
+    Types meet criteria on the hub and what leads; the other criteria are looked at
+    in the pairs that gives.
     """
     def meets(service) -> Column:
         return (((F.col("function_id") == "")
