@@ -17,6 +17,7 @@ A page takes time in proportion to its length, and pages are independent.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -57,7 +58,9 @@ _NAMES = {"ad", "ads", "advert", "advertisement", "adverts", "sponsor", "sponsor
           "consent", "gdpr", "banner", "popup", "modal", "newsletter", "subscribe", "signup",
           "login", "share", "sharing", "social", "related", "comment", "comments", "disqus",
           "replies", "respond", "toolbar", "pagination", "pager"}
-#: Names that mark a whole article, even where a word of them is in _NAMES.
+#: Words by which a class tells what a page has beside it, as in "with-sidebar".
+_LAYOUT = {"with", "without", "has", "no"}
+#: Elements that are the article, whatever their class.
 _CONTENT = {"article", "main"}
 _CLOSES_P = _BLOCK - {"html", "body", "head"}
 
@@ -65,27 +68,62 @@ _CLOSES_P = _BLOCK - {"html", "body", "head"}
 def _marked(attributes: str) -> bool:
     """Whether class, id or role name boilerplate."""
     for key, value in _ATTRIBUTE.findall(attributes):
-        value = _CAMEL.sub(" ", value.strip("\"'"))
-        words = set(_WORD.findall(value.lower()))
-        if words & (_ROLES if key.lower() == "role" else _NAMES):
-            return True
+        value = _CAMEL.sub("-", value.strip("\"'"))
+        known = _ROLES if key.lower() == "role" else _NAMES
+        for one in value.lower().split():
+            words = set(_WORD.findall(one))
+            if words & known and not words & _LAYOUT:
+                return True
     return False
 
 
+class _Open:
+    """Open elements, and how many of them are boilerplate or articles."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool, bool]] = []
+        self.names: Counter[str] = Counter()
+        self.boilerplate = self.articles = 0
+
+    def push(self, name: str, boilerplate: bool, article: bool) -> None:
+        self.stack.append((name, boilerplate, article))
+        self.names[name] += 1
+        self.boilerplate += boilerplate
+        self.articles += article
+
+    def close(self, name: str) -> None:
+        """Closes the innermost element of a name and what is open within it."""
+        while self.names[name]:
+            last, boilerplate, article = self.stack.pop()
+            self.names[last] -= 1
+            self.boilerplate -= boilerplate
+            self.articles -= article
+            if last == name:
+                break
+
+    def close_paragraph(self) -> None:
+        """A block ends the paragraph it stands in, unless another block is between."""
+        if self.names["p"]:
+            for name, _, _ in reversed(self.stack):
+                if name == "p":
+                    self.close("p")
+                    break
+                if name in _BLOCK:
+                    break
+
+
 def _lines(html: str) -> Iterator[tuple[str, int, bool, bool]]:
     """Text, weight, whether boilerplate and whether in an article, for each line."""
     parts: list[str] = []
-    linked = 0
-    stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, article
-    links = 0
-    at, size = 0, len(html)
+    linked = links = at = 0
+    size, opened = len(html), _Open()
 
     def flush() -> Iterator[tuple[str, int, bool, bool]]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            outside = any(s[1] for s in stack)
-            yield text, max(0, len(text) - linked), outside, any(s[2] for s in stack)
+            yield (text, max(0, len(text) - linked), opened.boilerplate > 0,
+                   opened.articles > 0)
         parts.clear()
         linked = 0
 
@@ -100,46 +138,36 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool]]:
             continue
         if token["name"] is None:
             continue
-        name = token["name"].lower()
+        name, attributes = token["name"].lower(), token["attributes"]
         if token["end"]:
             if name in _BLOCK:
                 yield from flush()
             if name == "a":
                 links = max(0, links - 1)
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-                if stack[i][2] and name not in _BLOCK:
-                    break
+            opened.close(name)
             continue
         if name in _RAW:
-            if not token["attributes"].endswith("/") or name not in ("svg", "math"):
+            if not (attributes.endswith("/") and name in ("svg", "math")):
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
                 at = end.end() if end else size
             continue
-        if name == "br" or name == "wbr":
-            parts.append(" " if name == "br" else "")
+        if name == "br":
+            parts.append(" ")
             continue
         if name in _BLOCK:
             yield from flush()
             if name in _CLOSES_P:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "p":
-                        del stack[i:]
-                        break
-                    if stack[i][0] in _BLOCK:
-                        break
+                opened.close_paragraph()
+        if name in _VOID or attributes.endswith("/"):
+            continue
         if name == "a":
             links += 1
-        if name not in _VOID and not token["attributes"].endswith("/"):
-            article = name in _CONTENT
-            if name in _BLOCK or name in _OUTSIDE:
-                boiler = (name in _OUTSIDE or not article and name not in ("html", "body")
-                          and _marked(token["attributes"]))
-                stack.append((name, boiler, article))
-            elif name in ("span", "ins", "section") and _marked(token["attributes"]):
-                stack.append((name, True, False))
+        article = name in _CONTENT
+        if name in _BLOCK or name in _OUTSIDE:
+            named = not article and name not in ("html", "body") and _marked(attributes)
+            opened.push(name, name in _OUTSIDE or named, article)
+        elif name in ("span", "ins") and _marked(attributes):
+            opened.push(name, True, False)
     yield from flush()
 
 

@@ -313,6 +313,9 @@ def test_pages(spark):
              + "more text " * 20 + "</p></div><div class='cookie-notice'>ok</div></body>")
     assert main_text(plain).split("\n\n") == [("long text " * 20).strip(), "short",
                                              ("more text " * 20).strip()]
+    named = ("<div class='page with-sidebar'><p>" + "kept words " * 9 + "</p><div class='rightSidebar'>"
+             "<p>gone</p></div><div id=userComments><p>gone too</p></div></div>")
+    assert main_text(named) == ("kept words " * 9).strip()
     odd = [(1, "u", None), (2, None, ""), (3, "u", "<p"), (4, "u", "just text &amp; more"),
            (5, "u", "<" * 5000), (6, "u", "<a '" * 2000), (None, "u", "<p>" * 20_000 + "x")]
     table = frame(spark, odd, "page_id long, url string, html string").withColumn(
