@@ -1,0 +1,51 @@
+"""One source, one text and one passage hold a third of all documents each."""
+
+import os
+import shutil
+
+import pytest
+from oracle_check import TABLES, differences, oracle_connection
+
+from hubloom.llm.oracle import ORACLE_SQL
+from hubloom.llm.queries import QUERIES
+
+CROWDED = """
+WITH d AS (SELECT *, row_number() OVER (ORDER BY doc_id) AS rn FROM documents),
+one AS (SELECT text FROM documents WHERE length(text) BETWEEN 600 AND 3000
+        ORDER BY doc_id LIMIT 1),
+item AS (SELECT text FROM benchmark ORDER BY item_id LIMIT 1)
+SELECT doc_id, CASE rn % 3 WHEN 0 THEN one.text WHEN 1 THEN d.text || ' ' || item.text
+         ELSE d.text || E'\\n' || one.text END AS text,
+       lang, CASE WHEN rn % 3 < 2 THEN 'one source' ELSE source END AS source, n_chars
+FROM d, one, item"""
+SMALL = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "7",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "13",
+}
+
+
+@pytest.fixture(scope="module")
+def crowded(sf_dir, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("crowded"))
+    source = oracle_connection(sf_dir)
+    for table in TABLES:
+        if table == "documents":
+            source.execute(f"COPY ({CROWDED}) TO '{out}/{table}.parquet' (FORMAT parquet)")
+        else:
+            shutil.copyfile(os.path.join(sf_dir, f"{table}.parquet"), f"{out}/{table}.parquet")
+    return out, oracle_connection(out)
+
+
+@pytest.mark.parametrize("name", ["op5_near_duplicates", "op8_shards", "op9_repeats",
+                                  "op10_decontamination"])
+def test_crowded_documents(spark, crowded, name):
+    before = {k: spark.conf.get(k, None) for k in SMALL}
+    for key, value in SMALL.items():
+        spark.conf.set(key, value)
+    try:
+        assert differences(QUERIES[name](spark, crowded[0]), crowded[1], ORACLE_SQL[name]) == []
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
