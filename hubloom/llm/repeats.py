@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hubloom.llm.texts import WordCodes, chunks, coded, runs, sequence_codes, word_lists
+from hubloom.llm.texts import (WordCodes, chunks, coded, mixed, runs, sequence_codes,
+                               word_lists)
 
 WINDOW, PREFIX = 20, 8
 HALF = WINDOW // 2
@@ -45,6 +46,8 @@ NO_ID = -2 ** 63
 
 LEAVES = ("part int, known boolean, ats binary, contents binary, docs binary, "
           "places binary, first binary, second binary")
+#: Places of many documents, packed; then of one.
+FOUND = "bucket int, ats binary, contents binary, docs binary, places binary"
 PLACES = "at long, content long, places binary"
 
 Arrow = Iterator[pa.RecordBatch]
@@ -154,21 +157,80 @@ class Leaves:
 _LEAVES = pa.schema([("part", pa.int32()), ("known", pa.bool_()),
                      *((n, pa.binary()) for n in ("ats", "contents", "docs", "places",
                                                   "first", "second"))])
+_FOUND = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n in (
+    "ats", "contents", "docs", "places"))])
 _PLACES = pa.schema([("at", pa.int64()), ("content", pa.int64()), ("places", pa.binary())])
 
 
-def _of_documents(ats, contents, docs, places) -> Arrow:
-    """A row for each document with its places."""
-    order = np.argsort(docs, kind="stable")
-    docs, places = docs[order], places[order].astype(np.uint32)
-    bounds = runs(docs)
-    if not len(docs):
-        return
-    which = docs[bounds[:-1]].astype(np.int64)
-    rows = [places[lo:hi].tobytes() for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(ats[which]), pa.array(contents[which]), pa.array(rows, pa.binary())],
-        schema=_PLACES)
+class Places:
+    """Places of documents, gathered to be sent on in few rows."""
+
+    def __init__(self, buckets: int) -> None:
+        self.buckets = buckets
+        self.clear()
+
+    def clear(self) -> None:
+        self.held, self.n_docs = 0, 0
+        self.ats, self.contents, self.docs, self.places = [], [], [], []
+
+    def add(self, ats, contents, docs, places) -> None:
+        self.ats.append(ats), self.contents.append(contents)
+        self.docs.append(docs.astype(np.int64) + self.n_docs)
+        self.places.append(places.astype(np.uint32))
+        self.n_docs += len(ats)
+        self.held += len(docs)
+
+    def _joined(self) -> list[np.ndarray]:
+        out = [np.concatenate(x) for x in (self.ats, self.contents, self.docs, self.places)]
+        self.clear()
+        return out
+
+    def packed(self) -> Arrow:
+        """One row for each bucket of documents."""
+        if not self.held:
+            return
+        ats, contents, docs, places = self._joined()
+        bucket = (mixed(ats.view(np.uint64) ^ contents.view(np.uint64))
+                  % np.uint64(self.buckets)).astype(np.int64)[docs]
+        order = np.argsort(bucket, kind="stable")
+        bucket, docs, places = bucket[order], docs[order], places[order]
+        bounds, rows = runs(bucket), []
+        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+            own, which = np.unique(docs[lo:hi], return_inverse=True)
+            rows.append({"bucket": int(bucket[lo]), "ats": ats[own].tobytes(),
+                         "contents": contents[own].tobytes(),
+                         "docs": which.astype(np.uint32).tobytes(),
+                         "places": places[lo:hi].tobytes()})
+        yield pa.RecordBatch.from_pylist(rows, schema=_FOUND)
+
+    def by_document(self) -> Arrow:
+        """One row for each document."""
+        if not self.held:
+            return
+        ats, contents, docs, places = self._joined()
+        order = np.lexsort((contents[docs], ats[docs]))
+        ats, contents, places = ats[docs][order], contents[docs][order], places[order]
+        new = np.ones(len(ats), bool)
+        new[1:] = (ats[1:] != ats[:-1]) | (contents[1:] != contents[:-1])
+        first = np.flatnonzero(new)
+        rows = [x.tobytes() for x in np.split(places, first[1:])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ats[first]), pa.array(contents[first]), pa.array(rows, pa.binary())],
+            schema=_PLACES)
+
+
+def _merged(batches: Arrow) -> Arrow:
+    """One row for each document, from rows in order of their bucket."""
+    held, now = Places(1), None
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["bucket"] != now:
+                yield from held.by_document()
+                now = row["bucket"]
+            held.add(*(np.frombuffer(row[n], k) for n, k in (
+                ("ats", np.int64), ("contents", np.int64), ("docs", np.uint32),
+                ("places", np.uint32))))
+    yield from held.by_document()
 
 
 def _ids(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -202,10 +264,9 @@ def _suffixes(parts: int) -> Callable[[Arrow], Arrow]:
                 flat, starts = coded(word_lists(part.column("text").to_pylist()), codes)
                 windows, picks, _ = window_anchors(flat, starts)
                 repeated = np.zeros(len(flat) + 1, bool)
-                for start, lists in zip(starts.tolist(), part.column("places").to_pylist(),
-                                        strict=False):
-                    repeated[np.frombuffer(b"".join(lists), np.uint32).astype(np.int64)
-                             + start] = True
+                for start, places in zip(starts.tolist(), part.column("places").to_pylist(),
+                                         strict=False):
+                    repeated[np.frombuffer(places, np.uint32).astype(np.int64) + start] = True
                 at = windows[repeated[picks]]
                 halves = sequence_codes(flat, HALF, 3)
                 docs = np.searchsorted(starts, at, side="right") - 1
@@ -216,54 +277,53 @@ def _suffixes(parts: int) -> Callable[[Arrow], Arrow]:
     return run
 
 
-def _repeats(all_alike: bool) -> Callable[[Arrow], Arrow]:
+def _repeats(parts: int, all_alike: bool) -> Callable[[Arrow], Arrow]:
     """Repeated leaves by document, from rows in order of their part."""
     def unpacked(row: dict) -> list[np.ndarray]:
         kinds = (np.int64, np.int64, np.uint32, np.uint32, np.uint64, np.uint64)
         names = ("ats", "contents", "docs", "places", "first", "second")
         return [np.frombuffer(row[n], k) for n, k in zip(names, kinds, strict=True)]
 
-    def subtree(leaves: Leaves) -> Arrow:
-        ats, contents, position, _, _, _, repeat = leaves.judged()
-        found = position[repeat]
-        yield from _of_documents(ats, contents, found >> np.uint64(32),
-                                 found & np.uint64(0xFFFFFFFF))
-
-    def group(rows: list[list[np.ndarray]], bit: int) -> Arrow:
+    def subtree(rows: list[list[np.ndarray]], bit: int, found: Places) -> None:
         """A longer prefix splits what is too large to sort at once."""
         if sum(len(r[2]) for r in rows) > 4 * HELD and bit:
             for side in (0, 1):
-                yield from group([[r[0], r[1], *(x[(r[4] >> np.uint64(bit - 1)) & np.uint64(1)
-                                                   == side] for x in r[2:])] for r in rows],
-                                 bit - 1)
+                subtree([[r[0], r[1], *(x[(r[4] >> np.uint64(bit - 1)) & np.uint64(1) == side]
+                                        for x in r[2:])] for r in rows], bit - 1, found)
             return
         leaves = Leaves(1, all_alike)
         for r in rows:
             leaves.add(*r)
         if leaves.held:
-            yield from subtree(leaves)
+            ats, contents, position, _, _, _, repeat = leaves.judged()
+            position = position[repeat]
+            found.add(ats, contents, position >> np.uint64(32), position & np.uint64(0xFFFFFFFF))
 
     def run(batches: Arrow) -> Arrow:
+        found = Places(parts)
         held, now = [], None
         for batch in batches:
             for row in batch.to_pylist():
                 arrays = unpacked(row)
                 if row["known"]:
-                    yield from _of_documents(*arrays[:4])
-                    continue
-                if row["part"] != now and held:
-                    yield from group(held, 48)
-                    held = []
-                now = row["part"]
-                held.append(arrays)
+                    found.add(*arrays[:4])
+                else:
+                    if row["part"] != now and held:
+                        subtree(held, 48, found)
+                        held = []
+                    now = row["part"]
+                    held.append(arrays)
+                if found.held >= HELD:
+                    yield from found.packed()
         if held:
-            yield from group(held, 48)
+            subtree(held, 48, found)
+        yield from found.packed()
     return run
 
 
-def covered(n: int, lists: list[bytes]) -> np.ndarray:
+def covered(n: int, places: bytes) -> np.ndarray:
     """Which of n words lie in the windows that start at these places."""
-    starts = np.frombuffer(b"".join(lists), np.uint32).astype(np.int64)
+    starts = np.frombuffer(places, np.uint32).astype(np.int64)
     edges = np.zeros(n + 1, np.int64)
     np.add.at(edges, starts, 1)
     np.add.at(edges, starts + WINDOW, -1)
@@ -275,11 +335,11 @@ def _kept(texts: bool) -> Callable[[Arrow], Arrow]:
         for batch in batches:
             for part in chunks(batch):
                 counts, gone, digests, kept = [], [], [], []
-                for words, lists in zip(word_lists(part.column("text").to_pylist()),
-                                        part.column("places").to_pylist(), strict=True):
+                for words, places in zip(word_lists(part.column("text").to_pylist()),
+                                         part.column("places").to_pylist(), strict=True):
                     counts.append(len(words))
-                    if lists:
-                        words = list(compress(words, (~covered(len(words), lists)).tolist()))
+                    if places:
+                        words = list(compress(words, (~covered(len(words), places)).tolist()))
                     gone.append(counts[-1] - len(words))
                     left = b" ".join(words)
                     digests.append(hashlib.sha256(left).hexdigest())
@@ -295,17 +355,21 @@ def _kept(texts: bool) -> Callable[[Arrow], Arrow]:
 
 
 def _parts(read: DataFrame) -> int:
+    """Groups of suffixes: a power of two that follows the size of the corpus, and
+    enough for every task of a shuffle."""
     size = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    least = int(read.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = 1
-    while parts < MOST_GROUPS and parts * GROUP_BYTES < size:
+    while parts < MOST_GROUPS and (parts * GROUP_BYTES < size or parts < least):
         parts *= 2
     return parts
 
 
-def _by_document(leaves: DataFrame, all_alike: bool) -> DataFrame:
+def _by_document(leaves: DataFrame, parts: int, all_alike: bool) -> DataFrame:
     found = (leaves.repartition("part").sortWithinPartitions("part")
-             .mapInArrow(_repeats(all_alike), PLACES))
-    return found.groupBy("at", "content").agg(F.collect_list("places").alias("places"))
+             .mapInArrow(_repeats(parts, all_alike), FOUND))
+    return (found.repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(_merged, PLACES))
 
 
 def without_repeats(docs: DataFrame, texts: bool = True) -> DataFrame:
@@ -322,9 +386,9 @@ def without_repeats(docs: DataFrame, texts: bool = True) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("at"),
         F.xxhash64("text").alias("content"), F.col("text").cast("binary").alias("text"))
     parts = _parts(read)
-    picked = _by_document(read.mapInArrow(_picked(parts), LEAVES), True)
+    picked = _by_document(read.mapInArrow(_picked(parts), LEAVES), parts, True)
     near = read.join(picked, ["at", "content"])
-    repeated = _by_document(near.mapInArrow(_suffixes(parts), LEAVES), False)
+    repeated = _by_document(near.mapInArrow(_suffixes(parts), LEAVES), parts, False)
     rows = read.join(repeated, ["at", "content"], "left")
     return rows.mapInArrow(_kept(texts), "doc_id long, n_words long, n_removed long, "
                            "kept_sha256 string" + ", kept_text string" * texts)
