@@ -99,6 +99,15 @@ def option_lists(matched: DataFrame, fleet: DataFrame) -> DataFrame:
         selection.device_options(matched, fleet), sizes=sizes)
 
 
+def options_for(keys: DataFrame, matched: DataFrame, fleet: DataFrame) -> DataFrame:
+    """The option lists under the `options_key`s of some prepared elements, for the
+    caller who is about to choose."""
+    wanted = keys.select("options_key").distinct()
+    asked = matched.withColumn("options_key", selection.options_key()).join(
+        wanted, "options_key", "left_semi").drop("options_key")
+    return option_lists(asked, fleet).withColumn("options_key", selection.options_key())
+
+
 def prepared_headers(elements: DataFrame) -> DataFrame:
     """One row per pair: status, and whether every task has an option."""
     flags = selection.executable_flag(elements, [*PAIR, "status"])

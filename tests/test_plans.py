@@ -72,6 +72,13 @@ def test_prepare(spark):
     assert [(o.device.id, [s.id for s in o.services]) for o in listed.selectables] == [
         ("d1", ["s1", "s2"]), ("d2", ["s1", "s2"])]
 
+    chosen = prepare.options_for(
+        elements.where("hub_id = 'h1' and model_id = 'two'"), matched, fleet)
+    assert chosen.count() == 0
+    chosen = prepare.options_for(elements.where("hub_id = 'h1' and model_id = 'one'"), matched, fleet)
+    assert [(r.options_key, r.selectables[0].device.id, r.selectables[0].services[0].id)
+            for r in chosen.collect()] == [(task.options_key, "d1", "s1")]
+
     done = prepare.prepared_deployments(elements, models)
     repeated = prepare.answered(requests, done).where("hub_id = 'h1' and model_id = 'one'")
     assert [(r.request_id, len(r.elements)) for r in repeated.orderBy("request_id").collect()] == [
