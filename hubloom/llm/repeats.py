@@ -73,6 +73,27 @@ def window_anchors(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ..
     return windows, windows + pick[windows], codes
 
 
+def packed_places(position: np.ndarray) -> tuple[np.ndarray, bytes, bytes]:
+    """The documents of some ascending positions, places in each, and the places.
+
+    Places are steps from one to the next, written byte plane by byte plane: steps are
+    short, so all planes but one are nearly empty and shrink in a shuffle.
+    """
+    docs, counts = np.unique(position >> np.uint64(32), return_counts=True)
+    steps = np.diff((position & np.uint64(0xFFFFFFFF)).astype(np.uint32),
+                    prepend=np.uint32(0))
+    planes = np.ascontiguousarray(steps).view(np.uint8).reshape(-1, 4).T
+    return docs.astype(np.int64), counts.astype(np.uint32).tobytes(), planes.tobytes()
+
+
+def unpacked_places(counts: bytes, planes: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the document, among those packed, and place of each position."""
+    many = np.frombuffer(counts, np.uint32)
+    steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.uint32)
+    return (np.repeat(np.arange(len(many), dtype=np.uint32), many),
+            np.cumsum(steps.ravel(), dtype=np.uint32))
+
+
 class Leaves:
     """Leaves a task has met: document, place and the two halves of the label."""
 
@@ -146,11 +167,12 @@ class Leaves:
 
     @staticmethod
     def _row(part, known, ats, contents, position, first, second) -> dict:
-        docs, which = np.unique(position >> np.uint64(32), return_inverse=True)
+        order = np.argsort(position)
+        docs, counts, places = packed_places(position[order])
+        if len(first):
+            first, second = first[order], second[order]
         return {"part": part, "known": known, "ats": ats[docs].tobytes(),
-                "contents": contents[docs].tobytes(),
-                "docs": which.astype(np.uint32).tobytes(),
-                "places": (position & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
+                "contents": contents[docs].tobytes(), "docs": counts, "places": places,
                 "first": first.tobytes(), "second": second.tobytes()}
 
 
@@ -192,15 +214,14 @@ class Places:
         ats, contents, docs, places = self._joined()
         bucket = (mixed(ats.view(np.uint64) ^ contents.view(np.uint64))
                   % np.uint64(self.buckets)).astype(np.int64)[docs]
-        order = np.argsort(bucket, kind="stable")
-        bucket, docs, places = bucket[order], docs[order], places[order]
+        position = docs.astype(np.uint64) << np.uint64(32) | places
+        order = np.lexsort((position, bucket))
+        bucket, position = bucket[order], position[order]
         bounds, rows = runs(bucket), []
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-            own, which = np.unique(docs[lo:hi], return_inverse=True)
+            own, counts, steps = packed_places(position[lo:hi])
             rows.append({"bucket": int(bucket[lo]), "ats": ats[own].tobytes(),
-                         "contents": contents[own].tobytes(),
-                         "docs": which.astype(np.uint32).tobytes(),
-                         "places": places[lo:hi].tobytes()})
+                         "contents": contents[own].tobytes(), "docs": counts, "places": steps})
         yield pa.RecordBatch.from_pylist(rows, schema=_FOUND)
 
     def by_document(self) -> Arrow:
@@ -227,9 +248,8 @@ def _merged(batches: Arrow) -> Arrow:
             if row["bucket"] != now:
                 yield from held.by_document()
                 now = row["bucket"]
-            held.add(*(np.frombuffer(row[n], k) for n, k in (
-                ("ats", np.int64), ("contents", np.int64), ("docs", np.uint32),
-                ("places", np.uint32))))
+            held.add(np.frombuffer(row["ats"], np.int64), np.frombuffer(row["contents"], np.int64),
+                     *unpacked_places(row["docs"], row["places"]))
     yield from held.by_document()
 
 
@@ -280,9 +300,9 @@ def _suffixes(parts: int) -> Callable[[Arrow], Arrow]:
 def _repeats(parts: int, all_alike: bool) -> Callable[[Arrow], Arrow]:
     """Repeated leaves by document, from rows in order of their part."""
     def unpacked(row: dict) -> list[np.ndarray]:
-        kinds = (np.int64, np.int64, np.uint32, np.uint32, np.uint64, np.uint64)
-        names = ("ats", "contents", "docs", "places", "first", "second")
-        return [np.frombuffer(row[n], k) for n, k in zip(names, kinds, strict=True)]
+        return [np.frombuffer(row["ats"], np.int64), np.frombuffer(row["contents"], np.int64),
+                *unpacked_places(row["docs"], row["places"]),
+                np.frombuffer(row["first"], np.uint64), np.frombuffer(row["second"], np.uint64)]
 
     def subtree(rows: list[list[np.ndarray]], bit: int, found: Places) -> None:
         """A longer prefix splits what is too large to sort at once."""

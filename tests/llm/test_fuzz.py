@@ -10,7 +10,7 @@ from hubloom.llm.html_text import main_text
 from hubloom.llm.near_duplicates import shingle_sets
 from hubloom.llm.pii import find_personal
 from hubloom.llm.quality import STATISTICS, statistics
-from hubloom.llm.repeats import covered, window_anchors
+from hubloom.llm.repeats import covered, packed_places, unpacked_places, window_anchors
 from hubloom.llm.texts import WordCodes, coded, word_lists
 from hubloom.llm.token_counts import _in_bytes, line_spans
 
@@ -102,6 +102,14 @@ def test_suffixes_are_sorted():
     assert [order.index(x) + 1 for x in first] == ranks[there].tolist()
 
 
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 2 ** 32 - 1)), max_size=30, unique=True))
+def test_packed_places(pairs):
+    position = np.array(sorted(d << 32 | p for d, p in pairs), np.uint64)
+    docs, counts, planes = packed_places(position)
+    which, places = unpacked_places(counts, planes)
+    assert [(int(docs[w]), int(p)) for w, p in zip(which, places, strict=True)] == sorted(pairs)
+
+
 def test_cover():
     places = np.array([0, 5, 40], np.uint32).tobytes()
     assert np.flatnonzero(covered(70, places)).tolist() == [*range(25), *range(40, 60)]
