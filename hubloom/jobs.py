@@ -53,11 +53,11 @@ def run_prepare(spark: SparkSession, args, requests: DataFrame) -> None:
     rows = prepare.request_elements(
         requests, prepare.element_table(spark, models, requests),
         selection.for_users(records.known_hubs(hubs).join(users, "hub_id")))
+    grants = access.grants(_table(spark, args, "permissions")).where("kind = 'devices'")
+    fleet = selection.user_devices(
+        selection.hub_members(hubs), records.devices(_table(spark, args, "devices")), grants, users)
     criteria, fleet, matched = prepare.match(
-        spark, rows, selection.for_users(selection.hub_members(hubs).join(users, "hub_id")),
-        records.devices(_table(spark, args, "devices")),
-        selection.type_services(_table(spark, args, "device_types")),
-        access.grants(_table(spark, args, "permissions")).where("kind = 'devices'"))
+        spark, rows, fleet, selection.type_services(_table(spark, args, "device_types")))
     matched = keep(spark, matched, "matched")
     elements = keep(spark, prepare.prepared_elements(rows, criteria, matched), "prepared")
     for name, frame in (

@@ -95,11 +95,19 @@ def for_users(rows: DataFrame) -> DataFrame:
     return rows.withColumn("hub_id", F.struct("hub_id", "user_id")).drop("user_id")
 
 
-def permitted(fleet: DataFrame, grants: DataFrame) -> DataFrame:
-    """Devices on the hubs of users that `grants`, rows of `user_id, id`, allow them."""
-    held = grants.select(F.col("user_id").alias("__user"), F.col("id").alias("__device")).distinct()
-    return fleet.join(held, (F.col("hub_id.user_id") == F.col("__user"))
-                      & (F.col("device_id") == F.col("__device")), "left_semi")
+def user_devices(members: DataFrame, devices: DataFrame, grants: DataFrame,
+                 users: DataFrame) -> DataFrame:
+    """`hub_devices` of the hubs of users: what `grants`, rows of `user_id, id`, allow.
+
+    `users` has the pairs of hub and user that are asked for. A user's few devices
+    come first, then the hubs that list them; a hub is never repeated per user.
+    """
+    held = grants.select("user_id", F.col("id").alias("device_id")).distinct()
+    own = devices.join(held, "device_id")
+    listed = members.select("hub_id", "local_id").distinct().join(own, "local_id")
+    asked = users.select("hub_id", "user_id").distinct()
+    return for_users(listed.join(asked, ["hub_id", "user_id"], "left_semi")).select(
+        "hub_id", "device_id", "device_name", "device_type_id")
 
 
 def selection_requests(elements: DataFrame, groups_for_tasks: bool = True,

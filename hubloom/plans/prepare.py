@@ -66,18 +66,10 @@ def answered(requests: DataFrame, by_pair: DataFrame) -> DataFrame:
     return asked.join(by_pair, same[0] & same[1]).select("request_id", *by_pair.columns)
 
 
-def match(spark: SparkSession, rows: DataFrame, members: DataFrame, devices: DataFrame,
-          services: DataFrame, grants: DataFrame | None = None,
-          ) -> tuple[DataFrame, DataFrame, DataFrame]:
+def match(spark: SparkSession, rows: DataFrame, fleet: DataFrame,
+          services: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Criteria of the tasks among `rows`, the devices on hubs, and the device
-    types that meet each criteria row: `(criteria, fleet, matched)`.
-
-    With `grants`, hubs are those of users (`selection.for_users`), and users are
-    offered what they may use.
-    """
-    fleet = selection.hub_devices(members, devices)
-    if grants is not None:
-        fleet = selection.permitted(fleet, grants)
+    types that meet each criteria row: `(criteria, fleet, matched)`."""
     fleet = keep(spark, fleet, "fleet")
     criteria = keep(spark, selection.criteria_counts(rows.where("is_task")), "criteria")
     return criteria, fleet, selection.match_types(criteria, fleet, services)

@@ -418,8 +418,8 @@ def command_keys(spark: SparkSession, d: str) -> DataFrame:
 # --- whole request paths ----------------------------------------------------
 
 def _with_options(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
-    criteria, _, matched = prepare.match(
-        spark, rows, dt.hub_members(spark, d), dt.devices(spark, d), dt.services(spark, d))
+    fleet = selection.hub_devices(dt.hub_members(spark, d), dt.devices(spark, d))
+    criteria, _, matched = prepare.match(spark, rows, fleet, dt.services(spark, d))
     return prepare.prepared_elements(rows, criteria, matched)
 
 
@@ -467,9 +467,9 @@ def prepared_for_users(spark: SparkSession, d: str) -> DataFrame:
     rows = prepare.request_elements(
         requests, prepare.element_table(spark, dt.process_models(spark, d)),
         selection.for_users(dt.known_hubs(spark, d).join(users, "hub_id")))
-    criteria, _, matched = prepare.match(
-        spark, rows, selection.for_users(dt.hub_members(spark, d).join(users, "hub_id")),
-        dt.devices(spark, d), dt.services(spark, d), access.grants(dt.permissions(spark, d)))
+    fleet = selection.user_devices(dt.hub_members(spark, d), dt.devices(spark, d),
+                                   access.grants(dt.permissions(spark, d)), users)
+    criteria, _, matched = prepare.match(spark, rows, fleet, dt.services(spark, d))
     headers = prepare.prepared_headers(prepare.prepared_elements(rows, criteria, matched))
     return prepare.answered(requests, headers).select(
         "request_id", "hub_id.hub_id", "hub_id.user_id", "model_id", "status", "n_tasks",

@@ -57,7 +57,8 @@ def test_prepare(spark):
                                      "request_id int, hub_id string, model_id string")
 
     found = prepare.request_elements(requests, prepare.element_table(spark, models), hubs)
-    criteria, fleet, matched = prepare.match(spark, found, members, devices, services)
+    criteria, fleet, matched = prepare.match(
+        spark, found, selection.hub_devices(members, devices), services)
     elements = prepare.prepared_elements(found, criteria, matched)
     headers = prepare.prepared_headers(elements)
     answers = {r.request_id: (r.status, r.n_tasks, r.executable)
