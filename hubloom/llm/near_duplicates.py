@@ -161,8 +161,9 @@ def _sizes_allow(one: str, other: str) -> Column:
 def _class_texts(read: DataFrame, known: DataFrame, wanted: DataFrame) -> DataFrame:
     """One text of each wanted class, found by its row's id and content hashes."""
     at = F.struct("a", "b", F.coalesce("doc_id", F.lit(-2 ** 63)).alias("at"))
-    holders = (known.join(wanted, "class", "left_semi").groupBy("class")
-               .agg(F.min(at).alias("row")).select("class", "row.*"))
+    # Copies are combined before they are dealt out; a semi-join would go below that.
+    holders = (known.groupBy("class").agg(F.min(at).alias("row")).join(wanted, "class")
+               .select("class", "row.*"))
     rows = read.withColumn("at", F.coalesce("doc_id", F.lit(-2 ** 63)))
     return (rows.join(holders, ["a", "b", "at"]).select("class", "text")
             .dropDuplicates(["class"]))
@@ -264,7 +265,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     found = _rooted(classes.select("class", "least"), roots)
     smallest = found.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = found.join(smallest, "root").select("class", "component_id")
+    # Written, so that the join to all documents can split a class of many copies.
+    of_class = keep(spark, found.join(smallest, "root").select("class", "component_id"),
+                    "components")
     out = features.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
