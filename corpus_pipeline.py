@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from hubloom.llm.decontaminate import matched
 from hubloom.llm.mixing import mixed
-from hubloom.llm.near_duplicates import near_duplicates
+from hubloom.llm.near_duplicates import one_of_each
 from hubloom.llm.quality import scored
 from hubloom.llm.sharding import sharded
 from hubloom.session import keep
@@ -37,12 +37,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group; those without words too.
-
-    Rows with a null doc_id stay, as nothing tells them apart.
-    """
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """One row of each group, that of the least doc_id; documents without words too."""
+    return one_of_each(docs)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -230,19 +230,19 @@ def _cross_pairs(unsettled: DataFrame, known: DataFrame, fine: DataFrame) -> Dat
     return met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, class_id for each row of `docs`.
+def _text_hashes(a: str = "a", b: str = "b") -> list[Column]:
+    return [F.xxhash64("text").alias(a), F.xxhash64(F.lit(7), "text").alias(b)]
 
-    component_id is the least doc_id reachable over links, itself included; kept
-    marks the document that has it. Reads doc_id and text, whatever else there
-    is. A null text has no words. Rows with one doc_id are one document only if
-    their sets are equal; a null doc_id is linked like any other, but is never a
-    component_id, and its `kept` is null. An empty table gives an empty result.
+
+def _with_components(docs: DataFrame) -> DataFrame:
+    """doc_id, a, b, n_shingles, class, root, component_id for each row of `docs`.
+
+    a and b are hashes of the text. root names the component; it is null, as are
+    class and component_id, for a row without words.
     """
     spark = docs.sparkSession
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("binary").alias("text"),
-                       F.xxhash64("text").alias("a"), F.xxhash64(F.lit(7), "text").alias("b"))
+                       F.col("text").cast("binary").alias("text"), *_text_hashes())
     features = keep(spark, read.mapInArrow(_features, FEATURES), "features")
     known = features.where("class is not null")
     # What a class has follows from its set, so any of its rows will do.
@@ -266,10 +266,59 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = _rooted(classes.select("class", "least"), roots)
     smallest = found.groupBy("root").agg(F.min("least").alias("component_id"))
     # Written, so that the join to all documents can split a class of many copies.
-    of_class = keep(spark, found.join(smallest, "root").select("class", "component_id"),
+    of_class = keep(spark, found.join(smallest, "root").select("class", "root", "component_id"),
                     "components")
-    out = features.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
+    return (features.select("doc_id", "a", "b", "n_shingles", "class")
+            .join(of_class, "class", "left"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, class_id for each row of `docs`.
+
+    component_id is the least doc_id reachable over links, itself included; kept
+    marks the document that has it. Reads doc_id and text, whatever else there
+    is. A null text has no words. Rows with one doc_id are one document only if
+    their sets are equal; a null doc_id is linked like any other, but is never a
+    component_id, and its `kept` is null. An empty table gives an empty result.
+    """
+    out = _with_components(docs)
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       (F.col("doc_id") == component).alias("kept"),
                       F.lower(F.hex("class")).alias("class_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` that stay: one of each component.
+
+    It is the row with the least doc_id (nulls last), then the least text hashes, then
+    the least other columns, in their order; of rows equal in all, one. Rows without
+    words are linked with nothing: those with one doc_id are one document, those with
+    a null doc_id all stay.
+    """
+    spark = docs.sparkSession
+    rows = _with_components(docs)
+    group = F.coalesce(F.hex("root"), F.concat(F.lit("id "), F.col("doc_id").cast("string")),
+                       F.concat_ws(" ", F.lit("text"), "a", "b"))
+    unlinked = F.col("root").isNull() & F.col("doc_id").isNull()
+    same = (rows.groupBy(group.alias("group"), "doc_id", "a", "b")
+            .agg(F.count("*").alias("n"), F.first(unlinked).alias("unlinked")))
+    first = same.groupBy("group").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "a", "b",
+        F.when(F.col("unlinked"), 1).otherwise(F.col("n")).alias("n"))).alias("row"))
+    staying = keep(spark, first.select(
+        F.col("row.a").alias("__a"), F.col("row.b").alias("__b"), F.col("row.no_id").alias("__no_id"),
+        F.coalesce("row.doc_id", F.lit(0)).alias("__id"), F.col("row.n").alias("__n")), "staying")
+    place = ["__a", "__b", "__no_id", "__id"]
+    known = docs.select(*(F.col(f"`{c}`") for c in docs.columns), *_text_hashes("__a", "__b"),
+                        F.col("doc_id").isNull().alias("__no_id"),
+                        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__id"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one = known.join(staying.where("__n = 1").drop("__n"), place, "left_semi").select(*columns)
+    several = staying.where("__n > 1").drop("__n")
+    if several.isEmpty():
+        return one
+    # Copies are combined before they are dealt out, as far as a task has them.
+    least = (known.join(several, place, "left_semi").groupBy(*place)
+             .agg(F.min(F.struct(*columns)).alias("row")))
+    return one.unionAll(least.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns)))
