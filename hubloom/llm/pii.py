@@ -10,7 +10,8 @@ Base kinds, leftmost and without overlap within a kind:
 Added kinds, kept when their score reaches LEAST_SCORE: a checksum or a nearby
 context word (within NEARBY code points, in any of several languages) raises it.
 
-- iban   two letters, two digits, 11 to 30 letters or digits, passing mod-97
+- iban   two letters, two digits, 11 to 30 letters or digits, passing mod-97; of the
+         ends at a space, the one by the country's length, else the last that passes
 - ssn    `ddd-dd-dddd` outside the ranges that are never given out; needs context
 - local  a phone number without a plus; needs context
 
@@ -40,7 +41,9 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 _DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN_START = re.compile(r"\b[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
+_IBAN_REST = re.compile(r"(?:\x20?[A-Z0-9]){11,30}")
+_ALNUM = re.compile(r"[A-Za-z0-9]")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL = re.compile(r"(?<![0-9+.])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])")
 _PERSONAL = re.compile(r"[0-9@]")
@@ -51,6 +54,15 @@ CONTEXT = {
     "local": re.compile(r"phone|\btel|call|mobile|fax|telefon|téléphone|teléfono", re.I),
 }
 
+#: Letters and digits of an IBAN, by country.
+_IBAN_LENGTHS = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+
 Span = tuple[int, int, str]
 
 
@@ -110,13 +122,35 @@ def phones(text: str) -> Iterator[Span]:
             yield run.start(), run.end(), "phone"
 
 
-def _iban_length(found: str) -> int:
-    """Length of the longest part, up to a space, that passes mod-97; else 0."""
-    while len(found.replace(" ", "")) >= 15:
-        if passes_mod97(found.replace(" ", "")):
-            return len(found)
-        found = found.rpartition(" ")[0]
-    return 0
+def _iban_ends(text: str, start: int) -> Iterator[int]:
+    """Where an IBAN from `start` passes mod-97 and ends, the last such end first."""
+    rest = _IBAN_REST.match(text, start + 4)
+    while rest:
+        end = rest.end()
+        if not _ALNUM.match(text, end) and passes_mod97(text[start:end].replace(" ", "")):
+            yield end
+        # The next end before a space; none is within a word.
+        space = text.rfind(" ", start + 4, end)
+        rest = _IBAN_REST.fullmatch(text, start + 4, space) if space >= 0 else None
+
+
+def ibans(text: str, taken: bytearray) -> Iterator[tuple[int, int]]:
+    """IBANs that overlap nothing taken, nor each other.
+
+    Those of their country's length come first, so that no chance match takes a part.
+    """
+    starts = [m.start() for m in _IBAN_START.finditer(text)]
+    ends = [list(_iban_ends(text, s)) for s in starts]
+    taken = taken[:]
+    for by_country in (True, False):
+        for start, passing in zip(starts, ends, strict=True):
+            length = _IBAN_LENGTHS.get(text[start:start + 2])
+            for end in passing:
+                fits = len(text[start:end].replace(" ", "")) == length
+                if fits >= by_country and not any(taken[start:end]):
+                    taken[start:end] = b"\1" * (end - start)
+                    yield start, end
+                    break
 
 
 def _score(text: str, kind: str, start: int, end: int, confirmed: bool) -> float:
@@ -126,29 +160,25 @@ def _score(text: str, kind: str, start: int, end: int, confirmed: bool) -> float
 
 def added(text: str, base: list[Span]) -> Iterator[tuple[int, int, str, float]]:
     """Spans of the added kinds that reach LEAST_SCORE and overlap no base span."""
-    proposals = [("iban", m) for m in _IBAN.finditer(text)]
-    proposals += [("ssn", m) for m in _SSN.finditer(text)]
+    proposals = [("ssn", m) for m in _SSN.finditer(text)]
     proposals += [("local", m) for m in _LOCAL.finditer(text)]
-    taken = bytearray(len(text) if proposals else 0)
-    for start, end, _ in base if proposals else ():
+    accounts = _IBAN_START.search(text)
+    taken = bytearray(len(text) if proposals or accounts else 0)
+    for start, end, _ in base if proposals or accounts else ():
         taken[start:end] = b"\1" * (end - start)
+    for start, end in ibans(text, taken) if accounts else ():
+        score = _score(text, "iban", start, end, True)
+        if score >= LEAST_SCORE:
+            yield start, end, "iban", score
     for kind, m in proposals:
         start, end = m.span()
         if any(taken[start:end]):
             continue
-        if kind == "iban":
-            length = _iban_length(m[0])
-            if not length:
-                continue
-            end = start + length
-            score = _score(text, kind, start, end, True)
-        elif kind == "ssn":
+        if kind == "ssn":
             area, group, serial = m[0].split("-")
             if area in ("000", "666") or area >= "900" or group == "00" or serial == "0000":
                 continue
-            score = _score(text, kind, start, end, False)
-        else:
-            score = _score(text, kind, start, end, False)
+        score = _score(text, kind, start, end, False)
         if score >= LEAST_SCORE:
             yield start, end, kind, score
 

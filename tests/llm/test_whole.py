@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline
+from hubloom.llm.pii import find_personal, passes_mod97
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -43,3 +46,34 @@ def test_rows_without_words(spark):
             (2, None, "en", "s", None), (None, "", "en", "s", 0), (None, "", "en", "s", 0)]
     got = kept_rows(spark, rows)
     assert sorted(str(r[0]) for r in got) == ["1", "2", "None", "None"]
+
+
+def ibans_of(text):
+    return [text[s:e] for s, e, kind, _ in find_personal(text)[1] if kind == "iban"]
+
+
+def test_ibans_beside_others():
+    de, gb, ip = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "192.168.1.1"
+    assert ibans_of(f"{de} {gb}") == [de, gb]
+    assert ibans_of(f"PO12 {gb}") == [gb]
+    assert ibans_of(f"{de} {ip}") == [de]
+    assert [k for _, _, k in find_personal(f"{de} {ip}")[0]] == ["ip"]
+    assert ibans_of(f"{gb} AB12 CD34 EF56") == [gb]
+    assert ibans_of(" ".join([de, gb] * 20)) == [de, gb] * 20
+    solid = de.replace(" ", "")
+    assert ibans_of(f"({solid}) {solid}x {solid}") == [solid, solid]
+
+
+def test_ibans_by_any_end():
+    """Each start takes an end that passes; the plain version tries all."""
+    draw = random.Random(5)
+    for _ in range(300):
+        words = ["".join(draw.choices("AB12", k=draw.randint(1, 9))) for _ in range(12)]
+        text = " ".join(words)
+        found = ibans_of(text)
+        at = 0
+        for iban in found:
+            at = text.index(iban, at)
+            assert passes_mod97(iban.replace(" ", "")) and 15 <= len(iban.replace(" ", "")) <= 34
+            assert not text[at + len(iban):at + len(iban) + 1].isalnum()
+            at += len(iban)
