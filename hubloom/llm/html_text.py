@@ -2,14 +2,16 @@
 
 1. Markup is stripped; every block element starts a new line. Scripts, styles and
    other elements without text of the page are left out.
-2. A line's weight is its length outside links. Lines in menus, headers, footers,
-   sidebars, notices, adverts, forms and reader comments (by element, role, class or
-   id) weigh nothing; so do lines outside the article where the page marks one.
+2. Lines in menus, headers, footers, sidebars, notices, adverts, forms and reader
+   comments (by element, role, class or id) are taken out, and so are lines outside
+   the article where the page marks one. A line's weight is its length outside links,
+   in a marked article its whole length.
 3. The weights are summed over windows of WINDOW lines. Text surges where a window
-   rises from nothing to at least SURGE, and dives where the sums return to nothing;
-   lines between a surge and its dive are kept, without those that are boilerplate.
-   Where the page marks its article, any weight is a surge. Where it does not, only
-   regions with at least SHARE of the heaviest region's weight are text.
+   rises from nothing to at least SURGE, and dives where the sums return to nothing.
+   What lies between is kept, whatever its links, with linked headings and paragraphs
+   within a window of it. So is weaker text in the same container as a surge, and a
+   list of links between kept lines of one container. On a page without a surge any
+   weight is one.
 
 A page takes time in proportion to its length, and pages are independent.
 """
@@ -20,6 +22,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +33,6 @@ from hubloom.llm.texts import chunks
 
 WINDOW = 3
 SURGE = 60
-SHARE = 0.2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -62,6 +65,9 @@ _NAMES = {"ad", "ads", "advert", "advertisement", "adverts", "sponsor", "sponsor
 _LAYOUT = {"with", "without", "has", "no"}
 #: Elements that are the article, whatever their class.
 _CONTENT = {"article", "main"}
+#: Elements that group lines; a line's container is the innermost.
+_CONTAINERS = {"article", "main", "section", "div", "td", "th", "dialog", "details"}
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 _CLOSES_P = _BLOCK - {"html", "body", "head"}
 
 
@@ -77,19 +83,41 @@ def _marked(attributes: str) -> bool:
     return False
 
 
+class _Line(NamedTuple):
+    text: str
+    #: Length outside links.
+    weight: int
+    boilerplate: bool
+    article: bool
+    container: int
+    heading: bool
+    listed: bool
+
+
 class _Open:
-    """Open elements, and how many of them are boilerplate or articles."""
+    """Open elements, how many of them are boilerplate or articles, and all containers.
+
+    A container has its parent's number and its first line and the one behind its last;
+    number 0 is the page.
+    """
 
     def __init__(self) -> None:
         self.stack: list[tuple[str, bool, bool]] = []
         self.names: Counter[str] = Counter()
-        self.boilerplate = self.articles = 0
+        self.boilerplate = self.articles = self.lines = 0
+        self.parents, self.first, self.behind = [0], [0], [-1]
+        self.inside = [0]
 
     def push(self, name: str, boilerplate: bool, article: bool) -> None:
         self.stack.append((name, boilerplate, article))
         self.names[name] += 1
         self.boilerplate += boilerplate
         self.articles += article
+        if name in _CONTAINERS:
+            self.parents.append(self.inside[-1])
+            self.inside.append(len(self.first))
+            self.first.append(self.lines)
+            self.behind.append(-1)
 
     def close(self, name: str) -> None:
         """Closes the innermost element of a name and what is open within it."""
@@ -98,6 +126,8 @@ class _Open:
             self.names[last] -= 1
             self.boilerplate -= boilerplate
             self.articles -= article
+            if last in _CONTAINERS:
+                self.behind[self.inside.pop()] = self.lines
             if last == name:
                 break
 
@@ -112,18 +142,19 @@ class _Open:
                     break
 
 
-def _lines(html: str) -> Iterator[tuple[str, int, bool, bool]]:
-    """Text, weight, whether boilerplate and whether in an article, for each line."""
+def _lines(html: str, opened: _Open) -> Iterator[_Line]:
     parts: list[str] = []
     linked = links = at = 0
-    size, opened = len(html), _Open()
+    size = len(html)
 
-    def flush() -> Iterator[tuple[str, int, bool, bool]]:
+    def flush() -> Iterator[_Line]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            yield (text, max(0, len(text) - linked), opened.boilerplate > 0,
-                   opened.articles > 0)
+            opened.lines += 1
+            yield _Line(text, max(0, len(text) - linked), opened.boilerplate > 0,
+                        opened.articles > 0, opened.inside[-1],
+                        any(opened.names[h] for h in _HEADINGS), opened.names["li"] > 0)
         parts.clear()
         linked = 0
 
@@ -171,10 +202,11 @@ def _lines(html: str) -> Iterator[tuple[str, int, bool, bool]]:
     yield from flush()
 
 
-def _regions(weights: list[int], least: int) -> list[tuple[int, int]]:
-    """From each surge to its dive, ends exclusive.
+def _regions(weights: list[int], least: int) -> list[tuple[int, int, bool]]:
+    """From each surge to its dive, ends exclusive, and whether it rose to `least`.
 
-    Sums run over WINDOW lines from each line on.
+    Sums run over WINDOW lines from each line on; a region has no lines without weight
+    at its ends.
     """
     sums = [sum(weights[i:i + WINDOW]) for i in range(len(weights))]
     regions, start, risen = [], -1, False
@@ -184,26 +216,81 @@ def _regions(weights: list[int], least: int) -> list[tuple[int, int]]:
         if start >= 0 and total >= least:
             risen = True
         if not total and start >= 0:
-            if risen:
-                regions.append((start, i))
+            while not weights[start]:
+                start += 1
+            regions.append((start, i, risen))
             start = -1
     return regions
 
 
+def _surges(weights: list[int]) -> list[tuple[int, int, bool]]:
+    """Regions; where none rises to SURGE, any weight is a surge."""
+    regions = _regions(weights, SURGE)
+    return regions if any(r[2] for r in regions) else [(a, b, True) for a, b, _ in regions]
+
+
+def _container(start: int, end: int, lines: list[_Line], opened: _Open,
+               first: list[int], behind: list[int]) -> int:
+    """The innermost container of all lines from start to end, or around it those
+    that hold nothing else, with the one that holds more; the page only if need be."""
+    at = lines[start].container
+    while at and behind[at] < end:
+        at = opened.parents[at]
+    while opened.parents[at] and first[at] >= start and behind[at] <= end:
+        at = opened.parents[at]
+    return at
+
+
+def _widened(start: int, end: int, lines: list[_Line]) -> tuple[int, int]:
+    """With the linked lines within a window: headings before, and paragraphs beside."""
+    a, b = start, end
+    while a > max(0, start - WINDOW + 1) and not lines[a - 1].listed and (
+            lines[a - 1].heading or lines[a - 1].container == lines[start].container):
+        a -= 1
+    while b < min(len(lines), end + WINDOW - 1) and not lines[b].listed and (
+            lines[b].container == lines[end - 1].container):
+        b += 1
+    return a, b
+
+
+def _kept(lines: list[_Line], weights: list[int], at: list[int], opened: _Open) -> list[bool]:
+    """Which lines are text; `at` has the place among them of each line of the page."""
+    first = [at[i] for i in opened.first]
+    behind = [at[i] if i >= 0 else len(lines) for i in opened.behind]
+    regions = _surges(weights)
+    near = [0] * (len(lines) + 1)
+    for start, end, risen in regions:
+        if risen:
+            held = _container(start, end, lines, opened, first, behind)
+            near[first[held]] += 1
+            near[behind[held]] -= 1
+    near = list(accumulate(near))
+    kept, last = [False] * len(lines), -1
+    for start, end, risen in regions:
+        if not (risen or near[start] and near[end - 1]):
+            last = -1
+            continue
+        a, b = _widened(start, end, lines)
+        if last >= 0 and {x.container for x in lines[last:start]} == {
+                lines[last].container, lines[start].container} and (
+                lines[last].container == lines[start].container):
+            a = min(a, last)
+        kept[a:b] = [True] * (b - a)
+        last = end - 1
+    return kept
+
+
 def main_text(html: str | None) -> str:
     """The page's main text: kept lines, joined by two newlines."""
-    lines = list(_lines(html or ""))
-    article = any(inside and not outside for _, _, outside, inside in lines)
-    if article:
-        weights = [len(text) if inside and not outside else 0
-                   for text, _, outside, inside in lines]
-        regions = _regions(weights, 1)
-    else:
-        weights = [0 if outside else weight for _, weight, outside, _ in lines]
-        regions = _regions(weights, SURGE) or _regions(weights, 1)
-        heaviest = max((sum(weights[a:b]) for a, b in regions), default=0)
-        regions = [(a, b) for a, b in regions if sum(weights[a:b]) >= SHARE * heaviest]
-    return "\n\n".join(lines[i][0] for a, b in regions for i in range(a, b) if weights[i])
+    opened = _Open()
+    page = list(_lines(html or "", opened))
+    chosen = [not x.boilerplate for x in page]
+    if any(x.article and not x.boilerplate for x in page):
+        chosen = [x.article and not x.boilerplate for x in page]
+    lines = [x for x, c in zip(page, chosen, strict=True) if c]
+    weights = [len(x.text) if x.article else x.weight for x in lines]
+    kept = _kept(lines, weights, [0, *accumulate(map(int, chosen))], opened)
+    return "\n\n".join(x.text for x, k in zip(lines, kept, strict=True) if k)
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import time
 
 import corpus_pipeline
+from hubloom.llm.html_text import main_text
 from hubloom.llm.pii import find_personal, passes_mod97
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -77,3 +79,37 @@ def test_ibans_by_any_end():
             assert passes_mod97(iban.replace(" ", "")) and 15 <= len(iban.replace(" ", "")) <= 34
             assert not text[at + len(iban):at + len(iban) + 1].isalnum()
             at += len(iban)
+
+
+LONG = "<p>" + "body words " * 30 + "</p>"
+LINKS = "<ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul>"
+
+
+def blocks(page):
+    return [b[:12].strip() for b in main_text(page).split("\n\n")]
+
+
+def test_links_and_adverts_do_not_end_the_text():
+    for between in (LINKS, "<div class=ad><p>Buy</p><p>this</p><p>now</p></div>"):
+        page = f"<div>{LONG * 12}{between}<p>Last words.</p></div><div>{LINKS}</div><div>(c) x</div>"
+        assert [b for b in blocks(page) if b not in ("One", "Two", "Three")] == [
+            *["body words b"] * 12, "Last words."]
+    apart = f"<div>{LONG * 12}</div><div>{LINKS}</div><div><p>{'other words ' * 8}</p></div>"
+    assert blocks(apart) == [*["body words b"] * 12, "other words"]
+    wrapped = f"<div><div>{LONG * 9}</div><div>{LINKS}</div><div><p>Bye.</p></div></div>"
+    assert blocks(wrapped) == [*["body words b"] * 9, "Bye."]
+
+
+def test_lines_that_are_a_link_are_text():
+    page = (f"<div>{LINKS}</div><div><h1><a href=/>The title</a></h1></div><div>{LONG}"
+            f"<p><a href=/r>Full report</a></p>{LONG}<p><a href=/s>Source</a></p></div>")
+    assert blocks(page) == ["The title", "body words b", "Full report", "body words b", "Source"]
+    listed = f"<div>{LONG}{LINKS}{LONG}{LINKS}</div>"
+    assert blocks(listed) == ["body words b", "One", "Two", "Three", "body words b"]
+
+
+def test_time_of_deep_pages():
+    deep = "".join(f"<div>{LINKS}<p>{'some text ' * 9}</p>" for _ in range(4000))
+    began = time.perf_counter()
+    assert len(blocks(deep)) >= 4000
+    assert time.perf_counter() - began < 20
