@@ -3,15 +3,18 @@
 1. Markup is stripped; every block element starts a new line. Scripts, styles and
    other elements without text of the page are left out.
 2. Lines in menus, headers, footers, sidebars, notices, adverts, forms and reader
-   comments (by element, role, class or id) are taken out, and so are lines outside
-   the article where the page marks one. A line's weight is its length outside links,
-   in a marked article its whole length.
+   comments (by element, role, class or id) are taken out. A line's weight is its
+   length outside links, in a marked article its whole length.
 3. The weights are summed over windows of WINDOW lines. Text surges where a window
    rises from nothing to at least SURGE, and dives where the sums return to nothing.
    What lies between is kept, whatever its links, with linked headings and paragraphs
    within a window of it. So is weaker text in the same container as a surge, and a
    list of links between kept lines of one container. On a page without a surge any
    weight is one.
+4. Where the page marks an article (article, main), that is done with its lines alone
+   and with the others alone. The heaviest region decides, one in the article counting
+   ARTICLE times: if it is the article's, only lines in articles are text; if not, the
+   mark does not hold the page's body, and step 3 takes all lines.
 
 A page takes time in proportion to its length, and pages are independent.
 """
@@ -33,6 +36,8 @@ from hubloom.llm.texts import chunks
 
 WINDOW = 3
 SURGE = 60
+#: How many times a region in a marked article counts.
+ARTICLE = 4
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -63,7 +68,7 @@ _NAMES = {"ad", "ads", "advert", "advertisement", "adverts", "sponsor", "sponsor
           "replies", "respond", "toolbar", "pagination", "pager"}
 #: Words by which a class tells what a page has beside it, as in "with-sidebar".
 _LAYOUT = {"with", "without", "has", "no"}
-#: Elements that are the article, whatever their class.
+#: Elements that mark the article.
 _CONTENT = {"article", "main"}
 #: Elements that group lines; a line's container is the innermost.
 _CONTAINERS = {"article", "main", "section", "div", "td", "th", "dialog", "details"}
@@ -195,7 +200,7 @@ def _lines(html: str, opened: _Open) -> Iterator[_Line]:
             links += 1
         article = name in _CONTENT
         if name in _BLOCK or name in _OUTSIDE:
-            named = not article and name not in ("html", "body") and _marked(attributes)
+            named = name not in ("html", "body", "main") and _marked(attributes)
             opened.push(name, name in _OUTSIDE or named, article)
         elif name in ("span", "ins") and _marked(attributes):
             opened.push(name, True, False)
@@ -280,15 +285,27 @@ def _kept(lines: list[_Line], weights: list[int], at: list[int], opened: _Open)
     return kept
 
 
+def _weight(line: _Line) -> int:
+    return len(line.text) if line.article else line.weight
+
+
+def _heaviest(page: list[_Line], chosen: list[bool]) -> int:
+    """Weight of the heaviest region of the chosen lines."""
+    weights = [_weight(x) for x, c in zip(page, chosen, strict=True) if c]
+    return max((sum(weights[a:b]) for a, b, risen in _surges(weights) if risen), default=0)
+
+
 def main_text(html: str | None) -> str:
     """The page's main text: kept lines, joined by two newlines."""
     opened = _Open()
     page = list(_lines(html or "", opened))
     chosen = [not x.boilerplate for x in page]
-    if any(x.article and not x.boilerplate for x in page):
-        chosen = [x.article and not x.boilerplate for x in page]
+    inside = [x.article and c for x, c in zip(page, chosen, strict=True)]
+    outside = [c and not i for c, i in zip(chosen, inside, strict=True)]
+    if any(inside) and ARTICLE * _heaviest(page, inside) >= _heaviest(page, outside):
+        chosen = inside
     lines = [x for x, c in zip(page, chosen, strict=True) if c]
-    weights = [len(x.text) if x.article else x.weight for x in lines]
+    weights = list(map(_weight, lines))
     kept = _kept(lines, weights, [0, *accumulate(map(int, chosen))], opened)
     return "\n\n".join(x.text for x, k in zip(lines, kept, strict=True) if k)
 

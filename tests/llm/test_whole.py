@@ -113,3 +113,19 @@ def test_time_of_deep_pages():
     began = time.perf_counter()
     assert len(blocks(deep)) >= 4000
     assert time.perf_counter() - began < 20
+
+
+def test_a_teaser_article_is_not_the_page():
+    teaser = "<section><article><p>A teaser of forty characters or so.</p></article></section>"
+    page = f"<div>{LONG * 6}</div>{teaser}<div>{LONG * 6}</div>"
+    assert blocks(page).count("body words b") == 12
+    assert blocks(f"{teaser}<div>{LONG * 6}</div>").count("body words b") == 6
+
+
+def test_articles_are_weighed_and_may_be_boilerplate():
+    side = "<div><p>" + "beside it " * 20 + "</p></div>"
+    assert blocks(f"{side}<article>{LONG * 3}</article>{side}") == ["body words b"] * 3
+    for attribute in ("class=comment", 'id="comments"', "role=complementary"):
+        comment = f"<article {attribute}><p>" + "my opinion " * 40 + "</p></article>"
+        assert blocks(f"<article>{LONG}</article>{comment}") == ["body words b"]
+        assert blocks(f"<div>{LONG}</div>{comment}") == ["body words b"]
