@@ -9,10 +9,9 @@ stays; the draw is a seeded hash of the document.
 Tokens are words between white space, or a column that the caller names. The topic
 is a column too, or else the register of the text, see `register`.
 
-A dimension's categories are those with a target, the CATEGORIES with most tokens,
-and one for all the rest. So without targets there are at most (CATEGORIES + 1)^3
-cells, and what the driver and the join hold is bounded by that and by the targets,
-not by the documents.
+Every source, language and topic is a category of its own. Only cells that hold
+documents are kept, as rows. Up to DRIVER_CELLS of them are raked on the driver; more
+are raked by an aggregate and a join per dimension and round, kept to the shared folder.
 """
 
 from __future__ import annotations
@@ -21,8 +20,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CATEGORIES = 40
-REST = "(rest)"
+from hubloom.session import delete, keep, shared_dir
+
 SEED = 29
 ROUNDS, CLOSE = 200, 1e-9
 #: Targets left open: present shares to this power, which evens them out.
@@ -30,6 +29,8 @@ EVENING = 0.8
 #: Share of all tokens that is kept.
 FRACTION = 0.8
 DIMENSIONS = ("source", "lang", "topic")
+#: Most cells that go through the driver.
+DRIVER_CELLS = 20_000
 
 Targets = dict[str, dict[str, float]]
 
@@ -48,6 +49,26 @@ def register(text: str = "text") -> Column:
             .otherwise("prose"))
 
 
+def scaled(tokens: np.ndarray, codes: list[np.ndarray],
+           goals: list[np.ndarray | None]) -> np.ndarray:
+    """Scales cells until their sums meet each dimension's goals.
+
+    codes has each cell's category, a number, in each dimension; a dimension without
+    goals is left as it is.
+    """
+    fitted, total = tokens.astype(float), float(tokens.sum())
+    for _ in range(ROUNDS):
+        before = fitted
+        for code, goal in zip(codes, goals, strict=True):
+            if goal is not None:
+                now = np.bincount(code, fitted, len(goal))
+                factor = np.divide(goal, now, out=np.zeros_like(goal), where=now > 0)
+                fitted = np.minimum(fitted * factor[code], tokens)
+        if float(np.abs(fitted - before).max(initial=0)) <= CLOSE * total:
+            break
+    return fitted
+
+
 def raked(tokens: np.ndarray, targets: list[np.ndarray], fraction: float = 1.0) -> np.ndarray:
     """Scales a table until its sums along each axis are in the targets' shares.
 
@@ -57,57 +78,100 @@ def raked(tokens: np.ndarray, targets: list[np.ndarray], fraction: float = 1.0)
     cells can make them, end with the last scaling.
     """
     total = float(tokens.sum())
-    fitted = tokens.astype(float)
-    if not total:
-        return fitted
-    sides = [tuple(a for a in range(tokens.ndim) if a != axis) for axis in range(tokens.ndim)]
+    codes = [code.ravel() for code in np.indices(tokens.shape)]
     goals = []
-    for others, share in zip(sides, targets, strict=True):
-        share = np.where(tokens.sum(axis=others) > 0, share, 0.0)
+    for code, share, size in zip(codes, targets, tokens.shape, strict=True):
+        share = np.where(np.bincount(code, tokens.ravel(), size) > 0, share, 0.0)
         goals.append(fraction * total * share / share.sum() if share.sum() else None)
-    for _ in range(ROUNDS):
-        before = fitted
-        for others, goal in zip(sides, goals, strict=True):
-            if goal is not None:
-                now = fitted.sum(axis=others)
-                factor = np.divide(goal, now, out=np.zeros_like(goal), where=now > 0)
-                fitted = np.minimum(fitted * np.expand_dims(factor, others), tokens)
-        if float(np.abs(fitted - before).max()) < CLOSE * total:
+    return scaled(tokens.ravel(), codes, goals).reshape(tokens.shape)
+
+
+def _raked_here(cells: DataFrame, targets: Targets, fraction: float) -> DataFrame:
+    """The chance of each cell, raked on the driver."""
+    rows = cells.orderBy(*DIMENSIONS).collect()
+    tokens = np.array([r.tokens for r in rows], float)
+    total = max(float(tokens.sum()), 1.0)
+    codes, goals = [], []
+    for dimension in DIMENSIONS:
+        names, code = np.unique(np.array([r[dimension] for r in rows], object),
+                                return_inverse=True)
+        present = np.bincount(code, tokens, len(names)) / total
+        wanted = targets.get(dimension)
+        share = (present ** EVENING if not wanted else
+                 np.array([wanted.get(n, p) for n, p in zip(names, present, strict=True)]))
+        share = np.where(present > 0, share, 0.0)
+        codes.append(code)
+        goals.append(fraction * tokens.sum() * share / share.sum() if share.sum() else None)
+    fitted = scaled(tokens, codes, goals)
+    chances = np.divide(fitted, tokens, out=np.ones_like(tokens), where=tokens > 0)
+    return cells.sparkSession.createDataFrame(
+        [(*(r[d] for d in DIMENSIONS), c) for r, c in zip(rows, chances.tolist(), strict=True)],
+        "source string, lang string, topic string, chance double")
+
+
+def _goals(cells: DataFrame, dimension: str, targets: Targets, wanted: float) -> DataFrame | None:
+    """The tokens to keep of each category that has any; they sum up to `wanted`."""
+    spark, named = cells.sparkSession, targets.get(dimension)
+    present = cells.groupBy(dimension).agg(F.sum("tokens").alias("n")).where("n > 0")
+    total = cells.agg(F.sum("tokens")).first()[0] or 1
+    share = F.col("n") / total
+    if named:
+        given = spark.createDataFrame([(k, float(v)) for k, v in named.items()],
+                                      f"{dimension} string, target double")
+        shares = present.join(given, dimension, "left").select(
+            dimension, F.coalesce("target", share).alias("share"))
+    else:
+        shares = present.select(dimension, F.pow(share, F.lit(EVENING)).alias("share"))
+    whole = shares.agg(F.sum("share")).first()[0]
+    if not whole:
+        return None
+    return keep(spark, shares.select(dimension, (F.lit(wanted) * F.col("share") / whole)
+                                     .alias("goal")), "goals")
+
+
+def _raked_apart(cells: DataFrame, targets: Targets, fraction: float) -> DataFrame:
+    """The chance of each cell, raked by aggregates and joins; as `scaled` does it."""
+    spark = cells.sparkSession
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    goals = [(d, g) for d in DIMENSIONS
+             if (g := _goals(cells, d, targets, fraction * total)) is not None]
+    columns = [*DIMENSIONS, "tokens"]
+    rows = cells.select(*columns, F.col("tokens").cast("double").alias("fitted"),
+                        F.col("tokens").cast("double").alias("before"))
+    schema, last = rows.schema, None
+    for _ in range(ROUNDS if goals and total else 0):
+        rows = rows.withColumn("before", F.col("fitted"))
+        for dimension, goal in goals:
+            now = rows.groupBy(dimension).agg(F.sum("fitted").alias("now"))
+            factor = now.join(goal, dimension).select(
+                dimension, F.when(F.col("now") > 0, F.col("goal") / F.col("now"))
+                .otherwise(0.0).alias("factor"))
+            fitted = F.least(F.col("fitted") * F.coalesce("factor", F.lit(0.0)),
+                             F.col("tokens").cast("double"))
+            rows = rows.join(factor, dimension, "left").select(
+                *columns, fitted.alias("fitted"), "before")
+            path = shared_dir(spark, "raked")
+            rows.write.parquet(path)
+            rows = spark.read.schema(schema).parquet(path)
+            if last:
+                delete(spark, last)
+            last = path
+        if rows.agg(F.max(F.abs(F.col("fitted") - F.col("before")))).first()[0] <= CLOSE * total:
             break
-    return fitted
-
-
-def _categories(cells: DataFrame, dimension: str, named: dict[str, float]) -> list[str]:
-    """Those with a target and the CATEGORIES with most tokens; ties to the lesser name."""
-    top = (cells.groupBy(dimension).agg(F.sum("tokens").alias("tokens"))
-           .orderBy(F.desc("tokens"), dimension).limit(CATEGORIES).collect())
-    return sorted({r[0] for r in top} | set(named) - {REST})
+    return rows.select(*DIMENSIONS, F.when(F.col("tokens") > 0, F.col("fitted") / F.col("tokens"))
+                       .otherwise(1.0).alias("chance"))
 
 
-def calibrated(cells: DataFrame, targets: Targets, fraction: float,
-               ) -> tuple[list[list[str]], np.ndarray]:
-    """Names of the categories and the chance to stay for each cell.
+def calibrated(cells: DataFrame, targets: Targets, fraction: float) -> tuple[DataFrame, bool]:
+    """source, lang, topic and chance for each cell, and whether it came by the driver.
 
     `cells` has the three dimensions and tokens, no nulls. A dimension without
     targets gets present shares to the power EVENING. A category without a target
     in a dimension that has some keeps its present share.
     """
-    names = [[*_categories(cells, d, targets.get(d, {})), REST] for d in DIMENSIONS]
-    folded = cells.select(
-        *(F.when(F.col(d).isin(n[:-1]), F.col(d)).otherwise(REST).alias(d)
-          for d, n in zip(DIMENSIONS, names, strict=True)), "tokens")
-    tokens = np.zeros([len(n) for n in names])
-    for row in folded.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")).collect():
-        tokens[tuple(n.index(row[d]) for d, n in zip(DIMENSIONS, names, strict=True))] += row.tokens
-    goals = []
-    for axis, (dimension, known) in enumerate(zip(DIMENSIONS, names, strict=True)):
-        present = tokens.sum(axis=tuple(a for a in range(3) if a != axis))
-        present = present / max(present.sum(), 1.0)
-        wanted = targets.get(dimension)
-        goals.append(present ** EVENING if not wanted else
-                     np.array([wanted.get(n, p) for n, p in zip(known, present, strict=True)]))
-    wanted = raked(tokens, goals, fraction)
-    return names, np.divide(wanted, tokens, out=np.ones_like(tokens), where=tokens > 0)
+    if len(cells.limit(DRIVER_CELLS + 1).select("tokens").collect()) <= DRIVER_CELLS:
+        return _raked_here(cells, targets, fraction), True
+    return _raked_apart(cells, targets, fraction), False
 
 
 def mixed(docs: DataFrame, targets: Targets | None = None, fraction: float = FRACTION,
@@ -116,8 +180,8 @@ def mixed(docs: DataFrame, targets: Targets | None = None, fraction: float = FRA
     """`docs` with topic, tokens, chance, weight and kept.
 
     `fraction` is the share of all tokens to keep, as far as cells that are asked for
-    more than they have allow. weight is 1 / chance for documents that stay. Reads doc_id, text, source and lang (null: a category of its own,
-    "(none)"); columns with the names of the results are replaced. A null text has
+    more than they have allow. weight is 1 / chance for documents that stay. Reads
+    doc_id, text, source and lang (null: a category of its own, "(none)"); columns with the names of the results are replaced. A null text has
     no tokens; a cell without tokens stays whole. Equal rows share their draw. An
     empty table gives an empty result.
     """
@@ -129,24 +193,18 @@ def mixed(docs: DataFrame, targets: Targets | None = None, fraction: float = FRA
                        (tokens if tokens is not None else word_count()).alias("tokens"))
     named = rows.select("*", F.coalesce("source", F.lit("(none)")).alias("__source"),
                         F.coalesce("lang", F.lit("(none)")).alias("__lang"))
-    cells = (named.groupBy(F.col("__source").alias("source"), F.col("__lang").alias("lang"), "topic")
-             .agg(F.sum("tokens").alias("tokens")).cache())
-    names, chances = calibrated(cells, targets or {}, fraction)
-    cells.unpersist()
-    at = [F.coalesce(F.array_position(F.array(*map(F.lit, n[:-1])).cast("array<string>"), F.col(c)), F.lit(0))
-          for n, c in zip(names, ("__source", "__lang", "topic"), strict=True)]
-    # array_position counts from 1; 0 is the rest, which comes last.
-    index = F.lit(0)
-    for n, place in zip(names, at, strict=True):
-        index = index * len(n) + F.when(place == 0, len(n) - 1).otherwise(place - 1)
     spark = docs.sparkSession
-    table = F.broadcast(spark.createDataFrame(  # as many rows as cells
-        list(enumerate(chances.ravel().tolist())), "__cell int, chance double"))
+    cells = keep(spark, named.groupBy(F.col("__source").alias("source"),
+                                      F.col("__lang").alias("lang"), "topic")
+                 .agg(F.sum("tokens").alias("tokens")), "cells")
+    chances, few = calibrated(cells, targets or {}, fraction)
+    chances = chances.select(F.col("source").alias("__source"), F.col("lang").alias("__lang"),
+                             "topic", "chance")
+    chances = F.broadcast(chances) if few else chances
     drawn = F.conv(F.substring(F.md5(F.concat_ws(
         ":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
         .cast("binary")), 1, 13), 16, 10).cast("double") / float(16 ** 13)
-    return (named.withColumn("__cell", index.cast("int")).join(table, "__cell", "left")
-            .withColumn("chance", F.coalesce("chance", F.lit(1.0)))
+    return (named.join(chances, ["__source", "__lang", "topic"], "left")
             .withColumn("kept", drawn < F.col("chance"))
             .withColumn("weight", F.when(F.col("kept"), 1.0 / F.col("chance")))
             .select(*(F.col(f"`{c}`") for c in plain), *added))

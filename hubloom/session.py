@@ -87,10 +87,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         made, _Folders.made = _Folders.made, outer
-        jvm = spark._jvm
         for path in made:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a shared folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @contextmanager

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import random
 import time
+from collections import Counter
 
 import corpus_pipeline
+import pytest
+
+from hubloom.llm import mixing
 from hubloom.llm.html_text import main_text
 from hubloom.llm.pii import find_personal, passes_mod97
 
@@ -129,3 +133,38 @@ def test_articles_are_weighed_and_may_be_boilerplate():
         comment = f"<article {attribute}><p>" + "my opinion " * 40 + "</p></article>"
         assert blocks(f"<article>{LONG}</article>{comment}") == ["body words b"]
         assert blocks(f"<div>{LONG}</div>{comment}") == ["body words b"]
+
+
+def many_sources(spark):
+    """40 sources of 60 documents and 600 of 6, in words."""
+    rows = [(i, "a b c d", "en" if i % 3 else "de", f"big{i % 40}", 0) for i in range(2400)]
+    rows += [(i + 2400, "a b c d", "en", f"small{i % 600}", 0) for i in range(3600)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def test_every_source_is_a_category(spark):
+    rows = mixing.mixed(many_sources(spark)).collect()
+    had, asked = Counter(), Counter()
+    for r in rows:
+        had[r.source] += r.tokens
+        asked[r.source] += r.tokens * r.chance
+    assert len(had) == 640
+    small = sum(n for s, n in asked.items() if s.startswith("small")) / sum(asked.values())
+    present = sum(n for s, n in had.items() if s.startswith("small")) / sum(had.values())
+    assert small > present
+    assert all(asked[s] / had[s] > 0.85 for s in had if s.startswith("small"))
+    assert max(asked[s] / had[s] for s in had if s.startswith("big")) < 0.8
+
+
+@pytest.mark.parametrize("targets", [{}, {"source": {"big1": 0.2, "small7": 0.1},
+                                          "lang": {"en": 0.5, "de": 0.5}}])
+def test_cells_that_do_not_fit_the_driver(spark, monkeypatch, targets):
+    docs = many_sources(spark).where("doc_id % 7 < 3")
+    here = {r.doc_id: r.chance for r in mixing.mixed(docs, targets).collect()}
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", 10)
+    monkeypatch.setattr(mixing, "ROUNDS", 3)
+    apart = {r.doc_id: r.chance for r in mixing.mixed(docs, targets).collect()}
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", 20_000)
+    three = {r.doc_id: r.chance for r in mixing.mixed(docs, targets).collect()}
+    assert here.keys() == apart.keys() == three.keys()
+    assert all(abs(apart[i] - three[i]) < 1e-9 for i in apart)
