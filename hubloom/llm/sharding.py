@@ -5,9 +5,13 @@ Rows of a source are shuffled by a seeded hash and ranked; a row's fraction is
 each source in proportion, so cutting the order into equal stretches gives shards
 that match the mixture, with row counts at most one apart.
 
+Sources of equal size have equal fractions; those rows follow each other by source.
+So where sources of one or two rows hold a large share, the shards around the middle,
+or the quarters, hold mostly them and less of the others.
+
 Neither rank needs a source, or all rows, in one task: rows are counted by buckets
-of the hash (then of the fraction), the few counts are summed up in order, and rows
-are numbered within their bucket.
+of the hash (then by ranges of the whole order, so that equal fractions are split too),
+the few counts are summed up in order, and rows are numbered within their bucket.
 """
 
 from __future__ import annotations
@@ -15,14 +19,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hubloom.session import keep
+
 SHARDS = 24
 SEED = 17
-#: Buckets of hashes to a source, as hex digits, and of fractions over all rows.
+#: Buckets of hashes to a source, as hex digits.
 DIGITS = 3
-FRACTIONS = 4096
 
 
-def _numbered(rows: DataFrame, group: list[str], bucket: str, order: list[str],
+def _numbered(rows: DataFrame, group: list[str], bucket: str, order: list[str | Column],
               name: str) -> DataFrame:
     """Adds each row's number in its group (from 1), and the group's count.
 
@@ -45,6 +50,20 @@ def _numbered(rows: DataFrame, group: list[str], bucket: str, order: list[str],
             .drop("__row", "__before", *(f"__{c}" for c in (*group, bucket))))
 
 
+def _ranges(rows: DataFrame) -> DataFrame:
+    """Adds __part, the number of the range in the order that a row lies in.
+
+    No two rows of a source have one fraction, so any part of the order can be split.
+    Written, as ranges are drawn from samples.
+    """
+    parted = rows.repartitionByRange(*_order()).withColumn("__part", F.spark_partition_id())
+    return keep(rows.sparkSession, parted, "ranges")
+
+
+def _order() -> list[Column]:
+    return [F.col("__fraction"), F.col("source").asc_nulls_first(), F.col("__draw")]
+
+
 def sharded(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """doc_id, source, size, text_crc32, law, shard, slot, grown_shard for each row.
 
@@ -65,11 +84,8 @@ def sharded(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFram
     drawn = drawn.withColumn("__bucket", F.substring("__draw", 1, DIGITS))
     ranked = _numbered(drawn, ["source"], "__bucket", ["__draw"], "rank")
     fraction = (F.col("rank") - 0.5) / F.col("n_rank")
-    spread = (ranked.withColumn("__fraction", fraction)
-              .withColumn("__part", F.floor(F.col("__fraction") * FRACTIONS).cast("int"))
-              .drop("rank", "n_rank", "__bucket"))
-    placed = _numbered(spread, [], "__part", ["__fraction", F.col("source").asc_nulls_first(),
-                                              "__draw"], "place")
+    spread = _ranges(ranked.withColumn("__fraction", fraction).drop("rank", "n_rank", "__bucket"))
+    placed = _numbered(spread, [], "__part", _order(), "place")
     at = F.col("place") - 1
     # The shard s with s * n div shards <= place - 1 < (s + 1) * n div shards.
     shard = F.expr(f"(place * {shards} - 1) div n_place")

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import time
 from collections import Counter
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
-from hubloom.llm import mixing
+from hubloom.llm import mixing, sharding
 from hubloom.llm.html_text import main_text
 from hubloom.llm.pii import find_personal, passes_mod97
 
@@ -168,3 +170,36 @@ def test_cells_that_do_not_fit_the_driver(spark, monkeypatch, targets):
     three = {r.doc_id: r.chance for r in mixing.mixed(docs, targets).collect()}
     assert here.keys() == apart.keys() == three.keys()
     assert all(abs(apart[i] - three[i]) < 1e-9 for i in apart)
+
+
+def test_equal_fractions_do_not_meet_in_one_task(spark):
+    before = {k: spark.conf.get(k, None) for k in (
+        "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(4000).select(
+            F.lit(0.5).alias("__fraction"), F.concat(F.lit("host"), "id").alias("source"),
+            F.md5(F.col("id").cast("string").cast("binary")).alias("__draw"))
+        parts = [(r["__part"], r["source"]) for r in sharding._ranges(rows).collect()]
+        sizes = Counter(part for part, _ in parts)
+        assert len(parts) == 4000 and max(sizes.values()) < 1200
+        assert [s for _, s in sorted(parts)] == sorted(s for _, s in parts)
+        docs = spark.createDataFrame(
+            [(i, f"t{i}", "en", None if i % 50 == 0 else f"s{i}" if i % 3 else "hot", 0)
+             for i in range(900)], DOCS)
+        got = sharding.sharded(docs, 8).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    ranks, order = Counter(), []
+    drawn = sorted(got, key=lambda r: hashlib.md5(
+        f"{sharding.SEED}:{r.doc_id}:{r.text_crc32}:{r.size}".encode()).hexdigest())
+    sizes = Counter(r.source for r in got)
+    for place, r in enumerate(drawn):
+        ranks[r.source] += 1
+        order.append(((ranks[r.source] - 0.5) / sizes[r.source], r.source is not None,
+                      r.source or "", place, r))
+    order.sort(key=lambda x: x[:4])
+    shards = sorted(got, key=lambda r: (r.shard, r.slot))
+    assert [x[4].doc_id for x in order] == [r.doc_id for r in shards]
