@@ -9,10 +9,10 @@ Training text is cut into shards of whole documents, CHUNK_BYTES each. A shard's
 words are numbered by the test set's vocabulary, other words end a run, and runs
 too short for any window are left out, as no test suffix can match there. The
 remaining suffixes are sorted by doubling: by their first word, 2, 4 words and so
-on up to WINDOW. Every test suffix is then looked up by binary search in each of
-these orders; the last that still finds it gives its longest verbatim match up to
-WINDOW, consecutive matches chain to longer ones, and the interval of the array
-gives the locations.
+on up to WINDOW. Every window is then looked up by binary search in the order of its
+length. longest_match is the longest run of hit words, whichever items hit them:
+windows of two items side by side make one run that no item has whole. The longest
+verbatim match of an item is not looked for, nor are places of single matches given.
 
 A shard holds whole documents, so training text is read once and never shuffled.
 The test set is sent to tasks in blocks of whole items below BLOCK_BYTES; a larger
