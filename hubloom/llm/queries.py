@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+import public_tokenizers
 from hubloom.llm.decontaminate import matched
 from hubloom.llm.html_text import extracted
 from hubloom.llm.mixing import mixed
 from hubloom.llm.near_duplicates import near_duplicates
+from hubloom.llm.packing import packed
 from hubloom.llm.pii import personal_data
 from hubloom.llm.quality import scored
 from hubloom.llm.repeats import without_repeats
@@ -75,6 +77,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "longest_match", "match_word")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every document's tokens lie in sequences of 4,096."""
+    rows = packed(_table(spark, sf_dir, "documents"),
+                  vocabulary=public_tokenizers.path("word_bpe_49k.json"))
+    return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                       "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_mixing": op2_mixing,
@@ -86,5 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_shards": op8_shards,
     "op9_repeats": op9_repeats,
     "op10_decontamination": op10_decontamination,
+    "op11_packing": op11_packing,
     "pipeline": corpus_pipeline.run,
 }

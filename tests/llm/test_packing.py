@@ -1,0 +1,127 @@
+"""Packing: every id of every document in one piece, sequences full, neighbours near."""
+
+import itertools
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from hubloom.llm.packing import hilbert, packed, starts_of_tail
+from hubloom.llm.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def check(pieces, docs, tokenizer, length):
+    """`pieces` cover `docs` exactly; every sequence is gapless and needs no padding."""
+    want = Counter()
+    for doc_id, text in docs:
+        want[doc_id, tuple(tokenizer.encode(text or "", add_special_tokens=False).ids + [2])] += 1
+    ids = {(p.doc_id, p.start, p.length, bytes(p.ids)) for p in pieces}
+    by_doc = defaultdict(list)
+    for p in pieces:
+        assert len(p.ids) == 4 * p.length > 0
+        by_doc[p.doc_id].append(p)
+    for (doc_id, whole), n in want.items():
+        spans = Counter((p.start, p.length) for p in by_doc[doc_id] if p.doc_tokens == len(whole))
+        assert sum(length * k for (_, length), k in spans.items()) % len(whole) == 0
+        for start, size in spans:
+            raw = np.array(whole[start:start + size], "<u4").tobytes()
+            assert any((d, s, k) == (doc_id, start, size) and b == raw for d, s, k, b in ids)
+    total = sum(len(whole) * n for (_, whole), n in want.items())
+    assert sum(p.length for p in pieces) == total
+    sequences = defaultdict(list)
+    for p in pieces:
+        sequences[p.sequence_id].append(p)
+    assert sorted(sequences) == list(range(len(sequences)))
+    sizes = []
+    for _, inside in sorted(sequences.items()):
+        at = 0
+        for p in sorted(inside, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        sizes.append(at)
+    full = total // length
+    assert sizes[:full] == [length] * full
+    assert all(n & (n - 1) == 0 for n in sizes[full:]) and sum(sizes[full:]) == total % length
+
+
+@pytest.mark.parametrize("dimensions, bits", [(2, 3), (3, 3), (4, 2), (1, 4)])
+def test_the_curve_steps_to_neighbours(dimensions, bits):
+    cells = np.array(list(itertools.product(range(1 << bits), repeat=dimensions)))
+    places = hilbert(cells, bits)
+    assert sorted(places) == list(range(len(cells)))
+    steps = np.abs(np.diff(cells[np.argsort(places)], axis=0)).sum(axis=1)
+    assert (steps == 1).all()
+
+
+def test_tail():
+    assert starts_of_tail(2 * 4096 + 1000, 4096).tolist() == [
+        8192, 8704, 8960, 9088, 9152, 9184, 9192]
+    assert starts_of_tail(4096, 4096).tolist() == [4096]
+
+
+@pytest.mark.parametrize("length", [4096, 10, 1])
+def test_awkward_documents(spark, tokenizer, length):
+    docs = [(1, None), (2, ""), (3, " \t\n  "), (4, "Hello, World's 12 ends."),
+            (4, "Hello, World's 12 ends."), (None, "no id"), (None, None), (5, "ÄÖ́x ✓✓ ́a"),
+            (6, "a<|endoftext|>b <|startoftext|>"), (7, "x\x1cy\x85z w"), (8, "word " * 300),
+            (9, "İstanbul ΟΔΟΣ Σ ﬁ 中文字 🙂🙂"), (10, "...''...'s'S it's IT'S")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    clashing = frame.selectExpr("*", "1 AS row", "2 AS key", "3 AS n", "4 AS ids", "5 AS at",
+                                "6 AS N_", "7 AS `range`", "map(1, 2) AS m")
+    check(packed(clashing, length=length).collect(), docs, tokenizer, length)
+
+
+def test_very_long_documents(spark, tokenizer):
+    docs = [(1, " " * 2_000_000), (2, "\n" * 2_000_000), (3, "ab" * 100_000), (4, "7" * 300_000),
+            (5, "one two " * 200_000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    check(packed(frame).collect(), docs, tokenizer, 4096)
+
+
+def test_no_documents(spark):
+    rows = packed(spark.createDataFrame([], "doc_id long, text string"))
+    assert rows.count() == 0 and rows.columns[0] == "doc_id"
+    with pytest.raises(ValueError):
+        packed(rows, length=0)
+
+
+def test_query_covers_all_documents(spark, sf_dir, tokenizer):
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet")
+            .select("doc_id", "text").collect()]
+    pieces = QUERIES["op11_packing"](spark, sf_dir).collect()
+    by_doc = defaultdict(list)
+    for p in pieces:
+        by_doc[p.doc_id].append(p)
+    for doc_id, text in docs:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        at = 0
+        for p in sorted(by_doc[doc_id], key=lambda p: p.start):
+            raw = np.array(ids[at:at + p.length], "<u4").tobytes()
+            assert (p.start, p.doc_tokens, p.ids_crc32) == (at, len(ids), zlib.crc32(raw))
+            at += p.length
+        assert at == len(ids)
+    full = sum(p.length for p in pieces) // 4096
+    sizes = Counter()
+    for p in pieces:
+        sizes[p.sequence_id] += p.length
+    assert all(sizes[i] == 4096 for i in range(full))
+
+
+def test_neighbours_share_sequences(spark, sf_dir):
+    """Documents of one language lie together more than in an order by id."""
+    langs = {r.doc_id: r.lang for r in
+             spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    order = sorted((p.sequence_id, p.offset, p.doc_id)
+                   for p in QUERIES["op11_packing"](spark, sf_dir).collect() if not p.start)
+    along = [langs[d] for *_, d in order]
+    by_id = [langs[d] for d in sorted(langs)]
+    changes = lambda x: sum(a != b for a, b in zip(x, x[1:]))
+    assert changes(along) < 0.5 * changes(by_id)

@@ -19,7 +19,7 @@ def test_query_equals_sql(spark, sf_dir, connection, name):
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 def test_personal_data_of_all_documents(spark, sf_dir, connection):
