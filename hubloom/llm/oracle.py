@@ -145,10 +145,36 @@ FROM words w LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
     LEFT JOIN longest USING (doc_id)
 """
 
+HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+        list_inner_product(a.v, c.v)::BIGINT AS score
+    FROM vectors a JOIN vectors c ON a.vec_id <> c.vec_id AND a.vec_id % 100 = 0),
+ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id, same ORDER BY score DESC, vec_id) AS place
+    FROM scores),
+ranked AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score,
+        n.vec_id AS negative_id, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.vec_id
+                           ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+    FROM ordered p JOIN ordered n ON p.anchor_id = n.anchor_id AND p.same AND NOT n.same
+        AND p.place <= 5 AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_top_k": TOP_K,
     "op5_near_duplicates": NEAR_DUPLICATES,
     "op8_shards": SHARDS,
     "op9_repeats": REPEATS,
+    "op12_hard_negatives": HARD_NEGATIVES,
     "op10_decontamination": DECONTAMINATION,
 }

@@ -13,6 +13,7 @@ from hubloom.llm.decontaminate import matched
 from hubloom.llm.html_text import extracted
 from hubloom.llm.mixing import mixed
 from hubloom.llm.near_duplicates import near_duplicates
+from hubloom.llm.negatives import hard_negatives
 from hubloom.llm.packing import packed
 from hubloom.llm.pii import personal_data
 from hubloom.llm.quality import scored
@@ -85,6 +86,13 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "doc_tokens", "sequence_id", "offset")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of every hundredth vector; every seventh counts under the next label."""
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_mixing": op2_mixing,
@@ -97,5 +105,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_repeats": op9_repeats,
     "op10_decontamination": op10_decontamination,
     "op11_packing": op11_packing,
+    "op12_hard_negatives": op12_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
