@@ -170,11 +170,63 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 FROM ranked WHERE rank <= 5
 """
 
+PREFIX_TRIE = """
+WITH RECURSIVE crc_table AS (
+    SELECT list(value ORDER BY i) AS codes FROM (
+        SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1
+            THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS value
+        FROM range(256) r(i))),
+turns AS (
+    SELECT conv_id, {'role': role, 'text': text} AS t, row_number() OVER (
+        PARTITION BY conv_id
+        ORDER BY turn NULLS FIRST, sha256(strlen(role)::VARCHAR || ':' || role || text)) AS place
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+          FROM conversations WHERE conv_id IS NOT NULL)),
+convs AS (
+    SELECT conv_id, list(t ORDER BY place) AS t, conv_id::VARCHAR AS s FROM turns GROUP BY conv_id),
+cut AS (
+    SELECT conv_id, t, xor(list_reduce(
+        list_transform(range(length(s)), lambda k: ascii(substr(s, (k + 1)::BIGINT, 1))::BIGINT),
+        lambda c, b: xor(c >> 8, codes[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 9 AS h
+    FROM convs, crc_table),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.t[1:c.h], []), c.t[c.h + 1:]) AS t
+    FROM cut c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 5),
+prefixes AS (
+    SELECT conv_id, depth, t[1:depth] AS p, depth = len(t) AS ends
+    FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS depth FROM rebuilt)),
+nodes AS (
+    SELECT min(conv_id) AS conv_id, depth, p, count(*) AS n_convs, sha256(coalesce(
+        string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY depth, p),
+owners AS (
+    SELECT x.conv_id, x.depth, n.conv_id AS owner
+    FROM prefixes x JOIN nodes n ON x.depth = n.depth AND x.p = n.p),
+linked AS (
+    SELECT n.*, o.owner AS parent_conv_id
+    FROM nodes n LEFT JOIN owners o ON o.conv_id = n.conv_id AND o.depth = n.depth - 1),
+children AS (
+    SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children
+    FROM linked WHERE depth > 0 GROUP BY ALL),
+own AS (
+    SELECT l.* EXCLUDE (p), coalesce(n_children, 0) AS n_children,
+        (n_children IS NULL)::BIGINT AS leaf,
+        coalesce((n_convs - 1) * strlen(p[depth].text), 0) AS saved
+    FROM linked l LEFT JOIN children USING (conv_id, depth)),
+sums AS (
+    SELECT o.owner AS conv_id, o.depth, sum(leaf)::BIGINT AS n_leaves,
+        sum(saved)::BIGINT AS saved_tokens
+    FROM own u JOIN owners o ON o.conv_id = u.conv_id AND o.depth <= u.depth GROUP BY ALL)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM own JOIN sums USING (conv_id, depth)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_top_k": TOP_K,
     "op5_near_duplicates": NEAR_DUPLICATES,
     "op8_shards": SHARDS,
     "op9_repeats": REPEATS,
     "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_prefix_trie": PREFIX_TRIE,
     "op10_decontamination": DECONTAMINATION,
 }

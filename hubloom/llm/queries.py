@@ -16,6 +16,7 @@ from hubloom.llm.near_duplicates import near_duplicates
 from hubloom.llm.negatives import hard_negatives
 from hubloom.llm.packing import packed
 from hubloom.llm.pii import personal_data
+from hubloom.llm.prefix_trie import prefix_trie
 from hubloom.llm.quality import scored
 from hubloom.llm.repeats import without_repeats
 from hubloom.llm.search import top_k
@@ -93,6 +94,14 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations rebuilt on a head of every fifth one, as a trie."""
+    conv_id = F.col("conv_id")
+    rows = prefix_trie(_table(spark, sf_dir, "conversations"), conv_id - conv_id % 5,
+                       F.crc32(conv_id.cast("string").cast("binary")) % 9, 8)
+    return rows.drop("last_conv_id", "last_position")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_mixing": op2_mixing,
@@ -106,5 +115,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
     "op11_packing": op11_packing,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }

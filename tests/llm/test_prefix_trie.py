@@ -1,0 +1,142 @@
+"""The trie of rebuilt conversations against a plain one."""
+
+import hashlib
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from hubloom.llm import prefix_trie as module
+from hubloom.llm.prefix_trie import PRIME, Prefix, bases, powers, prefix_trie
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def digest(role, text):
+    return hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+
+
+def plain(rows, spread=5, heads=9):
+    """{columns of the query}"""
+    convs = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs[c].append((turn is not None, turn or 0, digest(role or "", text or ""),
+                             (role or "", text or "")))
+    convs = {c: [t[-1] for t in sorted(v)] for c, v in convs.items()}
+    rebuilt = {}
+    for c, turns in convs.items():
+        h = zlib.crc32(str(c).encode()) % heads
+        base = c - int(np.fmod(c, spread))
+        rebuilt[c] = tuple(convs.get(base, [])[:h] + turns[h:])
+    nodes = defaultdict(list)
+    for c in sorted(rebuilt):
+        for d in range(len(rebuilt[c]) + 1):
+            nodes[rebuilt[c][:d]].append(c)
+    children = defaultdict(list)
+    for p in nodes:
+        if p:
+            children[p[:-1]].append(p)
+    sums = {}
+    for p in sorted(nodes, key=len, reverse=True):
+        own = (len(nodes[p]) - 1) * len(p[-1][1].encode()) if p else 0
+        below = [sums[q] for q in children[p]]
+        sums[p] = (sum(x for x, _ in below) or 1, own + sum(y for _, y in below))
+    return {(m[0], len(p), nodes[p[:-1]][0] if p else None, len(m), len(children[p]), *sums[p],
+             hashlib.sha256(",".join(str(c) for c in m if rebuilt[c] == p).encode()).hexdigest())
+            for p, m in nodes.items()}
+
+
+def trie(frame, heads=9):
+    c = F.col("conv_id")
+    return prefix_trie(frame, c - c % 5, F.crc32(c.cast("string").cast("binary")) % heads,
+                       heads - 1)
+
+
+def got(frame, **more):
+    found = [tuple(r)[:8] for r in trie(frame, **more).collect()]
+    assert len(set(found)) == len(found)
+    return set(found)
+
+
+def test_prefixes_compose():
+    y = bases(0)
+    assert bases(1) != y and powers(y, 7).shape == (7, 4)
+    terms = np.random.default_rng(2).integers(0, PRIME, (9, 4))
+    total = lambda t: (t * powers(y, len(t)) % PRIME).sum(axis=0) % PRIME
+    head = Prefix(y, 4, total(terms[:4]).tolist())
+    assert (head.then(total(terms[4:])) == total(terms)).all()
+
+
+def test_shared_heads(spark):
+    draw = np.random.default_rng(1)
+    rows = [(c, t, ["user", "assistant"][t % 2], f"é{int(draw.integers(2))}" * int(draw.integers(3)))
+            for c in range(70) for t in range(int(draw.integers(1, 14))) if c % 10 != 5]
+    assert got(spark.createDataFrame(rows, SCHEMA)) == plain(rows)
+    assert got(spark.createDataFrame(rows, SCHEMA), heads=1) == plain(rows, heads=1)
+
+
+def test_copies_and_a_long_conversation(spark):
+    """A third of all rows is one conversation, another third are copies of one."""
+    rows = [(5, t, "user", f"step {t}") for t in range(400)]
+    rows += [(100 + c, t, "user", f"copy {t}") for c in range(100) for t in range(4)]
+    rows += [(1000 + 5 * c, t, "user", f"step {t}") for c in range(8) for t in range(50 * c)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert got(spark.createDataFrame(rows, SCHEMA)) == plain(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_awkward_rows(spark):
+    rows = [(0, 1, "user", "a"), (0, None, None, None), (0, None, "b", ""), (0, 1, "user", "a"),
+            (None, 0, "user", "lost"), (-7, 3, "x", "y"), (-5, 0, "", ""), (-6, 0, "u", "z" * 100_000),
+            (3, 5, "user", "only"), (8, 0, "user", "no base"), (12, 2, "us", "era"),
+            (13, 2, "user", "a"), (14, 2, "user", "a"), (2 ** 40, 0, "user", "a")]
+    rows += [(11, t, "user", "same") for t in range(12)] + [(11, 4, "user", "same")] * 3
+    frame = spark.createDataFrame(rows, SCHEMA).selectExpr(
+        "*", "1 AS place", "2 AS depth", "3 AS owner", "4 AS Digest", "5 AS row", "map(1, 2) AS m",
+        "6 AS `range`", "7 AS bytes", "8 AS head", "9 AS base")
+    assert got(frame) == plain(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(None, 0, "user", "a")]])
+def test_no_conversations(spark, rows):
+    assert trie(spark.createDataFrame(rows, SCHEMA)).count() == 0
+
+
+def test_a_turnless_conversation(spark):
+    c = next(c for c in range(1, 100) if c % 5 and zlib.crc32(str(c).encode()) % 9 > 2)
+    rows = [(c, 0, "user", "cut off")]
+    assert got(spark.createDataFrame(rows, SCHEMA)) == plain(rows) == {
+        (c, 0, None, 1, 0, 1, 0, hashlib.sha256(str(c).encode()).hexdigest())}
+
+
+def test_last_turns_are_stored_turns(spark):
+    rows = [(c, t, "user", f"{c % 3} {t}") for c in range(12) for t in range(10)]
+    for r in trie(spark.createDataFrame(rows, SCHEMA)).where("depth > 0").collect():
+        assert 0 <= r.last_position < 10
+        assert r.last_conv_id in (r.conv_id, r.conv_id - r.conv_id % 5)
+
+
+def test_fingerprints_that_meet_are_drawn_again(spark, monkeypatch):
+    rows = [(c, t, "user", f"{c} {t}") for c in range(20) for t in range(3)]
+    monkeypatch.setattr(module, "LANES", 4)
+    plainly, draws = module.bases, []
+
+    def weak(draw):
+        draws.append(draw)
+        # Without its powers of y, a sequence has the sums of any other order.
+        return [1] * 4 if draw == 0 else plainly(draw)
+    rows += [(100, 0, "user", "p"), (100, 1, "user", "q"), (105, 0, "user", "q"),
+             (105, 1, "user", "p")]
+    monkeypatch.setattr(module, "bases", weak)
+    assert got(spark.createDataFrame(rows, SCHEMA), heads=1) == plain(rows, heads=1)
+    assert draws == [0, 1]
