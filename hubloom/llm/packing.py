@@ -34,8 +34,9 @@ LENGTH, END = 4096, 2
 WIDTH, DIMENSIONS, BITS = 256, 4, 15
 #: Projected numbers are whole multiples of 1 / UNIT, so that their sums are exact.
 UNIT = 1 << 20
-#: Words whose ids a task remembers, and rows of a range of the curve.
-REMEMBERED = 400_000
+#: Words whose ids a task remembers, words encoded and characters split at a time.
+REMEMBERED, AT_ONCE, SPLIT_AT_ONCE = 1_000_000, 20_000, 1 << 20
+#: Rows of a range of the curve.
 RANGE_ROWS = 1_000_000
 
 Arrow = Iterator[pa.RecordBatch]
@@ -47,23 +48,55 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", p
                      ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
-def encoded(texts: list[str | None], tokenizer: Tokenizer, known: dict[str, list[int]],
-            dtype: type) -> list[np.ndarray]:
-    """The ids of each text.
+class Words(dict):
+    """word -> the bytes of its ids, both as bytes.
 
-    The tokenizer splits at white space, drops it and joins nothing across it, so the
-    stretches between spaces and newlines are encoded one by one, and each only once.
+    The tokenizer splits at white space, drops it and joins nothing across it; it has
+    composed and lower-cased all letters before. So a text is lower-cased as far as it is
+    ASCII and cut at spaces and newlines. Words not seen before are encoded as one text,
+    with a mark between them whose id no other word has; those that hold it, alone.
     """
-    lists = [(text or "").replace("\n", " ").split(" ") for text in texts]
-    new = set(chain.from_iterable(lists))
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-    new = [word for word in new if word not in known]
-    for word, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False),
-                           strict=True):
-        known[word] = found.ids
-    return [np.fromiter(chain.from_iterable(map(known.__getitem__, words)), dtype)
-            for words in lists]
+
+    MARK = b"|"
+    #: What special tokens start with; they are matched before letters are lower-cased.
+    SPECIAL = b"<|"
+    LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\n", b"abcdefghijklmnopqrstuvwxyz ")
+
+    def __init__(self, tokenizer: Tokenizer, dtype: type) -> None:
+        self.tokenizer, self.dtype = tokenizer, dtype
+        (self.mark,) = self._ids(self.MARK)
+
+    def _ids(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids
+
+    def learn(self, words: set[bytes]) -> None:
+        """Know these words; all others are forgotten when there are too many."""
+        new = [word for word in words if word not in self]
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+            new = list(words)
+        alone = [word for word in new if self.MARK in word]
+        for word in alone:
+            self[word] = np.array(self._ids(word), self.dtype).tobytes()
+        if alone:
+            new = [word for word in new if self.MARK not in word]
+        between = b" " + self.MARK + b" "
+        for i in range(0, len(new), AT_ONCE):
+            some = new[i:i + AT_ONCE]
+            ids = np.array(self._ids(between.join(some)), self.dtype)
+            ends = [*(np.flatnonzero(ids == self.mark) * ids.itemsize).tolist(), ids.nbytes]
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(some, ends, strict=True):
+                self[word] = raw[start:end]
+                start = end + ids.itemsize
+
+
+def encoded(texts: list[bytes | None], words: Words) -> list[np.ndarray]:
+    """The ids of each text."""
+    lists = [(text.replace(b"\n", b" ") if words.SPECIAL in text else text.translate(
+        words.LOWER)).split(b" ") if text else [] for text in texts]
+    words.learn(set(chain.from_iterable(lists)))
+    return [np.frombuffer(b"".join(map(words.__getitem__, some)), words.dtype) for some in lists]
 
 
 def hashed_cells(n_ids: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,10 +126,10 @@ def _encode(vocabulary, end: int) -> Callable[[Arrow], Arrow]:
         dtype = np.uint16 if n_ids <= 1 << 16 else np.uint32
         cells, signs = hashed_cells(n_ids)
         codec = pa.Codec("zstd", compression_level=1)
-        known: dict[str, list[int]] = {}
+        words = Words(tokenizer, dtype)
         for batch in batches:
-            for part in chunks(batch):
-                lists = encoded(part.column("text").to_pylist(), tokenizer, known, dtype)
+            for part in chunks(batch, size=SPLIT_AT_ONCE):
+                lists = encoded(part.column("text").to_pylist(), words)
                 ended = [np.append(ids, dtype(end)) for ids in lists]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(map(len, ended), pa.int64()),
@@ -236,7 +269,7 @@ def packed(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY,
     n_ids = max(Tokenizer.from_str(text).get_vocab_size(with_added_tokens=True), end + 1)
     sent = spark.sparkContext.broadcast(text)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text")).mapInArrow(
+                       F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(
         _encode(sent, end), "doc_id long, n long, ids binary, spot array<long>")
     rows = keep(spark, rows.withColumn("row", F.monotonically_increasing_id()), "encoded")
 

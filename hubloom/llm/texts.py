@@ -30,8 +30,9 @@ class WordCodes(dict):
         return code
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with at most CHUNK_BYTES of text, or one row."""
+def chunks(batch: pa.RecordBatch, column: str = "text",
+           size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most `size` bytes of text, or one row."""
     if not batch.num_rows:
         return
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
@@ -39,7 +40,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
     start = 0
     while start < batch.num_rows:
         done = sizes[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(sizes, done + CHUNK_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(sizes, done + size, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
 
