@@ -12,7 +12,7 @@ are a ball that shrinks.
    over all rows. An annulus with radii r1 to r2 around an anchor at distance D from a
    split point meets only rows at max(D - r2, r1 - D) to D + r2 from it: a sibling whose
    stored range lies outside, for any split point, is eliminated.
-3. Leaves are cut into pages of some PAGE rows by a hash, so a leaf of copies is many
+3. Leaves are cut into pages of at most some PAGE rows by a hash, so a leaf of copies is many
    pages. Anchors are sent to the pages that are left, in groups. A page builds a tree of
    its own rows in the same way; leaves of that one are scored in full.
 
@@ -329,7 +329,9 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = 5, ne
             ).groupBy("node", "point", "sibling").agg(F.min("low"), F.max("high")).collect():
         tree.low[node][i, j], tree.high[node][i, j] = low, high
     sent = spark.sparkContext.broadcast(tree)
-    pages = rows.groupBy("leaf").agg(F.ceil(F.count("*") / PAGE).cast("int").alias("n_pages"))
+    # A leaf of twice the mean size is cut, so that copies are no larger pages than others.
+    page = min(PAGE, max(LEAF, 2 * n // tree.n_leaves))
+    pages = rows.groupBy("leaf").agg(F.ceil(F.count("*") / page).cast("int").alias("n_pages"))
     pages = keep(spark, pages, "leaf-pages")
     paged = rows.join(F.broadcast(pages), "leaf").select(
         "leaf", F.pmod(F.xxhash64("vec_id", "vector"), F.col("n_pages")).cast("int").alias("page"),
