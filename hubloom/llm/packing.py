@@ -16,6 +16,8 @@
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -53,42 +55,67 @@ class Words(dict):
 
     The tokenizer splits at white space, drops it and joins nothing across it; it has
     composed and lower-cased all letters before. So a text is lower-cased as far as it is
-    ASCII and cut at spaces and newlines. Words not seen before are encoded as one text,
-    with a mark between them whose id no other word has; those that hold it, alone.
+    ASCII and cut at spaces and newlines. A plain word, small letters that are neither
+    changed nor split, with at most one mark behind them, goes to the tokenizer's model
+    at once. All others that are new are encoded as one text, with a mark between them
+    whose id no other word has; those that hold it, alone.
     """
 
-    MARK = b"|"
+    BETWEEN = b"|"
     #: What special tokens start with; they are matched before letters are lower-cased.
     SPECIAL = b"<|"
     LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\n", b"abcdefghijklmnopqrstuvwxyz ")
-
-    def __init__(self, tokenizer: Tokenizer, dtype: type) -> None:
-        self.tokenizer, self.dtype = tokenizer, dtype
-        (self.mark,) = self._ids(self.MARK)
+    PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,]?)")
+
+    def __init__(self, tokenizer: Tokenizer, code: str) -> None:
+        self.tokenizer, self.code = tokenizer, code
+        (self.between,) = self._ids(self.BETWEEN)
+        self.marks = {mark: array(code, self._ids(mark.encode())).tobytes()
+                      for mark in ("", ".", ",")}
+        self.tokenize = tokenizer.model.tokenize
+        # How the model spells letters.
+        self.spelled = {ord(c): tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0]
+                        for c in map(chr, range(256)) if self.PLAIN.fullmatch(c)}
 
     def _ids(self, text: bytes) -> list[int]:
         return self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids
 
+    def _plain(self, letters: str) -> bytes:
+        spelled = letters if letters.isascii() else letters.translate(self.spelled)
+        return array(self.code, [token.id for token in self.tokenize(spelled)]).tobytes()
+
     def learn(self, words: set[bytes]) -> None:
         """Know these words; all others are forgotten when there are too many."""
         new = [word for word in words if word not in self]
-        if len(self) + len(new) > REMEMBERED:
+        if len(self) + 2 * len(new) > REMEMBERED:
             self.clear()
             new = list(words)
-        alone = [word for word in new if self.MARK in word]
-        for word in alone:
-            self[word] = np.array(self._ids(word), self.dtype).tobytes()
-        if alone:
-            new = [word for word in new if self.MARK not in word]
-        between = b" " + self.MARK + b" "
-        for i in range(0, len(new), AT_ONCE):
-            some = new[i:i + AT_ONCE]
-            ids = np.array(self._ids(between.join(some)), self.dtype)
-            ends = [*(np.flatnonzero(ids == self.mark) * ids.itemsize).tolist(), ids.nbytes]
+        others = []
+        for word in new:
+            plain = self.PLAIN.fullmatch(word.decode())
+            if not plain:
+                others.append(word)
+            elif plain[2]:
+                letters = word[:-1]
+                raw = self.get(letters)
+                if raw is None:
+                    raw = self[letters] = self._plain(plain[1])
+                self[word] = raw + self.marks[plain[2]]
+            elif word not in self:
+                self[word] = self._plain(plain[1])
+        between = b" " + self.BETWEEN + b" "
+        together = [word for word in others if self.BETWEEN not in word]
+        for i in range(0, len(together), AT_ONCE):
+            some = together[i:i + AT_ONCE]
+            ids = np.array(self._ids(between.join(some)), np.dtype(self.code))
+            ends = [*(np.flatnonzero(ids == self.between) * ids.itemsize).tolist(), ids.nbytes]
             raw, start = ids.tobytes(), 0
             for word, end in zip(some, ends, strict=True):
                 self[word] = raw[start:end]
                 start = end + ids.itemsize
+        for word in others:
+            if self.BETWEEN in word:
+                self[word] = array(self.code, self._ids(word)).tobytes()
 
 
 def encoded(texts: list[bytes | None], words: Words) -> list[np.ndarray]:
@@ -96,7 +123,8 @@ def encoded(texts: list[bytes | None], words: Words) -> list[np.ndarray]:
     lists = [(text.replace(b"\n", b" ") if words.SPECIAL in text else text.translate(
         words.LOWER)).split(b" ") if text else [] for text in texts]
     words.learn(set(chain.from_iterable(lists)))
-    return [np.frombuffer(b"".join(map(words.__getitem__, some)), words.dtype) for some in lists]
+    dtype = np.dtype(words.code)
+    return [np.frombuffer(b"".join(map(words.__getitem__, some)), dtype) for some in lists]
 
 
 def hashed_cells(n_ids: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,14 +151,14 @@ def _encode(vocabulary, end: int) -> Callable[[Arrow], Arrow]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_str(vocabulary.value)
         n_ids = max(tokenizer.get_vocab_size(with_added_tokens=True), end + 1)
-        dtype = np.uint16 if n_ids <= 1 << 16 else np.uint32
+        code = "H" if n_ids <= 1 << 16 else "I"
         cells, signs = hashed_cells(n_ids)
         codec = pa.Codec("zstd", compression_level=1)
-        words = Words(tokenizer, dtype)
+        words = Words(tokenizer, code)
         for batch in batches:
             for part in chunks(batch, size=SPLIT_AT_ONCE):
                 lists = encoded(part.column("text").to_pylist(), words)
-                ended = [np.append(ids, dtype(end)) for ids in lists]
+                ended = [np.append(ids, ids.dtype.type(end)) for ids in lists]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(map(len, ended), pa.int64()),
                      pa.array((codec.compress(ids.tobytes(), asbytes=True) for ids in ended),

@@ -79,6 +79,26 @@ def test_awkward_documents(spark, tokenizer, length):
     check(packed(clashing, length=length).collect(), docs, tokenizer, length)
 
 
+def test_words_have_the_tokenizers_ids(tokenizer, monkeypatch):
+    """Words in any order, forgotten often, against whole texts."""
+    import random
+
+    from hubloom.llm import packing
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    monkeypatch.setattr(packing, "AT_ONCE", 3)
+    draw = random.Random(7)
+    letters = "abcxyzABCZ éÉßẞäÄ ÿŸ×÷ .,'’s-|<>0 9\n\t\u0301\u00a0\u2003K\u212aİIµſ中🙂"
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randrange(60))) for _ in range(300)]
+    texts += [" ".join(draw.choice(["it's", "don't.", "end.", "end,", "end..", "end", "|", "a|b",
+                                    "<|endoftext|>", "<|ENDOFTEXT|>", "ß.", "é", "e\u0301"])
+                       for _ in range(30)) for _ in range(50)]
+    words = packing.Words(tokenizer, "H")
+    for i in range(0, len(texts), 20):
+        some = texts[i:i + 20]
+        for text, ids in zip(some, packing.encoded([t.encode() for t in some], words), strict=True):
+            assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_very_long_documents(spark, tokenizer):
     docs = [(1, " " * 2_000_000), (2, "\n" * 2_000_000), (3, "ab" * 100_000), (4, "7" * 300_000),
             (5, "one two " * 200_000)]
