@@ -108,7 +108,8 @@ LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 
 MODELS = f"""{PARTS}, models AS (
   SELECT p_partkey AS model_id, *, NOT (p_type = 'PROMO' AND p_size > 40)
-           AND NOT (p_type = 'LARGE' AND p_size <= 5) AS readable
+           AND NOT (p_type IN ('LARGE', 'ECONOMY') AND p_size <= 5)
+           AND NOT (p_type = 'STANDARD' AND p_size >= 48) AS readable
   FROM parts),
 requests AS (
   SELECT {LINE_ID} AS request_id, l_suppkey AS hub_id,
@@ -117,12 +118,13 @@ requests AS (
 
 MODEL_TASKS = """mtasks AS (
   SELECT model_id, 0 AS position, 'Task_' || model_id || '_0' AS bpmn_id, p_name AS name,
-         'field-job' AS topic, p_brand AS function_id, p_type AS device_class_id,
+         'field-job' AS topic, '' AS containers, p_brand AS function_id, p_type AS device_class_id,
          CAST(NULL AS VARCHAR) AS aspect_id, band AS characteristic_id,
          CAST(p_size AS BIGINT) AS retries, CAST(p_size AS VARCHAR) AS inputs
   FROM models WHERE readable
   UNION ALL
-  SELECT model_id, 1, 'Task_' || model_id || '_1', 'inner', 'field-job', p_brand, NULL,
+  SELECT model_id, 1, 'Task_' || model_id || '_1', 'inner', 'field-job',
+         array_to_string(list_transform(range(p_size % 10), lambda k: 'Sub_' || k), '/'), p_brand, NULL,
          band, 'c', CAST(0 AS BIGINT), CAST(p_size AS VARCHAR)
   FROM models WHERE readable AND p_type = 'SMALL')"""
 

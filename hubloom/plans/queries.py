@@ -204,7 +204,9 @@ def classified_outcomes(spark: SparkSession, d: str) -> DataFrame:
 @query
 def model_tasks(spark: SparkSession, d: str) -> DataFrame:
     rows, _ = models.extract_elements(dt.process_models(spark, d))
-    return rows.withColumn("inputs", F.element_at("parameter", "inputs")).drop("parameter")
+    return rows.withColumns({
+        "inputs": F.element_at("parameter", "inputs"),
+        "containers": F.array_join("containers", "/")}).drop("parameter")
 
 
 @query

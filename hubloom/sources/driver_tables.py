@@ -27,6 +27,9 @@ DEPLOYMENTS_PER_NETWORK = 20
 BROKEN_ABOVE_SIZE = 40
 GARBLED_UP_TO_SIZE = 5
 LEVELS = 9
+#: Payloads that say nothing of a task, by the size of the `ECONOMY` part that has them.
+SHAPELESS = ("123", "[]", "null", '{"function": "x"}', '{"aspect": {"id": 7}}')
+CROSSED_FROM_SIZE = 48
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -221,11 +224,14 @@ def command_bodies(orders: DataFrame, bare: bool = False) -> DataFrame:
 # --- process models ---------------------------------------------------------
 
 def _task_xml(number: int, name: Column, payload: Column | None) -> Column:
-    params = [F.lit('<camunda:inputParameter name="inputs">'), F.col("p_size").cast("string"),
-              F.lit("</camunda:inputParameter>")]
+    """A task; its input `inputs` comes twice, of which the first counts."""
+    def parameter(name: str, value: Column) -> Column:
+        return F.concat(F.lit(f'<camunda:inputParameter name="{name}">'), value,
+                        F.lit("</camunda:inputParameter>"))
+    params = [parameter("inputs", F.col("p_size").cast("string")),
+              parameter("inputs", F.lit("again"))]
     if payload is not None:
-        params = [F.lit('<camunda:inputParameter name="payload">'), payload,
-                  F.lit("</camunda:inputParameter>"), *params]
+        params.insert(0, parameter("payload", payload))
     return F.concat(
         F.lit('<bpmn:serviceTask id="Task_'), "p_partkey", F.lit(f'_{number}" name="'), name,
         F.lit('" camunda:type="external" camunda:topic="field-job">'
@@ -239,18 +245,22 @@ def _quoted(text: Column) -> Column:
 
 
 def _at_depth(depth: Column, inner: Column) -> Column:
-    """`inner` within that many containers, of three kinds in turn."""
+    """`inner` within that many containers, of three kinds in turn, behind text that
+    only looks like tags."""
     kinds = [("subProcess", "transaction", "adHocSubProcess")[k % 3] for k in range(LEVELS)]
     opening = F.array(*(F.lit(f'<bpmn:{kind} id="Sub_{k}">') for k, kind in enumerate(kinds)))
     closing = F.array(*(F.lit(f"</bpmn:{kind}>") for kind in kinds))
-    return F.concat(F.array_join(F.slice(opening, 1, depth), ""), inner,
+    verbatim = F.lit('<bpmn:documentation><![CDATA[<bpmn:subProcess id="no"> & <bpmn:serviceTask '
+                     'id="no"/>]]></bpmn:documentation><!-- </bpmn:transaction> -->')
+    return F.concat(F.array_join(F.slice(opening, 1, depth), ""), verbatim, inner,
                     F.array_join(F.reverse(F.slice(closing, 1, depth)), ""))
 
 
 def process_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An XML text per part: a task, for `SMALL` a second one in up to eight
+    """An XML text per part: a task, for `SMALL` a second one in up to nine
     containers by size, for `MEDIUM` one without payload. Large `PROMO` texts
-    break off; the payloads of the smallest `LARGE` ones are no JSON."""
+    break off; the payloads of the smallest `LARGE` ones are no JSON and those of the
+    smallest `ECONOMY` ones say nothing; containers of the largest `STANDARD` ones cross."""
     first = F.concat(
         F.lit('{"function": {"id": '), _quoted(F.col("p_brand")),
         F.lit('}, "device_class": {"id": '), _quoted(F.col("p_type")),
@@ -258,13 +268,18 @@ def process_models(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(', "input": 0, "retries": '), F.col("p_size").cast("string"),
         F.when((F.col("p_type") == "LARGE") & (F.col("p_size") <= GARBLED_UP_TO_SIZE),
                F.lit("")).otherwise(F.lit("}")))
+    shapeless = F.get(F.array(*map(F.lit, SHAPELESS)), F.col("p_size") - 1)
+    first = F.when(F.col("p_type") == "ECONOMY", F.coalesce(shapeless, first)).otherwise(first)
     second = F.concat(
         F.lit('{"function": {"id": '), _quoted(F.col("p_brand")),
         F.lit('}, "device_class": null, "aspect": {"id": '), _quoted(size_band()),
         F.lit('}, "characteristic_id": "c", "retries": 0}'))
     extra = F.when(F.col("p_type") == "SMALL", _at_depth(
-        F.col("p_size") % LEVELS, _task_xml(1, F.lit("inner"), second))).when(
-        F.col("p_type") == "MEDIUM", _task_xml(2, F.lit("plain"), None)).otherwise(F.lit(""))
+        F.col("p_size") % (LEVELS + 1), _task_xml(1, F.lit("inner"), second))).when(
+        F.col("p_type") == "MEDIUM", _task_xml(2, F.lit("plain"), None)).when(
+        (F.col("p_type") == "STANDARD") & (F.col("p_size") >= CROSSED_FROM_SIZE), F.lit(
+            '<bpmn:subProcess id="a"><bpmn:transaction id="b"></bpmn:subProcess>'
+            "</bpmn:transaction>")).otherwise(F.lit(""))
     broken = (F.col("p_type") == "PROMO") & (F.col("p_size") > BROKEN_ABOVE_SIZE)
     xml = F.concat(
         F.lit('<?xml version="1.0" encoding="UTF-8"?>'

@@ -4,7 +4,7 @@ from conftest import rows
 from hubloom.operators import models
 
 PAYLOAD = json.dumps({
-    "function": {"id": "fn-set", "name": "setTemperature"},
+    "function": {"id": "fn-set", "name": "set it"},
     "device_class": {"id": "class-thermostat"}, "aspect": None, "label": "set", "input": 0,
     "characteristic_id": "celsius", "retries": 2})
 
@@ -36,6 +36,19 @@ def deep(depth, inner):
     return inner
 
 
+def payload(**given):
+    return json.dumps({"function": None, **given}).replace("<", "&lt;")
+
+
+VERBATIM = ('<bpmn:documentation><![CDATA[</bpmn:subProcess><subProcess id="x">'
+            '<serviceTask id="T1"/>]]></bpmn:documentation><!-- <subProcess> -->'
+            "<?note <transaction> ?>")
+SHAPES = {
+    "number": "123", "list": "[]", "null": "null", "text": '"x"', "text function": payload(
+        function="x"), "no id": payload(aspect={}), "id is no text": payload(device_class={"id": 3}),
+    "null id": payload(function={"id": None}), "list aspect": payload(aspect=[{"id": "a"}])}
+
+
 DOCUMENTS = {
     "one": document(task("T1"), head='<?xml version="1.0" encoding="UTF-8"?>\n'),
     "two": document(task("T1"), task("T2")),
@@ -45,6 +58,14 @@ DOCUMENTS = {
     "deep": document(deep(12, task("T1")), task("T2"), '<subProcess id="none"/>'),
     "crossed": document("<bpmn:subProcess>", task("T1"), "<bpmn:transaction></bpmn:subProcess>"
                         "</bpmn:transaction>"),
+    "verbatim": document(VERBATIM, sub(VERBATIM, task("T1"), VERBATIM), VERBATIM),
+    "attributes": document("<bpmn:subProcess name='/> id=\"no\" >'\n  id = 'a'\t>", sub(task("T1")),
+                           '<bpmn:transaction id="b"/>', task("T2"), "</bpmn:subProcess >"),
+    "two names": document(task("T1", extra="".join(
+        f'<camunda:inputParameter name="{n}">{v}</camunda:inputParameter>'
+        for n, v in (("a", "1"), ("b", "2"), ("a", "3"), ("payload", "{bad"), ("b", "")))), ),
+    "nulls": document(task("T1", payload())),
+    **{name: document(task("T1", text)) for name, text in SHAPES.items()},
     "bad payload": document(task("T1"), task("T2", "{bad")),
     "blank payload": document(task("T1", "")),
     "broken": document(task("T1"), tail="</bpmn:process>"),
@@ -66,7 +87,7 @@ def test_task_fields(spark):
     row = elements.where("model_id = 'one'").first().asDict()
     assert row == {
         "model_id": "one", "position": 0, "bpmn_id": "T1", "name": "set it",
-        "topic": "valve-job", "function_id": "fn-set", "device_class_id": "class-thermostat",
+        "topic": "valve-job", "containers": [], "function_id": "fn-set", "device_class_id": "class-thermostat",
         "aspect_id": None, "characteristic_id": "celsius", "retries": 2,
         "parameter": {"inputs": "0"}}
 
@@ -74,15 +95,30 @@ def test_task_fields(spark):
 def test_tasks_of_each_document(spark):
     elements, _ = extracted(spark)
     assert rows(elements.select("model_id", "position", "bpmn_id")) == [
-        ("deep", 0, "T1"), ("deep", 1, "T2"), ("doctype", 0, "T1"), ("nested", 0, "T1"), ("nested", 1, "T2"),
-        ("nested", 2, "T3"), ("one", 0, "T1"), ("text behind", 0, "T1"), ("two", 0, "T1"),
-        ("two", 1, "T2")]
+        ("attributes", 0, "T1"), ("attributes", 1, "T2"), ("deep", 0, "T1"), ("deep", 1, "T2"),
+        ("doctype", 0, "T1"), ("nested", 0, "T1"), ("nested", 1, "T2"), ("nested", 2, "T3"),
+        ("nulls", 0, "T1"), ("one", 0, "T1"), ("text behind", 0, "T1"),
+        ("two names", 0, "T1"), ("two", 0, "T1"), ("two", 1, "T2"), ("verbatim", 0, "T1")]
+
+
+def test_containers_around_tasks(spark):
+    elements, _ = extracted(spark)
+    found = {(r.model_id, r.bpmn_id): r.containers for r in elements.collect()}
+    assert found["one", "T1"] == [] and found["nested", "T2"] == ["u"]
+    assert found["nested", "T3"] == ["u", "u"] and found["deep", "T1"] == ["u"] * 12
+    assert found["verbatim", "T1"] == ["u"] and found["deep", "T2"] == []
+    assert found["attributes", "T1"] == ["a", "u"] and found["attributes", "T2"] == ["a"]
+
+
+def test_the_first_input_of_a_name_counts(spark):
+    elements, _ = extracted(spark)
+    assert elements.where("model_id = 'two names'").first().parameter == {"a": "1", "b": "2"}
 
 
 def test_unreadable_documents_are_rejected(spark):
     _, rejects = extracted(spark)
-    assert rows(rejects) == [(m, 500) for m in (
-        "bad payload", "blank payload", "broken", "crossed", "empty", "missing")]
+    assert rows(rejects) == [(m, 500) for m in sorted((
+        "bad payload", "blank payload", "broken", "crossed", "empty", "missing", *SHAPES), key=repr)]
 
 
 def test_resolve_model(spark):
