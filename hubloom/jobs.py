@@ -42,29 +42,32 @@ def _table(spark: SparkSession, args, name: str) -> DataFrame:
 
 def run_prepare(spark: SparkSession, args, requests: DataFrame) -> None:
     """Write the answer to every request and its `deployments`; for distinct hubs of
-    users and models the `elements`; and the options of elements at the level they
-    are found on: `options` has, by options key, the device types with their
-    services, `devices` the devices of each type on a hub that the user may use.
-    `hub_id` is a struct of hub and user in these."""
+    permission classes and models the `elements`; and the options of elements at the
+    level they are found on: `options` has, by options key, the device types with their
+    services, `devices` the devices of each type on a hub that the class may use.
+    `classes` has the class of every hub and user asked for. `hub_id` is a struct of hub
+    and class in all but that."""
     hubs = selection.requested_hubs(_table(spark, args, "hubs"), requests)
     models = records.models(_table(spark, args, "process_models"))
-    users = requests.select("hub_id", "user_id").distinct()
-    requests = selection.for_users(requests)
+    usable = keep(spark, selection.user_devices(
+        selection.hub_members(hubs), records.devices(_table(spark, args, "devices")),
+        access.grants(_table(spark, args, "permissions")), requests), "usable")
+    classes, fleet = selection.permission_classes(usable, requests)
+    requests = selection.for_classes(requests, classes)
     rows = prepare.request_elements(
         requests, prepare.element_table(spark, models, requests),
-        selection.for_users(records.known_hubs(hubs).join(users, "hub_id")))
-    grants = access.grants(_table(spark, args, "permissions")).where("kind = 'devices'")
-    fleet = selection.user_devices(
-        selection.hub_members(hubs), records.devices(_table(spark, args, "devices")), grants, users)
+        selection.for_classes(classes.select("hub_id", "user_id").join(
+            records.known_hubs(hubs), "hub_id"), classes).select("hub_id").distinct())
     criteria, fleet, matched = prepare.match(
         spark, rows, fleet, selection.type_services(_table(spark, args, "device_types")))
     matched = keep(spark, matched, "matched")
     elements = keep(spark, prepare.prepared_elements(rows, criteria, matched), "prepared")
     for name, frame in (
-            ("elements", elements),
-            ("answers", prepare.answered(requests, prepare.prepared_headers(elements))),
+            ("classes", classes), ("elements", elements),
+            ("answers", prepare.answered(
+                requests, prepare.prepared_headers(elements), "user_id")),
             ("deployments", prepare.answered(
-                requests, prepare.prepared_deployments(elements, models))),
+                requests, prepare.prepared_deployments(elements, models), "user_id")),
             ("options", matched.withColumn("options_key", selection.options_key())),
             ("devices", fleet.repartition("hub_id", "device_type_id").sortWithinPartitions(
                 "hub_id", "device_type_id"))):

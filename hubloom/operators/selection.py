@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hubloom.operators.skew import hot_keys, key_counts, list_parts, salted_join
+from hubloom.session import keep
 
 CRITERIA = ["hub_id", "function_id", "device_class_id", "aspect_id"]
 PART_SIZE = 1000
@@ -86,28 +87,68 @@ def hub_devices(members: DataFrame, devices: DataFrame) -> DataFrame:
         "hub_id", "device_id", "device_name", "device_type_id")
 
 
-def for_users(rows: DataFrame) -> DataFrame:
-    """Rows of hubs with `hub_id` as the hub of one user, a struct of both.
-
-    What a user may choose from is theirs alone, so everything that is computed
-    per hub is then computed per hub and user.
-    """
-    return rows.withColumn("hub_id", F.struct("hub_id", "user_id")).drop("user_id")
-
-
 def user_devices(members: DataFrame, devices: DataFrame, grants: DataFrame,
                  users: DataFrame) -> DataFrame:
-    """`hub_devices` of the hubs of users: what `grants`, rows of `user_id, id`, allow.
+    """Devices of hubs that users may choose: `hub_id, user_id` and the device.
 
-    `users` has the pairs of hub and user that are asked for. A user's few devices
-    come first, then the hubs that list them; a hub is never repeated per user.
+    `users` has the pairs of hub and user that are asked for, `grants` rows of
+    `user_id, kind, id`. Many hubs may list a local id and many users hold devices of
+    that id, so for each local id the cheaper side comes first: its hubs meet the
+    devices, or, where that gives more pairs, the hubs that the devices' users ask for
+    do and are then looked up in the lists. A step makes at most the smaller number.
     """
-    held = grants.select("user_id", F.col("id").alias("device_id")).distinct()
-    own = devices.join(held, "device_id")
-    listed = members.select("hub_id", "local_id").distinct().join(own, "local_id")
+    held = grants.where(F.col("kind") == "devices").select(
+        "user_id", F.col("id").alias("device_id")).distinct()
     asked = users.select("hub_id", "user_id").distinct()
-    return for_users(listed.join(asked, ["hub_id", "user_id"], "left_semi")).select(
-        "hub_id", "device_id", "device_name", "device_type_id")
+    own = devices.join(held, "device_id").join(
+        asked.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_hubs")), "user_id")
+    listed = members.select("hub_id", "local_id").distinct()
+    sides = own.groupBy("local_id").agg(
+        F.count(F.lit(1)).alias("n_own"), F.sum("n_hubs").alias("n_asked")).join(
+        listed.groupBy("local_id").agg(F.count(F.lit(1)).alias("n_listed")), "local_id").select(
+        "local_id", (F.col("n_own") * F.col("n_listed") > F.col("n_asked")).alias("heavy"))
+    own = salted_join(own, sides, ["local_id"], spread_by=["device_id", "user_id"])
+    light = own.where(~F.col("heavy")).join(listed, "local_id").join(
+        asked, ["hub_id", "user_id"], "left_semi")
+    heavy = own.where("heavy").join(asked, "user_id").join(
+        listed, ["hub_id", "local_id"], "left_semi")
+    return light.unionByName(heavy).select(
+        "hub_id", "user_id", "device_id", "device_name", "device_type_id")
+
+
+def permission_classes(usable: DataFrame, users: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Users of a hub who may use the same of its devices, as one class.
+
+    What a user may choose depends on that set alone. `usable` has rows as
+    `user_devices` gives them, `users` the pairs that are asked for. Returns
+    `(classes, fleet)`: the class of each pair, and the devices of each class with
+    `hub_id` a struct of hub and class. A class is named by a digest of its set: number,
+    sums and exclusive ors of the devices' digests, which combine before the shuffle, so
+    no set is ever gathered.
+    """
+    digest = F.md5(F.col("device_id").cast("string"))
+    halves = [F.conv(F.substring(digest, i, 16), 16, -10).cast("long") for i in (1, 17)]
+    rows = usable.select("hub_id", "user_id", *(h.alias(f"h{i}") for i, h in enumerate(halves)))
+    sets = rows.groupBy("hub_id", "user_id").agg(
+        F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{n}_{c}") for c in ("h0", "h1") for n, f in (
+            ("all", lambda c: F.sum(F.col(c).cast("decimal(20,0)"))), ("xor", F.bit_xor))))
+    named = F.md5(F.concat_ws(":", *sets.columns[2:]).cast("binary"))
+    asked = users.select("hub_id", "user_id").distinct()
+    classes = asked.join(sets, ["hub_id", "user_id"], "left").select(
+        "hub_id", "user_id", F.when(F.col("n").isNotNull(), named).otherwise(
+            F.lit("none")).alias("class_id"))
+    classes = keep(users.sparkSession, classes, "classes")
+    first = classes.groupBy("hub_id", "class_id").agg(F.min("user_id").alias("user_id"))
+    fleet = usable.join(first, ["hub_id", "user_id"]).select(
+        F.struct("hub_id", "class_id").alias("hub_id"), "device_id", "device_name",
+        "device_type_id")
+    return classes, fleet
+
+
+def for_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of hubs and users with `hub_id` as the hub of a class, a struct of both."""
+    return rows.join(classes, ["hub_id", "user_id"]).withColumn(
+        "hub_id", F.struct("hub_id", "class_id")).drop("class_id")
 
 
 def selection_requests(elements: DataFrame, groups_for_tasks: bool = True,
@@ -157,58 +198,85 @@ def _pair(function: Column, device_class: Column) -> Column:
     return F.concat(function, F.lit("\x1f"), device_class)
 
 
-def _lead() -> Column:
-    """What a row is looked up by: function and class, or the first that is given."""
-    function, device_class, aspect = (F.col(c) for c in CRITERIA[1:])
-
-    def lead(kind: str, value: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+def _lead(kind: str, value: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
 
-    return (F.when((function != "") & (device_class != ""),
-                   lead("both", _pair(function, device_class)))
-            .when(function != "", lead("function", function))
-            .when(device_class != "", lead("class", device_class))
-            .when(aspect != "", lead("aspect", aspect))
-            .otherwise(lead("any", F.lit(""))))
 
+def _given_leads() -> Column:
+    """All a criteria row may be looked up by: what it gives, or nothing if it is blank."""
+    function, device_class, aspect = (F.col(c) for c in CRITERIA[1:])
+    given = F.filter(F.array(
+        F.when((function != "") & (device_class != ""),
+               _lead("both", _pair(function, device_class))),
+        F.when(function != "", _lead("function", function)),
+        F.when(device_class != "", _lead("class", device_class)),
+        F.when(aspect != "", _lead("aspect", aspect))), lambda lead: lead.isNotNull())
+    return F.when(F.size(given) > 0, given).otherwise(F.array(_lead("any", F.lit(""))))
 
-def service_offers(services: DataFrame, criteria: DataFrame) -> DataFrame:
-    """Device types under each lead they answer to, with all their services.
 
-    `services` has one row per device type and service. A type answers to each of
-    its functions, with and without its class, to its class, its aspects and to no
-    criterion at all, so its rows are the sum of these, not their product. Only leads in use are kept. All of this is
-    catalogue-sized; the fleet has not come in yet.
-    """
+def offered_services(services: DataFrame) -> DataFrame:
+    """Device types with all their services, from one row per type and service."""
     nothing = F.array().cast("array<string>")
-
-    def leads(kind: str, values: Column) -> Column:
-        return F.transform(F.filter(values, lambda v: v.isNotNull() & (v != "")), lambda v: F.struct(
-            F.lit(kind).alias("kind"), v.alias("value")))
-
     service = F.struct(
         F.col("service_id").alias("id"), F.col("service_name").alias("name"),
         F.coalesce("function_ids", nothing).alias("functions"),
         F.coalesce("device_class_id", F.lit("")).alias("class"),
         F.coalesce("aspect_ids", nothing).alias("aspects"))
-    types = services.groupBy("device_type_id").agg(F.collect_set(service).alias("offered"))
+    return services.groupBy("device_type_id").agg(F.collect_set(service).alias("offered"))
+
+
+def type_leads(types: DataFrame) -> DataFrame:
+    """Device types under each lead they answer to.
+
+    A type answers to each of its functions, with and without its class, to its class,
+    its aspects and to no criterion at all, so its rows are the sum of these, not their
+    product. They name the type alone; what it offers is joined to what is met.
+    """
+    def leads(kind: str, values: Column) -> Column:
+        return F.transform(F.filter(values, lambda v: v.isNotNull() & (v != "")),
+                           lambda v: _lead(kind, v))
+
     answers = F.array_distinct(F.concat(
-        F.array(F.struct(F.lit("any").alias("kind"), F.lit("").alias("value"))),
+        F.array(_lead("any", F.lit(""))),
         leads("both", F.flatten(F.transform("offered", lambda s: F.transform(
             s["functions"], lambda f: F.when(s["class"] != "", _pair(f, s["class"])))))),
         leads("function", F.flatten(F.transform("offered", lambda s: s["functions"]))),
         leads("class", F.transform("offered", lambda s: s["class"])),
         leads("aspect", F.flatten(F.transform("offered", lambda s: s["aspects"])))))
-    used = criteria.select(_lead().alias("lead")).select("lead.*").distinct()
-    return (types.withColumn("lead", F.explode(answers))
-            .select("device_type_id", "offered", "lead.*").join(used, ["kind", "value"], "left_semi"))
+    return types.select("device_type_id", F.explode(answers).alias("lead")).select(
+        "device_type_id", "lead.*")
+
+
+def rarest_leads(criteria: DataFrame, posted: DataFrame) -> DataFrame:
+    """Criteria rows with `kind, value`, the lead fewest types on their hub answer to.
+
+    `posted` has a row per hub, type and lead. A row that gives a lead no type answers
+    to has no options and is left out.
+    """
+    lead = ["hub_id", "kind", "value"]
+    counts = posted.groupBy(*lead).agg(F.count(F.lit(1)).alias("n_types"))
+    asked = criteria.select(*CRITERIA, F.size(_given_leads()).alias("n_leads"),
+                            F.explode(_given_leads()).alias("lead"))
+    found = asked.select(*CRITERIA, "n_leads", "lead.*").join(counts, lead).groupBy(
+        *CRITERIA, "n_leads").agg(F.count(F.lit(1)).alias("n_found"), F.min(
+            F.struct("n_types", "kind", "value")).alias("lead"))
+    return found.where("n_found = n_leads").select(*CRITERIA, "lead.kind", "lead.value")
+
+
+def met_types(criteria: DataFrame, types_on_hubs: DataFrame, services: DataFrame) -> DataFrame:
+    """Criteria rows with the types on their hub that answer to their rarest lead."""
+    offers = type_leads(offered_services(services))
+    used = criteria.select(F.explode(_given_leads()).alias("lead")).select("lead.*").distinct()
+    posted = types_on_hubs.join(offers.join(used, ["kind", "value"], "left_semi"), "device_type_id")
+    return posted.join(rarest_leads(criteria, posted), ["hub_id", "kind", "value"]).drop(
+        "kind", "value")
 
 
 def match_types(criteria: DataFrame, fleet: DataFrame, services: DataFrame) -> DataFrame:
     """Device types that meet each distinct criteria row, with the services that
     do, the number of devices of the type on the hub and the first of them.
 
-    Types meet criteria on the hub and what leads; the other criteria are looked at
+    Types meet criteria on the hub and the rarest lead; the other criteria are looked at
     in the pairs that gives.
     """
     def meets(service) -> Column:
@@ -220,11 +288,10 @@ def match_types(criteria: DataFrame, fleet: DataFrame, services: DataFrame) -> D
 
     types = fleet.groupBy("hub_id", "device_type_id").agg(
         F.count(F.lit(1)).alias("n_devices"), F.min("device_id").alias("first_device_id"))
-    asked = criteria.select(*CRITERIA, _lead().alias("lead")).select(*CRITERIA, "lead.*")
-    met = (types.join(service_offers(services, criteria), "device_type_id")
-           .join(asked, ["hub_id", "kind", "value"])
-           .withColumn("services", F.sort_array(F.array_distinct(F.transform(
-               F.filter("offered", meets), lambda s: F.struct(s["id"], s["name"]))))))
+    met = met_types(criteria, types, services).join(
+        offered_services(services), "device_type_id").withColumn(
+        "services", F.sort_array(F.array_distinct(F.transform(
+            F.filter("offered", meets), lambda s: F.struct(s["id"], s["name"])))))
     return met.where(F.size("services") > 0).select(
         *CRITERIA, "device_type_id", "services", "n_devices", "first_device_id")
 

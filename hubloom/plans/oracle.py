@@ -7,22 +7,29 @@ from hubloom.operators.validation import REASONS
 
 PARTS = """parts AS (
   SELECT p_partkey, p_name, p_brand, p_type, p_size, p_brand || '/' || p_type AS dtype,
-         CAST((p_size - 1) // 10 AS VARCHAR) AS band
+         CAST((p_size - 1) // 10 AS VARCHAR) AS band, 'fn-' || band || '-' || p_type AS fn2,
+         'area-' || band || '-' || p_brand AS area
   FROM part)"""
 
 ELEMENTS = f"""{PARTS}, elements AS (
   SELECT l_orderkey AS deployment_id, l_linenumber, l_partkey, l_suppkey, l_returnflag,
          l_linestatus, l_suppkey AS hub_id,
          l_returnflag = 'A' AS is_task, l_returnflag = 'N' AS is_event,
-         CASE WHEN l_tax > 0 THEN p_brand ELSE '' END AS function_id,
+         CASE WHEN l_tax <= 0 THEN '' WHEN l_quantity > 45 THEN fn2 ELSE p_brand END AS function_id,
          CASE WHEN l_discount > 0 THEN p_type ELSE '' END AS device_class_id,
-         CASE WHEN l_linestatus = 'O' THEN band ELSE '' END AS aspect_id
+         CASE WHEN l_linestatus <> 'O' THEN '' WHEN l_quantity > 45 THEN area ELSE band
+         END AS aspect_id
   FROM lineitem JOIN parts ON l_partkey = p_partkey)"""
 
 FLEET = """fleet AS (
   SELECT DISTINCT l_suppkey AS hub_id, p_partkey AS device_id, p_name AS device_name, dtype
-  FROM lineitem JOIN parts ON l_partkey = p_partkey WHERE l_linestatus = 'F'),
-svc AS (SELECT DISTINCT dtype, p_brand, p_type, band FROM parts)"""
+  FROM lineitem JOIN parts ON l_partkey // 2 = p_partkey // 2 AND l_suppkey % 2 = p_partkey % 2
+  WHERE l_linestatus = 'F'),
+svc AS (SELECT DISTINCT dtype, p_brand, p_type, band, fn2, area FROM parts)"""
+
+LOCAL_FLEET = """local_fleet AS (
+  SELECT DISTINCT l_suppkey AS hub_id, p_partkey AS device_id, p_name AS device_name, dtype
+  FROM lineitem JOIN parts ON l_partkey // 2 = p_partkey // 2 WHERE l_linestatus = 'F')"""
 
 
 def _matched(criteria: str) -> str:
@@ -32,9 +39,9 @@ def _matched(criteria: str) -> str:
   FROM ({criteria}) c
   JOIN fleet f ON f.hub_id = c.hub_id
   JOIN svc s ON s.dtype = f.dtype
-  WHERE (c.function_id = '' OR c.function_id = s.p_brand)
+  WHERE (c.function_id = '' OR c.function_id IN (s.p_brand, s.fn2))
     AND (c.device_class_id = '' OR c.device_class_id = s.p_type)
-    AND (c.aspect_id = '' OR c.aspect_id = s.band)),
+    AND (c.aspect_id = '' OR c.aspect_id IN (s.band, s.area))),
 opts AS (
   SELECT hub_id, function_id, device_class_id, aspect_id,
          count(DISTINCT device_id) AS n_options, min(device_id) AS default_device_id
@@ -195,7 +202,8 @@ HUBS = """
 SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, md5(s_name) AS hash,
        coalesce(local_ids, '') AS device_local_ids
 FROM supplier LEFT JOIN (
-  SELECT l_suppkey, array_to_string(list(DISTINCT l_partkey ORDER BY l_partkey), ',') AS local_ids
+  SELECT l_suppkey, array_to_string(
+           list(DISTINCT l_partkey // 2 ORDER BY l_partkey // 2), ',') AS local_ids
   FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_suppkey) ON l_suppkey = s_suppkey
 WHERE s_acctbal >= 0"""
 
@@ -218,12 +226,13 @@ FROM parts""",
 
     "load_device_types": f"""WITH {PARTS}
 SELECT DISTINCT dtype AS id, p_type AS device_class_id, 'service-' || band AS service_id,
-       p_brand AS function_id, band AS aspect_id
+       p_brand || ',' || fn2 AS function_ids, band || ',' || area AS aspect_ids
 FROM parts""",
 
     "load_services": f"""WITH {PARTS}
 SELECT DISTINCT dtype || '/service-' || band AS id, p_brand || ' ' || band AS name,
-       p_brand AS function_ids, band AS aspect_ids, CAST(NULL AS VARCHAR) AS rdf_type
+       p_brand || ',' || fn2 AS function_ids, band || ',' || area AS aspect_ids,
+       CAST(NULL AS VARCHAR) AS rdf_type
 FROM parts""",
 
     "load_process_models": """
@@ -232,9 +241,10 @@ SELECT CAST(p_partkey AS VARCHAR) AS _id, p_name AS name, CAST(p_size AS BIGINT)
 FROM part""",
 
     "load_permissions": """
-SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS user_id, 'devices' AS kind,
+SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS user_id,
+       CASE WHEN l_linenumber % 5 = 0 THEN 'locations' ELSE 'devices' END AS kind,
        CAST(l_partkey AS VARCHAR) AS id, CASE l_linestatus WHEN 'F' THEN 'x' ELSE 'r' END AS right,
-       true AS allowed
+       l_tax > 0 AS allowed
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F'""",
 
     "load_deployments": f"""WITH {DOCS}
@@ -350,11 +360,11 @@ FROM lineitem LEFT JOIN (""" + HUBS + """) ON id = CAST(l_suppkey AS VARCHAR)"""
     "devices_of_hubs": f"""WITH {PARTS}
 SELECT DISTINCT l_suppkey AS hub_id, p_partkey AS device_id, p_name AS device_name,
        dtype AS device_type_id
-FROM lineitem JOIN parts ON l_partkey = p_partkey""",
+FROM lineitem JOIN parts ON l_partkey // 2 = p_partkey // 2""",
 
-    "devices_of_hub_records": f"""WITH {PARTS}, {FLEET}
+    "devices_of_hub_records": f"""WITH {PARTS}, {LOCAL_FLEET}
 SELECT CAST(hub_id AS VARCHAR) AS hub_id, device_id, device_name, dtype AS device_type_id
-FROM fleet JOIN supplier ON s_suppkey = hub_id WHERE s_acctbal >= 0""",
+FROM local_fleet JOIN supplier ON s_suppkey = hub_id WHERE s_acctbal >= 0""",
 
     "selection_request_rows": f"""WITH {ELEMENTS}
 SELECT deployment_id, 'Task_' || l_linenumber || '_' || l_partkey AS id, hub_id, function_id,
@@ -384,7 +394,7 @@ WITH refs AS (
 granted AS (
   SELECT DISTINCT o_custkey AS user_id, l_partkey AS id
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey
-  WHERE o_orderstatus = 'F' AND l_linestatus = 'F')
+  WHERE o_orderstatus = 'F' AND l_linestatus = 'F' AND l_linenumber % 5 <> 0 AND l_tax > 0)
 SELECT r.user_id, 'devices' AS kind, r.id, g.id IS NOT NULL AS allowed
 FROM refs r LEFT JOIN granted g ON g.user_id = r.user_id AND g.id = r.id""",
 
@@ -394,6 +404,7 @@ FROM lineitem l JOIN orders o ON o_orderkey = l_orderkey
 WHERE NOT EXISTS (
   SELECT 1 FROM lineitem l2 JOIN orders o2 ON o2.o_orderkey = l2.l_orderkey
   WHERE o2.o_orderstatus = 'F' AND l2.l_linestatus = 'F'
+    AND l2.l_linenumber % 5 <> 0 AND l2.l_tax > 0
     AND o2.o_custkey = o.o_custkey AND l2.l_partkey = l.l_partkey)""",
 
     "fanned_out_commands": f"""WITH {FANNED}
@@ -441,7 +452,7 @@ WITH meta AS (
 running AS (
   SELECT CASE WHEN event_id % 2 = 1 THEN -1 - user_id ELSE user_id END AS network_id,
          count(*) AS n_instances, count(*) FILTER (WHERE value <= 10) AS n_running
-  FROM events WHERE event_type = 'purchase' GROUP BY 1)
+  FROM events GROUP BY 1)
 SELECT network_id, coalesce(n_deployments, 0) AS n_deployments,
        coalesce(n_placeholders, 0) AS n_placeholders, coalesce(n_deleting, 0) AS n_deleting,
        coalesce(n_live, 0) AS n_live, newest_sync, coalesce(n_instances, 0) AS n_instances,
@@ -545,10 +556,10 @@ FROM requests r JOIN headers h ON h.hub_id = r.hub_id AND h.model_id = r.model_i
     "prepared_for_users": f"""WITH {MODELS.replace("FROM lineitem WHERE l_linestatus = 'O')",
     "FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linestatus = 'O')").replace(
     "l_suppkey AS hub_id,", "l_suppkey AS hub_id, o_custkey AS user_id,")}, {MODEL_TASKS},
-{FLEET}, granted AS (
+{FLEET}, {LOCAL_FLEET}, granted AS (
   SELECT DISTINCT o_custkey AS user_id, l_partkey AS device_id
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey
-  WHERE o_orderstatus = 'F' AND l_linestatus = 'F'),
+  WHERE o_orderstatus = 'F' AND l_linestatus = 'F' AND l_linenumber % 5 <> 0 AND l_tax > 0),
 rows AS (
   SELECT r.hub_id, r.user_id, r.model_id, t.bpmn_id,
          CASE WHEN m.model_id IS NULL THEN 404
@@ -562,10 +573,10 @@ rows AS (
 offered AS (
   SELECT DISTINCT r.hub_id, r.user_id, r.model_id, r.bpmn_id
   FROM rows r JOIN granted g ON g.user_id = r.user_id
-  JOIN fleet d ON d.hub_id = r.hub_id AND d.device_id = g.device_id
+  JOIN local_fleet d ON d.hub_id = r.hub_id AND d.device_id = g.device_id
   JOIN svc s ON s.dtype = d.dtype
-  WHERE status = 200 AND bpmn_id IS NOT NULL AND (f = '' OR f = s.p_brand)
-    AND (c = '' OR c = s.p_type) AND (a = '' OR a = s.band)),
+  WHERE status = 200 AND bpmn_id IS NOT NULL AND (f = '' OR f IN (s.p_brand, s.fn2))
+    AND (c = '' OR c = s.p_type) AND (a = '' OR a IN (s.band, s.area))),
 headers AS (
   SELECT r.hub_id, r.user_id, r.model_id, status,
          count(*) FILTER (WHERE status = 200 AND r.bpmn_id IS NOT NULL) AS n_tasks,

@@ -59,11 +59,11 @@ def request_elements(requests: DataFrame, elements: DataFrame, hubs: DataFrame)
             .drop("readable", "__hub"))
 
 
-def answered(requests: DataFrame, by_pair: DataFrame) -> DataFrame:
-    """Every request with what is known of its pair."""
-    asked = requests.select("request_id", *(F.col(c).alias(f"__{c}") for c in PAIR))
+def answered(requests: DataFrame, by_pair: DataFrame, *also: str) -> DataFrame:
+    """Every request with what is known of its pair, and with columns of its own."""
+    asked = requests.select("request_id", *also, *(F.col(c).alias(f"__{c}") for c in PAIR))
     same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in PAIR]
-    return asked.join(by_pair, same[0] & same[1]).select("request_id", *by_pair.columns)
+    return asked.join(by_pair, same[0] & same[1]).select("request_id", *also, *by_pair.columns)
 
 
 def match(spark: SparkSession, rows: DataFrame, fleet: DataFrame,

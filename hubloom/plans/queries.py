@@ -95,7 +95,8 @@ _REPORTED = ("network_id", "is_placeholder", "marked_for_delete",
              "cast(sync_date as timestamp_ntz) as sync_date")
 _typed("devices", "id", "local_id", "name", "device_type_id")
 _typed("device_types", "id", "device_class_id", "inline(transform(services, s -> struct("
-       "s.id as service_id, get(s.function_ids, 0) as function_id, get(s.aspect_ids, 0) as aspect_id)))")
+       "s.id as service_id, array_join(s.function_ids, ',') as function_ids, "
+       "array_join(s.aspect_ids, ',') as aspect_ids)))")
 _typed("services", "id", "name", "array_join(function_ids, ',') as function_ids",
        "array_join(aspect_ids, ',') as aspect_ids", "rdf_type")
 _typed("process_models", "_id", "name", "date", "owner", "svgXML", "publish")
@@ -235,7 +236,7 @@ def attached_local_devices(spark: SparkSession, d: str) -> DataFrame:
 def devices_of_hubs(spark: SparkSession, d: str) -> DataFrame:
     """Parts on each supplier's lines, shipped or not."""
     members = dt.load(spark, d, "lineitem").select(
-        F.col("l_suppkey").alias("hub_id"), F.col("l_partkey").alias("local_id"))
+        F.col("l_suppkey").alias("hub_id"), dt.local_id("l_partkey"))
     return selection.hub_devices(members, dt.devices(spark, d))
 
 
@@ -463,18 +464,20 @@ def prepared_requests(spark: SparkSession, d: str) -> DataFrame:
 @query
 def prepared_for_users(spark: SparkSession, d: str) -> DataFrame:
     """The same requests, each offered only what its user may use."""
-    asked = dt.user_requests(spark, d)
-    users = asked.select("hub_id", "user_id").distinct()
-    requests = selection.for_users(asked)
+    asked = keep(spark, dt.user_requests(spark, d), "asked")
+    usable = keep(spark, selection.user_devices(
+        dt.hub_members(spark, d), dt.devices(spark, d), access.grants(dt.permissions(spark, d)),
+        asked), "usable")
+    classes, fleet = selection.permission_classes(usable, asked)
+    requests = selection.for_classes(asked, classes)
+    known = selection.for_classes(classes.select("hub_id", "user_id").join(
+        dt.known_hubs(spark, d), "hub_id"), classes).select("hub_id").distinct()
     rows = prepare.request_elements(
-        requests, prepare.element_table(spark, dt.process_models(spark, d)),
-        selection.for_users(dt.known_hubs(spark, d).join(users, "hub_id")))
-    fleet = selection.user_devices(dt.hub_members(spark, d), dt.devices(spark, d),
-                                   access.grants(dt.permissions(spark, d)), users)
+        requests, prepare.element_table(spark, dt.process_models(spark, d)), known)
     criteria, _, matched = prepare.match(spark, rows, fleet, dt.services(spark, d))
     headers = prepare.prepared_headers(prepare.prepared_elements(rows, criteria, matched))
-    return prepare.answered(requests, headers).select(
-        "request_id", "hub_id.hub_id", "hub_id.user_id", "model_id", "status", "n_tasks",
+    return prepare.answered(requests, headers, "user_id").select(
+        "request_id", "hub_id.hub_id", "user_id", "model_id", "status", "n_tasks",
         "n_with_options", "executable")
 
 

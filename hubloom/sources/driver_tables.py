@@ -2,13 +2,13 @@
 
 | fleet table | built from |
 | --- | --- |
-| hub members | part numbers a supplier shipped on `F` lines |
-| hub records | suppliers, with the same parts as a list of local ids |
-| devices, types, services | parts; type = brand and type; a service per size band |
+| hub members | local ids of parts a supplier shipped on `F` lines; odd and even ones have different owners |
+| hub records | suppliers, with the same local ids as a list |
+| devices, types, services | parts, two of which share a local id; type = brand and type; a service per size band, with two functions and aspects |
 | elements | line items: `A` task, `N` conditional event, `R` message event |
 | deployment records | orders, with three elements told by status and priority |
 | process models | an XML text per part |
-| permissions | parts a customer has on `F` orders |
+| permissions | parts a customer has on `F` orders, of two kinds, some denied |
 | sync rows, outcomes, messages | events; network = user |
 | request log | pages |
 
@@ -27,6 +27,7 @@ DEPLOYMENTS_PER_NETWORK = 20
 BROKEN_ABOVE_SIZE = 40
 GARBLED_UP_TO_SIZE = 5
 LEVELS = 9
+LARGE_ABOVE = 45
 #: Payloads that say nothing of a task, by the size of the `ECONOMY` part that has them.
 SHAPELESS = ("123", "[]", "null", '{"function": "x"}', '{"aspect": {"id": 7}}')
 CROSSED_FROM_SIZE = 48
@@ -46,9 +47,19 @@ def _device_type_id() -> Column:
 
 # --- hubs and devices -------------------------------------------------------
 
+def local_id(part: str) -> Column:
+    """Two parts share a local id; they have different owners."""
+    return F.expr(f"{part} div 2").alias("local_id")
+
+
+def owner_id(key: str) -> Column:
+    return (F.col(key) % 2).alias("owner_id")
+
+
 def hub_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (load(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "F")
-            .select(F.col("l_suppkey").alias("hub_id"), F.col("l_partkey").alias("local_id")))
+            .select(F.col("l_suppkey").alias("hub_id"), local_id("l_partkey"),
+                    owner_id("l_suppkey")))
 
 
 def hub_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +68,7 @@ def hub_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     A hub lists the parts it shipped on `F` lines, so the lists are of all
     sizes; a supplier without such lines has none.
     """
-    listed = (hub_members(spark, sf_dir).distinct().groupBy("hub_id")
+    listed = (hub_members(spark, sf_dir).select("hub_id", "local_id").distinct().groupBy("hub_id")
               .agg(F.sort_array(F.collect_list("local_id")).alias("local_ids")))
     none = F.array().cast("array<bigint>")
     return (load(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0)
@@ -69,22 +80,33 @@ def hub_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("local_id"), F.col("p_partkey").alias("device_id"),
+        local_id("p_partkey"), owner_id("p_partkey"), F.col("p_partkey").alias("device_id"),
         F.col("p_name").alias("device_name"), _device_type_id().alias("device_type_id"))
 
 
+def _second_function() -> Column:
+    """A function that types of all brands share."""
+    return F.concat_ws("-", F.lit("fn"), size_band(), "p_type")
+
+
+def _second_aspect() -> Column:
+    """An aspect that types of one brand share."""
+    return F.concat_ws("-", F.lit("area"), size_band(), "p_brand")
+
+
 def services(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A service per device type and size band: the brand is its function, the
-    band its aspect."""
+    """A service per device type and size band. The brand is a function of it and the
+    band an aspect; it has another one of both."""
     return (load(spark, sf_dir, "part")
             .select(_device_type_id().alias("device_type_id"),
                     F.col("p_type").alias("device_class_id"), "p_brand",
-                    size_band().alias("band")).distinct()
+                    size_band().alias("band"), _second_function().alias("function"),
+                    _second_aspect().alias("aspect")).distinct()
             .select("device_type_id", "device_class_id",
                     F.concat(F.lit("service-"), "band").alias("service_id"),
                     F.concat_ws(" ", "p_brand", "band").alias("service_name"),
-                    F.array("p_brand").alias("function_ids"),
-                    F.array("band").alias("aspect_ids")))
+                    F.array("p_brand", "function").alias("function_ids"),
+                    F.array("band", "aspect").alias("aspect_ids")))
 
 
 # --- deployments as rows ----------------------------------------------------
@@ -112,18 +134,22 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The criteria come from the part: brand as function, type as class, and on
     `O` lines the size band as aspect. Untaxed lines leave the function open and
-    undiscounted ones the class.
+    undiscounted ones the class; large ones ask for the second function and aspect.
     """
     parts = load(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", size_band().alias("band"))
+        F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", size_band().alias("band"),
+        _second_function().alias("function"), _second_aspect().alias("aspect"))
+    large = F.col("l_quantity") > LARGE_ABOVE
     kind, status = F.col("l_returnflag"), F.col("l_linestatus")
     return load(spark, sf_dir, "lineitem").join(parts, "l_partkey").select(
         F.col("l_orderkey").alias("deployment_id"), *LINE_ORDER,
         F.col("l_suppkey").alias("hub_id"),
         (kind == "A").alias("is_task"), (kind == "N").alias("is_event"),
-        F.when(F.col("l_tax") > 0, F.col("p_brand")).alias("function_id"),
+        F.when(F.col("l_tax") > 0, F.when(large, F.col("function")).otherwise(
+            F.col("p_brand"))).alias("function_id"),
         F.when(F.col("l_discount") > 0, F.col("p_type")).alias("device_class_id"),
-        F.when(status == "O", F.col("band")).alias("aspect_id"),
+        F.when(status == "O", F.when(large, F.col("aspect")).otherwise(
+            F.col("band"))).alias("aspect_id"),
         F.concat(F.lit("characteristic-"), "band").alias("characteristic_id"))
 
 
@@ -344,7 +370,7 @@ def _order_parts(spark: SparkSession, sf_dir: str, only_filled: bool) -> DataFra
     return load(spark, sf_dir, "lineitem").join(
         orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").alias("user_id"), F.lit("devices").alias("kind"),
-        F.col("l_partkey").alias("id"), "l_orderkey", "o_orderstatus", "l_linestatus")
+        F.col("l_partkey").alias("id"), "l_orderkey", "l_linestatus", "l_linenumber", "l_tax")
 
 
 def device_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,11 +381,13 @@ def device_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def permissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users may execute the parts on their `F` orders, unless it was an `O`
-    line, which only grants reading."""
+    line, which only grants reading, or an untaxed one, which grants nothing. Every
+    fifth line grants a right on a location of that number."""
     return _order_parts(spark, sf_dir, True).select(
-        "user_id", "kind", "id",
+        "user_id", F.when(F.col("l_linenumber") % 5 == 0, F.lit("locations")).otherwise(
+            F.col("kind")).alias("kind"), "id",
         F.when(F.col("l_linestatus") == "F", F.lit("x")).otherwise(F.lit("r")).alias("right"),
-        F.lit(True).alias("allowed"))
+        (F.col("l_tax") > 0).alias("allowed"))
 
 
 # --- sync state, outcomes, messages -----------------------------------------
@@ -388,10 +416,10 @@ def engine_sync_rows(events: DataFrame) -> DataFrame:
 
 
 def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases as process instances; expensive ones have ended. Those of odd
+    """Events as process instances; expensive ones have ended. Those of odd
     number run on networks that report nothing else."""
     network = F.when(F.col("event_id") % 2 == 1, -1 - F.col("user_id")).otherwise(F.col("user_id"))
-    return load(spark, sf_dir, "events").where(F.col("event_type") == "purchase").select(
+    return load(spark, sf_dir, "events").select(
         network.alias("network_id"), (F.col("value") > 10).alias("ended"))
 
 

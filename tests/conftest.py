@@ -30,3 +30,25 @@ def sf_dir():
 def rows(frame):
     """All rows as sorted plain tuples."""
     return sorted((tuple(r) for r in frame.collect()), key=repr)
+
+
+def join_rows(frame):
+    """Rows that came out of each join when the frame was computed."""
+    found = []
+
+    def visit(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return visit(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return visit(node.plan())
+        if name.endswith("JoinExec"):
+            metrics = node.metrics()
+            found.append(metrics.apply("numOutputRows").value())
+        children = node.children()
+        for i in range(children.size()):
+            visit(children.apply(i))
+
+    frame.collect()
+    visit(frame._jdf.queryExecution().executedPlan())
+    return found

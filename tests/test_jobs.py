@@ -76,9 +76,13 @@ def test_prepare(spark, run):
     assert rows(requests.select("request_id", "status", "executable")) == [
         ("0", 200, True), ("1", 500, None), ("2", 200, True), ("3", 200, True),
         ("4", 200, False)]
+    classes = spark.read.parquet(f"{out}/classes")
+    of = {r.user_id: r.class_id for r in classes.where(F.col("hub_id") == HUB).collect()}
+    assert len(set(of.values())) == 3
     elements = spark.read.parquet(f"{out}/elements").where("is_task")
-    assert rows(elements.select("hub_id.user_id", "n_options")) == [("u", 1), ("v", 2), ("w", None)]
-    element = elements.where("hub_id.user_id = 'v'").first()
+    assert {r.hub_id.class_id: r.n_options for r in elements.collect()} == {
+        of["u"]: 1, of["v"]: 2, of["w"]: None}
+    element = elements.where(F.col("hub_id.class_id") == of["v"]).first()
     assert (element.bpmn_id, element.default_device_id, element.default_service_id) == (
         "Task_1", "urn:device:valve-a", "urn:service:open")
     deployments = spark.read.parquet(f"{out}/deployments")
@@ -86,10 +90,11 @@ def test_prepare(spark, run):
     deployment = deployments.where("request_id = '2'").first()
     assert (deployment.diagram.svg, deployment.executable) == ("<svg/>", True)
     assert deployment.elements[0].bpmn_id == "Task_1"
-    option = spark.read.parquet(f"{out}/options").where("hub_id.user_id = 'v'").first()
+    option = spark.read.parquet(f"{out}/options").where(
+        F.col("hub_id.class_id") == of["v"]).first()
     assert [option.options_key] == deployment.options_keys == [element.options_key]
     devices = spark.read.parquet(f"{out}/devices").where(
-        (F.col("hub_id.user_id") == "v") & (F.col("device_type_id") == option.device_type_id))
+        (F.col("hub_id.class_id") == of["v"]) & (F.col("device_type_id") == option.device_type_id))
     assert rows(devices.select("device_name")) == [("inlet",), ("outlet",)]
 
 

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import join_rows, rows
 from hubloom import schemas
 from hubloom.operators import selection
 from hubloom.operators.skew import HOT_SHARE, hot_keys, key_counts, salted_join
@@ -220,3 +220,111 @@ def test_hot_keys_are_bounded(spark):
     counts = spark.createDataFrame(
         [(i, rng.choice([1, 1, 1, 5000])) for i in range(20000)], "k int, n_rows long")
     assert hot_keys(counts, ["k"]).count() < HOT_SHARE
+
+
+# --- users
+
+MEMBERS = "hub_id string, local_id string"
+DEVICES = "device_id string, local_id string, device_name string, device_type_id string"
+GRANTS = "user_id string, kind string, id string"
+USERS = "hub_id string, user_id string"
+
+
+def test_a_local_id_that_many_hubs_and_devices_share(spark):
+    """Every owner asks for their own hub; no step meets all hubs with all devices."""
+    n = 500
+    members = spark.createDataFrame([(f"h{i}", "2") for i in range(n)], MEMBERS)
+    devices = spark.createDataFrame([(f"d{i}", "2", "x", "t") for i in range(n)], DEVICES)
+    grants = spark.createDataFrame([(f"u{i}", "devices", f"d{i}") for i in range(n)], GRANTS)
+    users = spark.createDataFrame([(f"h{i}", f"u{i}") for i in range(n)], USERS)
+    found = selection.user_devices(members, devices, grants, users)
+    assert max(join_rows(found)) <= 2 * n
+    assert rows(found.select("hub_id", "user_id", "device_id")) == sorted(
+        (f"h{i}", f"u{i}", f"d{i}") for i in range(n))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_user_devices_against_brute_force(spark, seed):
+    draw = random.Random(seed)
+    pick = lambda letter, n: f"{letter}{min(draw.randrange(n), draw.randrange(n))}"
+    members = [(pick("h", 9), pick("l", 6)) for _ in range(40)]
+    devices = [(f"d{i}", pick("l", 8), "x", "t") for i in range(30)]
+    grants = [(pick("u", 9), draw.choice(["devices", "devices", "locations"]), pick("d", 30))
+              for _ in range(120)]
+    users = [(pick("h", 10), pick("u", 10)) for _ in range(60)]
+    want = {(h, u, d) for h, u in users for d, local, *_ in devices
+            if (h, local) in members and (u, "devices", d) in grants}
+    found = selection.user_devices(
+        spark.createDataFrame(members, MEMBERS), spark.createDataFrame(devices, DEVICES),
+        spark.createDataFrame(grants, GRANTS), spark.createDataFrame(users, USERS))
+    assert rows(found.select("hub_id", "user_id", "device_id")) == sorted(want)
+
+    asked = spark.createDataFrame(users, USERS)
+    classes, fleet = selection.permission_classes(found, asked)
+    of = {(r.hub_id, r.user_id): r.class_id for r in classes.collect()}
+    assert set(of) == set(users)
+    sets = {pair: frozenset(d for h, u, d in want if (h, u) == pair) for pair in of}
+    for a, b in itertools.combinations(of, 2):
+        if a[0] == b[0]:
+            assert (of[a] == of[b]) == (sets[a] == sets[b])
+    assert {(r.hub_id.hub_id, r.hub_id.class_id, r.device_id) for r in fleet.collect()} == {
+        (*(h, of[h, u]), d) for h, u, d in want}
+    assert fleet.count() == fleet.distinct().count()
+
+
+def test_matches_follow_classes_not_users(spark):
+    """Three hundred users of one hub hold one of two sets of devices, or none."""
+    members = spark.createDataFrame([("h", f"l{i}") for i in range(10)], MEMBERS)
+    devices = spark.createDataFrame([(f"d{i}", f"l{i}", "x", f"t{i}") for i in range(10)], DEVICES)
+    grants = [(f"u{u}", "devices", f"d{i}") for u in range(300) for i in range(10)
+              if (u % 3 == 0 and i < 4) or u % 3 == 1]
+    users = spark.createDataFrame([("h", f"u{u}") for u in range(300)], USERS)
+    services = spark.createDataFrame(
+        [(f"t{i}", "c", "s", "s", ["f"], ["a"]) for i in range(10)],
+        "device_type_id string, device_class_id string, service_id string, service_name string, "
+        "function_ids array<string>, aspect_ids array<string>")
+    usable = selection.user_devices(members, devices, spark.createDataFrame(grants, GRANTS), users)
+    classes, fleet = selection.permission_classes(usable, users)
+    requests = selection.for_classes(users.withColumns(
+        {"function_id": F.lit("f"), "device_class_id": F.lit(""), "aspect_id": F.lit("a")}), classes)
+    criteria = selection.criteria_counts(requests)
+    assert {r.n_rows for r in criteria.collect()} == {100} and criteria.count() == 3
+    assert selection.match_types(criteria, fleet, services).count() == 4 + 10
+
+
+# --- leads
+
+def test_the_rarest_criterion_leads(spark):
+    """All types have the function, one the aspect, each its own class."""
+    services = spark.createDataFrame(
+        [(f"t{i}", f"c{i % 10}", "s", "s", ["common"], ["rare"] if i == 7 else [f"a{i % 2}"])
+         for i in range(100)],
+        "device_type_id string, device_class_id string, service_id string, service_name string, "
+        "function_ids array<string>, aspect_ids array<string>")
+    fleet = spark.createDataFrame([("h", f"d{i}", "x", f"t{i}") for i in range(100)],
+                                  "hub_id string, device_id string, device_name string, "
+                                  "device_type_id string")
+    asked = [("common", "", "rare"), ("common", "c7", "a1"), ("common", "c7", "rare"),
+             ("", "c7", "rare"), ("common", "", ""), ("common", "c7", "missing"), ("", "", "")]
+    criteria = selection.criteria_counts(spark.createDataFrame(
+        [("h", *a) for a in asked], "hub_id string, function_id string, device_class_id string, "
+        "aspect_id string"))
+    types = fleet.groupBy("hub_id", "device_type_id").agg(
+        F.count(F.lit(1)).alias("n_devices"), F.min("device_id").alias("first_device_id"))
+    met = {tuple(r)[:3]: r["count"] for r in selection.met_types(criteria, types, services).groupBy(
+        *selection.CRITERIA[1:]).count().collect()}
+    assert met == {("common", "", "rare"): 1, ("common", "c7", "a1"): 10, ("common", "c7", "rare"): 1,
+                   ("", "c7", "rare"): 1, ("common", "", ""): 100, ("", "", ""): 100}
+    kept = selection.match_types(criteria, fleet, services)
+    assert sum(met.values()) <= 2 * kept.count()
+
+
+def test_pairs_before_the_other_criteria_follow_what_is_kept(spark, sf_dir):
+    from hubloom.plans import queries
+    from hubloom.sources import driver_tables as dt
+    criteria, fleet = queries._criteria(spark, sf_dir), queries._fleet(spark, sf_dir)
+    types = fleet.groupBy("hub_id", "device_type_id").agg(
+        F.count(F.lit(1)).alias("n_devices"), F.min("device_id").alias("first_device_id"))
+    met = selection.met_types(criteria, types, dt.services(spark, sf_dir)).count()
+    kept = selection.match_types(criteria, fleet, dt.services(spark, sf_dir)).count()
+    assert kept <= met <= 2 * kept
