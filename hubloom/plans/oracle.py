@@ -636,6 +636,24 @@ SELECT request_id, o_custkey AS network_id,
        CASE WHEN NOT cut AND reason IS NULL THEN 'accepted' ELSE 'rejected' END AS route
 FROM checked""",
 
+    "redelivered_commands_stream": f"""WITH {DOCS}
+SELECT request_id, o_custkey AS network_id, 'deploy' AS action
+FROM checked WHERE NOT cut AND reason IS NULL""",
+
+    "action_results_stream": f"""WITH {OUTCOMES}
+SELECT network_id, day, CAST(count(*) AS BIGINT) AS n_commands,
+       min(seq) FILTER (WHERE status >= 300) AS failed_seq,
+       arg_min(status, seq) FILTER (WHERE status >= 300) AS status,
+       arg_min(body, seq) FILTER (WHERE status >= 300) AS message
+FROM outcomes GROUP BY network_id, day""",
+
+    "attempted_commands_stream": f"""WITH {OUTCOMES}
+SELECT network_id, day, seq, status,
+       coalesce(max(CASE WHEN status >= 300 THEN 1 ELSE 0 END) OVER (
+         PARTITION BY network_id, day ORDER BY seq
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0 AS attempted
+FROM outcomes""",
+
     "latest_sync_stream": LATEST,
 
     "topic_activity_stream": """

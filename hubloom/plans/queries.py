@@ -15,6 +15,7 @@ from hubloom.sources import driver_tables as dt
 from hubloom.sources import json_docs
 from hubloom.sources.commands import read_commands, write_commands
 from hubloom.sources.tables import read_table
+from hubloom.streaming import outcomes as outcome_streams
 from hubloom.streaming import routing, sinks, topics
 from hubloom.streaming import sync as sync_streams
 
@@ -579,6 +580,61 @@ def routed_commands_stream(spark: SparkSession, d: str) -> DataFrame:
         "request_id", "network_id", F.coalesce("reason", F.lit("ok")).alias("result"), "route")
 
 
+@query
+def redelivered_commands_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Messages whose bus delivers them twice, the second time to a stream that has been
+    stopped in between, and each twice within one delivery: one command for each."""
+    path = shared_dir(spark, "redelivered")
+    messages = dt.command_bodies(dt.load(spark, d, "orders")).withColumnRenamed(
+        "user_id", "network_id")
+    for delivery in (messages.unionAll(messages), messages):
+        delivery.write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(messages.schema).parquet(f"{path}/in")
+        _finish(routing.route_commands_stream(
+            stream, f"{path}/out", f"{path}/checkpoint", f"{path}/commands"))
+    return read_commands(spark, f"{path}/commands").select(
+        F.col("action_id").cast("bigint").alias("request_id"),
+        F.col("network_id").cast("bigint").alias("network_id"), "action")
+
+
+_ACTION = ["network_id", "day"]
+
+
+def _outcome_deliveries(spark: SparkSession, d: str, path: str) -> DataFrame:
+    """Outcomes as they arrive, the stream run after each of three deliveries."""
+    events = dt.load(spark, d, "events")
+    rows = dt.outcomes(events)
+    for part in range(3):
+        rows.where(F.pmod(F.xxhash64("seq"), F.lit(3)) == part).write.mode("append").parquet(
+            f"{path}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+        _finish(outcome_streams.action_results_stream(
+            stream, _ACTION, f"{path}/out", f"{path}/checkpoint"))
+    return rows
+
+
+@query
+def action_results_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The first failure of each action, from outcomes that came in any order."""
+    path = shared_dir(spark, "outcomes")
+    rows = _outcome_deliveries(spark, d, path)
+    results = outcome_streams.read_action_results(
+        spark, f"{path}/out", rows.select(*_ACTION).schema)
+    return results.select(*_ACTION, "n_commands", "failed_seq", F.when(
+        F.col("failed_seq").isNotNull(), F.col("status")).alias("status"), "message")
+
+
+@query
+def attempted_commands_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Which of the commands were attempted, once all outcomes have arrived."""
+    path = shared_dir(spark, "outcomes")
+    rows = _outcome_deliveries(spark, d, path)
+    results = outcome_streams.read_action_results(
+        spark, f"{path}/out", rows.select(*_ACTION).schema)
+    return outcome_streams.attempted(rows, results, _ACTION).select(
+        "network_id", "day", "seq", "status", "attempted")
+
+
 @query
 def latest_sync_stream(spark: SparkSession, d: str) -> DataFrame:
     path = shared_dir(spark, "latest-sync")

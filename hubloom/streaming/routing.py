@@ -14,6 +14,23 @@ from hubloom.streaming.sinks import Trigger, append_files, write_batches
 ACCEPTED, REJECTED = "accepted", "rejected"
 
 
+def once(messages: DataFrame, remember: str | None = None) -> DataFrame:
+    """Each message of a stream once, however often the bus delivers it.
+
+    A message is known by its hub and request id, or by its body where it has no id;
+    the stream's state remembers those it has seen. With `remember`, such as `7 days`,
+    only as long as that behind the newest arrival in the column `ts`; without, for good.
+    """
+    known = F.coalesce(F.col("request_id").cast("string"), F.concat(
+        F.lit("body "), F.sha2(F.coalesce("body", F.lit("")), 256)))
+    keyed = messages.withColumn("__message", F.struct("network_id", known.alias("id")))
+    if remember:
+        keyed = keyed.withWatermark("ts", remember).dropDuplicatesWithinWatermark(["__message"])
+    else:
+        keyed = keyed.dropDuplicates(["__message"])
+    return keyed.drop("__message")
+
+
 def route(messages: DataFrame) -> DataFrame:
     """Decode and validate `request_id, network_id, body`; the topic a message
     came on plays no part. `route` tells the sink."""
@@ -41,13 +58,14 @@ def accepted_commands(routed: DataFrame) -> DataFrame:
 
 
 def route_commands_stream(messages: DataFrame, path: str, checkpoint: str,
-                          commands: str | None = None,
-                          trigger: Trigger | None = None) -> StreamingQuery:
-    """Accepted and rejected rows are folders of `path`.
+                          commands: str | None = None, trigger: Trigger | None = None,
+                          remember: str | None = None) -> StreamingQuery:
+    """Accepted and rejected rows are folders of `path`; each message counts once.
 
     With `commands`, the path of a command table, each batch's accepted rows are
     its deploy commands under the run `route-<batch>` too.
     """
+    messages = once(messages, remember)
     if commands is None:
         return append_files(route(messages), path, checkpoint, ("route",), trigger)
 

@@ -1,8 +1,11 @@
+import pytest
+from pyspark.errors import PySparkException
+
 from conftest import rows
 from hubloom.operators import access, commands, sync
 from hubloom.plans import lifecycle
 from hubloom.schemas import COMMAND
-from hubloom.sources.commands import read_commands, write_commands
+from hubloom.sources.commands import drop_old_versions, read_commands, write_commands
 from hubloom.session import shared_dir
 from pyspark.sql import functions as F
 
@@ -90,6 +93,29 @@ def test_rerun_replaces_its_own_rows(spark):
     assert read() == [("2024-01-01", "remove", "c"), ("a/b=c", "deploy", "c")]
 
 
+def test_a_rerun_that_fails_leaves_what_was_there(spark):
+    path = shared_dir(spark, "test-versions")
+    good = spark.createDataFrame([("n", "a"), ("n", "b")], "network_id string, command_key string")
+    assert read_commands(spark, path).columns == COMMAND.names
+    assert read_commands(spark, path).count() == 0
+    write_commands(good, path, "run", "deploy")
+    # The first partition is written, the second one fails.
+    half = spark.range(0, 2000, 1, 2).select(
+        F.lit("n").alias("network_id"), F.when(F.col("id") < 1900, F.col("id").cast("string"))
+        .otherwise(F.raise_error(F.lit("broken"))).alias("command_key"))
+    with pytest.raises(PySparkException):
+        write_commands(half, path, "run", "deploy")
+    read = lambda: rows(read_commands(spark, path).select("command_key"))
+    assert read() == [("a",), ("b",)]
+    before = read_commands(spark, path)
+    write_commands(good.limit(1), path, "run", "deploy")
+    assert rows(before.select("command_key")) == [("a",), ("b",)]
+    assert len(read()) == 1
+    drop_old_versions(spark, path)
+    drop_old_versions(spark, path)
+    assert len(read()) == 1
+
+
 def test_access(spark):
     permissions = spark.createDataFrame(
         [("u", "devices", "d1", "x", True), ("u", "devices", "d2", "r", True),

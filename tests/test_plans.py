@@ -15,7 +15,8 @@ from hubloom.sources.tables import save_bucketed
 from test_models import DOCUMENTS
 
 EAGER_SINKS = {"written_commands", "routed_commands_stream", "latest_sync_stream",
-               "topic_activity_stream"}
+               "topic_activity_stream", "redelivered_commands_stream", "action_results_stream",
+               "attempted_commands_stream"}
 
 
 GOLDEN = {

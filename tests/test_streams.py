@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from hubloom.operators.commands import action_results, fail_fast_prefix
 from hubloom.operators.sync import latest_sync
 from hubloom.session import shared_dir
 from hubloom.sources.commands import read_commands
-from hubloom.streaming import routing, sinks, topics
+from hubloom.streaming import outcomes, routing, sinks, topics
 from hubloom.streaming import sync as sync_streams
 
 SYNC = "network_id string, engine_id string, sync_date timestamp, seq long, state string"
@@ -100,6 +101,81 @@ def test_route_stream(spark):
     assert rows(commands.select("action", "action_id", "network_id")) == [("deploy", "1", "n")]
 
 
+GOOD = '{"version": 3, "deployment": {"id": "%s", "name": "d", "elements": []}}'
+MESSAGE = "request_id string, network_id string, body string, ts timestamp"
+
+
+@pytest.mark.parametrize("remember", [None, "1 hour"])
+def test_a_message_delivered_again_is_one_command(spark, remember):
+    """Within a batch, in the next one and after a restart; ids are those of a hub."""
+    path = shared_dir(spark, "test-once")
+    batches = [
+        [("1", "n", GOOD % "a", START), ("1", "n", GOOD % "a", START), ("1", "m", GOOD % "b", START)],
+        [("1", "n", GOOD % "a", START), ("2", "n", GOOD % "c", START), ("3", "n", "{", START)],
+        [(None, "n", GOOD % "d", START), (None, "n", GOOD % "e", START),
+         (None, "n", GOOD % "d", START), ("3", "n", "{", START), ("2", "n", GOOD % "c", START)]]
+    for batch in batches:
+        add_file(spark, f"{path}/in", batch, MESSAGE)
+        stream = spark.readStream.schema(MESSAGE).parquet(f"{path}/in")
+        finish(routing.route_commands_stream(
+            stream, f"{path}/out", f"{path}/checkpoint", f"{path}/commands", remember=remember))
+    sent = read_commands(spark, f"{path}/commands")
+    assert rows(sent.select("deployment_id", "network_id")) == [
+        ("a", "n"), ("b", "m"), ("c", "n"), ("d", "n"), ("e", "n")]
+    routed = sinks.read_batches(spark, f"{path}/out", routing.route(stream).schema)
+    assert routed.where("route = 'rejected'").count() == 1
+
+
+OUTCOME = "action_id string, seq long, status int, body string"
+
+
+def test_outcomes_in_any_order(spark):
+    path = shared_dir(spark, "test-outcomes")
+    listed = [(f"a{i % 4}", i, 500 if i in (13, 22, 9, 33) else 200, f"body {i}") for i in range(40)]
+    listed += [(None, 1, 500, ""), (None, 0, 404, None)]
+    action = spark.createDataFrame([], OUTCOME).select("action_id").schema
+
+    def run(some, quiet="1 hour"):
+        add_file(spark, f"{path}/in", some, OUTCOME)
+        stream = spark.readStream.schema(OUTCOME).parquet(f"{path}/in")
+        finish(outcomes.action_results_stream(
+            stream, ["action_id"], f"{path}/out", f"{path}/checkpoint", quiet))
+        return outcomes.read_action_results(spark, f"{path}/out", action)
+
+    for part in (listed[30:], listed[::2], listed[1:30:2][:-1]):
+        run(part)
+    whole = spark.read.schema(OUTCOME).parquet(f"{path}/in")
+    results = run([("a0", 100, 503, "late")], quiet="1 hour")
+    table = spark.read.schema(OUTCOME).parquet(f"{path}/in")
+    failed = rows(action_results(table, ["action_id"]).where("status != 200"))
+    assert rows(results.where("failed_seq is not null").drop("failed_seq")) == failed
+    assert {r.action_id: r.status for r in results.collect()}["a3"] is None
+    got = outcomes.attempted(whole, results, ["action_id"]).select("action_id", "seq", "attempted")
+    want = fail_fast_prefix(whole, ["action_id"]).select("action_id", "seq", "attempted")
+    assert rows(got.where("action_id is not null")) == rows(want.where("action_id is not null"))
+
+
+def test_a_quiet_action_is_closed_and_heard_again(spark):
+    path = shared_dir(spark, "test-quiet")
+    action = spark.createDataFrame([], OUTCOME).select("action_id").schema
+
+    def run(*some):
+        add_file(spark, f"{path}/in", some, OUTCOME)
+        stream = spark.readStream.schema(OUTCOME).parquet(f"{path}/in")
+        finish(outcomes.action_results_stream(
+            stream, ["action_id"], f"{path}/out", f"{path}/checkpoint", "1 millisecond"))
+        found = outcomes.read_action_results(spark, f"{path}/out", action)
+        return {r.action_id: (r.n_commands, r.failed_seq, r.status) for r in found.collect()}
+
+    assert run(("a", 3, 200, ""), ("b", 2, 500, "")) in (
+        {"a": (1, None, None), "b": (1, 2, 500)}, {"a": (1, None, 200), "b": (1, 2, 500)})
+    run(("c", 1, 200, ""))
+    found = run(("d", 1, 200, ""))
+    assert found["a"] == (1, None, 200) and found["b"] == (1, 2, 500)
+    found = run(("a", 1, 500, "late"), ("b", 1, 404, ""), ("b", 4, 500, ""))
+    assert found["a"] == (2, 1, 500) and found["b"] == (3, 1, 404)
+
+
 TOPIC = "topic string, ts timestamp"
 
 
