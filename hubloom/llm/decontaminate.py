@@ -9,20 +9,22 @@ Training text is cut into shards of whole documents, CHUNK_BYTES each. A shard's
 words are numbered by the test set's vocabulary, other words end a run, and runs
 too short for any window are left out, as no test suffix can match there. The
 remaining suffixes are sorted by doubling: by their first word, 2, 4 words and so
-on up to WINDOW. Every window is then looked up by binary search in the order of its
-length. longest_match is the longest run of hit words, whichever items hit them:
-windows of two items side by side make one run that no item has whole. The longest
-verbatim match of an item is not looked for, nor are places of single matches given.
+on up to WINDOW. Every test suffix is looked up by its first WINDOW words, by binary
+search in the order of that length. Where the next suffix of the item is found at the
+next place, the match goes on, so the places of one item on one diagonal chain up to its
+longest verbatim matches, with their places in document and item.
 
 A shard holds whole documents, so training text is read once and never shuffled.
-The test set is sent to tasks in blocks of whole items below BLOCK_BYTES; a larger
-test set takes one more pass for each block, and the passes' hits are merged.
+The test set is sent to tasks in blocks of whole items below BLOCK_BYTES. With more than
+one block the rows are written once, with a number each; each block then takes a pass
+that gives the hits of those documents that have any, and these are merged by number.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hubloom.llm.rows import Carried
 from hubloom.llm.texts import chunks, coded
 from hubloom.session import keep as store
 
@@ -56,22 +59,49 @@ class Numbers(dict):
         return 0
 
 
-#: Windows by their length: numbers of the words -> names of the items.
-Windows = dict[int, dict[tuple[int, ...], list[str]]]
+class Windows(NamedTuple):
+    """The distinct windows of one length, and where the items have them.
 
+    Occurrences of window i are those from starts[i] on: number of the item's sequence
+    of words, and place of the window in it.
+    """
+
+    words: np.ndarray
+    starts: np.ndarray
+    sequences: np.ndarray
+    places: np.ndarray
+
+
+class Tests(NamedTuple):
+    """Some test items: their vocabulary, their windows, the items of each sequence."""
 
-def test_windows(items: list[tuple[str, bytes]]) -> tuple[dict[bytes, int], Windows]:
-    """The vocabulary of some test items, and their windows."""
+    numbers: dict[bytes, int]
+    windows: list[Windows]
+    names: list[list[str]]
+
+
+def test_windows(items: list[tuple[str, bytes]]) -> Tests:
+    """Items with equal words are one sequence of words."""
     numbers: dict[bytes, int] = {}
-    windows: Windows = {}
+    sequences: dict[tuple[int, ...], list[str]] = {}
     for name, text in items:
-        words = [numbers.setdefault(w, len(numbers) + 1) for w in words_of(text)]
+        words = tuple(numbers.setdefault(w, len(numbers) + 1) for w in words_of(text))
+        if words:
+            sequences.setdefault(words, []).append(name)
+    found: dict[int, dict[tuple[int, ...], list[tuple[int, int]]]] = {}
+    for number, words in enumerate(sequences):
         length = min(WINDOW, len(words))
-        if length:
-            of_length = windows.setdefault(length, {})
-            for i in range(len(words) - length + 1):
-                of_length.setdefault(tuple(words[i:i + length]), []).append(name)
-    return numbers, windows
+        of_length = found.setdefault(length, {})
+        for i in range(len(words) - length + 1):
+            of_length.setdefault(words[i:i + length], []).append((number, i))
+    windows = []
+    for length, of_length in found.items():
+        flat = np.array([p for places in of_length.values() for p in places], np.int64)
+        windows.append(Windows(
+            np.array(list(of_length), np.int64).reshape(-1, length),
+            np.concatenate(([0], np.cumsum([len(p) for p in of_length.values()]))),
+            flat[:, 0], flat[:, 1]))
+    return Tests(numbers, windows, [sorted(set(n)) for n in sequences.values()])
 
 
 class SuffixArray:
@@ -131,85 +161,152 @@ class SuffixArray:
         return at, hits[at] - 1
 
 
-def shard_hits(lists: list[list[bytes]], numbers: Numbers,
-               windows: Windows) -> tuple[np.ndarray, np.ndarray, dict[int, set[str]]]:
-    """Which words are hit, where each text starts, and the items found in texts."""
+class Match(NamedTuple):
+    """A longest verbatim match of an item: words, first word in document and item."""
+
+    length: int
+    word: int
+    item_word: int
+
+
+def _chained(documents: np.ndarray, places: np.ndarray, sequences: np.ndarray,
+             offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, Match]]:
+    """Document, sequence and match for each run of windows that follow each other in
+    both; the longest come first, then the earliest."""
+    order = np.lexsort((places, places - offsets, sequences, documents))
+    documents, places, sequences, offsets = (
+        x[order] for x in (documents, places, sequences, offsets))
+    goes_on = ((documents[1:] == documents[:-1]) & (sequences[1:] == sequences[:-1])
+               & (places[1:] == places[:-1] + 1) & (offsets[1:] == offsets[:-1] + 1))
+    first = np.concatenate(([0], np.flatnonzero(~goes_on) + 1))
+    lengths = np.diff(np.append(first, len(places))) - 1 + length
+    for i in np.lexsort((offsets[first], places[first], -lengths)).tolist():
+        at = first[i]
+        yield int(documents[at]), int(sequences[at]), Match(
+            int(lengths[i]), int(places[at]), int(offsets[at]))
+
+
+def shard_hits(lists: list[list[bytes]], numbers: Numbers, tests: Tests
+               ) -> tuple[np.ndarray, np.ndarray, dict[int, dict[str, Match]]]:
+    """Which words are hit, where each text starts, and the items found in each text
+    with the longest match of each; of equally long ones the earliest."""
     flat, starts = coded(lists, numbers)
     array = SuffixArray(flat.astype(np.int64), starts)
     edges = np.zeros(len(array.document) + WINDOW + 1, np.int64)
-    items: dict[int, set[str]] = {}
-    for length, of_length in windows.items():
-        sequences = np.array(list(of_length), np.int64).reshape(-1, length)
-        names = list(of_length.values())
-        at, which = array.places(length, array.find(sequences))
+    found: dict[int, dict[str, Match]] = {}
+    for windows in tests.windows:
+        length = windows.words.shape[1]
+        at, which = array.places(length, array.find(windows.words))
+        if not len(at):
+            continue
         np.add.at(edges, at, 1)
         np.add.at(edges, at + length, -1)
-        pairs = np.unique(array.document[at] * len(names) + which)
-        for document, window in zip((pairs // len(names)).tolist(),
-                                    (pairs % len(names)).tolist(), strict=True):
-            items.setdefault(document, set()).update(names[window])
-    return np.cumsum(edges)[array.at] > 0, starts, items
-
-
-def longest_run(hit: np.ndarray) -> tuple[int, int]:
-    """Length and first place of the longest run of hit words; 0 and -1 without."""
-    ends = np.flatnonzero(np.diff(np.concatenate(([0], hit, [0])).astype(np.int8)))
-    if not len(ends):
-        return 0, -1
-    lengths = ends[1::2] - ends[::2]
-    best = int(lengths.argmax())
-    return int(lengths[best]), int(ends[2 * best])
-
-
-#: What one pass over a block of the test set hands to the next.
-_CARRIED = T.StructType([T.StructField("__hit", T.BinaryType()),
-                         T.StructField("__items", T.ArrayType(T.StringType()))])
+        times = windows.starts[which + 1] - windows.starts[which]
+        of = np.repeat(np.arange(len(at)), times)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
+        occurrence = windows.starts[which[of]] + nth
+        documents = array.document[at[of]]
+        # Documents are apart by one place each in the array.
+        places = at[of] - documents - starts[documents]
+        for document, sequence, match in _chained(
+                documents, places, windows.sequences[occurrence], windows.places[occurrence],
+                length):
+            items = found.setdefault(document, {})
+            for name in tests.names[sequence]:
+                items[name] = _longer(items.get(name), match)
+    return np.cumsum(edges)[array.at] > 0, starts, found
+
+
+def _longer(one: Match | None, other: Match) -> Match:
+    if one is None:
+        return other
+    return min(one, other, key=lambda m: (-m.length, m.word, m.item_word))
+
+
+_MATCHES = T.ArrayType(T.StructType([
+    T.StructField("item_id", T.StringType()), T.StructField("length", T.LongType()),
+    T.StructField("word", T.LongType()), T.StructField("item_word", T.LongType())]))
+#: What one block of the test set tells of a document that it hits.
+HITS = T.StructType([T.StructField("hit", T.BinaryType()), T.StructField("matches", _MATCHES)])
 FOUND = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
     T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType()),
     T.StructField("contaminated", T.BooleanType()),
-    T.StructField("longest_match", T.LongType()), T.StructField("match_word", T.LongType())])
+    T.StructField("longest_match", T.LongType()), T.StructField("match_word", T.LongType()),
+    T.StructField("matches", _MATCHES)])
+_MATCHES_ARROW = pa.list_(pa.struct([("item_id", pa.string()), ("length", pa.int64()),
+                                     ("word", pa.int64()), ("item_word", pa.int64())]))
 
 
-def _found(hits: list[np.ndarray], items: list[set[str]]) -> list[pa.Array]:
-    runs = [longest_run(h) for h in hits]
+def _listed(items: dict[str, Match]) -> list[dict]:
+    return [{"item_id": name, **items[name]._asdict()} for name in sorted(items)]
+
+
+def _found(hits: list[np.ndarray], items: list[dict[str, Match]]) -> list[pa.Array]:
+    best = [min(found.values(), key=lambda m: (-m.length, m.word)) if found else Match(0, -1, -1)
+            for found in items]
     digests = [hashlib.sha256(",".join(sorted(n)).encode()).hexdigest() for n in items]
     return [pa.array([len(h) for h in hits], pa.int64()),
             pa.array([int(h.sum()) for h in hits], pa.int64()),
             pa.array([len(n) for n in items], pa.int64()), pa.array(digests, pa.string()),
             pa.array([bool(h.any()) for h in hits], pa.bool_()),
-            pa.array([r[0] for r in runs], pa.int64()),
-            pa.array([r[1] for r in runs], pa.int64())]
+            pa.array([m.length for m in best], pa.int64()),
+            pa.array([m.word for m in best], pa.int64()),
+            pa.array([_listed(n) for n in items], _MATCHES_ARROW)]
+
 
+def _read(batches: Arrow, block) -> Iterator[tuple[pa.RecordBatch, list, list]]:
+    """Parts of batches, with the hit words and found items of each text."""
+    numbers = Numbers(block.value.numbers)
+    for batch in batches:
+        for part in chunks(batch, "bytes"):
+            lists = [words_of(t) for t in part.column("bytes").to_pylist()]
+            flat, starts, found = shard_hits(lists, numbers, block.value)
+            hits = [flat[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
+            yield part, hits, [found.get(i, {}) for i in range(len(lists))]
 
-def _pass(block, keep: list[str], first: bool, last: bool) -> Callable[[Arrow], Arrow]:
-    """One pass: adds this block's hits to those carried, and tells them at last."""
+
+def _whole(block) -> Callable[[Arrow], Arrow]:
+    """The results of rows of row and bytes, by the only block there is."""
     def run(batches: Arrow) -> Arrow:
-        numbers, windows = Numbers(block.value[0]), block.value[1]
-        for batch in batches:
-            for part in chunks(batch, "__bytes"):
-                lists = [words_of(t) for t in part.column("__bytes").to_pylist()]
-                flat, starts, found = shard_hits(lists, numbers, windows)
-                hits = [flat[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
-                items = [found.get(i, set()) for i in range(len(lists))]
-                if not first:
-                    hits = [h | np.unpackbits(np.frombuffer(o, np.uint8), count=len(h)).astype(bool)
-                            for h, o in zip(hits, part.column("__hit").to_pylist(), strict=True)]
-                    items = [n.union(o) for n, o in
-                             zip(items, part.column("__items").to_pylist(), strict=True)]
-                if last:
-                    yield pa.RecordBatch.from_arrays(
-                        [*(part.column(c) for c in keep), *_found(hits, items)],
-                        [*keep, *FOUND.names])
-                else:
-                    yield pa.RecordBatch.from_arrays(
-                        [*(part.column(c) for c in [*keep, "__bytes"]),
-                         pa.array([np.packbits(h).tobytes() for h in hits], pa.binary()),
-                         pa.array([sorted(n) for n in items], pa.list_(pa.string()))],
-                        [*keep, "__bytes", *_CARRIED.names])
+        for part, hits, items in _read(batches, block):
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row"), *_found(hits, items)], ["row", *FOUND.names])
     return run
 
 
+def _partial(block) -> Callable[[Arrow], Arrow]:
+    """Number and hits of the documents that a block hits."""
+    def run(batches: Arrow) -> Arrow:
+        for part, hits, items in _read(batches, block):
+            some = [i for i, found in enumerate(items) if found]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("at").take(pa.array(some, pa.int64())),
+                 pa.array([np.packbits(hits[i]).tobytes() for i in some], pa.binary()),
+                 pa.array([_listed(items[i]) for i in some], _MATCHES_ARROW)],
+                ["at", *HITS.names])
+    return run
+
+
+def _merged(batches: Arrow) -> Arrow:
+    """The results of rows of row, bytes and the blocks' hits."""
+    for batch in batches:
+        for part in chunks(batch, "bytes"):
+            hits, items = [], []
+            for text, blocks in zip(part.column("bytes").to_pylist(),
+                                    part.column("blocks").to_pylist(), strict=True):
+                hit, found = np.zeros(len(words_of(text)), bool), {}
+                for block in blocks or []:
+                    hit |= np.unpackbits(np.frombuffer(block["hit"], np.uint8),
+                                         count=len(hit)).astype(bool)
+                    for m in block["matches"]:
+                        found[m["item_id"]] = _longer(found.get(m["item_id"]), Match(
+                            m["length"], m["word"], m["item_word"]))
+                hits.append(hit), items.append(found)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row"), *_found(hits, items)], ["row", *FOUND.names])
+
+
 def _blocks(spark: SparkSession, tests: DataFrame) -> Iterator[Broadcast]:
     """The test set in broadcast blocks, each gathered within BLOCK_BYTES.
 
@@ -225,27 +322,43 @@ def _blocks(spark: SparkSession, tests: DataFrame) -> Iterator[Broadcast]:
         yield spark.sparkContext.broadcast(test_windows([(r.name, bytes(r.text)) for r in rows]))
 
 
+def _results(docs: DataFrame, tests: DataFrame) -> tuple[Carried, DataFrame]:
+    """The caller's rows with the columns of FOUND."""
+    spark, carried = docs.sparkSession, Carried(docs)
+    rows = carried.rows(bytes=F.col("text").cast("binary"))
+    blocks = list(_blocks(spark, tests))
+    schema = T.StructType([rows.schema["row"], *FOUND.fields])
+    if len(blocks) == 1:
+        return carried, rows.mapInArrow(_whole(blocks[0]), schema)
+    rows = store(spark, rows.withColumn("at", F.monotonically_increasing_id()), "numbered")
+    hits = None
+    for block in blocks:
+        found = store(spark, rows.select("at", "bytes").mapInArrow(
+            _partial(block), T.StructType([T.StructField("at", T.LongType()), *HITS.fields])), "hits")
+        hits = found if hits is None else hits.unionAll(found)
+    hits = hits.groupBy("at").agg(F.collect_list(F.struct(*HITS.names)).alias("blocks"))
+    return carried, rows.join(hits, "at", "left").select("row", "bytes", "blocks").mapInArrow(
+        _merged, schema)
+
+
 def matched(docs: DataFrame, tests: DataFrame) -> DataFrame:
     """`docs` with what of the test set they hold.
 
     Adds n_words, n_hit, n_items, items_sha256 (of the ids of found items, sorted as
-    strings, comma-joined), contaminated, longest_match (words) and match_word (its
-    first word's number, -1 if none); columns of these names are replaced. Reads
-    docs.text, tests.item_id and tests.text. Null and empty texts have no words; a
-    null item_id is written as the empty string; items that share an id count once.
-    An empty test set finds nothing.
+    strings, comma-joined), contaminated, matches, longest_match and match_word; columns
+    of these names, in any spelling, are replaced. matches has the longest verbatim match
+    of each found item, in the order of their ids: its words, and the numbers of its first
+    word in document and item; of equally long ones the earliest. longest_match and
+    match_word are those of the longest of all (0 and -1 if none). Reads docs.text,
+    tests.item_id and tests.text. Null and empty texts have no words; a null item_id is
+    written as the empty string; items that share an id count once. An empty test set
+    finds nothing.
     """
-    spark = docs.sparkSession
-    keep = [f for f in docs.schema.fields if f.name not in FOUND.names]
-    names = [f.name for f in keep]
-    rows = docs.select(*(F.col(f"`{n}`") for n in names),
-                       F.col("text").cast("binary").alias("__bytes"))
-    held = T.StructType([*keep, T.StructField("__bytes", T.BinaryType()), *_CARRIED.fields])
-    blocks = list(_blocks(spark, tests))
-    for i, block in enumerate(blocks):
-        last = i == len(blocks) - 1
-        rows = rows.mapInArrow(_pass(block, names, i == 0, last),
-                               T.StructType([*keep, *FOUND.fields]) if last else held)
-        if not last:
-            rows = store(spark, rows, "hits")
-    return rows
+    carried, rows = _results(docs, tests)
+    return rows.select(*carried.columns(FOUND.names), *FOUND.names)
+
+
+def clean(docs: DataFrame, tests: DataFrame) -> DataFrame:
+    """The rows of `docs` that hold no window of the test set, as they are."""
+    carried, rows = _results(docs, tests)
+    return rows.where("not contaminated").select(*carried.columns())

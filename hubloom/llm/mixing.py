@@ -20,6 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hubloom.llm.rows import Carried
 from hubloom.session import delete, keep, shared_dir
 
 SEED = 29
@@ -174,6 +175,26 @@ def calibrated(cells: DataFrame, targets: Targets, fraction: float) -> tuple[Dat
     return _raked_apart(cells, targets, fraction), False
 
 
+def _drawn(docs: DataFrame, targets: Targets | None, fraction: float, tokens: Column | None,
+           topic: Column | None, seed: int) -> tuple[Carried, DataFrame]:
+    """The caller's rows with topic, tokens, chance, weight and kept."""
+    spark, carried = docs.sparkSession, Carried(docs)
+    draw = F.conv(F.substring(F.md5(F.concat_ws(
+        ":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+        .cast("binary")), 1, 13), 16, 10).cast("double") / float(16 ** 13)
+    named = lambda c: F.coalesce(c.cast("string"), F.lit("(none)"))
+    rows = carried.rows(
+        source=named(F.col("source")), lang=named(F.col("lang")),
+        topic=named(topic if topic is not None else register()),
+        tokens=tokens if tokens is not None else word_count(), draw=draw)
+    cells = keep(spark, rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
+    chances, few = calibrated(cells, targets or {}, fraction)
+    chances = F.broadcast(chances) if few else chances
+    rows = rows.join(chances, list(DIMENSIONS), "left").withColumn(
+        "kept", F.col("draw") < F.col("chance"))
+    return carried, rows.withColumn("weight", F.when(F.col("kept"), 1.0 / F.col("chance")))
+
+
 def mixed(docs: DataFrame, targets: Targets | None = None, fraction: float = FRACTION,
           tokens: Column | None = None, topic: Column | None = None,
           seed: int = SEED) -> DataFrame:
@@ -181,30 +202,19 @@ def mixed(docs: DataFrame, targets: Targets | None = None, fraction: float = FRA
 
     `fraction` is the share of all tokens to keep, as far as cells that are asked for
     more than they have allow. weight is 1 / chance for documents that stay. Reads
-    doc_id, text, source and lang (null: a category of its own, "(none)"); columns with the names of the results are replaced. A null text has
-    no tokens; a cell without tokens stays whole. Equal rows share their draw. An
-    empty table gives an empty result.
+    doc_id, text, source and lang (null: a category of its own, "(none)"); columns with
+    the names of the results, in any spelling, are replaced. A null text has no tokens;
+    a cell without tokens stays whole. Equal rows share their draw. An empty table gives
+    an empty result.
     """
     added = ("topic", "tokens", "chance", "weight", "kept")
-    plain = [c for c in docs.columns if c not in added]
-    rows = docs.select(*(F.col(f"`{c}`") for c in plain),
-                       F.coalesce(topic if topic is not None else register(),
-                                  F.lit("(none)")).alias("topic"),
-                       (tokens if tokens is not None else word_count()).alias("tokens"))
-    named = rows.select("*", F.coalesce("source", F.lit("(none)")).alias("__source"),
-                        F.coalesce("lang", F.lit("(none)")).alias("__lang"))
-    spark = docs.sparkSession
-    cells = keep(spark, named.groupBy(F.col("__source").alias("source"),
-                                      F.col("__lang").alias("lang"), "topic")
-                 .agg(F.sum("tokens").alias("tokens")), "cells")
-    chances, few = calibrated(cells, targets or {}, fraction)
-    chances = chances.select(F.col("source").alias("__source"), F.col("lang").alias("__lang"),
-                             "topic", "chance")
-    chances = F.broadcast(chances) if few else chances
-    drawn = F.conv(F.substring(F.md5(F.concat_ws(
-        ":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-        .cast("binary")), 1, 13), 16, 10).cast("double") / float(16 ** 13)
-    return (named.join(chances, ["__source", "__lang", "topic"], "left")
-            .withColumn("kept", drawn < F.col("chance"))
-            .withColumn("weight", F.when(F.col("kept"), 1.0 / F.col("chance")))
-            .select(*(F.col(f"`{c}`") for c in plain), *added))
+    carried, rows = _drawn(docs, targets, fraction, tokens, topic, seed)
+    return rows.select(*carried.columns(added), *added)
+
+
+def sampled(docs: DataFrame, targets: Targets | None = None, fraction: float = FRACTION,
+            tokens: Column | None = None, topic: Column | None = None,
+            seed: int = SEED) -> DataFrame:
+    """The rows of `docs` that the mixture keeps, as they are."""
+    carried, rows = _drawn(docs, targets, fraction, tokens, topic, seed)
+    return rows.where("kept").select(*carried.columns())

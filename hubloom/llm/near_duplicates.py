@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hubloom.llm.components import components
+from hubloom.llm.rows import Carried
 from hubloom.llm.texts import (WordCodes, chunks, coded, mixed, odd_constants,
                                sequence_codes, word_lists)
 from hubloom.session import keep
@@ -289,10 +290,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay: one of each component.
+    """The rows of `docs` that stay, as they are: one of each component.
 
     It is the row with the least doc_id (nulls last), then the least text hashes, then
-    the least other columns, in their order; of rows equal in all, one. Rows without
+    the least digest of its other columns; of rows equal in all, one. Rows without
     words are linked with nothing: those with one doc_id are one document, those with
     a null doc_id all stay.
     """
@@ -305,20 +306,23 @@ def one_of_each(docs: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("n"), F.first(unlinked).alias("unlinked")))
     first = same.groupBy("group").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("no_id"), "doc_id", "a", "b",
-        F.when(F.col("unlinked"), 1).otherwise(F.col("n")).alias("n"))).alias("row"))
+        F.when(F.col("unlinked"), 1).otherwise(F.col("n")).alias("n"))).alias("first"))
     staying = keep(spark, first.select(
-        F.col("row.a").alias("__a"), F.col("row.b").alias("__b"), F.col("row.no_id").alias("__no_id"),
-        F.coalesce("row.doc_id", F.lit(0)).alias("__id"), F.col("row.n").alias("__n")), "staying")
-    place = ["__a", "__b", "__no_id", "__id"]
-    known = docs.select(*(F.col(f"`{c}`") for c in docs.columns), *_text_hashes("__a", "__b"),
-                        F.col("doc_id").isNull().alias("__no_id"),
-                        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__id"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    one = known.join(staying.where("__n = 1").drop("__n"), place, "left_semi").select(*columns)
-    several = staying.where("__n > 1").drop("__n")
+        "first.a", "first.b", "first.no_id", F.coalesce("first.doc_id", F.lit(0)).alias("id"),
+        "first.n"), "staying")
+    place = ["a", "b", "no_id", "id"]
+    carried = Carried(docs)
+    a, b = _text_hashes()
+    known = carried.rows(a=a, b=b, no_id=F.col("doc_id").isNull(),
+                         id=F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
+    one = known.join(staying.where("n = 1").drop("n"), place, "left_semi").select(
+        *carried.columns())
+    several = staying.where("n > 1").drop("n")
     if several.isEmpty():
         return one
-    # Copies are combined before they are dealt out, as far as a task has them.
-    least = (known.join(several, place, "left_semi").groupBy(*place)
-             .agg(F.min(F.struct(*columns)).alias("row")))
-    return one.unionAll(least.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns)))
+    # Copies are combined before they are dealt out, as far as a task has them. Columns
+    # of any type have a text, maps and variants too.
+    digest = F.xxhash64(F.to_json(F.struct(F.col("row"))))
+    least = known.join(several, place, "left_semi").groupBy(*place).agg(
+        F.min_by("row", digest).alias("row"))
+    return one.unionAll(least.select(*carried.columns()))

@@ -112,11 +112,12 @@ TEST_WORDS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
 DECONTAMINATION = f"""
 WITH words AS (SELECT doc_id, coalesce({TEST_WORDS}, []) AS w FROM documents),
 items AS (
-    SELECT coalesce(item_id::VARCHAR, '') AS item, {TEST_WORDS} AS w FROM benchmark),
+    SELECT row_number() OVER () AS number, coalesce(item_id::VARCHAR, '') AS item,
+        {TEST_WORDS} AS w FROM benchmark),
 item_windows AS (
-    SELECT DISTINCT item, least(len(w), 10) AS n,
+    SELECT number, item, i AS k, least(len(w), 10) AS n,
         array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
-    FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+    FROM (SELECT number, item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
           FROM items WHERE len(w) > 0)),
 lengths AS (SELECT DISTINCT n FROM item_windows),
 windows AS (
@@ -124,12 +125,14 @@ windows AS (
     FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
           FROM words, lengths WHERE len(w) >= n)),
 met AS (
-    SELECT d.doc_id, d.i, d.n, t.item FROM windows d JOIN item_windows t ON d.n = t.n AND d.s = t.s),
+    SELECT d.doc_id, d.i, d.n, t.number, t.item, d.i - t.k AS diagonal
+    FROM windows d JOIN item_windows t ON d.n = t.n AND d.s = t.s),
 hit AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS i FROM met),
 runs AS (
-    SELECT doc_id, min(i) AS first, count(*) AS n FROM (
-        SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit)
-    GROUP BY doc_id, run),
+    SELECT doc_id, min(i) AS first, count(*) + any_value(width) - 1 AS n FROM (
+        SELECT doc_id, number, diagonal, i, n AS width, i - row_number() OVER (
+            PARTITION BY doc_id, number, diagonal ORDER BY i) AS run FROM met)
+    GROUP BY doc_id, number, diagonal, run),
 longest AS (
     SELECT doc_id, max(n) AS longest_match, arg_max(first, n * 10000000 - first) - 1 AS match_word
     FROM runs GROUP BY doc_id),

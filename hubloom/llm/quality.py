@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from math import log
 from operator import eq
 
 import pyarrow as pa
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hubloom.llm.rows import Carried
 from hubloom.llm.texts import chunks
 from hubloom.session import keep
 
@@ -69,25 +71,22 @@ def statistics(text: bytes | None) -> list[float]:
         marked / n, sum(w[:1].isupper() for w in words) / n, sum(len(w) < 3 for w in words) / n]
 
 
-def _counted(names: list[str]) -> Callable[[Arrow], Arrow]:
-    def run(batches: Arrow) -> Arrow:
-        for batch in batches:
-            for part in chunks(batch, "__bytes"):
-                found = [statistics(t) for t in part.column("__bytes").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in names), pa.array(found, pa.list_(pa.float64()))],
-                    [*names, "__statistics"])
-    return run
+def _counted(batches: Arrow) -> Arrow:
+    """The statistics in the place of the column `bytes`."""
+    for batch in batches:
+        others = [n for n in batch.schema.names if n != "bytes"]
+        for part in chunks(batch, "bytes"):
+            found = [statistics(t) for t in part.column("bytes").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in others), pa.array(found, pa.list_(pa.float64()))],
+                [*others, "statistics"])
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """`docs` with the array __statistics."""
-    fields = [f for f in docs.schema.fields if f.name not in ("__bytes", "__statistics")]
-    names = [f.name for f in fields]
-    rows = docs.select(*(F.col(f"`{n}`") for n in names),
-                       F.col("text").cast("binary").alias("__bytes"))
-    added = T.StructField("__statistics", T.ArrayType(T.DoubleType()))
-    return rows.mapInArrow(_counted(names), T.StructType([*fields, added]))
+def with_statistics(rows: DataFrame) -> DataFrame:
+    """`rows` with the array `statistics` in the place of the column `bytes`."""
+    fields = [f for f in rows.schema.fields if f.name != "bytes"]
+    added = T.StructField("statistics", T.ArrayType(T.DoubleType()))
+    return rows.mapInArrow(_counted, T.StructType([*fields, added]))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -95,6 +94,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def _bytes() -> Column:
+    return F.col("text").cast("binary")
+
+
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Statistics and labels of at most FITTED labelled documents, written once.
 
@@ -105,9 +108,9 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
               .agg(F.min("quality").cast("double").alias("label"))
               .where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FITTED))
     # FITTED rows of two numbers at most.
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text"))
-    counted = with_statistics(rows).drop("text").dropDuplicates(["doc_id"])
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), _bytes().alias("bytes"))
+            .join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "bytes"))
+    counted = with_statistics(rows).dropDuplicates(["doc_id"])
     return keep(docs.sparkSession, counted, "fitted")
 
 
@@ -132,8 +135,8 @@ def merged(conditions: list[tuple[int, bool, float]]) -> Rule:
 
 
 def compiled(rule: Rule) -> Column:
-    """Whether a rule holds for the array __statistics."""
-    value = lambda i: F.col("__statistics")[i]
+    """Whether a rule holds for the array statistics."""
+    value = lambda i: F.col("statistics")[i]
     out = F.lit(True)
     for statistic, at_most, bound in rule:
         out = out & (value(statistic) <= bound if at_most else value(statistic) > bound)
@@ -141,7 +144,7 @@ def compiled(rule: Rule) -> Column:
 
 
 class RuleEnsemble:
-    """Rules with their weights; without both labels, a constant."""
+    """Rules with their weights; a constant without both labels, or without any rule."""
 
     def __init__(self, weights: dict[Rule, float], intercept: float) -> None:
         self.weights, self.intercept = weights, intercept
@@ -153,11 +156,15 @@ class RuleEnsemble:
         counts = dict(rows.groupBy("label").count().collect())
         if len(counts) < 2:
             return cls({}, {0.0: -4.0, 1.0: 4.0}.get(next(iter(counts), None), 0.0))
-        data = rows.select("label", "__statistics",
-                           array_to_vector("__statistics").alias("features")).cache()
+        data = rows.select("label", "statistics",
+                           array_to_vector("statistics").alias("features")).cache()
         forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=7,
                                         minInstancesPerNode=5).fit(data)
         rules = sorted({r for t in forest.trees for r in rules_of(t.toDebugString)})
+        if not rules:
+            # Texts that no statistic tells apart: the share of good ones among them.
+            data.unpersist()
+            return cls({}, log(counts[1.0] / counts[0.0]))
         held = F.array(*(compiled(r).cast("double") for r in rules))
         met = data.select("label", array_to_vector(held).alias("features")).cache()
         model = LogisticRegression(elasticNetParam=1.0, regParam=LASSO, maxIter=ROUNDS,
@@ -167,24 +174,37 @@ class RuleEnsemble:
         return cls(weights, float(model.intercept))
 
     def score(self) -> Column:
-        """Probability of a good label, from the array __statistics."""
+        """Probability of a good label, from the array statistics."""
         logit = F.lit(self.intercept)
         for rule, weight in self.weights.items():
             logit = logit + F.when(compiled(rule), F.lit(weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
 
 
+def _scores(docs: DataFrame, labels: DataFrame) -> tuple[Carried, DataFrame]:
+    """The caller's rows with held_out, score and predicted."""
+    ensemble = RuleEnsemble.fit(docs, labels)
+    carried = Carried(docs)
+    rows = with_statistics(carried.rows(held_out=held_out(), bytes=_bytes()))
+    rows = rows.select("row", "held_out", ensemble.score().alias("score"))
+    return carried, rows.withColumn("predicted", (F.col("score") >= ACCEPTED).cast("int"))
+
+
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`docs` with held_out, score (0 to 1) and predicted (1 from ACCEPTED on).
 
     Reads doc_id and text, and labels.doc_id and labels.quality; columns with the
-    names of the results are replaced. Null and empty texts have statistics of 0
-    and get a score as well. Without labelled rows every score is one half;
-    without both labels it follows the one there is.
+    names of the results, in any spelling, are replaced. Null and empty texts have
+    statistics of 0 and get a score as well. Without labelled rows every score is one
+    half; without both labels it follows the one there is; where no rule tells the
+    labelled texts apart it is the share of good ones.
     """
-    ensemble = RuleEnsemble.fit(docs, labels)
-    kept = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
-    return (with_statistics(docs.select(*(F.col(f"`{c}`") for c in kept)))
-            .withColumn("score", ensemble.score())
-            .select(*(F.col(f"`{c}`") for c in kept), held_out().alias("held_out"), "score",
-                    (F.col("score") >= ACCEPTED).cast("int").alias("predicted")))
+    added = ("held_out", "score", "predicted")
+    carried, rows = _scores(docs, labels)
+    return rows.select(*carried.columns(added), *added)
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of `docs` that are predicted to be good, as they are."""
+    carried, rows = _scores(docs, labels)
+    return rows.where("predicted = 1").select(*carried.columns())

@@ -17,6 +17,7 @@ Both joins run within the document, in one pass over the table without a shuffle
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -57,6 +58,38 @@ def byte_lengths(ranks: dict[bytes, int]) -> np.ndarray:
     return out
 
 
+#: Runs of white space longer than this are taken out before the pattern sees them.
+PIECE = 10_000
+#: White space as the pattern has it.
+_SPACES = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{3,}")
+
+
+class Encoder:
+    """Tokens of whole texts, from pieces that together have the same.
+
+    The pattern takes a run of white space whole but for its last character, which goes
+    with the word behind it or stands alone; at the end of the text, whole. Its search is
+    too deep for very long runs, so what it would take is encoded as one match.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+        self.words = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks,
+                                       special_tokens={})
+        self.whole = tiktoken.Encoding("whole", pat_str=r"(?s:.+)", mergeable_ranks=ranks,
+                                       special_tokens={})
+
+    def encode(self, text: str) -> np.ndarray:
+        tokens, start = [], 0
+        for run in _SPACES.finditer(text):
+            first, last = run.span()
+            if last - first > PIECE:
+                stop = last if last == len(text) else last - 1
+                tokens += self.words.encode_ordinary(text[start:first])
+                tokens += self.whole.encode_ordinary(text[first:stop])
+                start = stop
+        return np.array(tokens + self.words.encode_ordinary(text[start:]), np.int64)
+
+
 def line_spans(data: bytes) -> Spans:
     """The lines of a text, each with the newline that ends it."""
     spans, start = [], 0
@@ -116,8 +149,7 @@ def _in_bytes(data: bytes, sections: list[dict]) -> tuple[list[str | None], Span
 def _counted(vocabulary, pattern: str, rule: str, named: bool) -> Callable[[Arrow], Arrow]:
     def run(batches: Arrow) -> Arrow:
         ranks = vocabulary.value
-        encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks,
-                                     special_tokens={})
+        encoder = Encoder(ranks, pattern)
         sizes = byte_lengths(ranks)
         for batch in batches:
             for part in chunks(batch):
@@ -126,7 +158,7 @@ def _counted(vocabulary, pattern: str, rule: str, named: bool) -> Callable[[Arro
                 given = part.column("sections").to_pylist() if named else [None] * len(ids)
                 for doc_id, text, sections in zip(ids, texts, given, strict=True):
                     data = (text or "").encode()
-                    tokens = np.array(encoding.encode_ordinary(text or ""), np.int64)
+                    tokens = encoder.encode(text or "")
                     if named:
                         names, spans = _in_bytes(data, [s for s in sections or [] if s])
                     else:

@@ -8,12 +8,12 @@ from plain import (decontamination, near_duplicates as plain_near, personal, rep
 from pyspark.sql import functions as F
 
 from hubloom.llm.components import components
-from hubloom.llm.decontaminate import matched
+from hubloom.llm.decontaminate import clean, matched
 from hubloom.llm.html_text import extracted, main_text
-from hubloom.llm.mixing import mixed, raked
-from hubloom.llm.near_duplicates import near_duplicates
+from hubloom.llm.mixing import mixed, raked, sampled
+from hubloom.llm.near_duplicates import near_duplicates, one_of_each
 from hubloom.llm.pii import find_personal, passes_mod97, personal_data
-from hubloom.llm.quality import merged, rules_of, scored, statistics
+from hubloom.llm.quality import accepted, merged, rules_of, scored, statistics
 from hubloom.llm.repeats import without_repeats
 from hubloom.llm.search import top_k
 from hubloom.llm.sharding import sharded
@@ -151,19 +151,35 @@ def test_decontamination_of_planted_passages(spark):
 
 def test_decontamination_in_several_passes(spark, monkeypatch):
     import hubloom.llm.decontaminate as module
-    monkeypatch.setattr(module, "BLOCK_BYTES", 600)
     items = [(i, prose(10 + i % 7, i)) for i in range(12)]
-    docs = [(i, f"{prose(20, i)} and {prose(15, i + 1)}") for i in range(15)]
-    found = matched(frame(spark, docs), frame(spark, items, "item_id long, text string"))
+    docs = [(i, f"{prose(20, i)} and {prose(15, i + 1)}") for i in range(15)] + [(99, None)]
+    tests, table = frame(spark, items, "item_id long, text string"), frame(spark, docs)
+    whole = sorted(map(repr, matched(table, tests).collect()))
+    monkeypatch.setattr(module, "BLOCK_BYTES", 600)
+    found = matched(table, tests).collect()
+    assert sorted(map(repr, found)) == whole
     got = {(r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated)
-           for r in found.collect()}
+           for r in found}
     assert got == decontamination(docs, items)
+    assert {r.doc_id for r in clean(table, tests).collect()} == {r[0] for r in got if not r[5]}
 
 
 def test_longest_match(spark):
-    row = matched(frame(spark, [(1, f"{prose(10, 1)} a b {prose(14, 1)}")]),
-                  frame(spark, ITEMS, "item_id long, text string")).first()
-    assert (row.longest_match, row.match_word) == (14, 12)
+    """Of one item, with its places; two items side by side are no longer match."""
+    items = [(1, prose(30, 1)), (2, prose(12, 4)), (3, prose(30, 1)), (4, prose(11, 4)), (5, "so")]
+    docs = [(1, f"{prose(10, 1)} a b {prose(14, 1)}"), (2, f"x {prose(30, 1)[40:]} {prose(12, 4)}"),
+            (3, prose(11, 4)), (4, "no so so")]
+    rows = matched(frame(spark, docs), frame(spark, items, "item_id long, text string"))
+    got = {r.doc_id: r for r in rows.collect()}
+    assert (got[1].longest_match, got[1].match_word) == (14, 12)
+    assert [tuple(m) for m in got[1].matches] == [("1", 14, 12, 0), ("3", 14, 12, 0)]
+    cut = 30 - len(prose(30, 1)[40:].split())
+    n = 30 - cut
+    # The first word may be cut; what is left of it is no word of the item.
+    assert {m.item_id: m.length for m in got[2].matches}["2"] == 12
+    assert got[2].longest_match in (n, n - 1) and got[2].n_hit == got[2].longest_match + 12
+    assert [tuple(m) for m in got[3].matches] == [("2", 11, 0, 0), ("4", 11, 0, 0)]
+    assert [tuple(m) for m in got[4].matches] == [("5", 1, 1, 0)]
 
 
 # personal data
@@ -197,6 +213,15 @@ def test_personal_data_of_awkward_rows(awkward):
 
 # quality
 
+@pytest.mark.parametrize("rows", [
+    [(1, "good text", 1), (2, "bad text", 0)], [(i, "the same text", i % 2) for i in range(60)]])
+def test_texts_that_no_rule_tells_apart(spark, rows):
+    docs = frame(spark, [r[:2] for r in rows])
+    scores = {r.score for r in scored(docs, frame(
+        spark, [(r[0], r[2]) for r in rows], "doc_id long, quality int")).collect()}
+    assert len(scores) == 1 and 0 < scores.pop() < 1
+
+
 def test_quality_of_awkward_rows(spark, awkward):
     labels = frame(spark, [(i, i % 2) for i in range(1, 11)] + [(1, 0), (2, None), (None, 1)],
                    "doc_id long, quality int")
@@ -326,6 +351,26 @@ def test_pages(spark):
 
 # tokens
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "a" * 60_000, "7" * 60_000,
+                                  "a" + " \t" * 700_000 + "b", "\u2003" * 900_000 + "x"])
+def test_tokens_of_very_long_runs(spark, text):
+    rows = section_tokens(frame(spark, [(1, text), (2, "a  b")])).collect()
+    assert sum(r.n_tokens for r in rows if r.doc_id == 1) == rows[0].doc_tokens > 0
+
+
+def test_pieces_have_the_tokens_of_the_whole(monkeypatch):
+    import random
+
+    from hubloom.llm import token_counts as module
+    monkeypatch.setattr(module, "PIECE", 3)
+    encoder = module.Encoder(module.read_vocabulary(module.VOCABULARY), module.PATTERN)
+    draw = random.Random(3)
+    for _ in range(600):
+        text = "".join(draw.choice(["a", "b", " ", " ", " ", "\n", "\t", "1", ".", "'s", "é", "\u2003",
+                                    "\x1c", "\x85"]) for _ in range(draw.randrange(60)))
+        assert encoder.encode(text).tolist() == encoder.words.encode_ordinary(text), repr(text)
+
+
 def test_attribution_rules():
     import random
 
@@ -364,6 +409,56 @@ def test_tokens_of_named_sections(spark):
     lambda d: matched(d, d.select(F.col("doc_id").alias("item_id"), "text")),
     lambda d: scored(d, d.select("doc_id", F.lit(1).alias("quality"))),
     lambda d: extracted(d.select(F.col("doc_id").alias("page_id"), F.col("lang").alias("url"),
-                                 F.col("text").alias("html")))])
+                                 F.col("text").alias("html"))),
+    lambda d: accepted(d, d.select("doc_id", F.lit(1).alias("quality"))), one_of_each, sampled,
+    lambda d: clean(d, d.select(F.col("doc_id").alias("item_id"), "text"))])
 def test_empty_tables(spark, operator):
     assert operator(empty(spark)).count() == 0
+
+
+# names
+
+CLASHING = ("__bytes", "__source", "__lang", "Topic", "SCORE", "score", "N_Words", "__a", "a", "row",
+            "c0", "kept", "Kept", "held_out", "matches", "key", "at", "bytes", "tokens", "draw",
+            "chance", "id", "n", "place", "__draw", "__part", "doc_tokens", "statistics", "label")
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    rows = [(i, f"{prose(40, i % 5)} end", "en", f"s{i % 2}", i) for i in range(20)]
+    rows += [rows[3], rows[3], (None, "", None, None, None), (1, " " * 2_000_000, "en", "s0", 1)]
+    return frame(spark, rows, DOCS).select(
+        "*", *(F.concat(F.lit(f"{n} "), F.coalesce("doc_id", F.lit(-1))).alias(n) for n in CLASHING),
+        F.create_map(F.lit("k"), "doc_id").alias("mapped"),
+        F.parse_json(F.lit('{"v": 1}')).alias("variant"))
+
+
+ITEM = [(1, prose(20, 2))]
+OPERATORS = {
+    "scored": lambda d, s: scored(d, d.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))),
+    "matched": lambda d, s: matched(d, frame(s, ITEM, "item_id long, text string")),
+    "mixed": lambda d, s: mixed(d), "near": lambda d, s: near_duplicates(d),
+    "repeats": lambda d, s: without_repeats(d), "personal": lambda d, s: personal_data(d),
+    "sharded": lambda d, s: sharded(d), "tokens": lambda d, s: section_tokens(d),
+}
+PICKERS = {
+    "quality": lambda d, s: accepted(d, d.select("doc_id", F.lit(1).alias("quality"))),
+    "near": lambda d, s: one_of_each(d), "sampled": lambda d, s: sampled(d),
+    "clean": lambda d, s: clean(d, frame(s, ITEM, "item_id long, text string")),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_operators_take_columns_of_any_name(spark, clashing, name):
+    docs = clashing.drop("variant") if name in ("scored", "matched") else clashing
+    rows = OPERATORS[name](docs, spark)
+    assert len(rows.collect()) >= 24
+
+
+@pytest.mark.parametrize("name", PICKERS)
+def test_stages_leave_columns_as_they_are(spark, clashing, name):
+    docs = clashing.drop("variant") if name in ("quality", "clean") else clashing
+    kept = PICKERS[name](docs, spark)
+    assert kept.columns == docs.columns
+    texts = lambda frame: {tuple(map(str, r)) for r in frame.collect()}
+    assert texts(kept) <= texts(docs) and kept.count() > 0

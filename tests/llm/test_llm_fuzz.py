@@ -75,19 +75,22 @@ def test_equal_windows_pick_equal_places(lists):
 @given(st.lists(st.lists(st.sampled_from([b"a", b"b", b"c", b"d"]), max_size=30), max_size=4),
        st.lists(st.lists(st.sampled_from([b"a", b"b", b"c", b"e"]), max_size=14), max_size=4))
 def test_suffix_array_finds_every_window(lists, items):
-    numbers, windows = test_windows([(str(i), b" ".join(x)) for i, x in enumerate(items)])
-    hit, starts, found = shard_hits(lists, Numbers(numbers), windows)
+    tests = test_windows([(str(i), b" ".join(x)) for i, x in enumerate(items)])
+    hit, starts, found = shard_hits(lists, Numbers(tests.numbers), tests)
     for d, x in enumerate(lists):
-        expected, names = [False] * len(x), set()
+        expected, best = [False] * len(x), {}
         for i, item in enumerate(items):
-            n = min(10, len(item))
-            for k in range(len(item) - n + 1 if n else 0):
-                for at in range(len(x) - n + 1):
-                    if x[at:at + n] == item[k:k + n]:
+            least = min(10, len(item))
+            for k in range(len(item)):
+                for at in range(len(x)):
+                    n = 0
+                    while at + n < len(x) and k + n < len(item) and x[at + n] == item[k + n]:
+                        n += 1
+                    if n and n >= least:
                         expected[at:at + n] = [True] * n
-                        names.add(str(i))
+                        best[str(i)] = min(best.get(str(i), (0, 0, 0)), (-n, at, k))
         assert hit[starts[d]:starts[d + 1]].tolist() == expected
-        assert found.get(d, set()) == names
+        assert {i: (-m.length, m.word, m.item_word) for i, m in found.get(d, {}).items()} == best
 
 
 def test_suffixes_are_sorted():
