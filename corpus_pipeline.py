@@ -6,8 +6,8 @@
 4. mixing: documents are sampled to even out sources, languages and topics.
 5. sharding: every document that is left gets a shard and a slot in it.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
-return the columns of `docs`. `run` writes each stage's rows as Parquet to the
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last pick
+rows of `docs` and return them as they are, with every column and its values. `run` writes each stage's rows as Parquet to the
 shared folder and reads them back for the next.
 """
 
@@ -16,24 +16,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from hubloom.llm.decontaminate import matched
-from hubloom.llm.mixing import mixed
+from hubloom.llm import decontaminate, mixing, quality
 from hubloom.llm.near_duplicates import one_of_each
-from hubloom.llm.quality import scored
 from hubloom.llm.sharding import sharded
 from hubloom.session import keep
 
 
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
-
-
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are predicted to be of good quality."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return scored(docs, labels).where("predicted = 1").select(*_columns(docs))
+    return quality.accepted(docs, labels)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,12 +37,12 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     tests = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return matched(docs, tests).where("not contaminated").select(*_columns(docs))
+    return decontaminate.clean(docs, tests)
 
 
 def sampled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn towards the target mixture."""
-    return mixed(docs).where("kept").select(*_columns(docs))
+    return mixing.sampled(docs)
 
 
 def placed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
