@@ -71,10 +71,14 @@ summed AS (
 drawn AS (
     SELECT *, md5('17:' || coalesce(doc_id::VARCHAR, '') || ':' || text_crc32 || ':' || size) AS draw
     FROM summed),
+sources AS (
+    SELECT source AS of, n, (row_number() OVER (PARTITION BY n ORDER BY name) - 0.5::DOUBLE)
+        / count(*) OVER (PARTITION BY n) AS u
+    FROM (SELECT source, count(*) AS n, md5('17:' || coalesce('s' || source, 'n')) AS name
+          FROM drawn GROUP BY source)),
 ranked AS (
-    SELECT *, (row_number() OVER (PARTITION BY source ORDER BY draw) - 0.5::DOUBLE)
-        / count(*) OVER (PARTITION BY source) AS fraction
-    FROM drawn),
+    SELECT d.*, (row_number() OVER (PARTITION BY source ORDER BY draw) - u) / n AS fraction
+    FROM drawn d JOIN sources ON source IS NOT DISTINCT FROM of),
 placed AS (
     SELECT *, row_number() OVER (ORDER BY fraction, source NULLS FIRST, draw) AS place,
         count(*) OVER () AS n

@@ -1,17 +1,17 @@
 """Sharding by proportional stratified interleaving; the law is `rows`.
 
 Rows of a source are shuffled by a seeded hash and ranked; a row's fraction is
-(rank - 1/2) / (rows of its source). Sorted by fraction, every stretch of rows holds
+(rank - offset) / (rows of its source). Sorted by fraction, every stretch of rows holds
 each source in proportion, so cutting the order into equal stretches gives shards
 that match the mixture, with row counts at most one apart.
 
-Sources of equal size have equal fractions; those rows follow each other by source.
-So where sources of one or two rows hold a large share, the shards around the middle,
-or the quarters, hold mostly them and less of the others.
+Sources of one size would have equal fractions and lie next to each other. So they are
+ranked by a seeded hash too, and their offsets are spread evenly over 0 to 1: m sources of
+one row lie at (j - 1/2) / m, in between the rows of the others.
 
-Neither rank needs a source, or all rows, in one task: rows are counted by buckets
-of the hash (then by ranges of the whole order, so that equal fractions are split too),
-the few counts are summed up in order, and rows are numbered within their bucket.
+No rank needs a source, all sources of a size, or all rows in one task: rows are counted by
+buckets of the hash (then by ranges of the whole order, so that equal fractions are split
+too), the few counts are summed up in order, and rows are numbered within their bucket.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from hubloom.session import keep
 
 SHARDS = 24
 SEED = 17
-#: Buckets of hashes to a source, as hex digits.
-DIGITS = 3
+#: Least buckets of hashes to a source, as hex digits, and rows of a bucket.
+DIGITS, BUCKET_ROWS = 3, 250_000
 
 
 def _numbered(rows: DataFrame, group: list[str], bucket: str, order: list[str | Column],
@@ -53,13 +53,33 @@ def _numbered(rows: DataFrame, group: list[str], bucket: str, order: list[str |
 def _ranges(rows: DataFrame) -> DataFrame:
     """Adds __part, the number of the range in the order that a row lies in.
 
-    No two rows of a source have one fraction, so any part of the order can be split.
+    No two rows have one fraction and source, so any part of the order can be split.
     Written, as ranges are drawn from samples.
     """
     parted = rows.repartitionByRange(*_order()).withColumn("__part", F.spark_partition_id())
     return keep(rows.sparkSession, parted, "ranges")
 
 
+def _digits(rows: int) -> int:
+    """Hex digits of a hash that cut this many rows into buckets that fit a task."""
+    digits = DIGITS
+    while rows > BUCKET_ROWS * 16 ** digits:
+        digits += 1
+    return digits
+
+
+def _offsets(ranked: DataFrame, seed: int) -> DataFrame:
+    """of (a source), offset: sources of one size evenly spread, in a seeded order."""
+    named = F.md5(F.concat(F.lit(f"{seed}:"), F.when(F.col("of").isNull(), F.lit("n")).otherwise(
+        F.concat(F.lit("s"), F.col("of").cast("string")))).cast("binary"))
+    sources = keep(ranked.sparkSession, ranked.where("rank = 1").select(
+        F.col("source").alias("of"), F.col("n_rank").alias("size_of")).withColumn("name", named),
+        "sources")
+    sources = sources.withColumn("bucket", F.substring("name", 1, _digits(sources.count())))
+    spread = _numbered(sources, ["size_of"], "bucket", ["name"], "nth")
+    return spread.select("of", ((F.col("nth") - 0.5) / F.col("n_nth")).alias("offset"))
+
+
 def _order() -> list[Column]:
     return [F.col("__fraction"), F.col("source").asc_nulls_first(), F.col("__draw")]
 
@@ -81,10 +101,13 @@ def sharded(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFram
     drawn = rows.withColumn("__draw", F.md5(F.concat_ws(
         ":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
         F.col("text_crc32"), F.col("size")).cast("binary")))
-    drawn = drawn.withColumn("__bucket", F.substring("__draw", 1, DIGITS))
-    ranked = _numbered(drawn, ["source"], "__bucket", ["__draw"], "rank")
-    fraction = (F.col("rank") - 0.5) / F.col("n_rank")
-    spread = _ranges(ranked.withColumn("__fraction", fraction).drop("rank", "n_rank", "__bucket"))
+    drawn = drawn.withColumn("__bucket", F.substring("__draw", 1, _digits(docs.count())))
+    ranked = keep(docs.sparkSession, _numbered(
+        drawn, ["source"], "__bucket", ["__draw"], "rank").drop("__bucket"), "ranked")
+    fraction = (F.col("rank") - F.col("offset")) / F.col("n_rank")
+    placed = ranked.join(_offsets(ranked, seed), F.col("source").eqNullSafe(F.col("of")))
+    spread = _ranges(placed.withColumn("__fraction", fraction).drop(
+        "rank", "n_rank", "of", "offset"))
     placed = _numbered(spread, [], "__part", _order(), "place")
     at = F.col("place") - 1
     # The shard s with s * n div shards <= place - 1 < (s + 1) * n div shards.

@@ -270,6 +270,23 @@ def test_shards_hold_the_mixture(spark):
         assert max(counts) - min(counts) <= 8  # one a source
 
 
+def test_shards_match_the_mixture_with_many_small_sources(spark):
+    """One large source, hundreds of one row and of two rows, some of another size."""
+    rows = [(i, f"t{i}", "big") for i in range(600)]
+    rows += [(1000 + i, f"t{i}", f"one {i}") for i in range(300)]
+    got = sharded(frame(spark, rows, "doc_id long, text string, source string"), 24).collect()
+    check_shards(got, 900, 24)
+    counts = [sum(r.shard == s and r.source == "big" for r in got) for s in range(24)]
+    assert all(abs(n - 600 / 24) <= 1 for n in counts)
+    rows += [(2000 + i, f"t{i}", f"two {i // 2}") for i in range(200)]
+    rows += [(3000 + i, f"t{i}", None if i % 2 else "half") for i in range(100)]
+    got = sharded(frame(spark, rows, "doc_id long, text string, source string"), 24).collect()
+    check_shards(got, 1200, 24)
+    for kind, n in (("big", 600), ("one", 300), ("two", 200), ("half", 50), (None, 50)):
+        mine = [r.shard for r in got if (r.source or "None").split()[0] == str(kind)]
+        assert len(mine) == n and all(abs(mine.count(s) - n / 24) <= 2 for s in range(24)), kind
+
+
 # mixing
 
 def test_mixing_of_awkward_rows(awkward):
