@@ -3,7 +3,11 @@
 1. Markup is stripped; every block element starts a new line. Scripts, styles and
    other elements without text of the page are left out.
 2. Lines in menus, headers, footers, sidebars, notices, adverts, forms and reader
-   comments (by element, role, class or id) are taken out. A line's weight is its
+   comments (by element, role, class or id) are taken out. A class or id names these if
+   all its words do, but for words of layout such as "box" or "left". Where only some do,
+   as in "related-work" or "comments-open", the lines decide: those outside an article
+   that are mostly links, or short beside the rest of the page, are taken out. If class
+   names leave no text at all, only elements and roles count. A line's weight is its
    length outside links, in a marked article its whole length.
 3. The weights are summed over windows of WINDOW lines. Text surges where a window
    rises from nothing to at least SURGE, and dives where the sums return to nothing.
@@ -68,31 +72,49 @@ _NAMES = {"ad", "ads", "advert", "advertisement", "adverts", "sponsor", "sponsor
           "replies", "respond", "toolbar", "pagination", "pager"}
 #: Words by which a class tells what a page has beside it, as in "with-sidebar".
 _LAYOUT = {"with", "without", "has", "no"}
+#: Words beside these names that say nothing of what an element holds.
+_PLAIN = {"area", "bar", "block", "body", "bottom", "box", "button", "buttons", "center", "col",
+          "column", "container", "content", "fixed", "float", "form", "global", "group", "icon",
+          "icons", "id", "inner", "item", "items", "left", "line", "link", "links", "list", "main",
+          "mobile", "module", "outer", "overlay", "page", "panel", "policy", "post", "posts",
+          "primary", "right", "row", "secondary", "section", "site", "slot", "stories", "sub",
+          "tag", "text", "thread", "title", "top", "unit", "user", "wrap", "wrapper"}
 #: Elements that mark the article.
 _CONTENT = {"article", "main"}
 #: Elements that group lines; a line's container is the innermost.
 _CONTAINERS = {"article", "main", "section", "div", "td", "th", "dialog", "details"}
 _HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 _CLOSES_P = _BLOCK - {"html", "body", "head"}
-
-
-def _marked(attributes: str) -> bool:
-    """Whether class, id or role name boilerplate."""
+#: Elements of single paragraphs and of the article, which a class word alone can't mark.
+_TEXT = {"p", "pre", "blockquote", "article", "main", *_HEADINGS}
+#: What marks an element: nothing, some words of its class, its class, its role or name.
+FREE, DOUBTED, NAMED, OUTSIDE = range(4)
+
+def _marked(attributes: str) -> int:
+    """How far class, id or role name boilerplate."""
+    found = FREE
     for key, value in _ATTRIBUTE.findall(attributes):
         value = _CAMEL.sub("-", value.strip("\"'"))
-        known = _ROLES if key.lower() == "role" else _NAMES
+        if key.lower() == "role":
+            if _ROLES.intersection(value.lower().split()):
+                return OUTSIDE
+            continue
         for one in value.lower().split():
             words = set(_WORD.findall(one))
-            if words & known and not words & _LAYOUT:
-                return True
-    return False
+            if words & _NAMES and not words & _LAYOUT:
+                rest = {w for w in words - _NAMES - _PLAIN if not w.isdigit()}
+                found = max(found, DOUBTED if rest else NAMED)
+    return found
 
 
 class _Line(NamedTuple):
     text: str
     #: Length outside links.
     weight: int
-    boilerplate: bool
+    #: The highest mark of the elements it stands in.
+    mark: int
+    #: Number of the outermost doubted element, 0 without.
+    doubted: int
     article: bool
     container: int
     heading: bool
@@ -100,23 +122,26 @@ class _Line(NamedTuple):
 
 
 class _Open:
-    """Open elements, how many of them are boilerplate or articles, and all containers.
+    """Open elements, how many of them have each mark or are articles, and all containers.
 
     A container has its parent's number and its first line and the one behind its last;
     number 0 is the page.
     """
 
     def __init__(self) -> None:
-        self.stack: list[tuple[str, bool, bool]] = []
+        self.stack: list[tuple[str, int, bool]] = []
         self.names: Counter[str] = Counter()
-        self.boilerplate = self.articles = self.lines = 0
+        self.marks = [0, 0, 0, 0]
+        self.articles = self.lines = self.doubts = 0
         self.parents, self.first, self.behind = [0], [0], [-1]
         self.inside = [0]
 
-    def push(self, name: str, boilerplate: bool, article: bool) -> None:
-        self.stack.append((name, boilerplate, article))
+    def push(self, name: str, mark: int, article: bool) -> None:
+        self.stack.append((name, mark, article))
         self.names[name] += 1
-        self.boilerplate += boilerplate
+        if mark == DOUBTED and not self.marks[DOUBTED]:
+            self.doubts += 1
+        self.marks[mark] += 1
         self.articles += article
         if name in _CONTAINERS:
             self.parents.append(self.inside[-1])
@@ -127,9 +152,9 @@ class _Open:
     def close(self, name: str) -> None:
         """Closes the innermost element of a name and what is open within it."""
         while self.names[name]:
-            last, boilerplate, article = self.stack.pop()
+            last, mark, article = self.stack.pop()
             self.names[last] -= 1
-            self.boilerplate -= boilerplate
+            self.marks[mark] -= 1
             self.articles -= article
             if last in _CONTAINERS:
                 self.behind[self.inside.pop()] = self.lines
@@ -157,8 +182,9 @@ def _lines(html: str, opened: _Open) -> Iterator[_Line]:
         text = " ".join("".join(parts).split())
         if text:
             opened.lines += 1
-            yield _Line(text, max(0, len(text) - linked), opened.boilerplate > 0,
-                        opened.articles > 0, opened.inside[-1],
+            mark = max((m for m in (DOUBTED, NAMED, OUTSIDE) if opened.marks[m]), default=FREE)
+            yield _Line(text, max(0, len(text) - linked), mark,
+                        opened.doubts if opened.marks[DOUBTED] else 0, opened.articles > 0, opened.inside[-1],
                         any(opened.names[h] for h in _HEADINGS), opened.names["li"] > 0)
         parts.clear()
         linked = 0
@@ -200,10 +226,14 @@ def _lines(html: str, opened: _Open) -> Iterator[_Line]:
             links += 1
         article = name in _CONTENT
         if name in _BLOCK or name in _OUTSIDE:
-            named = name not in ("html", "body", "main") and _marked(attributes)
-            opened.push(name, name in _OUTSIDE or named, article)
-        elif name in ("span", "ins") and _marked(attributes):
-            opened.push(name, True, False)
+            mark = OUTSIDE if name in _OUTSIDE else FREE
+            if not mark and name not in ("html", "body", "main"):
+                mark = _marked(attributes)
+                if mark == DOUBTED and name in _TEXT:
+                    mark = FREE
+            opened.push(name, mark, article)
+        elif name in ("span", "ins") and (mark := _marked(attributes)) > DOUBTED:
+            opened.push(name, mark, False)
     yield from flush()
 
 
@@ -295,11 +325,32 @@ def _heaviest(page: list[_Line], chosen: list[bool]) -> int:
     return max((sum(weights[a:b]) for a, b, risen in _surges(weights) if risen), default=0)
 
 
+def _unmarked(page: list[_Line]) -> list[bool]:
+    """Which lines are no boilerplate."""
+    free = [x.mark == FREE for x in page]
+    rest = sum(x.weight for x, f in zip(page, free, strict=True) if f)
+    weights: Counter[int] = Counter()
+    lengths: Counter[int] = Counter()
+    for x in page:
+        if x.mark == DOUBTED:
+            weights[x.doubted] += x.weight
+            lengths[x.doubted] += len(x.text)
+
+    def stays(x: _Line) -> bool:
+        if x.mark != DOUBTED or 2 * weights[x.doubted] < lengths[x.doubted]:
+            return x.mark == FREE
+        return x.article or weights[x.doubted] >= min(SURGE, rest)
+    chosen = [stays(x) for x in page]
+    if not any(x.text for x, c in zip(page, chosen, strict=True) if c):
+        return [x.mark != OUTSIDE for x in page]
+    return chosen
+
+
 def main_text(html: str | None) -> str:
     """The page's main text: kept lines, joined by two newlines."""
     opened = _Open()
     page = list(_lines(html or "", opened))
-    chosen = [not x.boilerplate for x in page]
+    chosen = _unmarked(page)
     inside = [x.article and c for x, c in zip(page, chosen, strict=True)]
     outside = [c and not i for c, i in zip(chosen, inside, strict=True)]
     if any(inside) and ARTICLE * _heaviest(page, inside) >= _heaviest(page, outside):

@@ -366,6 +366,29 @@ def test_pages(spark):
     assert got[1] == got[2] == got[3] == "" and got[4] == "just text & more" and got[None] == "x"
 
 
+BODY = "".join(f"<p>{'Words of paragraph ' * 8}{i}.</p>" for i in range(4))
+TEXT = "\n\n".join(f"{('Words of paragraph ' * 8)}{i}." for i in range(4))
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<article class='comments-open'>{BODY}</article>", TEXT),
+    (f"<div class='modal-verbs'>{BODY}</div>", TEXT),
+    (f"<article>{BODY}<p class='related-work'>As others found.</p></article>",
+     TEXT + "\n\nAs others found."),
+    (f"<article><div class='header-image'>A mill.</div>{BODY}</article>", "A mill.\n\n" + TEXT),
+    (f"<div class='widget'>{BODY}</div>", TEXT),
+    (f"<div class='comments-list'>{BODY}</div><div>{BODY}</div>", TEXT),
+    (f"<div>{BODY}</div><div class='related-mills'><a href=x>Mill one</a> <a href=y>two</a></div>",
+     TEXT),
+    (f"<div>{BODY}</div><div class='notice-winter'>Closed.</div>", TEXT),
+    (f"<article>{BODY}<div class='ad-slot-3'>Buy now</div></article>", TEXT),
+    (f"<article>{BODY}</article><section id='user-comments'><p>{'So true! ' * 90}</p></section>",
+     TEXT),
+    (f"<article>{BODY}</article><div role='complementary'><p>{'More. ' * 90}</p></div>", TEXT)])
+def test_class_words_are_weighed(page, want):
+    assert main_text(page) == want
+
+
 # tokens
 
 @pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "a" * 60_000, "7" * 60_000,
