@@ -8,15 +8,16 @@ scored through the block's rows (the forward index), until the bounds fall below
 the kth score so far. Bounds equal to it are still scored, as ties go to the
 smaller id. So results are exact.
 
-A task reads its vectors in segments of SEGMENT, puts similar ones together, cuts
-blocks, and carries each query's best over its segments. Queries are sent in blocks
-below QUERY_BYTES, one pass over the vectors for each block, so neither queries nor
-vectors are ever in one place. Each task returns k rows a query.
+Vectors are dealt to segments of some SEGMENT rows and queries to groups of some GROUP,
+both by hashes, so that copies are dealt like other rows. Each pair of a segment and a group
+is one task's work: it puts similar vectors together, cuts blocks, and gives each query's k
+best. The best of these are the result. Neither queries nor vectors are ever in one
+place, and nothing but counts comes to the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -24,19 +25,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SCALE = 1024
-BLOCK, SEGMENT, PIVOTS = 64, 16_384, 64
-QUERY_BYTES = 16 << 20
+BLOCK, SEGMENT, PIVOTS = 64, 4_096, 64
+#: Queries of a group.
+GROUP = 4_096
 #: Blocks scored at once.
 STEP = 4
 
-Arrow = Iterator[pa.RecordBatch]
-
-
-def whole(vectors: list[list[float]], width: int) -> np.ndarray:
+def whole(vectors: pa.ChunkedArray, width: int) -> np.ndarray:
     """Integer components, as doubles where these are exact; short vectors end in 0."""
     out = np.zeros((len(vectors), width))
-    for i, v in enumerate(vectors):
-        out[i, :len(v)] = v
+    flat = vectors.combine_chunks()
+    lengths = flat.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    rows = np.repeat(np.arange(len(lengths)), lengths)
+    starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out[rows, np.arange(len(rows)) - starts] = flat.flatten().to_numpy(zero_copy_only=False)
     return np.floor(SCALE * out)
 
 
@@ -91,38 +93,27 @@ class Segment:
         return scores, ids
 
 
-def _searched(queries, k: int) -> Callable[[Arrow], Arrow]:
-    def run(batches: Arrow) -> Arrow:
-        own, vectors = queries.value
-        none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        best = [none] * len(own)
-
-        def take(ids: list[int], rows: list[list[float]]) -> None:
-            width = max(vectors.shape[1], max(map(len, rows)))
-            wide = np.zeros((len(own), width))
-            wide[:, :vectors.shape[1]] = vectors
-            segment = Segment(np.array(ids, np.int64), whole(rows, width))
-            exact = float(np.abs(wide).max()) * max(
+def _searched(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The k best rows of a segment for each query of a group."""
+    def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
+        own = queries.column("query_id").to_numpy()
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        if len(rows) and len(own):
+            width = max(1, *(int(max(t.column("vector").combine_chunks().value_lengths()
+                                     .to_numpy(zero_copy_only=False))) for t in (rows, queries)))
+            segment = Segment(rows.column("vec_id").to_numpy(),
+                              whole(rows.column("vector"), width))
+            asked = whole(queries.column("vector"), width)
+            exact = float(np.abs(asked).max()) * max(
                 float(np.abs(segment.rows).max()), 1.0) * width < 2.0 ** 53
-            bounds = segment.bounds(wide)
-            for i, query in enumerate(wide):
-                best[i] = segment.search(own[i], query, bounds[i], exact, best[i], k)
-
-        ids: list[int] = []
-        rows: list[list[float]] = []
-        for batch in batches:
-            ids += batch.column("vec_id").to_pylist()
-            rows += batch.column("vector").to_pylist()
-            while len(ids) >= SEGMENT:
-                take(ids[:SEGMENT], rows[:SEGMENT])
-                ids, rows = ids[SEGMENT:], rows[SEGMENT:]
-        if ids:
-            take(ids, rows)
-        for i, (scores, found) in enumerate(best):
-            if len(found):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([own[i]] * len(found), pa.int64()), pa.array(found),
-                     pa.array(scores)], ["query_id", "vec_id", "score"])
+            none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            bounds = segment.bounds(asked)
+            found = [segment.search(own[i], query, bounds[i], exact, none, k)
+                     for i, query in enumerate(asked)]
+        sizes = [len(ids) for _, ids in found]
+        both = [np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in (1, 0)]
+        return pa.table([np.repeat(own[:len(sizes)], sizes), *both],
+                        ["query_id", "vec_id", "score"])
     return run
 
 
@@ -143,27 +134,29 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10,
     candidate; as a query the least of them is taken. Scores beyond a long wrap.
     Without queries or candidates the result is empty.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.col(vector).cast("array<double>").alias("vector"), is_query.alias("asked"))
+        F.col(vector).cast("array<double>").alias("vector"),
+        F.coalesce(is_query, F.lit(False)).alias("asked"))
     rows = rows.where(F.col("vec_id").isNotNull() & _finite("vector"))
-    asked = rows.where("asked").groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    size, width = asked.agg(F.sum(F.size("vector") * 8 + 64), F.max(F.size("vector"))).first()
-    n = -(-(size or 0) // QUERY_BYTES)
-    found = None
-    for i in range(n):
-        block = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == i).orderBy("vec_id").collect()
-        if not block:
-            continue
-        sent = spark.sparkContext.broadcast(
-            ([r.vec_id for r in block], whole([r.vector for r in block], max(width, 1))))
-        part = rows.select("vec_id", "vector").mapInArrow(
-            _searched(sent, k), "query_id long, vec_id long, score long")
-        found = part if found is None else found.unionAll(part)
-    if found is None:
-        found = rows.select(F.col("vec_id").alias("query_id"), "vec_id",
-                            F.lit(0).cast("long").alias("score")).limit(0)
+    asked = rows.where("asked").groupBy(F.col("vec_id").alias("query_id")).agg(
+        F.min("vector").alias("vector"))
+    n, n_asked = rows.agg(F.count("*"), F.count_distinct(F.when(F.col("asked"), F.col("vec_id")))
+                          ).first()
+    segments, groups = max(1, -(-n // SEGMENT)), max(1, -(-n_asked // GROUP))
+
+    def dealt(frame: DataFrame, own: str, count: int, of: Column, other: str, times: int
+              ) -> DataFrame:
+        """Rows with their own part by a hash, once for each part of the other side."""
+        part = F.pmod(F.xxhash64(of, "vector"), F.lit(count)).cast("int")
+        return frame.withColumn(own, part).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
+    key = ["segment", "group"]
+    there = dealt(rows.select("vec_id", "vector"), "segment", segments, F.col("vec_id"),
+                  "group", groups)
+    here = dealt(asked, "group", groups, F.col("query_id"), "segment", segments)
+    found = there.groupBy(*key).cogroup(here.groupBy(*key)).applyInArrow(
+        _searched(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -334,6 +334,23 @@ def test_search(spark):
     assert top_k(few.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_search_in_many_segments_and_groups(spark, monkeypatch):
+    """A third of all vectors are copies; queries lie in several groups."""
+    import random
+
+    import hubloom.llm.search as module
+    monkeypatch.setattr(module, "SEGMENT", 40)
+    monkeypatch.setattr(module, "GROUP", 3)
+    monkeypatch.setattr(module, "BLOCK", 8)
+    draw = random.Random(5)
+    vectors = [(i, [0.5, 0.25] if i % 3 == 0 else [draw.gauss(0, 1) for _ in range(i % 4)])
+               for i in range(400)]
+    table = frame(spark, vectors, "vec_id long, embedding array<double>").selectExpr(
+        "*", "1 AS segment", "2 AS `group`", "3 AS query_id", "4 AS Vector")
+    got = [tuple(r) for r in top_k(table, F.col("vec_id") % 25 == 0).collect()]
+    assert len(set(got)) == len(got) and set(got) == plain_top_k(vectors, every=25)
+
+
 def test_search_of_large_components(spark):
     vectors = [(i, [float(2 ** 20 + i), -1.5 * i, 3.0]) for i in range(250)]
     table = frame(spark, vectors, "vec_id long, embedding array<double>")
