@@ -186,10 +186,13 @@ def _as(rows: DataFrame, side: str, columns: list[str]) -> DataFrame:
 
 def _star_pairs(members: DataFrame, known: DataFrame) -> DataFrame:
     """Each bucket's members with its centre, where sizes and sketches are close."""
+    spark = members.sparkSession
     scores = members.groupBy("class").agg(F.sum("n").alias("score"))
-    scored = members.select("key", "class").join(scores, "class")
-    centre = scored.groupBy("key").agg(F.max(F.struct("score", "class")).alias("top")).select(
-        "key", F.col("top.class").alias("v"))
+    scored = keep(spark, members.select("key", "class").join(scores, "class"), "scored")
+    # Written, so that the join back does not share its shuffle with the aggregate and a
+    # bucket of many copies can be split.
+    centre = keep(spark, scored.groupBy("key").agg(F.max(F.struct("score", "class")).alias(
+        "top")).select("key", F.col("top.class").alias("v")), "centres")
     pairs = (scored.join(centre, "key").where("class != v")
              .select(F.col("class").alias("u"), "v").distinct())
     columns = ["sketch", "n_shingles"]
