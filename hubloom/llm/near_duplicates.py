@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hubloom.llm.components import components
 from hubloom.llm.rows import Carried
@@ -292,11 +293,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                       F.lower(F.hex("class")).alias("class_id"))
 
 
+def _unordered(kind: T.DataType) -> bool:
+    """Whether values of a type, or what they hold, can't be put in order."""
+    if isinstance(kind, T.ArrayType):
+        return _unordered(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_unordered(f.dataType) for f in kind)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, as they are: one of each component.
 
     It is the row with the least doc_id (nulls last), then the least text hashes, then
-    the least digest of its other columns; of rows equal in all, one. Rows without
+    the least other columns, in their order; of rows equal in all, one. Maps and variants,
+    which have no order, are compared as JSON. Rows without
     words are linked with nothing: those with one doc_id are one document, those with
     a null doc_id all stay.
     """
@@ -323,9 +334,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     several = staying.where("n > 1").drop("n")
     if several.isEmpty():
         return one
-    # Copies are combined before they are dealt out, as far as a task has them. Columns
-    # of any type have a text, maps and variants too.
-    digest = F.xxhash64(F.to_json(F.struct(F.col("row"))))
+    # Copies are combined before they are dealt out, as far as a task has them.
+    order = F.struct(*(F.to_json(F.struct(F.col("row")[c])) if _unordered(f.dataType) else
+                       F.col("row")[c] for c, f in zip(carried.places, docs.schema, strict=True)))
     least = known.join(several, place, "left_semi").groupBy(*place).agg(
-        F.min_by("row", digest).alias("row"))
+        F.min_by("row", order).alias("row"))
     return one.unionAll(least.select(*carried.columns()))

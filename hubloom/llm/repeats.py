@@ -1,23 +1,25 @@
-"""Substring dedup: prefix-partitioned suffix trees over words.
+"""Substring dedup: equal windows of words, grouped by leading bits of their codes.
 
 A window is WINDOW consecutive words of one document. A word goes if a window
 that covers it also starts earlier, in a smaller doc_id or earlier in the same
 document. Windows are judged on the input.
 
-1. *Which suffixes can share a deep node.* Each window picks, among the PREFIX-word
+1. *Which windows can repeat.* Each window picks, among the PREFIX-word
    sequences in it, the one with the least hash; equal windows pick equal ones.
    Only the picked places, about one in seven, are counted over the whole corpus.
    Windows whose picked sequence occurs once cannot repeat and are left.
-2. *Groups by prefix.* The suffix at each remaining window is labelled by the
-   128 bits of its first and second ten words. Suffixes are split by leading bits
-   of the first ten words' code into groups; their number follows from the size of
-   the corpus, and a group still too large is split by further bits.
-3. *Subtrees.* Within a group, suffixes are sorted by their labels, which is the
-   order of the subtree's leaves. Neighbours that agree on all WINDOW words are
-   leaves of one internal node at least that deep: a repeat. All its leaves but
-   the earliest are removed; overlapping ones merge into maximal repeats.
-
-Tasks combine first: of the leaves of one node each task sends on the earliest and
+2. *Groups.* Each remaining window is labelled by 128 bits, the codes of its first and
+   its second ten words. Windows are split by leading bits of the first code into groups;
+   their number follows from the size of the corpus. Above MOST_GROUPS a group is dealt
+   out once more, by further bits, before any task gathers it.
+3. *Repeats.* Within a group, windows are sorted by their labels. Neighbours with one
+   label are a repeat. All but the earliest are removed; overlapping ones merge into
+   maximal repeats.
+
+This is not a suffix tree: codes stand for words, and nothing is ordered or compared
+beyond WINDOW words. With words in place of codes the shuffle would be ten times as large.
+
+Tasks combine first: of the windows of one label each task sends on the earliest and
 already knows the others to be repeats. A passage in a third of all documents
 costs a group one row a task, not one a document.
 """
@@ -38,13 +40,14 @@ from hubloom.llm.texts import (WordCodes, chunks, coded, mixed, runs, sequence_c
 
 WINDOW, PREFIX = 20, 8
 HALF = WINDOW // 2
-#: Bytes of text to a group, most groups, and leaves a task holds before it sends.
+#: Bytes of text to a group, most groups that windows are dealt to at once, and windows a
+#: task holds before it sends.
 GROUP_BYTES = 16 << 20
 MOST_GROUPS = 1 << 15
 HELD = 1_500_000
 NO_ID = -2 ** 63
 
-LEAVES = ("part int, known boolean, ats binary, contents binary, docs binary, "
+LEAVES = ("part long, known boolean, ats binary, contents binary, docs binary, "
           "places binary, first binary, second binary")
 #: Places of many documents, packed; then of one.
 FOUND = "bucket int, ats binary, contents binary, docs binary, places binary"
@@ -95,7 +98,7 @@ def unpacked_places(counts: bytes, planes: bytes) -> tuple[np.ndarray, np.ndarra
 
 
 class Leaves:
-    """Leaves a task has met: document, place and the two halves of the label."""
+    """Windows a task has met: document, place and the two halves of the label."""
 
     def __init__(self, parts: int, all_alike: bool) -> None:
         """all_alike: the earliest of equal leaves counts as a repeat too."""
@@ -176,7 +179,7 @@ class Leaves:
                 "first": first.tobytes(), "second": second.tobytes()}
 
 
-_LEAVES = pa.schema([("part", pa.int32()), ("known", pa.bool_()),
+_LEAVES = pa.schema([("part", pa.int64()), ("known", pa.bool_()),
                      *((n, pa.binary()) for n in ("ats", "contents", "docs", "places",
                                                   "first", "second"))])
 _FOUND = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n in (
@@ -297,15 +300,34 @@ def _suffixes(parts: int) -> Callable[[Arrow], Arrow]:
     return run
 
 
-def _repeats(parts: int, all_alike: bool) -> Callable[[Arrow], Arrow]:
-    """Repeated leaves by document, from rows in order of their part."""
-    def unpacked(row: dict) -> list[np.ndarray]:
-        return [np.frombuffer(row["ats"], np.int64), np.frombuffer(row["contents"], np.int64),
-                *unpacked_places(row["docs"], row["places"]),
-                np.frombuffer(row["first"], np.uint64), np.frombuffer(row["second"], np.uint64)]
+def _unpacked(row: dict) -> list[np.ndarray]:
+    return [np.frombuffer(row["ats"], np.int64), np.frombuffer(row["contents"], np.int64),
+            *unpacked_places(row["docs"], row["places"]),
+            np.frombuffer(row["first"], np.uint64), np.frombuffer(row["second"], np.uint64)]
+
+
+def _dealt_on(parts: int, all_alike: bool) -> Callable[[Arrow], Arrow]:
+    """Windows of groups, in order of these, by more bits; nothing is gathered but what
+    a task holds before it sends."""
+    def run(batches: Arrow) -> Arrow:
+        leaves, now = Leaves(parts, all_alike), None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["known"]:
+                    yield pa.RecordBatch.from_pylist([row], schema=_LEAVES)
+                    continue
+                if leaves.held >= HELD or row["part"] != now:
+                    yield from leaves.packed()
+                now = row["part"]
+                leaves.add(*_unpacked(row))
+        yield from leaves.packed()
+    return run
 
+
+def _repeats(parts: int, all_alike: bool) -> Callable[[Arrow], Arrow]:
+    """Repeated windows by document, from rows in order of their part."""
     def subtree(rows: list[list[np.ndarray]], bit: int, found: Places) -> None:
-        """A longer prefix splits what is too large to sort at once."""
+        """More bits split what is too large to sort at once."""
         if sum(len(r[2]) for r in rows) > 4 * HELD and bit:
             for side in (0, 1):
                 subtree([[r[0], r[1], *(x[(r[4] >> np.uint64(bit - 1)) & np.uint64(1) == side]
@@ -320,11 +342,11 @@ def _repeats(parts: int, all_alike: bool) -> Callable[[Arrow], Arrow]:
             found.add(ats, contents, position >> np.uint64(32), position & np.uint64(0xFFFFFFFF))
 
     def run(batches: Arrow) -> Arrow:
-        found = Places(parts)
+        found = Places(min(parts, MOST_GROUPS))
         held, now = [], None
         for batch in batches:
             for row in batch.to_pylist():
-                arrays = unpacked(row)
+                arrays = _unpacked(row)
                 if row["known"]:
                     found.add(*arrays[:4])
                 else:
@@ -375,21 +397,34 @@ def _kept(texts: bool) -> Callable[[Arrow], Arrow]:
 
 
 def _parts(read: DataFrame) -> int:
-    """Groups of suffixes: a power of two that follows the size of the corpus, and
+    """Groups of windows: a power of two that follows the size of the corpus, and
     enough for every task of a shuffle."""
     size = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(read.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = 1
-    while parts < MOST_GROUPS and (parts * GROUP_BYTES < size or parts < least):
+    while parts * GROUP_BYTES < size or parts < min(least, MOST_GROUPS):
         parts *= 2
     return parts
 
 
+def _tasks(rows: DataFrame, parts: int) -> int:
+    """Tasks to deal groups to: some of the size of a group for each."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), parts // 16)
+
+
+def _dealt(rows: DataFrame, by: str, parts: int) -> DataFrame:
+    return rows.repartition(_tasks(rows, parts), by).sortWithinPartitions(by)
+
+
 def _by_document(leaves: DataFrame, parts: int, all_alike: bool) -> DataFrame:
-    found = (leaves.repartition("part").sortWithinPartitions("part")
-             .mapInArrow(_repeats(parts, all_alike), FOUND))
-    return (found.repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(_merged, PLACES))
+    """Places of repeats by document, from windows in their first groups."""
+    done = min(parts, MOST_GROUPS)
+    while done < parts:
+        more = min(parts, done * MOST_GROUPS)
+        leaves = _dealt(leaves, "part", done).mapInArrow(_dealt_on(more, all_alike), LEAVES)
+        done = more
+    found = _dealt(leaves, "part", parts).mapInArrow(_repeats(parts, all_alike), FOUND)
+    return _dealt(found, "bucket", min(parts, MOST_GROUPS)).mapInArrow(_merged, PLACES)
 
 
 def without_repeats(docs: DataFrame, texts: bool = True) -> DataFrame:
@@ -406,9 +441,10 @@ def without_repeats(docs: DataFrame, texts: bool = True) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("at"),
         F.xxhash64("text").alias("content"), F.col("text").cast("binary").alias("text"))
     parts = _parts(read)
-    picked = _by_document(read.mapInArrow(_picked(parts), LEAVES), parts, True)
+    first = min(parts, MOST_GROUPS)
+    picked = _by_document(read.mapInArrow(_picked(first), LEAVES), parts, True)
     near = read.join(picked, ["at", "content"])
-    repeated = _by_document(near.mapInArrow(_suffixes(parts), LEAVES), parts, False)
+    repeated = _by_document(near.mapInArrow(_suffixes(first), LEAVES), parts, False)
     rows = read.join(repeated, ["at", "content"], "left")
     return rows.mapInArrow(_kept(texts), "doc_id long, n_words long, n_removed long, "
                            "kept_sha256 string" + ", kept_text string" * texts)

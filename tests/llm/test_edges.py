@@ -118,6 +118,18 @@ def test_repeats_within_and_between(spark):
     assert got == plain_repeats(docs)
 
 
+@pytest.mark.parametrize("most", [1, 2, 4])
+def test_repeats_dealt_out_in_steps(spark, monkeypatch, most):
+    """More groups than are dealt to at once, and tasks that hold few windows."""
+    import hubloom.llm.repeats as module
+    for name, value in {"MOST_GROUPS": max(most, 2), "GROUP_BYTES": 500, "HELD": 50 * most}.items():
+        monkeypatch.setattr(module, name, value)
+    docs = [(i, f"{i} {prose(45, i % 6)} {i} {prose(25, 9)} {prose(25, 10 + i % 2)}") for i in range(30)]
+    got = {(r.doc_id, r.n_words, r.n_removed, r.kept_sha256)
+           for r in without_repeats(frame(spark, docs)).collect()}
+    assert got == plain_repeats(docs)
+
+
 def test_kept_text_of_repeats(spark):
     rows = without_repeats(frame(spark, [(1, prose(25)), (2, "a\n\tb " + prose(25) + " c")]))
     assert {r.doc_id: r.kept_text for r in rows.collect()} == {1: prose(25), 2: "a b c"}
