@@ -196,9 +196,17 @@ def test_equal_fractions_do_not_meet_in_one_task(spark):
     drawn = sorted(got, key=lambda r: hashlib.md5(
         f"{sharding.SEED}:{r.doc_id}:{r.text_crc32}:{r.size}".encode()).hexdigest())
     sizes = Counter(r.source for r in got)
+    # Sources of one size lie evenly spread, in a seeded order.
+    named = sorted(sizes, key=lambda s: hashlib.md5(
+        f"{sharding.SEED}:{'n' if s is None else 's' + s}".encode()).hexdigest())
+    nth, alike = Counter(), Counter(sizes.values())
+    offset = {}
+    for s in named:
+        nth[sizes[s]] += 1
+        offset[s] = (nth[sizes[s]] - 0.5) / alike[sizes[s]]
     for place, r in enumerate(drawn):
         ranks[r.source] += 1
-        order.append(((ranks[r.source] - 0.5) / sizes[r.source], r.source is not None,
+        order.append(((ranks[r.source] - offset[r.source]) / sizes[r.source], r.source is not None,
                       r.source or "", place, r))
     order.sort(key=lambda x: x[:4])
     shards = sorted(got, key=lambda r: (r.shard, r.slot))
