@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hubloom.functions import is_failure, outcome
 from hubloom.operators.skew import hot_keys, key_counts, salted_join
@@ -86,3 +86,41 @@ def reconcile(wanted: DataFrame, synced: DataFrame) -> DataFrame:
                         .when(F.col("newest.is_placeholder"), "placeholder")
                         .when(F.col("wanted"), "in_sync")
                         .otherwise("unexpected").alias("state"))
+
+
+def reconcile_in_time(sent: DataFrame, synced: DataFrame, now: Column, allowed: str
+                      ) -> DataFrame:
+    """Whether each command's deployment was synced within the time it is allowed.
+
+    `sent` has `sent_at` for each command to a deployment, `synced` reports with
+    `sync_date`. The first live report at or after the command, neither a placeholder nor
+    marked for delete, is its answer: `synced_at`. The state is `in_sync` within
+    `allowed` (an interval such as `2 seconds`), `late` behind it, and without an answer
+    `waiting` until it has passed by `now`, then `late`.
+
+    Both sides lie in one order of time, so a command meets its answer without pairs. A
+    deployment is cut by days: the answer is in the day of the command, or the first one of
+    a later day, and of a day only the first report is looked at by others.
+    """
+    blank = F.lit(None)
+    live = synced.where(~F.col("is_placeholder") & ~F.col("marked_for_delete"))
+    kind = synced.schema["sync_date"].dataType
+    both = sent.select(
+        *TARGET, F.col("sent_at").cast(kind).alias("at"), blank.cast(kind).alias("answer"),
+        F.lit(0).alias("rank")).unionByName(live.select(
+            *TARGET, F.col("sync_date").alias("at"), F.col("sync_date").alias("answer"),
+            F.lit(1).alias("rank"))).withColumn("day", F.to_date("at"))
+    later = Window.partitionBy(*TARGET).orderBy("day").rowsBetween(1, Window.unboundedFollowing)
+    days = both.groupBy(*TARGET, "day").agg(F.min("answer").alias("first")).select(
+        *(F.col(c).alias(f"of_{c}") for c in (*TARGET, "day")),
+        F.first("first", ignorenulls=True).over(later).alias("next"))
+    same_day = Window.partitionBy(*TARGET, "day").orderBy("at", "rank").rowsBetween(
+        0, Window.unboundedFollowing)
+    found = both.withColumn("answer", F.first("answer", ignorenulls=True).over(same_day)).where(
+        F.col("rank") == 0).drop("rank")
+    met = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in (*TARGET, "day")]
+    rows = found.join(days, met[0] & met[1] & met[2], "left").select(
+        *TARGET, F.col("at").alias("sent_at"), F.coalesce("answer", "next").alias("synced_at"))
+    due = F.col("sent_at") + F.expr(f"interval {allowed}")
+    return rows.withColumn("state", F.when(F.col("synced_at") <= due, "in_sync").when(
+        F.col("synced_at").isNotNull() | (now > due), "late").otherwise("waiting"))

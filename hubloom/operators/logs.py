@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from hubloom.functions import trim_space
+from hubloom.operators.skew import salted_join
 
 CHUNK = 1000
 CHUNK_BYTES = 64 << 20
 
+# Items a quantile sketch keeps, and how far the rank of what it gives may be off.
+SKETCH_ITEMS, RANK_ERROR = 400, 0.015
+QUANTILES = {"p50_ms": 0.5, "p95_ms": 0.95}
+
 
 def requests_by_path(log: DataFrame, chunk: int = CHUNK,
                      chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -54,3 +59,39 @@ def prepare_latency(log: DataFrame) -> DataFrame:
         F.sum("n").alias("n_requests"),
         (F.sum(F.col("ms") * F.col("n")) / F.sum("n")).alias("avg_ms"),
         at(50), at(95), F.max("ms").alias("max_ms"))
+
+
+def latency_sketches(log: DataFrame, accuracy: int = SKETCH_ITEMS) -> DataFrame:
+    """A sketch of the times of each hub and day, of a few KB however many there are.
+
+    Days are sketched once, as they end; any span of days is merged from their sketches.
+    """
+    return log.groupBy("hub_id", "day").agg(
+        F.count(F.lit(1)).alias("n_requests"),
+        F.kll_sketch_agg_bigint(F.floor("ms"), accuracy).alias("sketch"))
+
+
+def merged_latency(sketches: DataFrame, key: list[str]) -> DataFrame:
+    """Number and approximate quantiles of the times in some sketches.
+
+    With SKETCH_ITEMS the rank of a quantile is off by less than 0.7 percent with 99 percent
+    certainty, whatever the number of times and of sketches, and hardly ever by RANK_ERROR.
+    """
+    merged = sketches.groupBy(*key).agg(
+        F.sum("n_requests").alias("n_requests"), F.kll_merge_agg_bigint("sketch").alias("sketch"))
+    return merged.select(*key, "n_requests", *(
+        F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias(name)
+        for name, q in QUANTILES.items()))
+
+
+def rank_errors(log: DataFrame, quantiles: DataFrame, key: list[str]) -> DataFrame:
+    """How far, as a share of all times, each quantile lies from its rank in the log."""
+    met = salted_join(log.select(*key, F.floor("ms").alias("ms")), quantiles, key)
+    counts = met.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), *(
+        F.count_if(test(F.col("ms"), F.col(name))).alias(f"{side}_{name}")
+        for name in QUANTILES for side, test in (
+            ("below", lambda a, b: a < b), ("upto", lambda a, b: a <= b))))
+    return counts.select(*key, F.col("n").alias("n_requests"), *(
+        F.greatest(F.lit(0.0), F.lit(q) - F.col(f"upto_{name}") / F.col("n"),
+                   F.col(f"below_{name}") / F.col("n") - F.lit(q)).alias(f"{name}_error")
+        for name, q in QUANTILES.items()))

@@ -441,6 +441,27 @@ SELECT coalesce(w.network_id, s.network_id) AS network_id,
 FROM wanted w FULL OUTER JOIN synced s
   ON s.network_id = w.network_id AND s.deployment_id = w.deployment_id""",
 
+    "commands_in_time": """
+WITH sent AS (
+  SELECT event_id, user_id AS network_id, event_id % 2 AS deployment_id, ts AS sent_at
+  FROM events WHERE event_type = 'click'),
+answered AS (
+  SELECT s.event_id, s.network_id, s.deployment_id, sent_at, min(e.ts) AS synced_at
+  FROM sent s LEFT JOIN events e ON e.user_id = s.network_id
+    AND e.event_id % 2 = s.deployment_id AND e.ts >= s.sent_at
+    AND e.event_type NOT IN ('click', 'view', 'signup')
+  GROUP BY ALL)
+SELECT network_id, deployment_id, sent_at, synced_at,
+       CASE WHEN synced_at <= sent_at + INTERVAL 36 HOUR THEN 'in_sync'
+            WHEN synced_at IS NOT NULL
+              OR TIMESTAMP '2024-01-31' > sent_at + INTERVAL 36 HOUR THEN 'late'
+            ELSE 'waiting' END AS state
+FROM answered""",
+
+    "latency_over_days": """
+SELECT user_id AS hub_id, count(*) AS n_requests, true AS p50_ms_fits, true AS p95_ms_fits
+FROM events GROUP BY user_id""",
+
     "network_states": """
 WITH meta AS (
   SELECT user_id AS network_id, count(*) AS n_deployments,

@@ -23,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 RECONCILE_AT = "2024-01-16"
+CHECKED_AT = "2024-01-31"
 
 
 def query(function: Query) -> Query:
@@ -346,6 +347,22 @@ def reconciled_deployments(spark: SparkSession, d: str) -> DataFrame:
     return commands.reconcile(wanted, rows.where(F.col("sync_date") >= at))
 
 
+@query
+def commands_in_time(spark: SparkSession, d: str) -> DataFrame:
+    """Clicks as commands to one of two deployments of a network; what else happens
+    there reports it as synced, or as a placeholder or leaving."""
+    events = dt.load(spark, d, "events")
+    target = [F.col("user_id").alias("network_id"), (F.col("event_id") % 2).alias("deployment_id")]
+    click = F.col("event_type") == "click"
+    sent = events.where(click).select(*target, F.col("ts").alias("sent_at"))
+    synced = events.where(~click).select(
+        *target, F.col("ts").alias("sync_date"),
+        (F.col("event_type") == "view").alias("is_placeholder"),
+        (F.col("event_type") == "signup").alias("marked_for_delete"))
+    return commands.reconcile_in_time(
+        sent, synced, F.lit(CHECKED_AT).cast("timestamp_ntz"), "36 hours")
+
+
 # --- sync state -------------------------------------------------------------
 
 @query
@@ -377,6 +394,19 @@ def prepare_latency(spark: SparkSession, d: str) -> DataFrame:
     return logs.prepare_latency(dt.latency_log(spark, d))
 
 
+@query
+def latency_over_days(spark: SparkSession, d: str) -> DataFrame:
+    """Quantiles of each hub, merged from sketches of its days, lie at their ranks."""
+    log = dt.load(spark, d, "events").select(
+        F.col("user_id").alias("hub_id"), F.to_date("ts").alias("day"), F.col("value").alias("ms"))
+    sketches = keep(spark, logs.latency_sketches(log), "latency-sketches")
+    quantiles = keep(spark, logs.merged_latency(sketches, ["hub_id"]).drop("n_requests"), "quantiles")
+    errors = logs.rank_errors(log, quantiles, ["hub_id"])
+    return errors.select("hub_id", "n_requests", *(
+        (F.col(f"{name}_error") <= logs.RANK_ERROR).alias(f"{name}_fits")
+        for name in logs.QUANTILES))
+
+
 def _flag_text() -> Column:
     """Flag texts by event type, readable and not."""
     return (F.when(F.col("event_type") == "view", "true")

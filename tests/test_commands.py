@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from pyspark.errors import PySparkException
 
@@ -69,6 +71,31 @@ def test_reconcile(spark):
         ("waiting", "placeholder")]
 
 
+def test_reconcile_in_time(spark):
+    """Answers of the same day, a later day and never; dead reports are no answers."""
+    at = lambda day, hour=0: datetime(2024, 1, day, hour)
+    sent = spark.createDataFrame(
+        [("n", "a", at(1, 5)), ("n", "a", at(1, 9)), ("n", "a", at(3)), ("n", "b", at(1)),
+         ("n", "c", at(9)), ("m", "a", at(1)), ("n", "d", at(2)), (None, "a", at(1)),
+         ("n", "a", at(1, 5))],
+        "network_id string, deployment_id string, sent_at timestamp_ntz")
+    synced = spark.createDataFrame(
+        [("n", "a", at(1, 9), False, False), ("n", "a", at(1, 7), True, False),
+         ("n", "a", at(1, 8), False, True), ("n", "a", at(20), False, False),
+         ("n", "a", at(3, 1), False, False), ("n", "b", at(4), False, False),
+         ("n", "d", at(1, 23), False, False), (None, "a", at(2, 1), False, False)],
+        "network_id string, deployment_id string, sync_date timestamp_ntz, "
+        "is_placeholder boolean, marked_for_delete boolean")
+    got = commands.reconcile_in_time(sent, synced, F.lit(at(10)), "2 days")
+    assert rows(got) == sorted([
+        ("n", "a", at(1, 5), at(1, 9), "in_sync"), ("n", "a", at(1, 5), at(1, 9), "in_sync"),
+        ("n", "a", at(1, 9), at(1, 9), "in_sync"), ("n", "a", at(3), at(3, 1), "in_sync"),
+        ("n", "b", at(1), at(4), "late"), ("n", "c", at(9), None, "waiting"),
+        ("m", "a", at(1), None, "late"), ("n", "d", at(2), None, "late"),
+        (None, "a", at(1), at(2, 1), "in_sync")], key=repr)
+    assert commands.reconcile_in_time(sent.limit(0), synced, F.lit(at(10)), "2 days").count() == 0
+
+
 def test_rerun_replaces_its_own_rows(spark):
     path = shared_dir(spark, "test-commands")
 

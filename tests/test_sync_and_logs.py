@@ -112,3 +112,21 @@ def test_recursive_content_stays_a_variant(spark):
     level = F.variant_get(F.col("inputs")[0]["content_variable"],
                           "$.sub_content_variables[0].name", "string")
     assert services.select("id", level).first() == ("s", "level")
+
+
+@pytest.mark.parametrize("n", [20_000, 200_000])
+def test_rank_error_of_merged_sketches(spark, n):
+    """Ten times the rows, one hub with a third of them, leave the error where it is."""
+    log = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5).alias("hub_id"),
+        (F.col("id") % 30).alias("day"),
+        F.pow(F.pmod(F.xxhash64("id"), F.lit(10_000)) / 100, F.lit(2)).alias("ms"))
+    sketches = logs.latency_sketches(log)
+    assert sketches.agg(F.max(F.length("sketch"))).first()[0] < 20_000
+    quantiles = logs.merged_latency(sketches, ["hub_id"])
+    assert {r.hub_id: r.n_requests for r in quantiles.collect()} == {
+        r.hub_id: r["count"] for r in log.groupBy("hub_id").count().collect()}
+    errors = logs.rank_errors(log, spark.createDataFrame(
+        quantiles.drop("n_requests").collect()), ["hub_id"]).collect()
+    assert len(errors) == 5
+    assert all(r.p50_ms_error <= logs.RANK_ERROR >= r.p95_ms_error for r in errors)
