@@ -10,28 +10,31 @@ Tokens are words between white space, or a column that the caller names. The top
 is a column too, or else the register of the text, see `register`.
 
 Every source, language and topic is a category of its own. Only cells that hold
-documents are kept, as rows. Up to DRIVER_CELLS of them are raked on the driver; more
-are raked by an aggregate and a join per dimension and round, kept to the shared folder.
+documents are kept, as rows of a table that is read in one part for every CELLS_A_TASK
+cells. Where it is one part, a task sums up over windows of it; of more, each dimension
+takes an aggregate and a join. Sums are taken in decimals, which do not depend on the order
+of rows, so both give the same to the last bit. Nothing but sums comes to the driver.
 """
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hubloom.llm.rows import Carried
 from hubloom.session import delete, keep, shared_dir
 
 SEED = 29
-ROUNDS, CLOSE = 200, 1e-9
+#: Most rounds, how many are done before their last one is looked at, and how little of all
+#: tokens a cell may have moved by in that.
+ROUNDS, AT_ONCE, CLOSE = 200, 4, 1e-7
 #: Targets left open: present shares to this power, which evens them out.
 EVENING = 0.8
 #: Share of all tokens that is kept.
 FRACTION = 0.8
 DIMENSIONS = ("source", "lang", "topic")
-#: Most cells that go through the driver.
-DRIVER_CELLS = 20_000
+#: Cells that a task rakes.
+CELLS_A_TASK = 200_000
 
 Targets = dict[str, dict[str, float]]
 
@@ -50,71 +53,15 @@ def register(text: str = "text") -> Column:
             .otherwise("prose"))
 
 
-def scaled(tokens: np.ndarray, codes: list[np.ndarray],
-           goals: list[np.ndarray | None]) -> np.ndarray:
-    """Scales cells until their sums meet each dimension's goals.
+EXACT = "decimal(38,9)"
 
-    codes has each cell's category, a number, in each dimension; a dimension without
-    goals is left as it is.
-    """
-    fitted, total = tokens.astype(float), float(tokens.sum())
-    for _ in range(ROUNDS):
-        before = fitted
-        for code, goal in zip(codes, goals, strict=True):
-            if goal is not None:
-                now = np.bincount(code, fitted, len(goal))
-                factor = np.divide(goal, now, out=np.zeros_like(goal), where=now > 0)
-                fitted = np.minimum(fitted * factor[code], tokens)
-        if float(np.abs(fitted - before).max(initial=0)) <= CLOSE * total:
-            break
-    return fitted
-
-
-def raked(tokens: np.ndarray, targets: list[np.ndarray], fraction: float = 1.0) -> np.ndarray:
-    """Scales a table until its sums along each axis are in the targets' shares.
 
-    The sums are `fraction` of all tokens; no cell exceeds what it has, so a target
-    beyond what there is takes all of it. Only categories that have tokens count;
-    their shares are taken over them. Targets that contradict each other, as empty
-    cells can make them, end with the last scaling.
-    """
-    total = float(tokens.sum())
-    codes = [code.ravel() for code in np.indices(tokens.shape)]
-    goals = []
-    for code, share, size in zip(codes, targets, tokens.shape, strict=True):
-        share = np.where(np.bincount(code, tokens.ravel(), size) > 0, share, 0.0)
-        goals.append(fraction * total * share / share.sum() if share.sum() else None)
-    return scaled(tokens.ravel(), codes, goals).reshape(tokens.shape)
-
-
-def _raked_here(cells: DataFrame, targets: Targets, fraction: float) -> DataFrame:
-    """The chance of each cell, raked on the driver."""
-    rows = cells.orderBy(*DIMENSIONS).collect()
-    tokens = np.array([r.tokens for r in rows], float)
-    total = max(float(tokens.sum()), 1.0)
-    codes, goals = [], []
-    for dimension in DIMENSIONS:
-        names, code = np.unique(np.array([r[dimension] for r in rows], object),
-                                return_inverse=True)
-        present = np.bincount(code, tokens, len(names)) / total
-        wanted = targets.get(dimension)
-        share = (present ** EVENING if not wanted else
-                 np.array([wanted.get(n, p) for n, p in zip(names, present, strict=True)]))
-        share = np.where(present > 0, share, 0.0)
-        codes.append(code)
-        goals.append(fraction * tokens.sum() * share / share.sum() if share.sum() else None)
-    fitted = scaled(tokens, codes, goals)
-    chances = np.divide(fitted, tokens, out=np.ones_like(tokens), where=tokens > 0)
-    return cells.sparkSession.createDataFrame(
-        [(*(r[d] for d in DIMENSIONS), c) for r, c in zip(rows, chances.tolist(), strict=True)],
-        "source string, lang string, topic string, chance double")
-
-
-def _goals(cells: DataFrame, dimension: str, targets: Targets, wanted: float) -> DataFrame | None:
-    """The tokens to keep of each category that has any; they sum up to `wanted`."""
+def _goals(cells: DataFrame, dimension: str, targets: Targets, total: float, wanted: float
+           ) -> DataFrame:
+    """The tokens to keep of each category that has any, as goal_`dimension`; they sum up
+    to `wanted`."""
     spark, named = cells.sparkSession, targets.get(dimension)
     present = cells.groupBy(dimension).agg(F.sum("tokens").alias("n")).where("n > 0")
-    total = cells.agg(F.sum("tokens")).first()[0] or 1
     share = F.col("n") / total
     if named:
         given = spark.createDataFrame([(k, float(v)) for k, v in named.items()],
@@ -123,58 +70,67 @@ def _goals(cells: DataFrame, dimension: str, targets: Targets, wanted: float) ->
             dimension, F.coalesce("target", share).alias("share"))
     else:
         shares = present.select(dimension, F.pow(share, F.lit(EVENING)).alias("share"))
-    whole = shares.agg(F.sum("share")).first()[0]
-    if not whole:
-        return None
-    return keep(spark, shares.select(dimension, (F.lit(wanted) * F.col("share") / whole)
-                                     .alias("goal")), "goals")
+    shares = keep(spark, shares, "shares")
+    whole = float(shares.agg(F.sum(F.col("share").cast("decimal(38,18)"))).first()[0] or 0)
+    # Without any share wanted, the dimension is left as it is.
+    goal = F.lit(wanted) * F.col("share") / whole if whole else F.lit(None).cast("double")
+    return shares.select(dimension, goal.alias(f"goal_{dimension}"))
+
+
+def _scaled(rows: DataFrame, dimension: str, parts: int) -> DataFrame:
+    """Cells scaled so that sums over a dimension meet its goals, as far as cells have it."""
+    fitted, tokens = F.col("fitted"), F.col("tokens").cast("double")
+    if parts == 1:
+        rows = rows.withColumn("now", F.sum(fitted.cast(EXACT)).over(
+            Window.partitionBy(dimension)).cast("double"))
+    else:
+        rows = rows.join(rows.groupBy(dimension).agg(
+            F.sum(fitted.cast(EXACT)).cast("double").alias("now")), dimension)
+    goal = F.col(f"goal_{dimension}")
+    factor = F.when(F.col("now") > 0, F.coalesce(goal, F.col("now")) / F.col("now")).otherwise(0.0)
+    return rows.withColumn("fitted", F.least(fitted * factor, tokens)).drop("now")
 
 
-def _raked_apart(cells: DataFrame, targets: Targets, fraction: float) -> DataFrame:
-    """The chance of each cell, raked by aggregates and joins; as `scaled` does it."""
+def calibrated(cells: DataFrame, targets: Targets, fraction: float) -> DataFrame:
+    """source, lang, topic and chance for each cell.
+
+    `cells` has the three dimensions and tokens, no nulls. A dimension without
+    targets gets present shares to the power EVENING. A category without a target
+    in a dimension that has some keeps its present share. Targets that contradict each
+    other, as empty cells can make them, end with the last scaling.
+    """
     spark = cells.sparkSession
-    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    goals = [(d, g) for d in DIMENSIONS
-             if (g := _goals(cells, d, targets, fraction * total)) is not None]
-    columns = [*DIMENSIONS, "tokens"]
-    rows = cells.select(*columns, F.col("tokens").cast("double").alias("fitted"),
-                        F.col("tokens").cast("double").alias("before"))
-    schema, last = rows.schema, None
-    for _ in range(ROUNDS if goals and total else 0):
-        rows = rows.withColumn("before", F.col("fitted"))
-        for dimension, goal in goals:
-            now = rows.groupBy(dimension).agg(F.sum("fitted").alias("now"))
-            factor = now.join(goal, dimension).select(
-                dimension, F.when(F.col("now") > 0, F.col("goal") / F.col("now"))
-                .otherwise(0.0).alias("factor"))
-            fitted = F.least(F.col("fitted") * F.coalesce("factor", F.lit(0.0)),
-                             F.col("tokens").cast("double"))
-            rows = rows.join(factor, dimension, "left").select(
-                *columns, fitted.alias("fitted"), "before")
-            path = shared_dir(spark, "raked")
-            rows.write.parquet(path)
-            rows = spark.read.schema(schema).parquet(path)
-            if last:
-                delete(spark, last)
-            last = path
+    total, n = cells.agg(F.sum("tokens"), F.count("*")).first()
+    total, parts = float(total or 0), max(1, -(-n // CELLS_A_TASK))
+    rows = cells.withColumns({c: F.col("tokens").cast("double") for c in ("fitted", "before")})
+    for dimension in DIMENSIONS if total else ():
+        rows = rows.join(_goals(cells, dimension, targets, total, fraction * total), dimension,
+                         "left")
+    # Columns in one order, whatever joins do to it.
+    names, written = rows.columns, []
+
+    def stored(frame: DataFrame) -> DataFrame:
+        path = shared_dir(spark, "raked")
+        frame.select(*names).write.parquet(path)
+        if written:
+            delete(spark, written.pop())
+        written.append(path)
+        return spark.read.schema(schema).parquet(path).coalesce(parts)
+    schema = rows.schema
+    rows = stored(rows)
+    for done in range(0, ROUNDS if total else 0, AT_ONCE):
+        for _ in range(min(AT_ONCE, ROUNDS - done)):
+            rows = rows.withColumn("before", F.col("fitted"))
+            for dimension in DIMENSIONS:
+                rows = _scaled(rows, dimension, parts)
+                rows = rows if parts == 1 else stored(rows)
+        rows = stored(rows) if parts == 1 else rows
         if rows.agg(F.max(F.abs(F.col("fitted") - F.col("before")))).first()[0] <= CLOSE * total:
             break
     return rows.select(*DIMENSIONS, F.when(F.col("tokens") > 0, F.col("fitted") / F.col("tokens"))
                        .otherwise(1.0).alias("chance"))
 
 
-def calibrated(cells: DataFrame, targets: Targets, fraction: float) -> tuple[DataFrame, bool]:
-    """source, lang, topic and chance for each cell, and whether it came by the driver.
-
-    `cells` has the three dimensions and tokens, no nulls. A dimension without
-    targets gets present shares to the power EVENING. A category without a target
-    in a dimension that has some keeps its present share.
-    """
-    if len(cells.limit(DRIVER_CELLS + 1).select("tokens").collect()) <= DRIVER_CELLS:
-        return _raked_here(cells, targets, fraction), True
-    return _raked_apart(cells, targets, fraction), False
-
-
 def _drawn(docs: DataFrame, targets: Targets | None, fraction: float, tokens: Column | None,
            topic: Column | None, seed: int) -> tuple[Carried, DataFrame]:
     """The caller's rows with topic, tokens, chance, weight and kept."""
@@ -188,9 +144,9 @@ def _drawn(docs: DataFrame, targets: Targets | None, fraction: float, tokens: Co
         topic=named(topic if topic is not None else register()),
         tokens=tokens if tokens is not None else word_count(), draw=draw)
     cells = keep(spark, rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
-    chances, few = calibrated(cells, targets or {}, fraction)
-    chances = F.broadcast(chances) if few else chances
-    rows = rows.join(chances, list(DIMENSIONS), "left").withColumn(
+    # Cells are as uneven as their categories; adaptive execution sends them out whole where
+    # they are few, and splits crowded ones where they are not.
+    rows = rows.join(calibrated(cells, targets or {}, fraction), list(DIMENSIONS), "left").withColumn(
         "kept", F.col("draw") < F.col("chance"))
     return carried, rows.withColumn("weight", F.when(F.col("kept"), 1.0 / F.col("chance")))
 

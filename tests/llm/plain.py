@@ -6,6 +6,8 @@ import hashlib
 import re
 from itertools import groupby
 
+import numpy as np
+
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 TEST_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -148,3 +150,58 @@ def sections_of(lengths, spans, rule):
 
 def runs(values):
     return [(k, len(list(g))) for k, g in groupby(values)]
+
+
+def scaled(tokens, codes, goals, rounds=200, close=1e-7):
+    """Scales cells until their sums meet each dimension's goals.
+
+    codes has each cell's category, a number, in each dimension; a dimension without
+    goals is left as it is.
+    """
+    fitted, total = tokens.astype(float), float(tokens.sum())
+    for _ in range(rounds):
+        before = fitted
+        for code, goal in zip(codes, goals, strict=True):
+            if goal is not None:
+                now = np.bincount(code, fitted, len(goal))
+                factor = np.divide(goal, now, out=np.zeros_like(goal), where=now > 0)
+                fitted = np.minimum(fitted * factor[code], tokens)
+        if float(np.abs(fitted - before).max(initial=0)) <= close * total:
+            break
+    return fitted
+
+
+def raked(tokens, targets, fraction=1.0):
+    """Scales a table until its sums along each axis are in the targets' shares.
+
+    The sums are `fraction` of all tokens; no cell exceeds what it has, so a target
+    beyond what there is takes all of it. Only categories that have tokens count;
+    their shares are taken over them. Targets that contradict each other, as empty
+    cells can make them, end with the last scaling.
+    """
+    total = float(tokens.sum())
+    codes = [code.ravel() for code in np.indices(tokens.shape)]
+    goals = []
+    for code, share, size in zip(codes, targets, tokens.shape, strict=True):
+        share = np.where(np.bincount(code, tokens.ravel(), size) > 0, share, 0.0)
+        goals.append(fraction * total * share / share.sum() if share.sum() else None)
+    return scaled(tokens.ravel(), codes, goals).reshape(tokens.shape)
+
+
+def chances(cells, targets, fraction, evening, rounds=200):
+    """{(source, lang, topic): chance} of cells {(source, lang, topic): tokens}."""
+    keys = sorted(cells)
+    tokens = np.array([cells[k] for k in keys], float)
+    total = max(float(tokens.sum()), 1.0)
+    codes, goals = [], []
+    for i, dimension in enumerate(("source", "lang", "topic")):
+        names, code = np.unique(np.array([k[i] for k in keys], object), return_inverse=True)
+        present = np.bincount(code, tokens, len(names)) / total
+        wanted = targets.get(dimension)
+        share = (present ** evening if not wanted else
+                 np.array([wanted.get(n, p) for n, p in zip(names, present, strict=True)]))
+        share = np.where(present > 0, share, 0.0)
+        codes.append(code)
+        goals.append(fraction * tokens.sum() * share / share.sum() if share.sum() else None)
+    fitted = scaled(tokens, codes, goals, rounds)
+    return {k: f / t if t else 1.0 for k, f, t in zip(keys, fitted, tokens, strict=True)}

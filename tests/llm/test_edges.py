@@ -3,14 +3,14 @@
 import hashlib
 
 import pytest
-from plain import (decontamination, near_duplicates as plain_near, personal, repeats as plain_repeats,
+from plain import (decontamination, near_duplicates as plain_near, personal, raked, repeats as plain_repeats,
                    sections_of, top_k as plain_top_k)
 from pyspark.sql import functions as F
 
 from hubloom.llm.components import components
 from hubloom.llm.decontaminate import clean, matched
 from hubloom.llm.html_text import extracted, main_text
-from hubloom.llm.mixing import mixed, raked, sampled
+from hubloom.llm.mixing import mixed, sampled
 from hubloom.llm.near_duplicates import near_duplicates, one_of_each
 from hubloom.llm.pii import find_personal, passes_mod97, personal_data
 from hubloom.llm.quality import accepted, merged, rules_of, scored, statistics

@@ -1,5 +1,7 @@
 """Registered queries against their SQL, or against plain versions."""
 
+import hashlib
+
 import pytest
 from oracle_check import differences, oracle_connection
 from plain import personal
@@ -72,6 +74,24 @@ def test_mixture_is_nearer_to_its_targets(spark, sf_dir):
     assert off(kept) < off(present)
 
 
+def test_mixture_of_all_documents(spark, sf_dir):
+    """Chances by a plain version from the documents' cells, draws by the stated hash."""
+    from collections import Counter
+
+    from hubloom.llm import mixing
+    from plain import chances
+    rows = QUERIES["op2_mixing"](spark, sf_dir).collect()
+    cells = Counter()
+    for r in rows:
+        cells[r.source or "(none)", r.lang or "(none)", r.topic] += r.tokens
+    want = chances(cells, {}, mixing.FRACTION, mixing.EVENING)
+    for r in rows:
+        chance = want[r.source or "(none)", r.lang or "(none)", r.topic]
+        draw = int(hashlib.md5(f"{mixing.SEED}:{r.doc_id}".encode()).hexdigest()[:13], 16) / 16 ** 13
+        assert abs(r.chance - chance) < 1e-5 and r.kept == (draw < r.chance)
+        assert r.weight == (1 / r.chance if r.kept else None)
+
+
 def test_token_counts_add_up(spark, sf_dir):
     rows = QUERIES["op1_token_counts"](spark, sf_dir).groupBy("doc_id").agg(
         {"n_tokens": "sum", "doc_tokens": "max"}).collect()

@@ -9,6 +9,7 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
+from plain import chances
 from pyspark.sql import functions as F
 
 from hubloom.llm import mixing, sharding
@@ -158,18 +159,24 @@ def test_every_source_is_a_category(spark):
     assert max(asked[s] / had[s] for s in had if s.startswith("big")) < 0.8
 
 
+@pytest.mark.parametrize("cells_a_task", [200_000, 100])
 @pytest.mark.parametrize("targets", [{}, {"source": {"big1": 0.2, "small7": 0.1},
                                           "lang": {"en": 0.5, "de": 0.5}}])
-def test_cells_that_do_not_fit_the_driver(spark, monkeypatch, targets):
-    docs = many_sources(spark).where("doc_id % 7 < 3")
-    here = {r.doc_id: r.chance for r in mixing.mixed(docs, targets).collect()}
-    monkeypatch.setattr(mixing, "DRIVER_CELLS", 10)
-    monkeypatch.setattr(mixing, "ROUNDS", 3)
-    apart = {r.doc_id: r.chance for r in mixing.mixed(docs, targets).collect()}
-    monkeypatch.setattr(mixing, "DRIVER_CELLS", 20_000)
-    three = {r.doc_id: r.chance for r in mixing.mixed(docs, targets).collect()}
-    assert here.keys() == apart.keys() == three.keys()
-    assert all(abs(apart[i] - three[i]) < 1e-9 for i in apart)
+def test_chances_of_many_cells(spark, monkeypatch, targets, cells_a_task):
+    """By one task or by several, against a plain version."""
+    monkeypatch.setattr(mixing, "CELLS_A_TASK", cells_a_task)
+    monkeypatch.setattr(mixing, "ROUNDS", 4)
+    rows = mixing.mixed(many_sources(spark).where("doc_id % 7 < 3"), targets).collect()
+    cells = Counter()
+    for r in rows:
+        cells[r.source, r.lang, r.topic] += r.tokens
+    want = chances(cells, targets, mixing.FRACTION, mixing.EVENING, 4)
+    assert len(want) > 400
+    monkeypatch.setattr(mixing, "CELLS_A_TASK", 50)
+    again = {r.doc_id: r.chance for r in
+             mixing.mixed(many_sources(spark).where("doc_id % 7 < 3"), targets).collect()}
+    assert all(again[r.doc_id] == r.chance for r in rows)
+    assert all(abs(r.chance - want[r.source, r.lang, r.topic]) < 1e-9 for r in rows)
 
 
 def test_equal_fractions_do_not_meet_in_one_task(spark):
