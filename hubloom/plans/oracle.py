@@ -677,6 +677,13 @@ FROM outcomes""",
 
     "latest_sync_stream": LATEST,
 
+    "live_deployments_stream": """
+SELECT user_id AS network_id, event_id % 20 AS engine_id, event_id AS seq,
+       event_type = 'view' AS is_placeholder, ts AS sync_date
+FROM (SELECT *, row_number() OVER (
+        PARTITION BY user_id, event_id % 20 ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1 AND event_type <> 'signup'""",
+
     "topic_activity_stream": """
 SELECT event_type AS topic, date_trunc('hour', ts) AS window_start,
        date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, count(*) AS n_messages

@@ -16,7 +16,7 @@ from test_models import DOCUMENTS
 
 EAGER_SINKS = {"written_commands", "routed_commands_stream", "latest_sync_stream",
                "topic_activity_stream", "redelivered_commands_stream", "action_results_stream",
-               "attempted_commands_stream"}
+               "attempted_commands_stream", "live_deployments_stream"}
 
 
 GOLDEN = {

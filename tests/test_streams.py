@@ -176,6 +176,39 @@ def test_a_quiet_action_is_closed_and_heard_again(spark):
     assert found["a"] == (2, 1, 500) and found["b"] == (3, 1, 404)
 
 
+LIVE = ("network_id long, engine_id long, sync_date timestamp, seq long, deployment_id long, "
+        "is_placeholder boolean, marked_for_delete boolean")
+
+
+def test_state_of_quiet_deployments_goes(spark):
+    """What is left of the state are those that reported last; the newest rows are all there."""
+    path = shared_dir(spark, "test-live")
+    key = spark.createDataFrame([], LIVE).select("network_id", "engine_id").schema
+    report = lambda n, minutes, deleted=False, seq=0: (
+        1, n, START + timedelta(minutes=minutes), seq, n, False, deleted)
+
+    def run(*some):
+        add_file(spark, f"{path}/in", some, LIVE)
+        stream = spark.readStream.schema(LIVE).parquet(f"{path}/in")
+        query = sync_streams.live_sync_stream(
+            stream, f"{path}/out", f"{path}/checkpoint", "1 millisecond")
+        finish(query)
+        return query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+
+    def live():
+        rows_now = sync_streams.read_live(spark, f"{path}/out", key).collect()
+        return {r.engine_id: (r.sync_date - START).seconds // 60 for r in rows_now}
+
+    run(*(report(n, 10) for n in range(30)), report(3, 12), report(3, 11))
+    assert live() == {n: 12 if n == 3 else 10 for n in range(30)}
+    run(report(1, 20), report(2, 20, True), report(1, 20, True, -1))
+    sizes = [run(report(5, 30)), run(report(5, 31)), run(report(5, 29))]
+    assert sizes[-1] <= 2
+    # Older than what was known before its state went.
+    run(report(2, 15), report(1, 5), report(4, 40, True))
+    assert live() == {**{n: 10 for n in range(30) if n not in (2, 4)}, 1: 20, 3: 12, 5: 31}
+
+
 TOPIC = "topic string, ts timestamp"
 
 
