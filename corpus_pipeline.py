@@ -7,8 +7,8 @@
 5. sharding: every document that is left gets a shard and a slot in it.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last pick
-rows of `docs` and return them as they are, with every column and its values. `run` writes each stage's rows as Parquet to the
-shared folder and reads them back for the next.
+rows of `docs` and return them as they are, with every column and its values. `run`
+writes each stage's rows as Parquet to the shared folder and reads them back for the next.
 """
 
 from __future__ import annotations
