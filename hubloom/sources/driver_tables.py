@@ -2,9 +2,10 @@
 
 | fleet table | built from |
 | --- | --- |
-| hub members | local ids of parts a supplier shipped on `F` lines; odd and even ones have different owners |
+| hub members | local ids of parts a supplier shipped on `F` lines, by owner |
 | hub records | suppliers, with the same local ids as a list |
-| devices, types, services | parts, two of which share a local id; type = brand and type; a service per size band, with two functions and aspects |
+| devices | parts, two of which share a local id; type = brand and type |
+| services | one per type and size band, with two functions and aspects |
 | elements | line items: `A` task, `N` conditional event, `R` message event |
 | deployment records | orders, with three elements told by status and priority |
 | process models | an XML text per part |
