@@ -73,12 +73,10 @@ def _is_object(value: Column) -> Column:
     return F.schema_of_variant(value).startswith("OBJECT<")
 
 
-def _understood(payload: Column) -> Column:
-    """Whether a payload says what its task asks for: an object whose criteria are null,
-    absent, or objects with a text as `id`. A blank criterion means no constraint, so
+def _understood(parsed: Column) -> Column:
+    """Whether a parsed payload says what its task asks for: an object whose criteria are
+    null, absent, or objects with a text as `id`. A blank criterion means no constraint, so
     one that is misread would match any device."""
-    parsed = F.try_parse_json(F.coalesce(payload, F.lit("")))
-
     def given(name: str) -> Column:
         value = F.try_variant_get(parsed, f"$.{name}", "variant")
         ids = F.schema_of_variant(F.try_variant_get(parsed, f"$.{name}.id", "variant"))
@@ -126,14 +124,17 @@ def model_elements(models: DataFrame) -> DataFrame:
         return F.get(F.filter(params(task), lambda p: p["_name"] == PAYLOAD), F.lit(0))["_VALUE"]
 
     parsed = models.select("model_id", _tasks_of_all_levels(F.col("bpmn_xml")).alias("parsed"),
-                           _places(F.col("bpmn_xml")).alias("places"))
+                           F.when(F.regexp_like("bpmn_xml", F.lit(_CONTAINER)), _places(
+                               F.col("bpmn_xml"))).alias("places"))
     tasks = F.flatten(F.transform(F.coalesce(F.col("parsed.process"), F.array().cast(
         f"array<struct<_id:string,serviceTask:{_TASK}>>")),
         lambda p: F.coalesce(p["serviceTask"], none)))
     listed = parsed.select(
         "model_id", "parsed", "places", F.filter(tasks, lambda t: F.exists(
             params(t), lambda p: p["_name"] == PAYLOAD)).alias("tasks"))
-    understood = ~F.exists("tasks", lambda t: ~_understood(payload(t)))
+    # Parsed once each; within one lambda it would be for every look at it.
+    payloads = F.transform("tasks", lambda t: F.try_parse_json(F.coalesce(payload(t), F.lit(""))))
+    understood = ~F.exists(payloads, lambda p: ~_understood(p))
     rows = (listed.select(
         "model_id", (F.col("parsed").isNotNull() & F.col(f"parsed.{CORRUPT}").isNull()
                      & understood).alias("readable"),

@@ -202,16 +202,22 @@ def _lead(kind: str, value: Column) -> Column:
     return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
 
 
+LEADS = ("both", "function", "class", "aspect", "any")
+
+
+def _lead_values() -> list[Column]:
+    """The value of each kind of lead that a criteria row gives, null for others."""
+    function, device_class, aspect = (F.col(c) for c in CRITERIA[1:])
+    blank = (function == "") & (device_class == "") & (aspect == "")
+    return [F.when((function != "") & (device_class != ""), _pair(function, device_class)),
+            F.when(function != "", function), F.when(device_class != "", device_class),
+            F.when(aspect != "", aspect), F.when(blank, F.lit(""))]
+
+
 def _given_leads() -> Column:
     """All a criteria row may be looked up by: what it gives, or nothing if it is blank."""
-    function, device_class, aspect = (F.col(c) for c in CRITERIA[1:])
-    given = F.filter(F.array(
-        F.when((function != "") & (device_class != ""),
-               _lead("both", _pair(function, device_class))),
-        F.when(function != "", _lead("function", function)),
-        F.when(device_class != "", _lead("class", device_class)),
-        F.when(aspect != "", _lead("aspect", aspect))), lambda lead: lead.isNotNull())
-    return F.when(F.size(given) > 0, given).otherwise(F.array(_lead("any", F.lit(""))))
+    return F.filter(F.array(*(F.when(value.isNotNull(), _lead(kind, value)) for kind, value in
+                              zip(LEADS, _lead_values(), strict=True))), lambda x: x.isNotNull())
 
 
 def offered_services(services: DataFrame) -> DataFrame:
@@ -255,17 +261,20 @@ def rarest_leads(criteria: DataFrame, posted: DataFrame) -> DataFrame:
     """
     lead = ["hub_id", "kind", "value"]
     counts = posted.groupBy(*lead).agg(F.count(F.lit(1)).alias("n_types"))
-    asked = criteria.select(*CRITERIA, F.size(_given_leads()).alias("n_leads"),
-                            F.explode(_given_leads()).alias("lead"))
-    found = asked.select(*CRITERIA, "n_leads", "lead.*").join(counts, lead).groupBy(
-        *CRITERIA, "n_leads").agg(F.count(F.lit(1)).alias("n_found"), F.min(
-            F.struct("n_types", "kind", "value")).alias("lead"))
-    return found.where("n_found = n_leads").select(*CRITERIA, "lead.kind", "lead.value")
-
-
-def met_types(criteria: DataFrame, types_on_hubs: DataFrame, services: DataFrame) -> DataFrame:
+    asked = criteria.select(*CRITERIA, F.explode(_given_leads()).alias("lead"))
+    # Number and kind in one whole number, whose minimum is combined by hash.
+    rank = F.array_position(F.array(*map(F.lit, LEADS)), F.col("kind"))
+    found = asked.select(*CRITERIA, "lead.*").join(counts, lead).groupBy(*CRITERIA).agg(
+        F.count(F.lit(1)).alias("n_found"), F.min(F.col("n_types") * 8 + rank).alias("least"))
+    kind = (F.col("least") % 8).cast("int")
+    return found.where(F.col("n_found") == F.size(_given_leads())).select(
+        *CRITERIA, F.element_at(F.array(*map(F.lit, LEADS)), kind).alias("kind"),
+        F.element_at(F.array(*_lead_values()), kind).alias("value"))
+
+
+def met_types(criteria: DataFrame, types_on_hubs: DataFrame, offered: DataFrame) -> DataFrame:
     """Criteria rows with the types on their hub that answer to their rarest lead."""
-    offers = type_leads(offered_services(services))
+    offers = type_leads(offered)
     used = criteria.select(F.explode(_given_leads()).alias("lead")).select("lead.*").distinct()
     posted = types_on_hubs.join(offers.join(used, ["kind", "value"], "left_semi"), "device_type_id")
     return posted.join(rarest_leads(criteria, posted), ["hub_id", "kind", "value"]).drop(
@@ -288,8 +297,9 @@ def match_types(criteria: DataFrame, fleet: DataFrame, services: DataFrame) -> D
 
     types = fleet.groupBy("hub_id", "device_type_id").agg(
         F.count(F.lit(1)).alias("n_devices"), F.min("device_id").alias("first_device_id"))
-    met = met_types(criteria, types, services).join(
-        offered_services(services), "device_type_id").withColumn(
+    # The catalogue is looked at from both ends.
+    offered = keep(criteria.sparkSession, offered_services(services), "offered")
+    met = met_types(criteria, types, offered).join(offered, "device_type_id").withColumn(
         "services", F.sort_array(F.array_distinct(F.transform(
             F.filter("offered", meets), lambda s: F.struct(s["id"], s["name"])))))
     return met.where(F.size("services") > 0).select(

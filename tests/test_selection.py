@@ -311,7 +311,8 @@ def test_the_rarest_criterion_leads(spark):
         "aspect_id string"))
     types = fleet.groupBy("hub_id", "device_type_id").agg(
         F.count(F.lit(1)).alias("n_devices"), F.min("device_id").alias("first_device_id"))
-    met = {tuple(r)[:3]: r["count"] for r in selection.met_types(criteria, types, services).groupBy(
+    met = {tuple(r)[:3]: r["count"] for r in selection.met_types(
+        criteria, types, selection.offered_services(services)).groupBy(
         *selection.CRITERIA[1:]).count().collect()}
     assert met == {("common", "", "rare"): 1, ("common", "c7", "a1"): 10, ("common", "c7", "rare"): 1,
                    ("", "c7", "rare"): 1, ("common", "", ""): 100, ("", "", ""): 100}
@@ -325,6 +326,7 @@ def test_pairs_before_the_other_criteria_follow_what_is_kept(spark, sf_dir):
     criteria, fleet = queries._criteria(spark, sf_dir), queries._fleet(spark, sf_dir)
     types = fleet.groupBy("hub_id", "device_type_id").agg(
         F.count(F.lit(1)).alias("n_devices"), F.min("device_id").alias("first_device_id"))
-    met = selection.met_types(criteria, types, dt.services(spark, sf_dir)).count()
+    met = selection.met_types(
+        criteria, types, selection.offered_services(dt.services(spark, sf_dir))).count()
     kept = selection.match_types(criteria, fleet, dt.services(spark, sf_dir)).count()
     assert kept <= met <= 2 * kept
