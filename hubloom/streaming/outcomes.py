@@ -1,22 +1,21 @@
 """Results of actions from outcomes as they arrive, in any order.
 
 What counts for an action is its first failure by `seq`. Each action has a state: how
-many outcomes it has had and its first failure. An outcome behind the failure changes
-nothing but the number; one before it takes its place. An action of which nothing has arrived for
-long is closed by a timer: its state goes, and if nothing failed it has succeeded. What is
-written is what is new, so rows of one action add up whatever batch they came in, and an
-outcome that comes after the closing is not lost. The timer runs on the time of arrival, as
-a watermark on the time of the outcomes would drop those that come late.
+many outcomes it has had and its first failure, by windows of the time of arrival as long as
+an action may be quiet. An outcome behind the failure changes nothing but the number; one
+before it takes its place. The state of a window goes once batches have arrived after its
+end. What is written is the state of the windows that a batch changed; the newest row of each
+window counts, and the windows of an action add up, so an outcome that comes after the closing
+is not lost. An action of which nothing has arrived for long is closed, and if nothing failed it
+has succeeded. All this runs on the time of arrival, as a watermark on the time of the outcomes
+would drop those that come late. States are aggregates, so rows of one action are combined
+before the shuffle and a batch costs no call per action.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from hubloom.operators.commands import classify_outcomes
@@ -24,97 +23,49 @@ from hubloom.operators.skew import hot_keys, key_counts, salted_join
 from hubloom.streaming.sinks import Trigger, read_batches, write_batches
 
 QUIET = "10 minutes"
-FOUND = "n_new long, failed_seq long, status int, message string, closed boolean"
-STATE = "n long, failed_seq long"
-
-
-def _combined(action: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """One row per action of each batch of rows, so that a crowded action is small
-    before it is brought to its state."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            # Failures first, by seq; the first row of an action then is its first failure.
-            rows = rows.sort_values(["failed", "seq"], ascending=[False, True], kind="stable")
-            groups = rows.groupby(action, dropna=False, sort=False)
-            out = groups.head(1).set_index(action, drop=False)
-            out["n"] = groups.size()
-            failed = out["failed"].astype(bool)
-            out["seq"] = out["seq"].where(failed)
-            out["status"] = out["status"].where(failed)
-            out["message"] = out["message"].where(failed)
-            yield out.reset_index(drop=True)[[*action, "n", "seq", "status", "message"]]
-    return run
-
-
-def _updated(action: list[str], quiet_ms: int) -> Callable:
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-            ) -> Iterator[pd.DataFrame]:
-        def row(n: int, failed_seq, status, message, closed: bool) -> pd.DataFrame:
-            values = {**dict(zip(action, key, strict=True)), "n_new": n,
-                      "failed_seq": failed_seq, "status": status, "message": message,
-                      "closed": closed}
-            return pd.DataFrame({c: pd.Series([v], dtype=object) for c, v in values.items()})
-
-        if state.hasTimedOut:
-            state.remove()
-            yield row(0, None, None, None, True)
-            return
-        total, first = state.get if state.exists else (0, None)
-        new, found, arrived = 0, None, state.getCurrentWatermarkMs()
-        for rows in batches:
-            new += int(rows["n"].sum())
-            arrived = max(arrived, int(rows["arrived_ms"].max()))
-            failures = rows[rows["seq"].notna()]
-            if len(failures):
-                at = failures.loc[failures["seq"].idxmin()]
-                if (found is None or at["seq"] < found["seq"]) and (
-                        first is None or at["seq"] < first):
-                    found = at
-        state.update((total + new, first if found is None else int(found["seq"])))
-        state.setTimeoutTimestamp(arrived + quiet_ms)
-        if found is None:
-            yield row(new, None, None, None, False)
-        else:
-            yield row(new, int(found["seq"]), int(found["status"]), found["message"], False)
-    return run
-
-
-def _milliseconds(duration: str) -> int:
-    return int(pd.Timedelta(duration).total_seconds() * 1000)
+FOUND = ("since timestamp, n long, failed_seq long, status int, message string, "
+         "arrived timestamp, open_until timestamp")
 
 
 def action_results_stream(outcomes: DataFrame, action: list[str], path: str, checkpoint: str,
                           quiet: str = QUIET, trigger: Trigger | None = None) -> StreamingQuery:
-    """Write what each batch tells of actions, from `seq, status, body` and `action`.
+    """Write what each batch changes of actions, from `seq, status, body` and `action`.
 
     An action is closed once batches go on for `quiet` after its last outcome.
     """
-    rows = classify_outcomes(outcomes).select(
-        *action, F.col("seq").cast("long").alias("seq"), F.col("status").cast("int").alias("status"),
-        "failed", "message")
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                      for f in outcomes.select(*action).schema.fields)
-    small = rows.mapInPandas(
-        _combined(action), f"{names}, n long, seq long, status int, message string")
+    failure = F.struct(F.col("seq").cast("long").alias("seq"),
+                       F.col("status").cast("int").alias("status"), "message")
     # The time of the batch; nothing is late by it.
-    small = small.withColumn("arrived", F.current_timestamp()).withWatermark(
-        "arrived", "0 seconds").withColumn("arrived_ms", F.unix_millis("arrived"))
-    found = small.groupBy(*action).applyInPandasWithState(
-        _updated(action, _milliseconds(quiet)), f"{names}, {FOUND}", STATE, "update",
-        GroupStateTimeout.EventTimeTimeout)
-    return write_batches(found, path, checkpoint, "update", trigger=trigger)
+    rows = classify_outcomes(outcomes).select(
+        *action, F.when(F.col("failed") & F.col("seq").isNotNull(), failure).alias("__failure"),
+        F.current_timestamp().alias("__arrived")).withWatermark("__arrived", "0 seconds")
+    found = rows.groupBy(*action, F.window("__arrived", quiet).alias("__window")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("__failure").alias("__first"),
+        F.max("__arrived").alias("arrived"))
+    return write_batches(found.select(
+        *action, F.col("__window.start").alias("since"), "n",
+        F.col("__first.seq").alias("failed_seq"), F.col("__first.status").alias("status"),
+        F.col("__first.message").alias("message"), "arrived",
+        (F.col("arrived") + F.expr(f"interval {quiet}")).alias("open_until")),
+        path, checkpoint, "update", trigger=trigger)
 
 
 def read_action_results(spark: SparkSession, path: str, action: StructType) -> DataFrame:
     """Result of each action so far: `n_commands`, `failed_seq`, and its first failure's
     `status` and `message`; status 200 once it is closed without one, null before."""
     schema = StructType([*action.fields, *spark.createDataFrame([], FOUND).schema.fields])
+    written = read_batches(spark, path, schema)
     failure = F.when(F.col("failed_seq").isNotNull(), F.struct("failed_seq", "status", "message"))
-    return read_batches(spark, path, schema).groupBy(*action.names).agg(
-        F.sum("n_new").alias("n_commands"), F.min(failure).alias("first"),
-        F.max_by("closed", F.struct("batch_id", "closed")).alias("closed")).select(
+    # Numbers of a window only grow, so the newest is the largest.
+    windows = written.groupBy(*action.names, "since").agg(
+        F.max("n").alias("n"), F.min(failure).alias("first"),
+        F.max("open_until").alias("open_until"))
+    closed = F.col("open_until") < written.agg(F.max("arrived")).scalar()
+    return windows.groupBy(*action.names).agg(
+        F.sum("n").alias("n_commands"), F.min("first").alias("first"),
+        F.max("open_until").alias("open_until")).select(
         *action.names, "n_commands", F.col("first.failed_seq").alias("failed_seq"),
-        F.coalesce("first.status", F.when(F.col("closed"), 200)).alias("status"),
+        F.coalesce("first.status", F.when(closed, 200)).alias("status"),
         F.col("first.message").alias("message"))
 
 

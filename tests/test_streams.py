@@ -232,3 +232,21 @@ def test_topic_activity_closes_windows_and_drops_late_rows(spark, late_dropped):
     first = got.where((F.col("topic") == "a") & (F.col("window_start") == F.lit(START))).first()
     assert first.n_messages == (2 if late_dropped else 3)
     assert got.where(F.col("window_end") > F.lit(at(390))).count() == 0
+
+
+def test_actions_have_a_state_without_python(spark):
+    """Groups of many actions cost no Python call each; windows of arrival add up."""
+    path = shared_dir(spark, "test-actions-native")
+    action = spark.createDataFrame([], OUTCOME).select("action_id").schema
+    for part in range(2):
+        add_file(spark, f"{path}/in", [
+            (f"a{i}", 10 * part + 1, 500 if i == part else 200, f"b{part}") for i in range(50)]
+            + [("a0", None, 500, "no number")], OUTCOME)
+        stream = spark.readStream.schema(OUTCOME).parquet(f"{path}/in")
+        query = outcomes.action_results_stream(
+            stream, ["action_id"], f"{path}/out", f"{path}/checkpoint", "1 millisecond")
+        finish(query)
+        assert query.recentProgress[-1]["stateOperators"][0]["operatorName"] == "stateStoreSave"
+    found = {r.action_id: (r.n_commands, r.failed_seq) for r in outcomes.read_action_results(
+        spark, f"{path}/out", action).collect()}
+    assert found == {f"a{i}": (2, None) for i in range(2, 50)} | {"a0": (4, 1), "a1": (2, 11)}
