@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from hubloom.operators.sync import ENGINE_KEY, latest_sync
@@ -61,68 +57,38 @@ def compact(spark: SparkSession, path: str, schema: StructType) -> None:
 
 # --- with a removal policy --------------------------------------------------
 
-ORDER = ["at", "seq"]
 REPORT = "at long, seq long, deployment_id long, is_placeholder boolean, marked_for_delete boolean"
 
 
-def _newest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The newest report of each deployment in a batch of rows, so that one that reports
-    all the time is small before it is brought to its state."""
-    for rows in batches:
-        rows = rows.sort_values(ORDER, kind="stable")
-        yield rows.groupby(ENGINE_KEY, dropna=False, sort=False).tail(1)
-
-
-def _changed(keep_ms: int) -> Callable:
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-            ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        known = state.get if state.exists else None
-        newest, arrived = None, state.getCurrentWatermarkMs()
-        for rows in batches:
-            arrived = max(arrived, int(rows["arrived_ms"].max()))
-            last = rows.sort_values(ORDER, kind="stable").iloc[-1]
-            if newest is None or (last["at"], last["seq"]) > (newest["at"], newest["seq"]):
-                newest = last
-        at = (int(newest["at"]), int(newest["seq"]))
-        changed = known is None or at > tuple(known)
-        state.update(at if changed else known)
-        state.setTimeoutTimestamp(arrived + keep_ms)
-        if changed:
-            values = {**dict(zip(ENGINE_KEY, key, strict=True)), "at": at[0], "seq": at[1],
-                      "deployment_id": newest["deployment_id"],
-                      "is_placeholder": bool(newest["is_placeholder"]),
-                      "marked_for_delete": bool(newest["marked_for_delete"])}
-            yield pd.DataFrame({c: pd.Series([v], dtype=object) for c, v in values.items()})
-    return run
-
-
 def live_sync_stream(rows: DataFrame, path: str, checkpoint: str, keep_for: str = "1 day",
                      trigger: Trigger | None = None) -> StreamingQuery:
     """Each batch writes the newest reports of deployments that have changed.
 
     `rows` has the engine key, `sync_date`, `seq`, `deployment_id` and the two flags, with
-    numbers as ids. The state of a deployment is its newest date and number. It goes once
-    batches have gone on for `keep_for` without a report of it, so it holds what has been
-    heard of lately, not all there ever was. A deployment marked for delete writes that as
-    its last row. A report that is older than what was written before its state went is
-    written again, and loses against that when the rows are read.
+    numbers as ids. The state of a deployment is its newest report among those that arrived in
+    one window of `keep_for`. It goes once batches have arrived after the window's end, so
+    the state holds what has been heard of lately, not all there ever was. It is an
+    aggregate: a deployment that reports all the time is small before it is brought to its
+    state. A deployment marked for delete writes that as its last row. A report that is older
+    than what was written before its state went is written again, and loses against that when
+    the rows are read.
     """
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                      for f in rows.select(*ENGINE_KEY).schema.fields)
-    small = rows.select(
-        *ENGINE_KEY, F.unix_micros(F.col("sync_date").cast("timestamp")).alias("at"), "seq",
-        "deployment_id", "is_placeholder", "marked_for_delete").mapInPandas(
-        _newest, f"{names}, {REPORT}")
     # The time of the batch; nothing is late by it.
-    small = small.withColumn("arrived", F.current_timestamp()).withWatermark(
-        "arrived", "0 seconds").withColumn("arrived_ms", F.unix_millis("arrived"))
-    keep_ms = int(pd.Timedelta(keep_for).total_seconds() * 1000)
-    changes = small.groupBy(*ENGINE_KEY).applyInPandasWithState(
-        _changed(keep_ms), f"{names}, {REPORT}", "at long, seq long", "update",
-        GroupStateTimeout.EventTimeTimeout)
+    reports = rows.select(
+        *ENGINE_KEY, F.unix_micros(F.col("sync_date").cast("timestamp")).alias("at"),
+        F.col("seq").cast("long").alias("seq"), "deployment_id", "is_placeholder",
+        "marked_for_delete", F.current_timestamp().alias("__arrived")).withWatermark(
+        "__arrived", "0 seconds")
+    # Of reports of one date and number the first to arrive stays.
+    newest = F.max(F.struct("at", "seq", (-F.unix_micros("__arrived")).alias("behind"),
+                            "deployment_id", "is_placeholder", "marked_for_delete"))
+    changes = reports.groupBy(*ENGINE_KEY, F.window("__arrived", keep_for).alias("__window")).agg(
+        newest.alias("__newest"), F.max("__arrived").alias("__last")).where(
+        F.col("__newest.behind") == -F.unix_micros("__last")).select(
+        *ENGINE_KEY, F.col("__newest.at").alias("at"), F.col("__newest.seq").alias("seq"),
+        F.col("__newest.deployment_id").cast("long").alias("deployment_id"),
+        F.col("__newest.is_placeholder").alias("is_placeholder"),
+        F.col("__newest.marked_for_delete").alias("marked_for_delete"))
     return write_batches(changes, path, checkpoint, "update", trigger=trigger)
 
 

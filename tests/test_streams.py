@@ -250,3 +250,23 @@ def test_actions_have_a_state_without_python(spark):
     found = {r.action_id: (r.n_commands, r.failed_seq) for r in outcomes.read_action_results(
         spark, f"{path}/out", action).collect()}
     assert found == {f"a{i}": (2, None) for i in range(2, 50)} | {"a0": (4, 1), "a1": (2, 11)}
+
+
+def test_deployments_have_a_state_without_python(spark):
+    """Reports behind the newest known one change nothing and are not written."""
+    path = shared_dir(spark, "test-live-native")
+    key = spark.createDataFrame([], LIVE).select("network_id", "engine_id").schema
+    written = []
+    for part, minutes in enumerate((10, 5, 20)):
+        add_file(spark, f"{path}/in", [
+            (1, n, START + timedelta(minutes=minutes), part, n, False, False)
+            for n in range(30)], LIVE)
+        stream = spark.readStream.schema(LIVE).parquet(f"{path}/in")
+        query = sync_streams.live_sync_stream(
+            stream, f"{path}/out", f"{path}/checkpoint", "36500 days")
+        finish(query)
+        assert query.recentProgress[-1]["stateOperators"][0]["operatorName"] == "stateStoreSave"
+        written.append(sinks.read_batches(spark, f"{path}/out", key).count())
+    assert written == [30, 30, 60]
+    live = sync_streams.read_live(spark, f"{path}/out", key)
+    assert {r.seq for r in live.collect()} == {2} and live.count() == 30
