@@ -177,5 +177,8 @@ def extract_elements(models: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     rows = model_elements(models)
     elements = rows.where(F.col("position").isNotNull()).drop("readable", "process_id")
-    rejects = rows.where(~F.col("readable")).select("model_id", F.lit(500).alias("status"))
+    # A model that cannot be read has no position. Without it in the condition, that would be
+    # moved below the reading and read each text again, once for every look at it.
+    rejects = rows.where(F.when(F.col("position").isNull(), ~F.col("readable"))).select(
+        "model_id", F.lit(500).alias("status"))
     return elements, rejects

@@ -38,6 +38,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schemas.DRIVER_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows over all tasks, for narrow rows of few file splits that long texts are made of.
+
+    A number of partitions that is given is not merged by adaptive execution, which looks
+    at the size of the rows as they are. The hash keeps joins on the key as they are.
+    """
+    spark = rows.sparkSession
+    return rows.repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(key))
+
+
 def size_band() -> Column:
     return F.expr("cast((p_size - 1) div 10 as string)")
 
@@ -316,7 +327,7 @@ def process_models(spark: SparkSession, sf_dir: str) -> DataFrame:
         _task_xml(0, F.col("p_name"), first), extra,
         F.when(broken, F.lit("")).otherwise(F.lit("</bpmn:process>")),
         F.lit("</bpmn:definitions>"))
-    return load(spark, sf_dir, "part").select(
+    return _spread(load(spark, sf_dir, "part"), "p_partkey").select(
         F.col("p_partkey").alias("model_id"), xml.alias("bpmn_xml"),
         F.concat(F.lit("<svg>"), "p_name", F.lit("</svg>")).alias("svg_xml"))
 

@@ -2,6 +2,7 @@ import json
 
 from conftest import rows
 from hubloom.operators import models
+from hubloom.sources import driver_tables as dt
 
 PAYLOAD = json.dumps({
     "function": {"id": "fn-set", "name": "set it"},
@@ -130,3 +131,13 @@ def test_resolve_model(spark):
     assert rows(resolved) == [("m1", "h", "<x/>", "<s/>")]
     assert rows(rejects.select("model_id", "hub_id", "status")) == [
         ("m2", "h", 404), (None, "g", 404)]
+
+
+def test_models_are_read_once_and_by_many_tasks(spark, sf_dir):
+    """The table they are made of is one small file; the condition on what is read stays above."""
+    made = dt.process_models(spark, sf_dir)
+    assert made.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rejects = models.extract_elements(made)[1]
+    plan = rejects._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" +-:").startswith("Filter")]
+    assert filters and not any("xml" in line for line in filters)
