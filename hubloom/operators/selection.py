@@ -199,25 +199,21 @@ def _pair(function: Column, device_class: Column) -> Column:
 
 
 def _lead(kind: str, value: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
-
-
-LEADS = ("both", "function", "class", "aspect", "any")
-
-
-def _lead_values() -> list[Column]:
-    """The value of each kind of lead that a criteria row gives, null for others."""
-    function, device_class, aspect = (F.col(c) for c in CRITERIA[1:])
-    blank = (function == "") & (device_class == "") & (aspect == "")
-    return [F.when((function != "") & (device_class != ""), _pair(function, device_class)),
-            F.when(function != "", function), F.when(device_class != "", device_class),
-            F.when(aspect != "", aspect), F.when(blank, F.lit(""))]
+    """A lead as a number, which is small to shuffle. Leads of one number are one lead: what
+    answers to it is looked at in full, so that makes pairs to look at, not options."""
+    return F.hash(F.lit(kind), value)
 
 
 def _given_leads() -> Column:
     """All a criteria row may be looked up by: what it gives, or nothing if it is blank."""
-    return F.filter(F.array(*(F.when(value.isNotNull(), _lead(kind, value)) for kind, value in
-                              zip(LEADS, _lead_values(), strict=True))), lambda x: x.isNotNull())
+    function, device_class, aspect = (F.col(c) for c in CRITERIA[1:])
+    blank = (function == "") & (device_class == "") & (aspect == "")
+    return F.array_distinct(F.array_compact(F.array(
+        F.when((function != "") & (device_class != ""), _lead("both", _pair(function, device_class))),
+        F.when(function != "", _lead("function", function)),
+        F.when(device_class != "", _lead("class", device_class)),
+        F.when(aspect != "", _lead("aspect", aspect)),
+        F.when(blank, _lead("any", F.lit(""))))))
 
 
 def offered_services(services: DataFrame) -> DataFrame:
@@ -249,36 +245,46 @@ def type_leads(types: DataFrame) -> DataFrame:
         leads("function", F.flatten(F.transform("offered", lambda s: s["functions"]))),
         leads("class", F.transform("offered", lambda s: s["class"])),
         leads("aspect", F.flatten(F.transform("offered", lambda s: s["aspects"])))))
-    return types.select("device_type_id", F.explode(answers).alias("lead")).select(
-        "device_type_id", "lead.*")
+    return types.select("device_type_id", F.explode(answers).alias("lead"))
 
 
-def rarest_leads(criteria: DataFrame, posted: DataFrame) -> DataFrame:
-    """Criteria rows with `kind, value`, the lead fewest types on their hub answer to.
+def rarest_leads(criteria: DataFrame, offers: DataFrame, types_on_hubs: DataFrame) -> DataFrame:
+    """Distinct criteria without their hub with the `lead` fewest types on hubs answer to.
 
-    `posted` has a row per hub, type and lead. A row that gives a lead no type answers
-    to has no options and is left out.
+    Criteria that give a lead no type on any hub answers to have no options and are left out.
+    `by_type` tells which side of the lead is the smaller: the types on hubs that answer to it,
+    or its criteria rows with each type that does. Both are counted over all hubs, so what is
+    shuffled for this is of the size of the catalogue and of the distinct criteria.
     """
-    lead = ["hub_id", "kind", "value"]
-    counts = posted.groupBy(*lead).agg(F.count(F.lit(1)).alias("n_types"))
-    asked = criteria.select(*CRITERIA, F.explode(_given_leads()).alias("lead"))
-    # Number and kind in one whole number, whose minimum is combined by hash.
-    rank = F.array_position(F.array(*map(F.lit, LEADS)), F.col("kind"))
-    found = asked.select(*CRITERIA, "lead.*").join(counts, lead).groupBy(*CRITERIA).agg(
-        F.count(F.lit(1)).alias("n_found"), F.min(F.col("n_types") * 8 + rank).alias("least"))
-    kind = (F.col("least") % 8).cast("int")
-    return found.where(F.col("n_found") == F.size(_given_leads())).select(
-        *CRITERIA, F.element_at(F.array(*map(F.lit, LEADS)), kind).alias("kind"),
-        F.element_at(F.array(*_lead_values()), kind).alias("value"))
+    on_hubs = types_on_hubs.groupBy("device_type_id").agg(F.count(F.lit(1)).alias("n_hubs"))
+    counts = offers.join(on_hubs, "device_type_id").groupBy("lead").agg(
+        F.sum("n_hubs").alias("n_posted"), F.count(F.lit(1)).alias("n_types"))
+    wanted = key_counts(criteria, CRITERIA[1:])
+    found = wanted.withColumn("lead", F.explode(_given_leads())).join(counts, "lead").groupBy(
+        *CRITERIA[1:], "n_rows").agg(
+        F.count(F.lit(1)).alias("n_found"), F.min(F.struct("n_posted", "lead", "n_types")).alias(
+            "least")).where(F.col("n_found") == F.size(_given_leads()))
+    asked = found.groupBy(F.col("least.lead").alias("lead")).agg(F.sum("n_rows").alias("n_asked"))
+    return found.select(*CRITERIA[1:], "least.*").join(asked, "lead").select(
+        *CRITERIA[1:], "lead",
+        (F.col("n_posted") <= F.col("n_asked") * F.col("n_types")).alias("by_type"))
 
 
 def met_types(criteria: DataFrame, types_on_hubs: DataFrame, offered: DataFrame) -> DataFrame:
-    """Criteria rows with the types on their hub that answer to their rarest lead."""
+    """Criteria rows with the types on their hub that answer to their rarest lead.
+
+    For each lead the smaller side is written out: types on hubs under it meet criteria on hub
+    and lead, or criteria with the types under it meet those on hubs on hub and type.
+    """
     offers = type_leads(offered)
-    used = criteria.select(F.explode(_given_leads()).alias("lead")).select("lead.*").distinct()
-    posted = types_on_hubs.join(offers.join(used, ["kind", "value"], "left_semi"), "device_type_id")
-    return posted.join(rarest_leads(criteria, posted), ["hub_id", "kind", "value"]).drop(
-        "kind", "value")
+    chosen = keep(criteria.sparkSession, rarest_leads(criteria, offers, types_on_hubs), "leads")
+    asked = criteria.select(*CRITERIA).join(chosen, CRITERIA[1:])
+    used = chosen.where("by_type").select("lead").distinct()
+    posted = types_on_hubs.join(offers.join(used, "lead", "left_semi"), "device_type_id")
+    by_type = asked.where("by_type").join(posted, ["hub_id", "lead"])
+    by_criteria = asked.where(~F.col("by_type")).join(offers, "lead").join(
+        types_on_hubs, ["hub_id", "device_type_id"])
+    return by_type.unionByName(by_criteria).drop("lead", "by_type")
 
 
 def match_types(criteria: DataFrame, fleet: DataFrame, services: DataFrame) -> DataFrame:
@@ -295,9 +301,9 @@ def match_types(criteria: DataFrame, fleet: DataFrame, services: DataFrame) -> D
                 & ((F.col("aspect_id") == "")
                    | F.array_contains(service["aspects"], F.col("aspect_id"))))
 
-    types = fleet.groupBy("hub_id", "device_type_id").agg(
-        F.count(F.lit(1)).alias("n_devices"), F.min("device_id").alias("first_device_id"))
-    # The catalogue is looked at from both ends.
+    # Types on hubs and the catalogue are looked at from several ends.
+    types = keep(criteria.sparkSession, fleet.groupBy("hub_id", "device_type_id").agg(
+        F.count(F.lit(1)).alias("n_devices"), F.min("device_id").alias("first_device_id")), "types")
     offered = keep(criteria.sparkSession, offered_services(services), "offered")
     met = met_types(criteria, types, offered).join(offered, "device_type_id").withColumn(
         "services", F.sort_array(F.array_distinct(F.transform(

@@ -330,3 +330,22 @@ def test_pairs_before_the_other_criteria_follow_what_is_kept(spark, sf_dir):
         criteria, types, selection.offered_services(dt.services(spark, sf_dir))).count()
     kept = selection.match_types(criteria, fleet, dt.services(spark, sf_dir)).count()
     assert kept <= met <= 2 * kept
+
+
+def test_types_are_not_posted_under_leads_that_nobody_takes(spark):
+    """All types on all hubs have the function asked for, each its own class: what meets is
+    one type a hub, and no join writes more than the smaller side of a lead."""
+    services = spark.createDataFrame(
+        [(f"t{i}", f"c{i}", "s", "s", ["common"], ["a"]) for i in range(100)],
+        "device_type_id string, device_class_id string, service_id string, service_name string, "
+        "function_ids array<string>, aspect_ids array<string>")
+    types = spark.range(5000).select(
+        F.expr("id div 100").alias("hub_id"),
+        F.concat(F.lit("t"), F.col("id") % 100).alias("device_type_id"),
+        F.lit(1).alias("n_devices"), F.lit("d").alias("first_device_id"))
+    asked = [(h, "common", f"c{h}", "") for h in range(50)] + [(0, "common", "", "")]
+    criteria = selection.criteria_counts(spark.createDataFrame(
+        asked, "hub_id long, function_id string, device_class_id string, aspect_id string"))
+    met = selection.met_types(criteria, types, selection.offered_services(services))
+    assert met.count() == 150
+    assert max(join_rows(met)) <= 300
